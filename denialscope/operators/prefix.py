@@ -1,19 +1,21 @@
 """Global-order running sums without a single-partition window.
 
 ``Window.orderBy(x)`` with no partition moves every row into one task. For
-curves (ROC, PR), exact quantiles and average precision we need cumulative
-counts in global order, so we use a two-level prefix sum:
-
-1. approximate quantiles of the key (a bounded, sampled job) give up to
-   ``n_buckets`` range boundaries; ``Bucketizer`` (binary search, JVM side)
-   assigns each row an ordered bucket — a deterministic function of the key,
-   so recomputation after executor loss gives the same buckets;
-2. a window partitioned by bucket computes running sums inside buckets;
-3. per-bucket totals (≤ n_buckets rows) are turned into bucket offsets and
-   broadcast back.
-
-Inputs are expected to be pre-aggregated to one row per distinct key, so a
-hot key is a single row and cannot skew a bucket.
+curves (ROC, PR), exact quantiles, average precision and fold assignment we
+need cumulative counts in global order, so we use a two-level prefix sum:
+
+1. approximate quantiles of a numeric, order-preserving bucket key (a
+   bounded, sampled job) give up to ``n_buckets`` range boundaries;
+   ``Bucketizer`` (binary search, JVM side) assigns each row an ordered
+   bucket — a deterministic function of the key, so recomputation after an
+   executor loss yields the same buckets;
+2. a window partitioned by (group, bucket) computes running sums inside
+   buckets, ordered by the exact order columns;
+3. per-(group, bucket) totals (≤ groups × n_buckets rows) become bucket
+   offsets and are broadcast back.
+
+Inputs should be pre-aggregated to one row per distinct order key where
+that is possible, so a hot key is a single row and cannot skew a bucket.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "__bucket"
@@ -33,26 +35,33 @@ def _n_buckets(df: DataFrame) -> int:
 
 
 def running_sums(df: DataFrame, key: str, value_cols: list[str],
+                 order_cols: list[Column] | None = None, group_cols: tuple[str, ...] = (),
                  n_buckets: int | None = None, rel_error: float = 0.001) -> DataFrame:
-    """Add ``cum_<v>``: sum of ``v`` over all rows with key ≤ this row's key
-    (ascending, inclusive). ``key`` must be unique per row, numeric, non-null."""
+    """Add ``cum_<v>``: inclusive running sum of ``v`` in ascending order.
+
+    ``key`` is a numeric column that is non-decreasing in the order; when it
+    is not unique, ``order_cols`` must complete it to a strict total order.
+    ``group_cols`` restart the sums per group (e.g. per class label).
+    """
     n_buckets = n_buckets or _n_buckets(df)
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = sorted({b for b in df.approxQuantile(key, probs, rel_error) if b is not None
-                     and not math.isnan(b)})
+    bounds = sorted({b for b in df.approxQuantile(key, probs, rel_error)
+                     if b is not None and not math.isnan(b)})
     splits = [-math.inf] + bounds + [math.inf]
     keyed = df.withColumn("__k", F.col(key).cast("double"))
     bucketed = Bucketizer(splits=splits, inputCol="__k", outputCol=BUCKET,
                           handleInvalid="keep").transform(keyed).drop("__k")
-    w = (Window.partitionBy(BUCKET).orderBy(F.col(key).asc())
+    order = order_cols if order_cols is not None else [F.col(key).asc()]
+    w = (Window.partitionBy(*group_cols, BUCKET).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     within = bucketed.select("*", *[F.sum(v).over(w).alias(f"__in_{v}") for v in value_cols])
-    totals = bucketed.groupBy(BUCKET).agg(*[F.sum(v).alias(f"__tot_{v}") for v in value_cols])
-    # ≤ n_buckets rows: a single-partition window here is bounded by design.
-    wb = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(BUCKET, *[F.coalesce(F.sum(f"__tot_{v}").over(wb), F.lit(0)).alias(f"__off_{v}")
-                                      for v in value_cols])
-    out = within.join(F.broadcast(offsets), on=BUCKET, how="inner")
+    totals = bucketed.groupBy(*group_cols, BUCKET).agg(*[F.sum(v).alias(f"__tot_{v}") for v in value_cols])
+    # ≤ groups × n_buckets rows: this small window is bounded by design.
+    wb = Window.partitionBy(*group_cols).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*group_cols, BUCKET,
+                            *[F.coalesce(F.sum(f"__tot_{v}").over(wb), F.lit(0)).alias(f"__off_{v}")
+                              for v in value_cols])
+    out = within.join(F.broadcast(offsets), on=[*group_cols, BUCKET], how="inner")
     return out.select(*df.columns, *[(F.col(f"__in_{v}") + F.col(f"__off_{v}")).alias(f"cum_{v}")
                                      for v in value_cols])
 
@@ -80,3 +89,12 @@ def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile") -
         F.max(F.when(is_lo, x)).alias("lo_v"), F.max(F.when(is_hi, x)).alias("hi_v"))
     return picked.select((F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.lit(frac))
                          .cast("double").alias(alias))
+
+
+def hash_order_key(col: str, seed: str) -> tuple[Column, list[Column]]:
+    """Deterministic pseudo-random order by ``md5(col‖'|'‖seed)``: returns a
+    numeric bucket key (first 13 hex digits, order-preserving) and the exact
+    order columns (full digest, then the id)."""
+    digest = F.md5(F.concat(F.col(col).cast("string"), F.lit("|" + seed)))
+    key = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
+    return key, [digest.asc(), F.col(col).asc()]

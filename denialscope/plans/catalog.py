@@ -1,5 +1,6 @@
 """Imports every query module so their ``register`` calls run."""
 
 from . import q_core  # noqa: F401
+from . import q_eval  # noqa: F401
 from . import q_kpis  # noqa: F401
-from .registry import ORACLE, QUERIES  # noqa: F401
+from .registry import ORACLE, QUERIES, oracle_sql  # noqa: F401
