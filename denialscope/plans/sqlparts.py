@@ -127,23 +127,28 @@ def np_round_sql(expr: str, decimals: int) -> str:
     return f"(round_even(({expr}) * {f}, 0) / {f})"
 
 
-def rule_sql(src_alias: str = "") -> str:
-    """Pre-clip rule score over a feature row: DOUBLE terms added left to
-    right in the same order as the Spark expression (bit-identical sums)."""
+def rule_terms_sql(src_alias: str = "") -> dict[str, str]:
+    """Rule-scorecard terms as DOUBLE expressions, in the Spark term order."""
     a = src_alias
     lag = f"coalesce({a}submission_lag_days, 0)"
     z = D(0.0)
-    return (
-        f"{D(0.1)}"
-        f" + CASE WHEN {lag} > 90 THEN {D(0.35)} WHEN {lag} > 60 THEN {D(0.15)} WHEN {lag} > 30 THEN {D(0.05)} ELSE {z} END"
-        f" + CASE WHEN {a}billed_amount > 10000 THEN {D(0.15)} WHEN {a}billed_amount > 5000 THEN {D(0.08)} ELSE {z} END"
-        f" + coalesce({a}provider_historical_denial_rate, {z}) * {D(0.3)}"
-        f" + CASE WHEN {a}has_chronic_condition = 1 THEN {D(0.05)} ELSE {z} END"
-        f" + CASE WHEN {a}place_of_service = '23' THEN {D(-0.1)} ELSE {z} END"
-        f" + CASE WHEN {a}claim_type = 'pharmacy' THEN {D(0.03)} ELSE {z} END"
-        f" + CASE WHEN {a}place_of_service = '21' THEN {D(0.08)} ELSE {z} END"
-        f" + CASE WHEN {a}has_surgery = 1 THEN {D(0.1)} ELSE {z} END"
-    )
+    return {
+        "base": D(0.1),
+        "lag": f"CASE WHEN {lag} > 90 THEN {D(0.35)} WHEN {lag} > 60 THEN {D(0.15)} WHEN {lag} > 30 THEN {D(0.05)} ELSE {z} END",
+        "billed": f"CASE WHEN {a}billed_amount > 10000 THEN {D(0.15)} WHEN {a}billed_amount > 5000 THEN {D(0.08)} ELSE {z} END",
+        "provider": f"coalesce({a}provider_historical_denial_rate, {z}) * {D(0.3)}",
+        "chronic": f"CASE WHEN {a}has_chronic_condition = 1 THEN {D(0.05)} ELSE {z} END",
+        "emergency": f"CASE WHEN {a}place_of_service = '23' THEN {D(-0.1)} ELSE {z} END",
+        "pharmacy": f"CASE WHEN {a}claim_type = 'pharmacy' THEN {D(0.03)} ELSE {z} END",
+        "inpatient": f"CASE WHEN {a}place_of_service = '21' THEN {D(0.08)} ELSE {z} END",
+        "surgery": f"CASE WHEN {a}has_surgery = 1 THEN {D(0.1)} ELSE {z} END",
+    }
+
+
+def rule_sql(src_alias: str = "") -> str:
+    """Pre-clip rule score over a feature row: DOUBLE terms added left to
+    right in the same order as the Spark expression (bit-identical sums)."""
+    return " + ".join(f"({t})" for t in rule_terms_sql(src_alias).values())
 
 
 def scored_cte(name: str = "sc", src: str = "feat") -> str:
