@@ -44,18 +44,29 @@ PROV_CTE = """prov AS (
 LOO_EXPR = ("least(greatest(coalesce(CAST(p.total_denied - c.is_denied AS DOUBLE) / "
             "NULLIF(CAST(p.total_claims - 1 AS DOUBLE), 0), 0.25), 0.0), 1.0)")
 
-ARR_CTE = f"""arr AS (
-  SELECT c.*, {LOO_EXPR} AS prate,
+HIST_EXPR = ("least(greatest(coalesce(CAST(p.total_denied AS DOUBLE) / "
+             "NULLIF(CAST(p.total_claims AS DOUBLE), 0), 0.25), 0.0), 1.0)")
+
+
+def arr_cte(src: str = "claims", rate: str = "loo") -> str:
+    """Code arrays, clipped lag and provider rate: ``loo`` (leave-one-out over
+    ``claims``), ``hist`` (full-history rate from ``claims``), ``default`` (0.25)."""
+    rate_sql = {"loo": LOO_EXPR, "hist": HIST_EXPR, "default": "CAST(0.25 AS DOUBLE)"}[rate]
+    return f"""arr AS (
+  SELECT c.*, {rate_sql} AS prate,
     CASE WHEN c.diagnosis_codes IS NULL OR c.diagnosis_codes = '' THEN []::VARCHAR[]
          ELSE string_split(c.diagnosis_codes, '|') END AS dx,
     CASE WHEN c.procedure_codes IS NULL OR regexp_matches(c.procedure_codes, {BLANK}) THEN []::VARCHAR[]
          ELSE string_split(c.procedure_codes, '|') END AS px,
     CASE WHEN c.submission_date IS NULL OR c.service_date IS NULL THEN NULL
          ELSE greatest(CAST(c.submission_date - c.service_date AS INT), 0) END AS lag
-  FROM claims c LEFT JOIN prov p ON c.provider_npi = p.provider_npi
+  FROM {src} c LEFT JOIN prov p ON c.provider_npi = p.provider_npi
 )"""
 
 
+ARR_CTE = arr_cte()
+
+
 def _cat(cat: str) -> str:
     return f"CAST(list_has_any(px, {sql_list(codes.codes_in(cat))}) AS INT)"
 
@@ -70,7 +81,7 @@ def feature_sql(policy: str = "batch") -> dict[str, str]:
         month = "coalesce(CAST(month(service_date) AS INT), 1)"
         age = "coalesce(member_age, 50)"
         supply = "coalesce(days_supply, 0)"
-        rate = "0.25"
+        rate = "prate"
     else:
         lag = "lag"
         ratio = "CASE WHEN allowed_amount > 0 THEN least(billed_amount / allowed_amount, 10.0) ELSE 1.0 END"
@@ -156,8 +167,12 @@ def scored_cte(name: str = "sc", src: str = "feat") -> str:
             f"FROM {src})")
 
 
-def base_ctes(policy: str = "batch", scored: bool = False, mi: bool = False) -> str:
-    parts = [claims_cte(), PROV_CTE, ARR_CTE, feat_cte("feat", policy)]
+def base_ctes(policy: str = "batch", scored: bool = False, mi: bool = False,
+              src: str = "claims", rate: str | None = None, pre: tuple[str, ...] = ()) -> str:
+    """claims → [pre CTEs] → provider stats → arrays/rate (from ``src``) →
+    features [→ model input] [→ rule score]."""
+    rate = rate or ("loo" if policy == "batch" else "default")
+    parts = [claims_cte(), *pre, PROV_CTE, arr_cte(src, rate), feat_cte("feat", policy)]
     if mi:
         parts.append(mi_cte())
     if scored:
@@ -165,9 +180,10 @@ def base_ctes(policy: str = "batch", scored: bool = False, mi: bool = False) ->
     return ",\n".join(parts)
 
 
-def with_(*extra: str, policy: str = "batch", scored: bool = False, mi: bool = False) -> str:
+def with_(*extra: str, policy: str = "batch", scored: bool = False, mi: bool = False,
+          src: str = "claims", rate: str | None = None, pre: tuple[str, ...] = ()) -> str:
     """``WITH`` clause of all base CTEs plus ``extra`` ones."""
-    return "WITH " + ",\n".join([base_ctes(policy, scored, mi), *extra]) + "\n"
+    return "WITH " + ",\n".join([base_ctes(policy, scored, mi, src, rate, pre), *extra]) + "\n"
 
 
 CONF_BATCH = ("CASE WHEN p_denial > 0 AND p_denial <= 0.2 THEN 'high_approve' "
