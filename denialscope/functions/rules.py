@@ -90,6 +90,16 @@ def np_round(x: Column, decimals: int) -> Column:
     return F.rint(x * f) / f
 
 
+def exact_avg(x: Column, decimals: int = 9) -> Column:
+    """Order-independent mean: values fixed to ``decimals`` places, summed as
+    an exact DECIMAL(38, 0), then divided. Floating sums depend on partition
+    order; this does not, so small windows of round-valued probabilities give
+    the same bits on every cluster layout."""
+    f = float(10 ** decimals)
+    s = F.sum(F.rint(x * f).cast("decimal(38,0)")).cast("double")
+    return s / F.count(x).cast("double") / f
+
+
 def predicted_denied(p: Column, threshold: float = PREDICTION_THRESHOLD) -> Column:
     return p >= F.lit(threshold)
 

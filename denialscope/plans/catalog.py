@@ -4,5 +4,6 @@ from . import q_core  # noqa: F401
 from . import q_eval  # noqa: F401
 from . import q_explain  # noqa: F401
 from . import q_io  # noqa: F401
+from . import q_stream  # noqa: F401
 from . import q_kpis  # noqa: F401
 from .registry import ORACLE, QUERIES, oracle_sql  # noqa: F401
