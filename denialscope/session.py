@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Local mode only: the driver JVM is the executor (ignored once a JVM runs).
+    "spark.driver.memory": "16g",
 }
 
 

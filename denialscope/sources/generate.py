@@ -1,0 +1,186 @@
+"""Synthetic claims generator (S3–S5, J4) as a distributed Spark job.
+
+``spark.range`` supplies row ids; every random draw is a seeded ``rand`` /
+``randn`` column (deterministic for a given partitioning), categorical
+choices are cumulative-weight ``CASE`` chains, "k distinct of a list" sorts
+the list by a seeded hash and slices, and provider / member attributes come
+from broadcast joins against the fixed-size pools (500 and 10,000 rows).
+No driver loop, no Python UDF.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import rules as R
+from ..functions.features import has_chronic
+from ..sources.schema import CLAIM_COLUMNS
+
+SEED = 42
+N_CLAIMS = 50000
+N_PROVIDERS = 500
+N_MEMBERS = 10000
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES — generator code lists, weights and distribution parameters.
+# ---------------------------------------------------------------------------
+DIAGNOSIS_CODES = [
+    "E11.9", "E11.65", "I10", "I25.10", "I50.9", "J44.1", "J44.9", "J06.9", "M54.5", "M17.11",
+    "M79.3", "N18.3", "N18.9", "G47.33", "K21.0", "F32.1", "F41.1", "R10.9", "Z23", "Z00.00",
+    "L40.0", "D64.9", "B20", "C50.911", "G43.909",
+]
+PROCEDURE_CODES = {
+    "evaluation_management": ["99201", "99202", "99203", "99204", "99205", "99211", "99212", "99213",
+                              "99214", "99215", "99221", "99222", "99223", "99231", "99232"],
+    "surgery": ["27447", "27130", "29881", "47562", "49505", "43239", "43249", "27446", "23472", "28296"],
+    "radiology": ["71046", "71250", "72148", "73721", "74177", "77067", "70553", "72141", "73221", "76700"],
+    "pathology": ["80053", "85025", "80048", "83036", "82947", "84443", "80061", "81001", "87086", "88305"],
+    "medicine": ["90834", "90837", "90846", "96372", "96413", "93000", "93306", "92014", "90460", "96365"],
+}
+CATEGORY_WEIGHTS = [0.45, 0.10, 0.15, 0.20, 0.10]
+DRUG_NDC_CODES = [
+    "00002323301", "00074309460", "00002140180", "59148004690", "00071015523", "00093505698",
+    "00781107710", "00591080101", "00378180510", "00093317456", "00591040101", "00173071320",
+    "68462039710", "51991081490", "00093531501",
+]
+PROVIDER_SPECIALTIES = [
+    "internal_medicine", "family_practice", "cardiology", "orthopedics", "gastroenterology",
+    "dermatology", "psychiatry", "neurology", "oncology", "pulmonology", "endocrinology", "nephrology",
+    "general_surgery", "emergency_medicine", "radiology", "anesthesiology", "ophthalmology", "urology",
+    "pathology", "physical_therapy",
+]
+POS_CODES = ["11", "21", "22", "23", "31", "81", "12", "20", "24", "99"]
+POS_WEIGHTS = [0.40, 0.08, 0.15, 0.07, 0.03, 0.05, 0.04, 0.08, 0.05, 0.05]
+CLAIM_TYPES = ["medical", "pharmacy", "dental"]
+CLAIM_TYPE_WEIGHTS = [0.60, 0.30, 0.10]
+SUPPLY_DAYS = [30, 60, 90]
+SUPPLY_WEIGHTS = [0.60, 0.25, 0.15]
+BILLED_LOGNORMAL = {"pharmacy": (4.5, 1.2), "surgery": (9.5, 0.8), "inpatient": (8.5, 1.0),
+                    "emergency": (7.0, 0.9), "other": (5.0, 1.0)}
+BILLED_FLOOR = 5.0
+ALLOWED_RATIO = (0.40, 0.85)
+LAG_SCALE = 15.0
+SERVICE_START = "2024-01-01"
+SERVICE_DAYS = 730
+CLAIMS_PER_YEAR_ID = 25000
+# ---------------------------------------------------------------------------
+
+
+def _choice(u: Column, values: list, weights: list[float]) -> Column:
+    """Categorical draw from a uniform ``u`` via cumulative weights."""
+    expr, acc = None, 0.0
+    for v, w in zip(values[:-1], weights[:-1]):
+        acc += w
+        expr = F.when(u < acc, F.lit(v)) if expr is None else expr.when(u < acc, F.lit(v))
+    return expr.otherwise(F.lit(values[-1]))
+
+
+def _pick(values: list[str], idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), idx + 1)
+
+
+def _k_distinct(values: list[str], k: Column, salt: Column) -> Column:
+    """k distinct items: sort the list by a seeded per-row hash, take k."""
+    arr = F.array(*[F.lit(v) for v in values])
+    keyed = F.transform(arr, lambda v: F.struct(F.xxhash64(v, salt).alias("h"), v.alias("v")))
+    return F.slice(F.transform(F.array_sort(keyed), lambda s: s["v"]), 1, k)
+
+
+def gen_providers(spark: SparkSession, n: int = N_PROVIDERS, seed: int = SEED) -> DataFrame:
+    """Provider pool: 10-digit NPI, specialty, Beta(2,6) denial tendency
+    (2nd smallest of 7 uniforms)."""
+    base = spark.range(n).withColumnRenamed("id", "provider_idx")
+    npi = (F.lit(1000000000) + F.floor(F.rand(seed) * F.lit(8999999999))).cast("long").cast("string")
+    spec = _pick(PROVIDER_SPECIALTIES, F.floor(F.rand(seed + 1) * len(PROVIDER_SPECIALTIES)).cast("int"))
+    uni = F.array_sort(F.array(*[F.rand(seed + 10 + i) for i in range(7)]))
+    return base.select("provider_idx", npi.alias("provider_npi"), spec.alias("provider_specialty"),
+                       F.element_at(uni, 2).alias("provider_denial_tendency"))
+
+
+def gen_members(spark: SparkSession, n: int = N_MEMBERS, seed: int = SEED + 1) -> DataFrame:
+    """Member pool: age N(52, 18) clipped to 18..95 then truncated, gender M .48 / F .52."""
+    base = spark.range(n).withColumnRenamed("id", "member_idx")
+    age = F.least(F.greatest(F.randn(seed) * 18.0 + 52.0, F.lit(18.0)), F.lit(95.0)).cast("int")
+    return base.select("member_idx", F.format_string("MBR-%06d", F.col("member_idx")).alias("member_id"),
+                       age.alias("member_age"),
+                       F.when(F.rand(seed + 1) < 0.48, "M").otherwise("F").alias("member_gender"))
+
+
+def gen_claims(spark: SparkSession, n: int = N_CLAIMS, seed: int = SEED, partitions: int | None = None) -> DataFrame:
+    """S3: n synthetic claims in CLAIMS_SCHEMA with the reference's
+    distributions and the rule-based denial probability (J4: pool joins)."""
+    parts = partitions or max(1, spark.sparkContext.defaultParallelism)
+    # Draw every uniform once into its own column first: a rand() expression
+    # repeated inside a CASE chain would be evaluated lazily per branch and
+    # fall out of step, so categorical choices read the stored draw.
+    ids = spark.range(0, n, 1, parts).withColumnRenamed("id", "i")
+    ids = ids.select("i", *[F.rand(seed * 1000 + k).alias(f"u{k}") for k in range(1, 16) if k != 13],
+                     F.randn(seed * 1000 + 13).alias("u13"))
+    r = lambda k: F.col(f"u{k}")
+    rn = r
+    salt = F.col("i") * 7919 + seed
+    c = ids.select(
+        "i",
+        F.format_string("CLM-%d-%05d", F.lit(2024) + F.floor(F.col("i") / CLAIMS_PER_YEAR_ID).cast("int"),
+                        F.col("i")).alias("claim_id"),
+        _choice(r(1), CLAIM_TYPES, CLAIM_TYPE_WEIGHTS).alias("claim_type"),
+        F.floor(r(2) * N_PROVIDERS).cast("long").alias("provider_idx"),
+        F.floor(r(3) * N_MEMBERS).cast("long").alias("member_idx"),
+        F.date_add(F.lit(SERVICE_START).cast("date"), F.floor(r(4) * SERVICE_DAYS).cast("int")).alias("service_date"),
+        (F.floor(-LAG_SCALE * F.log(1.0 - r(5))) + 1).cast("int").alias("lag"),
+        _choice(r(6), POS_CODES, POS_WEIGHTS).alias("place_of_service"),
+        (F.floor(r(7) * 3) + 1).cast("int").alias("n_dx"),
+        _choice(r(8), list(PROCEDURE_CODES), CATEGORY_WEIGHTS).alias("category"),
+        (F.floor(r(9) * 2) + 1).cast("int").alias("n_px"),
+        (F.lit(1000) + F.floor(r(10) * 8999)).cast("int").alias("dental_code"),
+        _pick(DRUG_NDC_CODES, F.floor(r(11) * len(DRUG_NDC_CODES)).cast("int")).alias("ndc"),
+        _choice(r(12), SUPPLY_DAYS, SUPPLY_WEIGHTS).alias("supply"),
+        rn(13).alias("z"),
+        (F.lit(ALLOWED_RATIO[0]) + r(14) * (ALLOWED_RATIO[1] - ALLOWED_RATIO[0])).alias("allowed_ratio"),
+        r(15).alias("u_deny"),
+        salt.alias("salt"),
+    )
+    dx = _k_distinct(DIAGNOSIS_CODES, F.col("n_dx"), F.col("salt"))
+    px_medical = F.coalesce(*[F.when(F.col("category") == cat, _k_distinct(codes, F.col("n_px"), F.col("salt") + 1))
+                              for cat, codes in PROCEDURE_CODES.items()])
+    px = (F.when(F.col("claim_type") == "medical", px_medical)
+          .when(F.col("claim_type") == "dental", F.array(F.concat(F.lit("D"), F.col("dental_code").cast("string"))))
+          .otherwise(F.array().cast("array<string>")))
+    c = c.withColumn("dx", dx).withColumn("px", px)
+    is_surgery = F.arrays_overlap(F.col("px"), F.array(*[F.lit(v) for v in PROCEDURE_CODES["surgery"]]))
+    pos = F.col("place_of_service")
+
+    def lognormal(key):
+        mu, sigma = BILLED_LOGNORMAL[key]
+        return F.exp(F.lit(mu) + F.lit(sigma) * F.col("z"))
+    billed = (F.when(F.col("claim_type") == "pharmacy", lognormal("pharmacy"))
+              .when(is_surgery, lognormal("surgery")).when(pos == "21", lognormal("inpatient"))
+              .when(pos == "23", lognormal("emergency")).otherwise(lognormal("other")))
+    billed = F.round(F.greatest(billed, F.lit(BILLED_FLOOR)), 2)
+    c = c.withColumn("billed_amount", billed).withColumn("is_surgery", is_surgery)
+
+    providers = F.broadcast(gen_providers(spark, N_PROVIDERS, seed))
+    members = F.broadcast(gen_members(spark, N_MEMBERS, seed + 1))
+    j = c.join(providers, "provider_idx").join(members, "member_idx")
+
+    chronic = has_chronic(F.col("dx")) == 1
+    raw = (F.lit(R.RULE_BASE) + R._step(F.col("lag"), R.RULE_LAG) + R._step(F.col("billed_amount"), R.RULE_BILLED)
+           + F.col("provider_denial_tendency") * R.RULE_PROVIDER_WEIGHT
+           + F.when(chronic, R.RULE_CHRONIC).otherwise(0.0)
+           + F.when(pos == "23", R.RULE_EMERGENCY).otherwise(0.0)
+           + F.when(F.col("claim_type") == "pharmacy", R.RULE_PHARMACY).otherwise(0.0)
+           + F.when(pos == "21", R.RULE_INPATIENT_21).otherwise(0.0)
+           + F.when(F.col("is_surgery"), R.RULE_SURGERY).otherwise(0.0))
+    p = R.clip_probability(raw)
+    pharm = F.col("claim_type") == "pharmacy"
+    out = j.select(
+        "claim_id", "member_id", "provider_npi", "claim_type", "place_of_service",
+        F.array_join("dx", "|").alias("diagnosis_codes"), F.array_join("px", "|").alias("procedure_codes"),
+        "billed_amount", F.round(F.col("billed_amount") * F.col("allowed_ratio"), 2).alias("allowed_amount"),
+        "service_date", F.date_add("service_date", F.col("lag")).alias("submission_date"),
+        F.when(pharm, F.col("ndc")).otherwise(F.lit("")).alias("drug_ndc"),
+        F.when(pharm, F.col("supply")).otherwise(F.lit(0)).cast("int").alias("days_supply"),
+        "member_age", "member_gender", "provider_specialty",
+        (F.col("u_deny") < p).cast("int").alias("is_denied"))
+    return out.select(*CLAIM_COLUMNS)
