@@ -90,11 +90,11 @@ def ordered_folds(df: DataFrame, order_col: str = "service_date", key: str = "cl
                   k: int = N_FOLDS) -> DataFrame:
     """Unshuffled k-fold — contiguous blocks in (date, id) order."""
     n = df.count()
-    keyed = df.withColumn("__k", F.unix_date(F.col(order_col)).cast("double")).withColumn("__one", F.lit(1))
-    ranked = running_sums(keyed.na.fill({"__k": -1e18}), "__k", ["__one"],
+    keyed = df.withColumn("__dk", F.unix_date(F.col(order_col)).cast("double")).withColumn("__one", F.lit(1))
+    ranked = running_sums(keyed.na.fill({"__dk": -1e18}), "__dk", ["__one"],
                           order_cols=[F.col(order_col).asc_nulls_first(), F.col(key).asc()])
     fold = F.floor((F.col("cum___one") - 1) * k / F.lit(max(n, 1))).cast("int")
-    return ranked.withColumn("fold", fold).drop("__k", "__one", "cum___one")
+    return ranked.withColumn("fold", fold).drop("__dk", "__one", "cum___one")
 
 
 def build_estimator(config: dict, pos_weight: float | None = None, n_weight: float | None = None):
@@ -189,8 +189,10 @@ def train_all_models(mi: DataFrame, label: str = "is_denied", configs: dict = MO
     AUC (first wins ties), optionally save the winner (S15)."""
     from concurrent.futures import ThreadPoolExecutor
 
-    data = stratified_folds(mi, label).cache()
-    data.count()
+    from ..session import cut_lineage
+    # Reliable checkpoint into the shared folder: 24 fits re-read these rows,
+    # and a lost executor must not send them back to the raw claims.
+    data = cut_lineage(stratified_folds(mi, label))
 
     def run(task):
         name, f = task

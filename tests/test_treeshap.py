@@ -1,0 +1,39 @@
+import tempfile
+
+import numpy as np
+import pytest
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from denialscope.operators.features import features_wide, model_input
+from denialscope.operators.treeshap import explain_tree
+from denialscope.sources.fixtures import claims
+from denialscope.sources.schema import FEATURE_COLUMNS
+
+SF001 = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    mi = model_input(features_wide(claims(spark, SF001)), keep=("claim_id", "is_denied"))
+    mi = mi.dropDuplicates(["claim_id"]).withColumn("label", F.col("is_denied").cast("double")).cache()
+    return VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features").transform(mi)
+
+
+@pytest.mark.parametrize("kind", ["gbt", "rf"])
+def test_contributions_sum_to_margin(spark, data, kind):
+    # small ensembles keep this invariant test fast; the algorithm is size-independent
+    est = (GBTClassifier(maxIter=4, maxDepth=3, seed=1) if kind == "gbt"
+           else RandomForestClassifier(numTrees=4, maxDepth=4, seed=1))
+    model = est.fit(data)
+    sample = data.orderBy("claim_id").limit(150)
+    expl = explain_tree(sample, model, FEATURE_COLUMNS, tempfile.mkdtemp(prefix="shap-"))
+    if kind == "gbt":
+        truth = model.transform(sample).select("claim_id", (vector_to_array("rawPrediction")[1]).alias("m"))
+    else:
+        truth = model.transform(sample).select("claim_id", (vector_to_array("probability")[1]).alias("m"))
+    j = expl.join(truth, "claim_id").select("margin", "m").toPandas()
+    assert len(j) == 150
+    assert np.max(np.abs(j["margin"] - j["m"])) < 1e-6
