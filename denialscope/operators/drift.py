@@ -9,6 +9,7 @@ fully combined map-side, so skew in any feature costs nothing extra.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,14 +30,20 @@ HISTORICAL_MEAN = 0.25
 HISTORICAL_STD = 0.05
 
 
-def long_values(train: DataFrame, score: DataFrame, features: list[str]) -> DataFrame:
-    """(dataset, feature, value) for both frames; null/NaN values removed."""
+def stacked(train: DataFrame, score: DataFrame, features: list[str]) -> DataFrame:
+    """(dataset, feature columns as DOUBLE) for both frames, persisted: the
+    min/max pass, the bin-count pass and the profile pass all read it, so
+    the upstream feature pipeline runs once (recomputed from lineage if an
+    executor holding cached blocks is lost)."""
     def one(df, tag):
-        cols = [F.col(c).cast("double").alias(c) for c in features]
-        return (df.select(*cols).unpivot([], features, "feature", "value")
-                .withColumn("dataset", F.lit(tag)))
+        return df.select(F.lit(tag).alias("dataset"), *[F.col(c).cast("double").alias(c) for c in features])
+    return one(train, "train").unionByName(one(score, "score")).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def long_values(stack: DataFrame, features: list[str]) -> DataFrame:
+    """(dataset, feature, value); null/NaN values removed."""
     v = F.col("value")
-    return one(train, "train").unionByName(one(score, "score")).where(v.isNotNull() & ~F.isnan(v))
+    return stack.unpivot(["dataset"], features, "feature", "value").where(v.isNotNull() & ~F.isnan(v))
 
 
 def present(train: DataFrame, score: DataFrame, features: list[str]) -> list[str]:
@@ -45,37 +52,69 @@ def present(train: DataFrame, score: DataFrame, features: list[str]) -> list[str
 
 
 def psi(train: DataFrame, score: DataFrame, features: list[str] = FEATURE_COLUMNS,
-        n_bins: int = N_BINS) -> DataFrame:
+        n_bins: int = N_BINS, stack: DataFrame | None = None) -> DataFrame:
     """K1: per feature PSI over ``n_bins`` equal-width bins on the joint range.
 
     Outer edges are ±inf, ε = 1e-6 per bin; 0 if a side is empty or min = max.
     """
     feats = present(train, score, features)
-    lv = long_values(train, score, feats)
-    mm = lv.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    step = (F.col("hi") - F.col("lo")) / F.lit(float(n_bins))
-    edges = mm.select("feature", "lo", "hi",
-                      F.array(*[F.lit(float(i)) * step + F.col("lo") for i in range(1, n_bins)]).alias("edges"))
-    binned = lv.join(F.broadcast(edges.select("feature", "edges")), on="feature")
-    b = F.aggregate("edges", F.lit(0), lambda acc, e: acc + (F.col("value") >= e).cast("int"))
-    counts = binned.groupBy("feature", "dataset", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin"))
-    wide = (counts.groupBy("feature", "bin")
-            .agg(F.sum(F.when(F.col("dataset") == "train", F.col("n")).otherwise(0)).alias("e"),
-                 F.sum(F.when(F.col("dataset") == "score", F.col("n")).otherwise(0)).alias("a")))
-    full = grid.join(wide, on=["feature", "bin"], how="left").na.fill(0, subset=["e", "a"])
-    tot = full.groupBy("feature").agg(F.sum("e").alias("ne"), F.sum("a").alias("na"))
-    full = full.join(tot, on="feature")
-    ep = (F.col("e") + EPS) / (F.col("ne") + n_bins * EPS)
-    ap = (F.col("a") + EPS) / (F.col("na") + n_bins * EPS)
-    per = full.groupBy("feature").agg(
-        F.sum((ap - ep) * F.log(ap / ep)).alias("psi_raw"),
-        F.first("ne").alias("ne"), F.first("na").alias("na"))
-    out = per.join(edges.select("feature", "lo", "hi"), on="feature")
-    value = F.when((F.col("ne") == 0) | (F.col("na") == 0) | (F.col("lo") == F.col("hi")), F.lit(0.0)) \
-        .otherwise(F.col("psi_raw"))
-    order = F.array_position(F.array(*[F.lit(c) for c in feats]), F.col("feature")).cast("int")
-    return out.select(order.alias("feature_index"), "feature", value.alias("psi"))
+    stack = stack if stack is not None else stacked(train, score, feats)
+    spark = stack.sparkSession
+
+    def clean(c):
+        return F.nanvl(F.col(c), F.lit(None).cast("double"))
+
+    # Pass 1: joint min/max of every feature in one wide aggregate (2 × #features
+    # bounded scalars reach the driver). Edges are i·step + lo, as linspace.
+    row = stack.agg(*[F.min(clean(c)).alias(f"lo_{i}") for i, c in enumerate(feats)],
+                    *[F.max(clean(c)).alias(f"hi_{i}") for i, c in enumerate(feats)]).first()
+    lo = {c: row[f"lo_{i}"] for i, c in enumerate(feats)}
+    hi = {c: row[f"hi_{i}"] for i, c in enumerate(feats)}
+    edges = {c: ([] if lo[c] is None else [float(i) * ((hi[c] - lo[c]) / float(n_bins)) + lo[c]
+                                           for i in range(1, n_bins)]) for c in feats}
+
+    # Pass 2: bin = number of interior edges ≤ value (literal comparisons in
+    # codegen), then count per (feature, dataset, bin): ≤ #features × 2 × n_bins
+    # groups, combined map-side.
+    def bin_of(c):
+        # arithmetic guess, then exact correction against the literal edges
+        # e(i) = i·step + lo (the guess is off by at most one near an edge)
+        v = clean(c)
+        if not edges[c] or hi[c] == lo[c]:
+            return F.when(v.isNotNull(), F.lit(0))
+        step = (hi[c] - lo[c]) / float(n_bins)
+        guess = F.least(F.greatest(F.floor((v - F.lit(lo[c])) / F.lit(step)), F.lit(0)),
+                        F.lit(n_bins - 1)).cast("int")
+
+        def edge(i):
+            return i.cast("double") * F.lit(step) + F.lit(lo[c])
+        up = (guess < n_bins - 1) & (v >= edge(guess + 1))
+        down = (guess > 0) & (v < edge(guess))
+        return F.when(v.isNotNull(), guess + up.cast("int") - down.cast("int"))
+    # (feature index, dataset·n_bins + bin) as two ints: cheap keys for the
+    # map-side combined count; the result has ≤ #features × 2 × n_bins rows.
+    is_score = (F.col("dataset") == "score").cast("int")
+    codes = F.array(*[bin_of(c) + is_score * n_bins for c in feats])
+    counts = (stack.select(F.posexplode(codes).alias("fi", "code")).where(F.col("code").isNotNull())
+              .groupBy("fi", "code").agg(F.count(F.lit(1)).alias("n"))).collect()
+    cell = {(r["fi"], r["code"]): r["n"] for r in counts}
+    # Complete grid (every feature × bin, zero-filled) as a bounded local frame;
+    # the PSI formula itself stays a Spark expression.
+    grid = [(i, c, b, int(cell.get((i, b), 0)), int(cell.get((i, b + n_bins), 0)))
+            for i, c in enumerate(feats) for b in range(n_bins)]
+    full = spark.createDataFrame(grid, "fi INT, feature STRING, bin INT, e BIGINT, a BIGINT")
+    tot = {i: (sum(g[3] for g in grid if g[0] == i), sum(g[4] for g in grid if g[0] == i))
+           for i in range(len(feats))}
+    ne = F.element_at(F.create_map(*[x for i, (e, _) in tot.items() for x in (F.lit(i), F.lit(e))]), F.col("fi"))
+    na = F.element_at(F.create_map(*[x for i, (_, a) in tot.items() for x in (F.lit(i), F.lit(a))]), F.col("fi"))
+    ep = (F.col("e") + EPS) / (ne + n_bins * EPS)
+    ap = (F.col("a") + EPS) / (na + n_bins * EPS)
+    per = full.groupBy("fi", "feature").agg(F.sum((ap - ep) * F.log(ap / ep)).alias("psi_raw"))
+    degenerate = [i for i, c in enumerate(feats)
+                  if tot[i][0] == 0 or tot[i][1] == 0 or lo[c] is None or lo[c] == hi[c]]
+    value = F.when(F.col("fi").isin(*degenerate), F.lit(0.0)).otherwise(F.col("psi_raw")) if degenerate \
+        else F.col("psi_raw")
+    return per.select((F.col("fi") + 1).cast("int").alias("feature_index"), "feature", value.alias("psi"))
 
 
 def psi_status(p):
@@ -90,11 +129,21 @@ def feature_profile(df: DataFrame, features: list[str], tag: str) -> DataFrame:
                                      F.stddev_samp("value").alias(f"{tag}_std"))
 
 
+def stacked_profile(stack: DataFrame, features: list[str]) -> DataFrame:
+    """A16 for both datasets in one pass over the stacked input."""
+    lv = stack.unpivot(["dataset"], features, "feature", "value")
+    tr = F.when(F.col("dataset") == "train", F.col("value"))
+    sc = F.when(F.col("dataset") == "score", F.col("value"))
+    return lv.groupBy("feature").agg(F.avg(tr).alias("training_mean"), F.stddev_samp(tr).alias("training_std"),
+                                     F.avg(sc).alias("scoring_mean"), F.stddev_samp(sc).alias("scoring_std"))
+
+
 def drift_features(train: DataFrame, score: DataFrame, features: list[str] = FEATURE_COLUMNS) -> DataFrame:
     """K2: feature, PSI (6 dp), status, train/score mean and std (4 dp)."""
-    p = psi(train, score, features)
-    stats = (feature_profile(train, features, "training")
-             .join(feature_profile(score, features, "scoring"), on="feature"))
+    feats = present(train, score, features)
+    stack = stacked(train, score, feats)
+    p = psi(train, score, feats, stack=stack)
+    stats = stacked_profile(stack, feats)
     j = p.join(F.broadcast(stats), on="feature", how="left")
     return j.select("feature_index", "feature", np_round(F.col("psi"), 6).alias("psi"),
                     psi_status(F.col("psi")).alias("status"),

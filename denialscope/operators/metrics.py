@@ -9,6 +9,7 @@ sums in ``operators.prefix``; no step puts all rows into one task.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,9 @@ def _totals(counts: DataFrame) -> tuple[int, int]:
 def cumulative(scored: DataFrame, label: str = "is_denied", score: str = "p_denial"):
     """Per distinct score s, tp/fp = positives/negatives with score ≥ s,
     plus ``neg_below`` (negatives strictly below s). Returns (frame, P, N)."""
-    counts = score_counts(scored, label, score)
+    # One row per distinct score, read three times (totals, bucket bounds,
+    # running sums): persist it so the scoring pipeline runs once.
+    counts = score_counts(scored, label, score).persist(StorageLevel.MEMORY_AND_DISK)
     P, N = _totals(counts)
     cum = running_sums(counts, score, ["pos", "neg"])
     out = cum.select(

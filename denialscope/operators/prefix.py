@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,7 +75,7 @@ def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile") -
     """
     x = F.col(col)
     vals = (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(col)
-            .agg(F.count(F.lit(1)).alias("__c")))
+            .agg(F.count(F.lit(1)).alias("__c"))).persist(StorageLevel.MEMORY_AND_DISK)
     n = vals.agg(F.sum("__c")).first()[0]
     if not n:
         return df.sparkSession.createDataFrame([(None,)], f"{alias} DOUBLE")

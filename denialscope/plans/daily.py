@@ -39,18 +39,23 @@ def daily_scoring(claims: DataFrame, run_date: str, out_dir: str, history: DataF
     seed = int(run_date[-2:])
     p = lambda *parts: files.join_path(out_dir, *parts)
 
+    spark = claims.sparkSession
     batch = files.materialize(daily_batch(claims, seed, n), p("daily_batch", f"run_date={run_date}"))
-    feats, preds = score_batch(batch, history, scorer)
-    mi = files.materialize(model_input(feats), p("daily_features", f"run_date={run_date}"))
-    preds = preds.withColumn("scored_date", F.lit(run_date))
+    # Wide features are written once; predictions and the model input both
+    # read the written copy (no second pass through the history join).
+    feats = files.materialize(features_wide(batch, provider_history=history),
+                              p("daily_features", f"run_date={run_date}"))
+    mi = model_input(feats)
+    preds = predict_batch(feats, scorer or RuleScorer()).withColumn("scored_date", F.lit(run_date))
     files.append_partition(preds, p("prediction_history"), "scored_date")
-    stored = files.read_predictions(batch.sparkSession, p("prediction_history")) \
-        .where(F.col("scored_date") == run_date)
+    stored = files.read_predictions(spark, p("prediction_history")).where(F.col("scored_date") == run_date)
 
     train_mi = model_input(features_wide(training))
     details = DR.drift_features(train_mi, mi)
+    report_path = p("drift_reports", f"run_date={run_date}")
     report = DR.drift_report(details, run_ts=f"{run_date}T02:00:00")
-    files.write_json(report, p("drift_reports", f"run_date={run_date}"))
+    files.write_json(report, report_path)
+    report = spark.read.schema(report.schema).json(report_path)
     status = report.select("overall_status").first()[0]
     return {"batch": batch, "features": mi, "predictions": stored, "drift_details": details,
             "drift_report": report, "alert": status == "critical",

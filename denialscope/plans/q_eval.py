@@ -3,6 +3,7 @@ monitoring (K1–K5, A16, A17)."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators import drift as DR
@@ -152,7 +153,8 @@ _SPLIT = "DATE '2000-01-01'"
 
 def _split_mi(spark, d):
     f = FE.features_wide(claims(spark, d))
-    mi = FE.model_input(f, keep=("claim_id", "service_date"))
+    # both splits come from one feature pass
+    mi = FE.model_input(f, keep=("claim_id", "service_date")).persist(StorageLevel.MEMORY_AND_DISK)
     cut = F.lit("2000-01-01").cast("date")
     return mi.where(F.col("service_date") < cut), mi.where(F.col("service_date") >= cut)
 
