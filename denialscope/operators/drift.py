@@ -58,6 +58,7 @@ def psi(train: DataFrame, score: DataFrame, features: list[str] = FEATURE_COLUMN
     Outer edges are ±inf, ε = 1e-6 per bin; 0 if a side is empty or min = max.
     """
     feats = present(train, score, features)
+    own_stack = stack is None
     stack = stack if stack is not None else stacked(train, score, feats)
     spark = stack.sparkSession
 
@@ -98,6 +99,8 @@ def psi(train: DataFrame, score: DataFrame, features: list[str] = FEATURE_COLUMN
     counts = (stack.select(F.posexplode(codes).alias("fi", "code")).where(F.col("code").isNotNull())
               .groupBy("fi", "code").agg(F.count(F.lit(1)).alias("n"))).collect()
     cell = {(r["fi"], r["code"]): r["n"] for r in counts}
+    if own_stack:
+        stack.unpersist()
     # Complete grid (every feature × bin, zero-filled) as a bounded local frame;
     # the PSI formula itself stays a Spark expression.
     grid = [(i, c, b, int(cell.get((i, b), 0)), int(cell.get((i, b + n_bins), 0)))
@@ -138,12 +141,22 @@ def stacked_profile(stack: DataFrame, features: list[str]) -> DataFrame:
                                      F.avg(sc).alias("scoring_mean"), F.stddev_samp(sc).alias("scoring_std"))
 
 
-def drift_features(train: DataFrame, score: DataFrame, features: list[str] = FEATURE_COLUMNS) -> DataFrame:
-    """K2: feature, PSI (6 dp), status, train/score mean and std (4 dp)."""
+def drift_features(train: DataFrame, score: DataFrame, features: list[str] = FEATURE_COLUMNS,
+                   stack: DataFrame | None = None) -> DataFrame:
+    """K2: feature, PSI (6 dp), status, train/score mean and std (4 dp).
+
+    ``stack`` may be given pre-built (dataset + feature columns, persisted);
+    otherwise it is built from the two frames and released at the end."""
     feats = present(train, score, features)
-    stack = stacked(train, score, feats)
+    own_stack = stack is None
+    stack = stack if stack is not None else stacked(train, score, feats)
     p = psi(train, score, feats, stack=stack)
-    stats = stacked_profile(stack, feats)
+    # one row per feature: bring the profile to a local frame and release the
+    # cached input, so nothing stays pinned after the report is built
+    prof = stacked_profile(stack, feats)
+    stats = stack.sparkSession.createDataFrame(prof.collect(), prof.schema)
+    if own_stack:
+        stack.unpersist()
     j = p.join(F.broadcast(stats), on="feature", how="left")
     return j.select("feature_index", "feature", np_round(F.col("psi"), 6).alias("psi"),
                     psi_status(F.col("psi")).alias("status"),

@@ -15,7 +15,6 @@ aggregate expressions on top.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,9 +52,6 @@ def explain_rules(features: DataFrame, background: DataFrame | None = None) -> D
     ``background`` (default: ``features`` itself) supplies the term means.
     """
     terms = R.rule_terms()
-    if background is None:
-        # the mean pass and the output pass read the same rows
-        features = features.persist(StorageLevel.MEMORY_AND_DISK)
     bg = background if background is not None else features
     if "submission_lag_days" not in bg.columns:
         from .features import features_wide

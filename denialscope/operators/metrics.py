@@ -9,10 +9,11 @@ sums in ``operators.prefix``; no step puts all rows into one task.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 from .prefix import running_sums
 
 INF = float("inf")
@@ -33,8 +34,9 @@ def cumulative(scored: DataFrame, label: str = "is_denied", score: str = "p_deni
     """Per distinct score s, tp/fp = positives/negatives with score ≥ s,
     plus ``neg_below`` (negatives strictly below s). Returns (frame, P, N)."""
     # One row per distinct score, read three times (totals, bucket bounds,
-    # running sums): persist it so the scoring pipeline runs once.
-    counts = score_counts(scored, label, score).persist(StorageLevel.MEMORY_AND_DISK)
+    # running sums): a reliable checkpoint in the shared folder, so the
+    # scoring pipeline runs once and no executor memory stays pinned.
+    counts = cut_lineage(score_counts(scored, label, score))
     P, N = _totals(counts)
     cum = running_sums(counts, score, ["pos", "neg"])
     out = cum.select(

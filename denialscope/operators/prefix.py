@@ -88,8 +88,10 @@ def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile") -
     is_hi = (start <= hi) & (F.lit(hi) < F.col("cum___c"))
     picked = cum.where(is_lo | is_hi).agg(
         F.max(F.when(is_lo, x)).alias("lo_v"), F.max(F.when(is_hi, x)).alias("hi_v"))
-    return picked.select((F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.lit(frac))
-                         .cast("double").alias(alias))
+    row = picked.select((F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.lit(frac))
+                        .cast("double").alias(alias)).first()
+    vals.unpersist()
+    return df.sparkSession.createDataFrame([(row[0],)], f"{alias} DOUBLE")
 
 
 def hash_order_key(col: str, seed: str) -> tuple[Column, list[Column]]:

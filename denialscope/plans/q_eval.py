@@ -153,12 +153,38 @@ _SPLIT = "DATE '2000-01-01'"
 
 def _split_mi(spark, d):
     f = FE.features_wide(claims(spark, d))
-    # both splits come from one feature pass
-    mi = FE.model_input(f, keep=("claim_id", "service_date")).persist(StorageLevel.MEMORY_AND_DISK)
+    mi = FE.model_input(f, keep=("claim_id", "service_date"))
     cut = F.lit("2000-01-01").cast("date")
     return mi.where(F.col("service_date") < cut), mi.where(F.col("service_date") >= cut)
 
 
+def _drift_stack(spark, d):
+    """One feature pass tagged train/score by date, persisted for the drift
+    passes (the drift operators return bounded local results, so the cache
+    is released right after)."""
+    mi = FE.model_input(FE.features_wide(claims(spark, d)), keep=("claim_id", "service_date"))
+    date = F.col("service_date")
+    tag = F.when(date < F.lit("2000-01-01").cast("date"), "train").otherwise("score")
+    stack = (mi.where(date.isNotNull())
+             .select(tag.alias("dataset"), *[F.col(c).cast("double").alias(c) for c in FEATURE_COLUMNS])
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    return mi, stack
+
+
+def _drift(spark, d, what):
+    tr, stack = _drift_stack(spark, d)
+    try:
+        if what == "psi":
+            return DR.psi(tr, tr, FEATURE_COLUMNS, stack=stack)
+        det = DR.drift_features(tr, tr, FEATURE_COLUMNS, stack=stack)
+        if what == "details":
+            return det
+        rows = det.collect()
+        return spark.createDataFrame(rows, det.schema)
+    finally:
+        stack.unpersist()
+
+
 _MI2 = ("mi2 AS (SELECT CASE WHEN service_date < " + _SPLIT + " THEN 'train' ELSE 'score' END AS dataset, "
         + ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" for c in FEATURE_COLUMNS)
         + " FROM feat WHERE service_date IS NOT NULL)")
@@ -195,15 +221,13 @@ df AS (SELECT ps.feature_index, ps.feature, {S.np_round_sql('ps.psi', 6)} AS psi
 @register("psi", S.with_(*_PSI_CTES) + "SELECT feature_index, feature, psi FROM ps")
 def q_psi(spark, d):
     """K1: PSI of every feature, train (before 2000) vs score (from 2000)."""
-    tr, sc = _split_mi(spark, d)
-    return DR.psi(tr, sc)
+    return _drift(spark, d, "psi")
 
 
 @register("drift_features", S.with_(*_PSI_CTES) + "SELECT * FROM df")
 def q_drift_features(spark, d):
     """K2: per-feature drift status with summary statistics."""
-    tr, sc = _split_mi(spark, d)
-    return DR.drift_features(tr, sc)
+    return _drift(spark, d, "local")
 
 
 RUN_TS = "2024-01-01T02:00:00"
@@ -226,18 +250,20 @@ FROM rp"""
 @register("drift_report", _REPORT_SQL)
 def q_drift_report(spark, d):
     """K3: drift report row (fixed run timestamp for reproducibility)."""
-    tr, sc = _split_mi(spark, d)
-    return DR.drift_report(DR.drift_features(tr, sc), run_ts=RUN_TS)
+    return DR.drift_report(_drift(spark, d, "local"), run_ts=RUN_TS)
 
 
 @register("feature_profile", S.with_(*_PSI_CTES) + """SELECT feature, training_mean, training_std, scoring_mean,
   scoring_std FROM st""")
 def q_feature_profile(spark, d):
     """Per-feature mean / sample std for train and score."""
-    tr, sc = _split_mi(spark, d)
-    return (DR.feature_profile(tr, FEATURE_COLUMNS, "training")
-            .join(DR.feature_profile(sc, FEATURE_COLUMNS, "scoring"), on="feature")
-            .select("feature", "training_mean", "training_std", "scoring_mean", "scoring_std"))
+    _, stack = _drift_stack(spark, d)
+    try:
+        prof = DR.stacked_profile(stack, FEATURE_COLUMNS)
+        return spark.createDataFrame(prof.collect(), prof.schema).select(
+            "feature", "training_mean", "training_std", "scoring_mean", "scoring_std")
+    finally:
+        stack.unpersist()
 
 
 @register("prediction_profile", S.with_(scored=True) +
