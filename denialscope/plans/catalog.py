@@ -1,5 +1,6 @@
 """Imports every query module so their ``register`` calls run (order
-matters: composite oracles reuse the SQL of earlier registrations)."""
+matters: composite oracles reuse the SQL of earlier registrations; the
+long-running model-training queries are registered last)."""
 
 from . import q_core  # noqa: F401
 from . import q_kpis  # noqa: F401
@@ -7,6 +8,7 @@ from . import q_eval  # noqa: F401
 from . import q_explain  # noqa: F401
 from . import q_io  # noqa: F401
 from . import q_stream  # noqa: F401
-from . import q_train  # noqa: F401
 from . import q_dash  # noqa: F401
+from . import q_dims  # noqa: F401
+from . import q_train  # noqa: F401
 from .registry import ORACLE, QUERIES, oracle_sql  # noqa: F401
