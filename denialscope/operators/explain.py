@@ -100,19 +100,30 @@ def _entries(df: DataFrame, decimals: int = 6):
 def top_factors(df: DataFrame, k: int = MAX_FACTORS, threshold: float = FACTOR_THRESHOLD):
     """(risk, protective) name lists: ≤ k contributions above +threshold /
     below −threshold, by |contribution| descending, ties in feature order."""
-    ent = _entries(df)
-    keyed = F.transform(ent, lambda e: F.struct(-F.abs(e["value"]), e["idx"], e["feature"], e["value"]))
-    ordered = F.array_sort(keyed)
+    return _factor_lists(_ordered(_entries(df)), k, threshold)
+
+
+def _ordered(ent):
+    """Entries sorted by |value| descending, ties in feature order."""
+    return F.array_sort(F.transform(ent, lambda e: F.struct(-F.abs(e["value"]), e["idx"], e["feature"], e["value"])))
+
+
+def _factor_lists(ordered, k: int = MAX_FACTORS, threshold: float = FACTOR_THRESHOLD):
     risk = F.transform(F.slice(F.filter(ordered, lambda e: e["value"] > threshold), 1, k), lambda e: e["feature"])
     prot = F.transform(F.slice(F.filter(ordered, lambda e: e["value"] < -threshold), 1, k), lambda e: e["feature"])
     return risk, prot
 
 
 def explanation_records(expl: DataFrame) -> DataFrame:
-    """Base (6 dp), prediction (4 dp), contribution map (6 dp), factor lists."""
-    ent = _entries(expl)
-    risk, prot = top_factors(expl)
-    return expl.select(
+    """Base (6 dp), prediction (4 dp), contribution map (6 dp), factor lists.
+
+    The rounded entries and their sort are materialised once per row (a
+    projection below the one that reads them twice)."""
+    staged = expl.select("claim_id", "base_value", "prediction", _entries(expl).alias("__ent"))
+    staged = staged.withColumn("__ord", _ordered(F.col("__ent")))
+    risk, prot = _factor_lists(F.col("__ord"))
+    ent = F.col("__ent")
+    return staged.select(
         "claim_id",
         R.np_round(F.col("base_value"), 6).alias("base_value"),
         R.np_round(F.col("prediction"), 4).alias("prediction"),
