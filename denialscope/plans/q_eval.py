@@ -144,7 +144,10 @@ def q_cls_report(spark, d):
 def q_evaluate(spark, d):
     """M9: full evaluation record."""
     s = scored(spark, d).cache()
-    return M.evaluate(s)
+    try:
+        return M.evaluate(s)  # a local 1-row frame: the cache can go
+    finally:
+        s.unpersist()
 
 
 # ------------------------------------------------------------------- drift

@@ -12,7 +12,7 @@ from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import scoring as SC
 from ..operators import training as TR
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import files
 from ..sources.fixtures import claims
 from . import sqlparts as S
@@ -22,8 +22,10 @@ from .weekly import weekly_retrain
 
 
 def _mi(spark, d):
+    """Model input written once to the shared checkpoint folder: every fit
+    re-reads it, and no executor memory stays pinned after the query."""
     mi = FE.model_input(FE.features_wide(claims(spark, d)), keep=("claim_id", "is_denied", "service_date"))
-    return mi.cache()
+    return cut_lineage(mi)
 
 
 @register("class_weights", "WITH " + S.claims_cte() + """, cc AS (
@@ -96,7 +98,7 @@ def q_rank_importance(spark, d):
 
 
 def _cv(spark, d, names):
-    mi = TR.stratified_folds(_mi(spark, d)).cache()
+    mi = cut_lineage(TR.stratified_folds(_mi(spark, d)))
     rows = []
     for n in names:
         rows.extend(TR.cross_validate(mi, TR.MODEL_CONFIGS[n], n))

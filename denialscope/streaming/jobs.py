@@ -97,11 +97,14 @@ def score_microbatch(batch: DataFrame, batch_id: int, rates: DataFrame, out: str
 def stream_score(spark: SparkSession, source: str, out: str, history: DataFrame,
                  checkpoint: str, max_files: int = 1):
     """Score a claim stream until the available files are consumed."""
-    rates = H.history_rates(history).cache()
-    q = (claim_stream(spark, source, max_files).writeStream
-         .foreachBatch(lambda df, bid: score_microbatch(df, bid, rates, out))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    _run(q)
+    rates = H.history_rates(history).cache()  # static side, reused by every micro-batch
+    try:
+        q = (claim_stream(spark, source, max_files).writeStream
+             .foreachBatch(lambda df, bid: score_microbatch(df, bid, rates, out))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        _run(q)
+    finally:
+        rates.unpersist()
     return spark.read.parquet(os.path.join(out, "predictions"))
 
 

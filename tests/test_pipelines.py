@@ -106,6 +106,21 @@ def test_folds_balanced_and_gate(spark, small_claims):
     assert TR.deploy_decision(0.6, None)["production_auc"] == 0.0
 
 
+def test_train_all_models_loop(spark, small_claims):
+    # the selection loop with two small candidate configurations (test-sized)
+    mi = model_input(features_wide(small_claims), keep=("claim_id", "is_denied"))
+    configs = {"LogisticRegression": TR.MODEL_CONFIGS["LogisticRegression"],
+               "SmallForest": {"kind": "rf", "numTrees": 5, "maxDepth": 3, "minInstancesPerNode": 10,
+                               "weights": "balanced"}}
+    out = TR.train_all_models(mi, configs=configs, save_path=tempfile.mkdtemp(prefix="best-") + "/m")
+    assert out["metrics"].count() == 2 * 5 * 5
+    assert out["best_model"] in configs
+    comp = TR.model_comparison(out["metrics"], out["timing"]).collect()
+    assert len(comp) == 2
+    best = TR.best_model(out["metrics"], list(configs)).first()["model"]
+    assert best == out["best_model"]
+
+
 def test_lr_fit_and_roundtrip(spark, small_claims):
     from pyspark.ml import PipelineModel
     mi = model_input(features_wide(small_claims), keep=("claim_id", "is_denied"))
