@@ -82,6 +82,21 @@ def test_stream_ingest_equals_batch(spark, small_claims):
     assert out.count() == small_claims.select("claim_id").distinct().count()
 
 
+def test_stream_score_equals_batch(spark, small_claims):
+    from denialscope.operators import scoring as SC
+    from denialscope.operators import validate as VA
+    base = tempfile.mkdtemp(prefix="xscore-")
+    J.stage_claim_files(small_claims, f"{base}/src", 3)
+    out = J.stream_score(spark, f"{base}/src", f"{base}/out", history=small_claims, checkpoint=f"{base}/ck")
+    valid, quarantine = VA.split_claims(small_claims)
+    batch = SC.predict_claims(features_wide(valid, provider_history=small_claims, policy="serve"))
+    cols = ["claim_id", "denial_probability", "predicted_denied", "estimated_reimbursement", "confidence"]
+    assert out.select(*cols).exceptAll(batch.select(*cols)).count() == 0
+    assert out.count() == batch.count()
+    q = spark.read.parquet(f"{base}/out/quarantine")
+    assert q.count() == quarantine.count() > 0
+
+
 def test_generator_moments(spark):
     g = gen_claims(spark, 20000).cache()
     r = g.agg(F.avg("is_denied").alias("rate"), F.avg((F.col("claim_type") == "medical").cast("double")).alias("med"),
