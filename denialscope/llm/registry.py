@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import documents
+from .simhash import hex_fingerprint, simhash_components
 from .token_counts import token_counts
 
 QUERIES: dict = {}
@@ -21,3 +22,10 @@ def query(fn):
 def op4_token_counts(spark, sf_dir):
     """Tokens of every document; over_limit: more than 4096 of them."""
     return token_counts(documents(spark, sf_dir)).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query
+def op3_simhash_components(spark, sf_dir):
+    """SimHash classes of all documents: 3-word shingles, at most 3 bits."""
+    got = simhash_components(documents(spark, sf_dir))
+    return got.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
