@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .common import documents
 from .simhash import hex_fingerprint, simhash_components
 from .token_counts import token_counts
+from .weak_quality import weak_quality
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +30,11 @@ def op3_simhash_components(spark, sf_dir):
     """SimHash classes of all documents: 3-word shingles, at most 3 bits."""
     got = simhash_components(documents(spark, sf_dir))
     return got.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op10_weak_quality(spark, sf_dir):
+    """Quality rules over all documents, combined by weak supervision."""
+    got = weak_quality(documents(spark, sf_dir).select("doc_id", "text"))
+    q = F.col("_quality")
+    return got.select("doc_id", *[q[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")])
