@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, id_remainder
+from .language_id import predict_language, train_language_id
+from .line_crf import line_quality, train_line_crf
 from .simhash import hex_fingerprint, simhash_components
 from .token_counts import token_counts
 from .weak_quality import weak_quality
@@ -12,6 +14,7 @@ from .weak_quality import weak_quality
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 TOKEN_LIMIT = 4096
+QUALITY_CUT = 0.3
 
 
 def query(fn):
@@ -38,3 +41,24 @@ def op10_weak_quality(spark, sf_dir):
     got = weak_quality(documents(spark, sf_dir).select("doc_id", "text"))
     q = F.col("_quality")
     return got.select("doc_id", *[q[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")])
+
+
+@query
+def op6_language_id(spark, sf_dir):
+    """Language of every document, learned where crc32(doc_id) mod 4 is not 2."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held = id_remainder(F.col("doc_id"), 4) == 2
+    model = train_language_id(docs.where(~held))
+    got = predict_language(docs.select("doc_id", "text"), model)
+    return got.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_line_crf(spark, sf_dir):
+    """Quality of every document, learned where crc32(doc_id) mod 5 is not 0."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held = id_remainder(F.col("doc_id"), 5) == 0
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    model = train_line_crf(docs, labels.where(~held))
+    got = line_quality(docs, model)
+    return got.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
