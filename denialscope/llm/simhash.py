@@ -336,7 +336,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     low = nodes.join(label, F.col("fp") == F.col("node")).select("fp", "root", "low")
     best = low.groupBy("root").agg(F.min("low").alias("best"))
     linked = low.select("fp", "root").join(best, "root").select("fp", "best")
-    ids = nodes.join(linked, "fp", "left").select("fp", F.coalesce("best", "low").alias("component_id"))
+    ids = written(nodes.join(linked, "fp", "left").select("fp", F.coalesce("best", "low").alias("component_id")), "simhash-ids")
     return rows.join(ids, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
