@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .common import documents, id_remainder
 from .language_id import predict_language, train_language_id
 from .line_crf import line_quality, train_line_crf
+from .sharding import assign_shards
 from .simhash import hex_fingerprint, simhash_components
 from .token_counts import token_counts
 from .weak_quality import weak_quality
@@ -62,3 +63,13 @@ def op8_line_crf(spark, sf_dir):
     model = train_line_crf(docs, labels.where(~held))
     got = line_quality(docs, model)
     return got.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
+
+
+@query
+def op1_sampled_shards(spark, sf_dir):
+    """All documents in 40 shards of nearly equal bytes; equal texts adjoin."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    records = documents(spark, sf_dir).select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("key"))
+    got = assign_shards(records, "key", "doc_id", "size")
+    return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
