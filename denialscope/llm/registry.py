@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import documents, id_remainder
+from .decontaminate import contaminated
 from .language_id import predict_language, train_language_id
 from .line_crf import line_quality, train_line_crf
+from .packing import pack_documents
 from .sharding import assign_shards
 from .simhash import hex_fingerprint, simhash_components
 from .token_counts import token_counts
@@ -73,3 +75,15 @@ def op1_sampled_shards(spark, sf_dir):
         "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("key"))
     got = assign_shards(records, "key", "doc_id", "size")
     return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op5_decontaminate(spark, sf_dir):
+    """Documents that contain a benchmark item, exact or edited."""
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op7_packed_rows(spark, sf_dir):
+    """All documents as packed rows of 2,048 token ids."""
+    return pack_documents(documents(spark, sf_dir))
