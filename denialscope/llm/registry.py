@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .common import documents, id_remainder
 from .decontaminate import contaminated
 from .language_id import predict_language, train_language_id
+from .lattice_lm import lattice_scores
 from .line_crf import line_quality, train_line_crf
 from .packing import pack_documents
 from .sharding import assign_shards
@@ -87,3 +88,12 @@ def op5_decontaminate(spark, sf_dir):
 def op7_packed_rows(spark, sf_dir):
     """All documents as packed rows of 2,048 token ids."""
     return pack_documents(documents(spark, sf_dir))
+
+
+@query
+def op2_subword_lattice(spark, sf_dir):
+    """Log10 probability of every document, learned where crc32(doc_id) mod 7
+    is not 2."""
+    held = id_remainder(F.col("doc_id"), 7) == 2
+    got = lattice_scores(documents(spark, sf_dir), ~held)
+    return got.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
