@@ -10,6 +10,7 @@ from .language_id import predict_language, train_language_id
 from .lattice_lm import lattice_scores
 from .line_crf import line_quality, train_line_crf
 from .packing import pack_documents
+from .piece_lattice import encode_documents
 from .sharding import assign_shards
 from .simhash import hex_fingerprint, simhash_components
 from .token_counts import token_counts
@@ -97,3 +98,9 @@ def op2_subword_lattice(spark, sf_dir):
     held = id_remainder(F.col("doc_id"), 7) == 2
     got = lattice_scores(documents(spark, sf_dir), ~held)
     return got.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op9_piece_lattice(spark, sf_dir):
+    """Piece ids of all documents and whether they decode to the text."""
+    return encode_documents(documents(spark, sf_dir))
