@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from .common import documents, id_remainder
@@ -104,3 +105,8 @@ def op2_subword_lattice(spark, sf_dir):
 def op9_piece_lattice(spark, sf_dir):
     """Piece ids of all documents and whether they decode to the text."""
     return encode_documents(documents(spark, sf_dir))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -36,7 +36,7 @@ MAX_ROUNDS = 30
 
 
 def _key(k, i, u):
-    return F.struct(k.cast("long").alias("k"), i.cast("long").alias("i"), u.cast("long").alias("u"))
+    return F.struct(k.cast("long").alias("sh__k"), i.cast("long").alias("sh__i"), u.cast("long").alias("sh__u"))
 
 
 def _range_of(key, splitters):
@@ -60,9 +60,9 @@ def _range_of(key, splitters):
 
 def _draw(records: DataFrame, weight, wanted: float, total: float, seed: int) -> list[tuple]:
     """Sorted keys, each record drawn with probability weight * wanted / total."""
-    chance = F.pmod(F.xxhash64("u", "k", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    got = records.where(chance < weight * (wanted / total)).select("k", "i", "u").collect()
-    return sorted((r.k, r.i, r.u) for r in got)
+    chance = F.pmod(F.xxhash64("sh__u", "sh__k", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    got = records.where(chance < weight * (wanted / total)).select("sh__k", "sh__i", "sh__u").collect()
+    return sorted((r.sh__k, r.sh__i, r.sh__u) for r in got)
 
 
 def assign_shards(records: DataFrame, key: str, id_col: str, size: str, shards: int = SHARDS, pieces: int = PIECES) -> DataFrame:
@@ -71,38 +71,39 @@ def assign_shards(records: DataFrame, key: str, id_col: str, size: str, shards:
     ``size``; rows of one ``key`` (a long) are neighbours wherever they fit.
 
     Null keys, ids and sizes count as 0. Repeated rows are placed one by one.
-    An empty table gives an empty result.
+    An empty table gives an empty result. Input columns named ``shard`` or
+    ``slot`` are replaced.
     """
-    held = [F.col(f"`{c}`") for c in records.columns]
-    base = written(records.select(*held, F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("k"),
-                                  F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("i"), F.monotonically_increasing_id().alias("u"),
-                                  F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)).alias("s")), "shard-input")
-    total, rows = base.agg(F.sum("s"), F.count("s")).first()
+    held = [F.col(f"`{c}`") for c in records.columns if c.lower() not in ("shard", "slot")]
+    base = written(records.select(*held, F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("sh__k"),
+                                  F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("sh__i"), F.monotonically_increasing_id().alias("sh__u"),
+                                  F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)).alias("sh__s")), "shard-input")
+    total, rows = base.agg(F.sum("sh__s"), F.count("sh__s")).first()
     if not rows:
         return base.select(*held, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     n = shards * pieces
     # a row weighs its bytes plus an even share, so that ranges are bounded in both
     share = max(total, 1) / rows
-    weight, whole = F.col("s") + share, total + share * rows
+    weight, whole = F.col("sh__s") + share, total + share * rows
     limit = whole / n
-    heavy = F.col("s") > total / n / 2
+    heavy = F.col("sh__s") > total / n / 2
     light = base.where(~heavy)
     # records above half a piece: at most 2 n of them
-    alone = sorted((r.k, r.i, r.u, r.s) for r in base.where(heavy).select("k", "i", "u", "s").collect())
+    alone = sorted((r.sh__k, r.sh__i, r.sh__u, r.sh__s) for r in base.where(heavy).select("sh__k", "sh__i", "sh__u", "sh__s").collect())
     splitters = _draw(light, weight, n * OVERSAMPLE, whole, 0)[::OVERSAMPLE]
-    key_of = _key(F.col("k"), F.col("i"), F.col("u"))
+    key_of = _key(F.col("sh__k"), F.col("sh__i"), F.col("sh__u"))
     for seed in range(1, MAX_ROUNDS):
-        ranged = light.select("k", "i", "u", "s", _range_of(key_of, splitters).alias("r"))
-        stats = ranged.groupBy("r").agg(F.sum("s").alias("bytes"), F.count("s").alias("n")).collect()
-        weight_of = {x.r: x.bytes + x.n * share for x in stats}
+        ranged = light.select("sh__k", "sh__i", "sh__u", "sh__s", _range_of(key_of, splitters).alias("sh__r"))
+        stats = ranged.groupBy("sh__r").agg(F.sum("sh__s").alias("bytes"), F.count("sh__s").alias("n")).collect()
+        weight_of = {x.sh__r: x.bytes + x.n * share for x in stats}
         full = {r: w for r, w in weight_of.items() if w > limit}
-        if not full or all(x.n == 1 for x in stats if x.r in full):
+        if not full or all(x.n == 1 for x in stats if x.sh__r in full):
             break
-        over = ranged.where(F.col("r").isin(list(full)))
+        over = ranged.where(F.col("sh__r").isin(list(full)))
         more = _draw(over, weight, OVERSAMPLE * sum(full.values()) / limit * 2, sum(full.values()), seed)
         splitters = sorted({*splitters, *more[::OVERSAMPLE // 2]})
     # largest first to the emptiest shard; its pieces then lie in key order
-    todo = [(x.bytes, x.n, (0, x.r)) for x in stats] + [(s, 1, (1, k, i, u)) for k, i, u, s in alone]
+    todo = [(x.bytes, x.n, (0, x.sh__r)) for x in stats] + [(s, 1, (1, k, i, u)) for k, i, u, s in alone]
     heap = [(0, 0, s) for s in range(shards)]
     placed = []
     for size_, count, name in sorted(todo, key=lambda x: (-x[0], -x[1], x[2])):
@@ -118,19 +119,19 @@ def assign_shards(records: DataFrame, key: str, id_col: str, size: str, shards:
         out.append((name[0], name[1], name[2] if name[0] else None, name[3] if name[0] else None, s, before))
         before += count
     # one row a piece, of which there are a fixed multiple of the shards
-    table = spark.createDataFrame(out, "kind int, a long, b long, c long, shard int, first long")
-    ranges = F.broadcast(table.where("kind = 0").select(F.col("a").cast("int").alias("r"), "shard", "first"))
-    lone = F.broadcast(table.where("kind = 1").select(F.col("a").alias("k"), F.col("b").alias("i"), F.col("c").alias("u"), "shard", "first"))
+    table = spark.createDataFrame(out, "kind int, a long, b long, c long, shard int, sh__first long")
+    ranges = F.broadcast(table.where("kind = 0").select(F.col("a").cast("int").alias("sh__r"), "shard", "sh__first"))
+    lone = F.broadcast(table.where("kind = 1").select(F.col("a").alias("sh__k"), F.col("b").alias("sh__i"), F.col("c").alias("sh__u"), "shard", "sh__first"))
     parts = max(1, math.ceil(max((x.n for x in stats), default=1) / PART_ROWS))
-    spot = light.select(*held, "k", "i", "u", _range_of(key_of, splitters).alias("r"),
-                        F.pmod(F.xxhash64("u", F.lit("part")), F.lit(parts)).cast("int").alias("p"))
-    counts = spot.groupBy("r", "p").agg(F.count(F.lit(1)).alias("n"))
-    ahead = Window.partitionBy("r").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("r", "p", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
-    rank = F.row_number().over(Window.partitionBy("r", "p").orderBy("k", "i", "u"))
-    many = (spot.withColumn("at", rank).join(counts, ["r", "p"]).join(ranges, "r")
-            .select(*held, "shard", (F.col("first") + F.col("ahead") + F.col("at") - 1).alias("slot")))
-    single = base.where(heavy).join(lone, ["k", "i", "u"]).select(*held, "shard", F.col("first").alias("slot"))
+    spot = light.select(*held, "sh__k", "sh__i", "sh__u", _range_of(key_of, splitters).alias("sh__r"),
+                        F.pmod(F.xxhash64("sh__u", F.lit("part")), F.lit(parts)).cast("int").alias("sh__p"))
+    counts = spot.groupBy("sh__r", "sh__p").agg(F.count(F.lit(1)).alias("n"))
+    ahead = Window.partitionBy("sh__r").orderBy("sh__p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("sh__r", "sh__p", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("sh__ahead"))
+    rank = F.row_number().over(Window.partitionBy("sh__r", "sh__p").orderBy("sh__k", "sh__i", "sh__u"))
+    many = (spot.withColumn("sh__at", rank).join(counts, ["sh__r", "sh__p"]).join(ranges, "sh__r")
+            .select(*held, "shard", (F.col("sh__first") + F.col("sh__ahead") + F.col("sh__at") - 1).alias("slot")))
+    single = base.where(heavy).join(lone, ["sh__k", "sh__i", "sh__u"]).select(*held, "shard", F.col("sh__first").alias("slot"))
     return many.unionByName(single)
 
 

@@ -35,39 +35,39 @@ ROUNDS, TOLERANCE = 200, 1e-9
 
 
 def word_features(df: DataFrame, text_col: str) -> DataFrame:
-    """``df`` with a struct ``_f`` of counts over the whole text."""
+    """``df`` with a struct ``wq__f`` of counts over the whole text."""
     keep = [F.col(f"`{c}`") for c in df.columns]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    df = df.select(*keep, F.filter(F.split(text, SPACE), lambda w: w != "").alias("_w"))
-    df = df.select(*keep, F.size(F.filter("_w", lambda w: w.rlike("[#*$%&|<>]"))).alias("_s"), F.transform("_w", lambda w: F.xxhash64(w)).alias("_w"))
-    keep.append(F.col("_s"))
-    n = F.size("_w")
-    window = F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[F.get(F.col("_w"), i + k) for k in range(WINDOW)]))
-    df = df.select(*keep, n.alias("_n"), F.size(F.array_distinct("_w")).alias("_d"), F.when(n >= WINDOW, window).alias("_g"))
+    df = df.select(*keep, F.filter(F.split(text, SPACE), lambda w: w != "").alias("wq__w"))
+    df = df.select(*keep, F.size(F.filter("wq__w", lambda w: w.rlike("[#*$%&|<>]"))).alias("wq__s"), F.transform("wq__w", lambda w: F.xxhash64(w)).alias("wq__w"))
+    keep.append(F.col("wq__s"))
+    n = F.size("wq__w")
+    window = F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[F.get(F.col("wq__w"), i + k) for k in range(WINDOW)]))
+    df = df.select(*keep, n.alias("wq__n"), F.size(F.array_distinct("wq__w")).alias("wq__d"), F.when(n >= WINDOW, window).alias("wq__g"))
     # only texts with some window twice are sorted
-    twice = F.size(F.array_distinct("_g")) < F.size("_g")
-    df = df.select(*keep, "_n", "_d", F.when(twice, F.sort_array(F.transform("_g", lambda h, i: F.struct(h.alias("h"), i.alias("p"))))).alias("_g"))
-    here, at = F.col("_g"), lambda i: F.get(F.col("_g"), i)["h"]
+    twice = F.size(F.array_distinct("wq__g")) < F.size("wq__g")
+    df = df.select(*keep, "wq__n", "wq__d", F.when(twice, F.sort_array(F.transform("wq__g", lambda h, i: F.struct(h.alias("h"), i.alias("p"))))).alias("wq__g"))
+    here, at = F.col("wq__g"), lambda i: F.get(F.col("wq__g"), i)["h"]
     same = F.filter(here, lambda x, i: ((i > 0) & (at(i - 1) == x["h"])) | F.coalesce(at(i + 1) == x["h"], F.lit(False)))
-    df = df.select(*keep, "_n", "_d", F.sort_array(F.transform(same, lambda x: x["p"])).alias("_g"))
+    df = df.select(*keep, "wq__n", "wq__d", F.sort_array(F.transform(same, lambda x: x["p"])).alias("wq__g"))
     start = F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last"))
-    covered = F.aggregate("_g", start, lambda a, p: F.struct((a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n"), p.alias("last")), lambda a: a["n"])
+    covered = F.aggregate("wq__g", start, lambda a, p: F.struct((a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n"), p.alias("last")), lambda a: a["n"])
     long = lambda c: c.cast("long")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    df = df.select(*keep, "_n", "_d", F.coalesce(covered, F.lit(0)).alias("_r"), lines.alias("_l"))
+    df = df.select(*keep, "wq__n", "wq__d", F.coalesce(covered, F.lit(0)).alias("wq__r"), lines.alias("wq__l"))
     gone = lambda chars: F.length(text) - F.length(F.translate(text, chars, ""))
     return df.select(*keep[:-1], F.struct(
-        long(F.col("_n")).alias("n_words"),
+        long(F.col("wq__n")).alias("n_words"),
         long(F.length(F.translate(text, " \t\n\x0b\x0c\r", ""))).alias("word_chars"),
         long(gone(SYMBOLS)).alias("n_symbols"),
-        long(F.size("_l") - F.size(F.array_distinct("_l"))).alias("n_dup_lines"),
-        long(F.col("_r")).alias("n_repeat_words"),
-        long(F.col("_d")).alias("n_distinct"),
-        long(F.col("_s")).alias("n_symbol_words"),
-        long(F.size("_l")).alias("n_lines"),
-        long(F.size(F.filter("_l", lambda x: x.rlike("[.!?…:;\"”»)\\]。！？]\\s*$")))).alias("n_ended"),
+        long(F.size("wq__l") - F.size(F.array_distinct("wq__l"))).alias("n_dup_lines"),
+        long(F.col("wq__r")).alias("n_repeat_words"),
+        long(F.col("wq__d")).alias("n_distinct"),
+        long(F.col("wq__s")).alias("n_symbol_words"),
+        long(F.size("wq__l")).alias("n_lines"),
+        long(F.size(F.filter("wq__l", lambda x: x.rlike("[.!?…:;\"”»)\\]。！？]\\s*$")))).alias("n_ended"),
         long(F.length(text) - F.length(F.regexp_replace(text, "\\p{Lu}+", ""))).alias("n_upper"),
-        long(gone("!")).alias("n_exclaims")).alias("_f"))
+        long(gone("!")).alias("n_exclaims")).alias("wq__f"))
 
 
 def rule_votes(f: Column) -> list[Column]:
@@ -120,24 +120,24 @@ def estimate(patterns: dict[tuple, int]) -> tuple[float, list[dict]]:
     return prior, odds()
 
 
-def weak_quality(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows and columns of ``docs`` plus a struct ``_quality``: the counts,
+def weak_quality(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, columns: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` with ``columns`` (all, unless given) plus a struct ``_quality``: the counts,
     ``votes``, ``posterior`` (probability that the document is good),
     ``base_failed`` and ``kept``."""
-    f = F.col("_f")
+    f = F.col("wq__f")
     featured = word_features(docs, text_col)
-    keep = [F.col(f"`{c}`") for c in docs.columns]
-    table = written(featured.select(*keep, "_f", F.array(*[v.cast("tinyint") for v in rule_votes(f)]).alias("_v")), "weak-quality")
+    keep = [F.col(f"`{c}`") for c in (docs.columns if columns is None else columns)]
+    table = written(featured.select(*keep, "wq__f", F.array(*[v.cast("tinyint") for v in rule_votes(f)]).alias("wq__v")), "weak-quality")
     n = f["n_words"]
     failed = (n < MIN_WORDS) | (100 * f["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
     # what the base check rejects is settled; the rules are estimated on the rest
-    counted = table.where(~failed).groupBy("_v").count().collect()  # at most 3 ** len(RULES) rows
-    prior, odds = estimate({tuple(r["_v"]): r["count"] for r in counted})
+    counted = table.where(~failed).groupBy("wq__v").count().collect()  # at most 3 ** len(RULES) rows
+    prior, odds = estimate({tuple(r["wq__v"]): r["count"] for r in counted})
     score = F.lit(math.log(prior / (1 - prior)))
     for j, o in enumerate(odds):
-        v = F.get(F.col("_v"), F.lit(j))
+        v = F.get(F.col("wq__v"), F.lit(j))
         score = score + F.when(v == -1, o[-1]).when(v == 1, o[1]).otherwise(o[0])
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    judged = table.select(*keep, "_f", "_v", (1 / (1 + F.exp(-score))).alias("_p"), failed.alias("_b"))
-    return judged.select(*keep, F.struct(*[f[x].alias(x) for x in names], F.col("_v").alias("votes"), F.col("_p").alias("posterior"),
-                                         F.col("_b").alias("base_failed"), (~F.col("_b") & (F.col("_p") >= threshold)).alias("kept")).alias("_quality"))
+    judged = table.select(*keep, "wq__f", "wq__v", (1 / (1 + F.exp(-score))).alias("wq__p"), failed.alias("wq__b"))
+    return judged.select(*keep, F.struct(*[f[x].alias(x) for x in names], F.col("wq__v").alias("votes"), F.col("wq__p").alias("posterior"),
+                                         F.col("wq__b").alias("base_failed"), (~F.col("wq__b") & (F.col("wq__p") >= threshold)).alias("kept")).alias("_quality"))

@@ -32,8 +32,7 @@ def test_even_bytes_with_hot_key(spark, seed):
 
 def test_parts_number_without_gaps(spark, monkeypatch):
     monkeypatch.setattr(S, "PART_ROWS", 20)
-    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(5).alias("key"), F.lit(16).alias("size"), F.lit(3).alias("k"))
-    df = df.drop("k").withColumn("extra", F.lit("x"))
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(5).alias("key"), F.lit(16).alias("size"), F.lit(3).alias("k"), F.lit("x").alias("shard"), F.lit(0).alias("n"))
     check(S.assign_shards(df, "key", "doc_id", "size", shards=4).collect(), 4, 3000, 0.02)
 
 
