@@ -1,19 +1,19 @@
 """Feature drift (PSI) and prediction-shift monitoring.
 
-Both datasets are unpivoted into one long (dataset, feature, value) stream;
-pass 1 aggregates joint min/max per feature, pass 2 counts values per
-(feature, dataset, bin) with bins found by comparing against the ten
-linspace edges (a 23-row broadcast). Groups are few (features × 2 × 10) and
+Both datasets are stacked and written once; pass 1 is one wide aggregate
+(joint min/max, and mean and deviation per dataset, of every feature), pass 2
+counts values per (feature, dataset, bin), with bins found by comparing against
+the ten linspace edges. Groups are few (features × 2 × 10) and
 fully combined map-side, so skew in any feature costs nothing extra.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import np_round
+from ..session import cut_lineage
 from ..sources.schema import FEATURE_COLUMNS
 
 # FIXED VALUES — PSI thresholds, bin count, smoothing, recommendation texts.
@@ -31,19 +31,29 @@ HISTORICAL_STD = 0.05
 
 
 def stacked(train: DataFrame, score: DataFrame, features: list[str]) -> DataFrame:
-    """(dataset, feature columns as DOUBLE) for both frames, persisted: the
-    min/max pass, the bin-count pass and the profile pass all read it, so
-    the upstream feature pipeline runs once (recomputed from lineage if an
-    executor holding cached blocks is lost)."""
+    """(dataset, feature columns as DOUBLE) for both frames, checkpointed to
+    the shared folder: both passes read it, so the upstream feature pipeline
+    runs once and no executor memory stays pinned."""
     def one(df, tag):
         return df.select(F.lit(tag).alias("dataset"), *[F.col(c).cast("double").alias(c) for c in features])
-    return one(train, "train").unionByName(one(score, "score")).persist(StorageLevel.MEMORY_AND_DISK)
+    return cut_lineage(one(train, "train").unionByName(one(score, "score")))
 
 
-def long_values(stack: DataFrame, features: list[str]) -> DataFrame:
-    """(dataset, feature, value); null/NaN values removed."""
-    v = F.col("value")
-    return stack.unpivot(["dataset"], features, "feature", "value").where(v.isNotNull() & ~F.isnan(v))
+def wide_stats(stack: DataFrame, features: list[str]) -> dict:
+    """A16 and the ranges in one pass: feature → lo, hi over both datasets,
+    mean and sample deviation of each (bounded scalars)."""
+    aggs = []
+    for i, c in enumerate(features):
+        v = F.nanvl(F.col(c), F.lit(None).cast("double"))
+        aggs += [F.min(v).alias(f"lo_{i}"), F.max(v).alias(f"hi_{i}")]
+        for tag, side in (("training", "train"), ("scoring", "score")):
+            own = F.when(F.col("dataset") == side, F.col(c))
+            aggs += [F.avg(own).alias(f"{tag}_mean_{i}"), F.stddev_samp(own).alias(f"{tag}_std_{i}")]
+    row = stack.agg(*aggs).first()
+    return {c: {k: row[f"{k}_{i}"] for k in ("lo", "hi", *PROFILE)} for i, c in enumerate(features)}
+
+
+PROFILE = ("training_mean", "training_std", "scoring_mean", "scoring_std")
 
 
 def present(train: DataFrame, score: DataFrame, features: list[str]) -> list[str]:
@@ -52,25 +62,22 @@ def present(train: DataFrame, score: DataFrame, features: list[str]) -> list[str
 
 
 def psi(train: DataFrame, score: DataFrame, features: list[str] = FEATURE_COLUMNS,
-        n_bins: int = N_BINS, stack: DataFrame | None = None) -> DataFrame:
+        n_bins: int = N_BINS, stack: DataFrame | None = None, stats: dict | None = None) -> DataFrame:
     """K1: per feature PSI over ``n_bins`` equal-width bins on the joint range.
 
     Outer edges are ±inf, ε = 1e-6 per bin; 0 if a side is empty or min = max.
     """
     feats = present(train, score, features)
-    own_stack = stack is None
     stack = stack if stack is not None else stacked(train, score, feats)
     spark = stack.sparkSession
 
     def clean(c):
         return F.nanvl(F.col(c), F.lit(None).cast("double"))
 
-    # Pass 1: joint min/max of every feature in one wide aggregate (2 × #features
-    # bounded scalars reach the driver). Edges are i·step + lo, as linspace.
-    row = stack.agg(*[F.min(clean(c)).alias(f"lo_{i}") for i, c in enumerate(feats)],
-                    *[F.max(clean(c)).alias(f"hi_{i}") for i, c in enumerate(feats)]).first()
-    lo = {c: row[f"lo_{i}"] for i, c in enumerate(feats)}
-    hi = {c: row[f"hi_{i}"] for i, c in enumerate(feats)}
+    # Pass 1. Edges are i·step + lo, as linspace.
+    stats = stats or wide_stats(stack, feats)
+    lo = {c: stats[c]["lo"] for c in feats}
+    hi = {c: stats[c]["hi"] for c in feats}
     edges = {c: ([] if lo[c] is None else [float(i) * ((hi[c] - lo[c]) / float(n_bins)) + lo[c]
                                            for i in range(1, n_bins)]) for c in feats}
 
@@ -99,8 +106,6 @@ def psi(train: DataFrame, score: DataFrame, features: list[str] = FEATURE_COLUMN
     counts = (stack.select(F.posexplode(codes).alias("fi", "code")).where(F.col("code").isNotNull())
               .groupBy("fi", "code").agg(F.count(F.lit(1)).alias("n"))).collect()
     cell = {(r["fi"], r["code"]): r["n"] for r in counts}
-    if own_stack:
-        stack.unpersist()
     # Complete grid (every feature × bin, zero-filled) as a bounded local frame;
     # the PSI formula itself stays a Spark expression.
     grid = [(i, c, b, int(cell.get((i, b), 0)), int(cell.get((i, b + n_bins), 0)))
@@ -124,39 +129,24 @@ def psi_status(p):
     return F.when(p >= PSI_CRITICAL, "critical").when(p >= PSI_WARNING, "warning").otherwise("stable")
 
 
-def feature_profile(df: DataFrame, features: list[str], tag: str) -> DataFrame:
-    """Per feature mean and sample std (null for one row)."""
-    feats = [c for c in features if c in df.columns]
-    lv = df.select(*[F.col(c).cast("double").alias(c) for c in feats]).unpivot([], feats, "feature", "value")
-    return lv.groupBy("feature").agg(F.avg("value").alias(f"{tag}_mean"),
-                                     F.stddev_samp("value").alias(f"{tag}_std"))
-
-
-def stacked_profile(stack: DataFrame, features: list[str]) -> DataFrame:
-    """A16 for both datasets in one pass over the stacked input."""
-    lv = stack.unpivot(["dataset"], features, "feature", "value")
-    tr = F.when(F.col("dataset") == "train", F.col("value"))
-    sc = F.when(F.col("dataset") == "score", F.col("value"))
-    return lv.groupBy("feature").agg(F.avg(tr).alias("training_mean"), F.stddev_samp(tr).alias("training_std"),
-                                     F.avg(sc).alias("scoring_mean"), F.stddev_samp(sc).alias("scoring_std"))
+def stacked_profile(stack: DataFrame, features: list[str], stats: dict | None = None) -> DataFrame:
+    """A16 for both datasets, one row per feature."""
+    stats = stats or wide_stats(stack, features)
+    rows = [(c, *[stats[c][k] for k in PROFILE]) for c in features]
+    return stack.sparkSession.createDataFrame(rows, "feature STRING, " + ", ".join(f"{k} DOUBLE" for k in PROFILE))
 
 
 def drift_features(train: DataFrame, score: DataFrame, features: list[str] = FEATURE_COLUMNS,
                    stack: DataFrame | None = None) -> DataFrame:
     """K2: feature, PSI (6 dp), status, train/score mean and std (4 dp).
 
-    ``stack`` may be given pre-built (dataset + feature columns, persisted);
-    otherwise it is built from the two frames and released at the end."""
+    ``stack`` may be given pre-built (dataset + feature columns, written)."""
     feats = present(train, score, features)
-    own_stack = stack is None
     stack = stack if stack is not None else stacked(train, score, feats)
-    p = psi(train, score, feats, stack=stack)
-    # one row per feature: bring the profile to a local frame and release the
-    # cached input, so nothing stays pinned after the report is built
-    prof = stacked_profile(stack, feats)
-    stats = stack.sparkSession.createDataFrame(prof.collect(), prof.schema)
-    if own_stack:
-        stack.unpersist()
+    wide = wide_stats(stack, feats)
+    p = psi(train, score, feats, stack=stack, stats=wide)
+    # one row per feature
+    stats = stacked_profile(stack, feats, wide)
     j = p.join(F.broadcast(stats), on="feature", how="left")
     return j.select("feature_index", "feature", np_round(F.col("psi"), 6).alias("psi"),
                     psi_status(F.col("psi")).alias("status"),

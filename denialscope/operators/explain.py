@@ -4,8 +4,6 @@
   scorecard: each term minus its dataset mean (the interventional SHAP value
   of an additive model); the clip to [0.02, 0.95] is a separate residual.
 * ``explain_linear`` (E1) — βᵢ(xᵢ − x̄ᵢ) for a linear model, base β·x̄ + b.
-* ``explain_tree`` (E3) — path-dependent TreeSHAP for Spark tree ensembles
-  (see ``operators.treeshap``).
 
 Dataset means are one aggregate (23 values) attached as literals, so a
 contribution is a plain projection; records (E4/E5), factor lists (T3),
@@ -45,11 +43,12 @@ def _contrib_cols(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith(C)]
 
 
-def explain_rules(features: DataFrame, background: DataFrame | None = None) -> DataFrame:
+def explain_rules(features: DataFrame, background: DataFrame | None = None, values: bool = False) -> DataFrame:
     """claim_id, base_value, prediction, raw_score, clip_residual and one
     ``c_<feature>`` contribution column per model feature.
 
     ``background`` (default: ``features`` itself) supplies the term means.
+    ``values`` adds the map ``feature_values`` (E5).
     """
     terms = R.rule_terms()
     bg = background if background is not None else features
@@ -69,7 +68,13 @@ def explain_rules(features: DataFrame, background: DataFrame | None = None) -> D
         pred.alias("prediction"),
         raw.alias("raw_score"),
         (pred - raw).alias("clip_residual"),
-        *[contrib[f].alias(C + f) for f in FEATURE_COLUMNS])
+        *[contrib[f].alias(C + f) for f in FEATURE_COLUMNS],
+        *([feature_values().alias("feature_values")] if values else []))
+
+
+def feature_values():
+    """Map of the model features' values."""
+    return F.map_from_arrays(F.array(*[F.lit(f) for f in FEATURE_COLUMNS]), F.array(*[F.col(f).cast("double") for f in FEATURE_COLUMNS]))
 
 
 def explain_linear(features: DataFrame, coefficients: dict[str, float], intercept: float,
@@ -115,11 +120,13 @@ def _factor_lists(ordered, k: int = MAX_FACTORS, threshold: float = FACTOR_THRES
 
 
 def explanation_records(expl: DataFrame) -> DataFrame:
-    """Base (6 dp), prediction (4 dp), contribution map (6 dp), factor lists.
+    """Base (6 dp), prediction (4 dp), contribution map (6 dp), factor
+    lists; E5 where ``expl`` carries ``feature_values``.
 
     The rounded entries and their sort are materialised once per row (a
     projection below the one that reads them twice)."""
-    staged = expl.select("claim_id", "base_value", "prediction", _entries(expl).alias("__ent"))
+    more = [c for c in ("feature_values",) if c in expl.columns]
+    staged = expl.select("claim_id", "base_value", "prediction", *more, _entries(expl).alias("__ent"))
     staged = staged.withColumn("__ord", _ordered(F.col("__ent")))
     risk, prot = _factor_lists(F.col("__ord"))
     ent = F.col("__ent")
@@ -130,15 +137,7 @@ def explanation_records(expl: DataFrame) -> DataFrame:
         F.map_from_arrays(F.transform(ent, lambda e: e["feature"]),
                           F.transform(ent, lambda e: e["value"])).alias("feature_contributions"),
         risk.alias("top_risk_factors"),
-        prot.alias("top_protective_factors"))
-
-
-def with_feature_values(records: DataFrame, features: DataFrame) -> DataFrame:
-    """E5: add the ``feature_values`` map (same-row projection, keyed by claim)."""
-    fv = features.select("claim_id", F.map_from_arrays(
-        F.array(*[F.lit(f) for f in FEATURE_COLUMNS]),
-        F.array(*[F.col(f).cast("double") for f in FEATURE_COLUMNS])).alias("feature_values"))
-    return records.join(fv, on="claim_id", how="left")
+        prot.alias("top_protective_factors"), *more)
 
 
 def global_importance(expl: DataFrame) -> DataFrame:

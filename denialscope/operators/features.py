@@ -16,8 +16,11 @@ def attach_provider_rate(claims: DataFrame, method="loo", label: str = "is_denie
     * ``"loo"`` — leave-one-out over the same labelled claims (faithful form);
     * ``"rolling_90d"`` — point-in-time 90-day window (production form);
     * ``"default"`` — constant 0.25 (single-claim serving default);
-    * a labelled ``DataFrame`` — full-history rate from that table (J8).
+    * a labelled ``DataFrame`` — full-history rate from that table (J8);
+    * a ``RollingHistory`` — point-in-time rate from a labelled table.
     """
+    if isinstance(method, H.RollingHistory):
+        return H.with_rolling_history(claims, method, label)
     if isinstance(method, DataFrame):
         return H.with_history_rate(claims, method, label)
     if method == "loo":
@@ -38,11 +41,16 @@ def features_wide(claims: DataFrame, provider_history="loo", policy: str = "batc
     return with_rate.select(*raw, *[e.alias(n) for n, e in exprs.items()])
 
 
+def missing_features(df: DataFrame) -> list[str]:
+    """Model features that the frame lacks, sorted."""
+    return sorted(set(FEATURE_COLUMNS) - set(df.columns))
+
+
 def check_feature_columns(df: DataFrame) -> None:
     """Fail at plan time if any model feature is missing."""
-    missing = set(FEATURE_COLUMNS) - set(df.columns)
+    missing = missing_features(df)
     if missing:
-        raise ValueError(f"Missing features after engineering: {sorted(missing)}")
+        raise ValueError(f"Missing features after engineering: {missing}")
 
 
 def model_input(features: DataFrame, keep: tuple[str, ...] = ("claim_id",)) -> DataFrame:

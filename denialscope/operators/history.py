@@ -9,6 +9,8 @@ all claims of one provider into one task:
 * ``loo_rate`` joins those stats back with a plain equi-join; AQE broadcasts
   the stats when they are small at runtime and otherwise splits skewed
   partitions of the sort-merge join.
+* claims without an NPI have no history; in the joins they carry a key of their
+  own (``_spread_null``), or they would all meet in one task.
 * ``rolling_rate_90d`` first collapses claims to one row per (provider, day),
   so the window's partition for a provider is bounded by the number of
   calendar days, not by its claim count.
@@ -16,6 +18,8 @@ all claims of one provider into one task:
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +29,27 @@ NPI = "provider_npi"
 RATE = "provider_historical_denial_rate"
 
 
+@dataclass
+class RollingHistory:
+    """Point-in-time provider rates from a labelled history table."""
+
+    history: DataFrame
+    days: int = 90
+
+
+def _spread_null(claims: DataFrame) -> DataFrame:
+    """Join key ``__npi``: the NPI, or for null a value per claim that no
+    provider has."""
+    own = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(f"`{c}`") for c in claims.columns]).cast("string"))
+    return claims.withColumn("__npi", F.coalesce(F.col(NPI), own))
+
+
+def _look_up(claims: DataFrame, table: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Left join of ``table`` on the NPI and ``keys``."""
+    keyed = _spread_null(claims)
+    return keyed.join(table.withColumnRenamed(NPI, "__npi"), on=["__npi", *keys], how="left").drop("__npi")
+
+
 def provider_stats(claims: DataFrame, label: str = "is_denied") -> DataFrame:
     """A1: per provider, denied sum and labelled-claim count (null NPI excluded)."""
     return (claims.where(F.col(NPI).isNotNull())
@@ -46,19 +71,23 @@ def with_loo_rate(claims: DataFrame, label: str = "is_denied") -> DataFrame:
     Null NPIs never match the join, so they get the 0.25 default.
     """
     stats = provider_stats(claims, label)
-    joined = claims.join(stats, on=NPI, how="left")
+    joined = _look_up(claims, stats)
     return (joined.withColumn(RATE, loo_expr(F.col("total_denied"), F.col("total_claims"), F.col(label)))
             .drop("total_denied", "total_claims"))
 
 
 def with_loo_rate_window(claims: DataFrame, label: str = "is_denied") -> DataFrame:
-    """The same rate as a window (alternate form; J1 is preferred at scale
-    because a window partition holds every claim of a provider)."""
+    """The same rate as a window, over claims counted by (provider,
+    label): a window partition has one row a label, whatever the provider
+    holds. Claims of one provider and label share a rate."""
+    per = claims.where(F.col(NPI).isNotNull()).groupBy(NPI, F.col(label).alias("__y")).agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy(NPI)
-    s = F.sum(label).over(w)
-    n = F.count(label).over(w)
-    rate = F.when(F.col(NPI).isNull(), F.lit(DEFAULT_PROVIDER_RATE)).otherwise(loo_expr(s, n, F.col(label)))
-    return claims.withColumn(RATE, rate)
+    y = F.col("__y")
+    s = F.sum(y * F.col("c")).over(w).cast("bigint")
+    n = F.sum(F.when(y.isNotNull(), F.col("c")).otherwise(0)).over(w)
+    rates = per.select(NPI, F.coalesce(y, F.lit(-1)).alias("__y"), loo_expr(s, n, y).alias("__rate"))
+    keyed = claims.withColumn("__y", F.coalesce(F.col(label), F.lit(-1)))
+    return _look_up(keyed, rates, ("__y",)).withColumn(RATE, F.coalesce("__rate", F.lit(DEFAULT_PROVIDER_RATE))).drop("__y", "__rate")
 
 
 def day_number(d: Column) -> Column:
@@ -76,7 +105,10 @@ def provider_daily(claims: DataFrame, label: str = "is_denied",
 def rolling_rate_table(claims: DataFrame, days: int = 90, label: str = "is_denied",
                        date_col: str = "service_date") -> DataFrame:
     """W2 core: (provider, day) → denial rate over the ``days`` days before."""
-    daily = provider_daily(claims, label, date_col)
+    return _rolling(provider_daily(claims, label, date_col), days)
+
+
+def _rolling(daily: DataFrame, days: int) -> DataFrame:
     w = Window.partitionBy(NPI).orderBy("day").rangeBetween(-days, -1)
     s = F.sum("denied").over(w)
     n = F.sum("n").over(w)
@@ -90,11 +122,25 @@ def with_rolling_rate(claims: DataFrame, days: int = 90, label: str = "is_denied
     history, null NPI or null date → 0.25."""
     table = rolling_rate_table(claims, days, label, date_col)
     keyed = claims.withColumn("__day", day_number(F.col(date_col)))
-    joined = keyed.join(table.withColumnRenamed("day", "__day"), on=[NPI, "__day"], how="left")
+    joined = _look_up(keyed, table.withColumnRenamed("day", "__day"), ("__day",))
     return (joined.withColumn(RATE, F.coalesce(F.col("rolling_rate"), F.lit(DEFAULT_PROVIDER_RATE)))
             .drop("rolling_rate", "__day"))
 
 
+def with_rolling_history(claims: DataFrame, source: RollingHistory, label: str = "is_denied",
+                         date_col: str = "service_date") -> DataFrame:
+    """Point-in-time rate of (possibly unlabelled) claims: the provider's
+    claims in ``source.history`` in the days before the claim's date."""
+    asked = (claims.where(F.col(NPI).isNotNull() & F.col(date_col).isNotNull())
+             .select(NPI, day_number(F.col(date_col)).alias("day")).distinct()
+             .select(NPI, "day", F.lit(0).cast("bigint").alias("denied"), F.lit(0).cast("bigint").alias("n")))
+    daily = provider_daily(source.history, label, date_col).unionByName(asked)
+    daily = daily.groupBy(NPI, "day").agg(F.sum("denied").alias("denied"), F.sum("n").alias("n"))
+    table = _rolling(daily, source.days).withColumnRenamed("day", "__day")
+    joined = _look_up(claims.withColumn("__day", day_number(F.col(date_col))), table, ("__day",))
+    return joined.withColumn(RATE, F.coalesce("rolling_rate", F.lit(DEFAULT_PROVIDER_RATE))).drop("rolling_rate", "__day")
+
+
 def history_rates(history: DataFrame, label: str = "is_denied") -> DataFrame:
     """Full-history provider rate S/n from a labelled history table."""
     return (provider_stats(history, label)
@@ -106,6 +152,6 @@ def with_history_rate(claims: DataFrame, history: DataFrame, label: str = "is_de
     """Rate for (possibly unlabelled) claims from a separate labelled
     history; unknown or null provider → 0.25."""
     rates = history_rates(history, label)
-    joined = claims.join(rates, on=NPI, how="left")
+    joined = _look_up(claims, rates)
     rate = F.coalesce(F.col("history_rate"), F.lit(DEFAULT_PROVIDER_RATE))
     return joined.withColumn(RATE, F.least(F.greatest(rate, F.lit(0.0)), F.lit(1.0))).drop("history_rate")

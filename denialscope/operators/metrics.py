@@ -38,7 +38,7 @@ def cumulative(scored: DataFrame, label: str = "is_denied", score: str = "p_deni
     # scoring pipeline runs once and no executor memory stays pinned.
     counts = cut_lineage(score_counts(scored, label, score))
     P, N = _totals(counts)
-    cum = running_sums(counts, score, ["pos", "neg"])
+    cum = running_sums(counts, score, ["pos", "neg"], written=True)
     out = cum.select(
         F.col(score).alias("threshold"), "pos", "neg",
         (F.lit(P) - F.col("cum_pos") + F.col("pos")).alias("tp"),
@@ -147,12 +147,16 @@ def classification_report(cm: DataFrame) -> DataFrame:
 
 def evaluate(scored: DataFrame, label: str = "is_denied", score: str = "p_denial",
              threshold: float = 0.5) -> DataFrame:
-    """M9: auc, precision, recall, f1, accuracy, average precision in one row
-    (the scored frame should be cached by the caller: it feeds three jobs)."""
-    pred = scored.withColumn("predicted", (F.col(score) >= threshold).cast("int"))
-    m = classification_metrics(confusion_matrix(pred, label, "predicted")).first()
-    a = auc(scored, label, score).first()[0]
-    ap = average_precision(scored, label, score).first()[0]
-    row = [(a, m["precision"], m["recall"], m["f1"], m["accuracy"], ap)]
-    return scored.sparkSession.createDataFrame(
+    """M9: auc, precision, recall, f1, accuracy, average precision in one row,
+    all from one cumulative frame (one row a distinct score)."""
+    cum, P, N = cumulative(scored, label, score)
+    above = F.col("threshold") >= threshold
+    tp, fp, area, ap = cum.agg(
+        F.coalesce(F.sum(F.when(above, F.col("pos"))), F.lit(0)), F.coalesce(F.sum(F.when(above, F.col("neg"))), F.lit(0)),
+        F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5)), F.sum(F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp"))))).first()
+    spark = scored.sparkSession
+    cm = spark.createDataFrame([(N - fp, fp, P - tp, tp)], "tn BIGINT, fp BIGINT, fn BIGINT, tp BIGINT")
+    m = classification_metrics(cm).first()
+    row = [(area / (float(P) * float(N)) if P and N else None, m["precision"], m["recall"], m["f1"], m["accuracy"], ap / float(P) if P else None)]
+    return spark.createDataFrame(
         row, "auc DOUBLE, precision DOUBLE, recall DOUBLE, f1 DOUBLE, accuracy DOUBLE, average_precision DOUBLE")

@@ -4,15 +4,19 @@
 curves (ROC, PR), exact quantiles, average precision and fold assignment we
 need cumulative counts in global order, so we use a two-level prefix sum:
 
-1. approximate quantiles of a numeric, order-preserving bucket key (a
-   bounded, sampled job) give up to ``n_buckets`` range boundaries;
+1. approximate quantiles of a numeric, order-preserving bucket key give the
+   boundaries of ranges of about ``ROWS_PER_BUCKET`` rows, so their number
+   grows with the input;
    ``Bucketizer`` (binary search, JVM side) assigns each row an ordered
    bucket — a deterministic function of the key, so recomputation after an
    executor loss yields the same buckets;
 2. a window partitioned by (group, bucket) computes running sums inside
    buckets, ordered by the exact order columns;
-3. per-(group, bucket) totals (≤ groups × n_buckets rows) become bucket
-   offsets and are broadcast back.
+3. per-(group, bucket) totals become bucket offsets and are joined back (one
+   row a bucket: Spark broadcasts them where they are small).
+
+The input is read several times, so it is checkpointed first unless the caller
+says that it is already written.
 
 Inputs should be pre-aggregated to one row per distinct order key where
 that is possible, so a hot key is a single row and cannot skew a bucket.
@@ -22,29 +26,28 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = "__bucket"
-
+from ..session import cut_lineage
 
-def _n_buckets(df: DataFrame) -> int:
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return max(4, min(1024, 4 * par))
+BUCKET = "__bucket"
+ROWS_PER_BUCKET = 200_000
 
 
 def running_sums(df: DataFrame, key: str, value_cols: list[str],
                  order_cols: list[Column] | None = None, group_cols: tuple[str, ...] = (),
-                 n_buckets: int | None = None, rel_error: float = 0.001) -> DataFrame:
+                 n_buckets: int | None = None, written: bool = False) -> DataFrame:
     """Add ``cum_<v>``: inclusive running sum of ``v`` in ascending order.
 
     ``key`` is a numeric column that is non-decreasing in the order; when it
     is not unique, ``order_cols`` must complete it to a strict total order.
     ``group_cols`` restart the sums per group (e.g. per class label).
     """
-    n_buckets = n_buckets or _n_buckets(df)
+    df = df if written else cut_lineage(df)
+    n_buckets = n_buckets or max(4, math.ceil(df.count() / ROWS_PER_BUCKET))
+    rel_error = 1 / (4 * n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = sorted({b for b in df.approxQuantile(key, probs, rel_error)
                      if b is not None and not math.isnan(b)})
@@ -57,41 +60,54 @@ def running_sums(df: DataFrame, key: str, value_cols: list[str],
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     within = bucketed.select("*", *[F.sum(v).over(w).alias(f"__in_{v}") for v in value_cols])
     totals = bucketed.groupBy(*group_cols, BUCKET).agg(*[F.sum(v).alias(f"__tot_{v}") for v in value_cols])
-    # ≤ groups × n_buckets rows: this small window is bounded by design.
+    # one row a (group, bucket)
     wb = Window.partitionBy(*group_cols).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group_cols, BUCKET,
                             *[F.coalesce(F.sum(f"__tot_{v}").over(wb), F.lit(0)).alias(f"__off_{v}")
                               for v in value_cols])
-    out = within.join(F.broadcast(offsets), on=[*group_cols, BUCKET], how="inner")
+    out = _join_null_safe(within, offsets, [*group_cols, BUCKET])
     return out.select(*df.columns, *[(F.col(f"__in_{v}") + F.col(f"__off_{v}")).alias(f"cum_{v}")
                                      for v in value_cols])
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join in which null keys meet."""
+    renamed = right.select(*[F.col(c).alias(f"__r_{c}") for c in on], *[c for c in right.columns if c not in on])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+    return left.join(renamed, cond).drop(*[f"__r_{c}" for c in on])
+
+
+BRACKET = 0.002
+
+
 def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile") -> DataFrame:
     """Exact linear-interpolation quantile (``quantile_cont``) as a 1-row frame.
 
-    Distinct values are counted (hash aggregate), ranked by ``running_sums``
-    and the two order statistics around ``(n − 1)·q`` are picked.
+    Approximate quantiles bracket the wanted rank; values below the bracket
+    are only counted, and only those inside are ranked (distinct values, by
+    ``running_sums``). Should the bracket miss the rank, all are.
     """
-    x = F.col(col)
-    vals = (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(col)
-            .agg(F.count(F.lit(1)).alias("__c"))).persist(StorageLevel.MEMORY_AND_DISK)
-    n = vals.agg(F.sum("__c")).first()[0]
-    if not n:
-        return df.sparkSession.createDataFrame([(None,)], f"{alias} DOUBLE")
-    h = (n - 1) * q
-    lo, hi = math.floor(h), math.ceil(h)
-    frac = h - lo
-    cum = running_sums(vals, col, ["__c"])
-    start = F.col("cum___c") - F.col("__c")
-    is_lo = (start <= lo) & (F.lit(lo) < F.col("cum___c"))
-    is_hi = (start <= hi) & (F.lit(hi) < F.col("cum___c"))
-    picked = cum.where(is_lo | is_hi).agg(
-        F.max(F.when(is_lo, x)).alias("lo_v"), F.max(F.when(is_hi, x)).alias("hi_v"))
-    row = picked.select((F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.lit(frac))
-                        .cast("double").alias(alias)).first()
-    vals.unpersist()
-    return df.sparkSession.createDataFrame([(row[0],)], f"{alias} DOUBLE")
+    x = F.col(col).cast("double")
+    vals = df.select(x.alias(col)).where(F.col(col).isNotNull() & ~F.isnan(col))
+    edges = vals.approxQuantile(col, [max(0.0, q - BRACKET), min(1.0, q + BRACKET)], BRACKET / 2)
+    spark = df.sparkSession
+    if not edges:
+        return spark.createDataFrame([(None,)], f"{alias} DOUBLE")
+    for low, high in (edges, (-math.inf, math.inf)):
+        n, below, inside = vals.agg(F.count(F.lit(1)), F.sum((F.col(col) < low).cast("long")),
+                                    F.sum(F.col(col).between(low, high).cast("long"))).first()
+        h = (n - 1) * q
+        lo, hi = math.floor(h), math.ceil(h)
+        if below <= lo and hi < below + inside:
+            break
+    counts = cut_lineage(vals.where(F.col(col).between(low, high)).groupBy(col).agg(F.count(F.lit(1)).alias("__c")))
+    cum = running_sums(counts, col, ["__c"], written=True)
+    start, end = F.col("cum___c") - F.col("__c") + below, F.col("cum___c") + below
+    pick = lambda k: F.max(F.when((start <= k) & (F.lit(k) < end), F.col(col)))
+    a, b = cum.agg(pick(lo), pick(hi)).first()
+    return spark.createDataFrame([(a + (b - a) * (h - lo),)], f"{alias} DOUBLE")
 
 
 def hash_order_key(col: str, seed: str) -> tuple[Column, list[Column]]:

@@ -1,9 +1,8 @@
 """Procedure-code operators over exploded code lists.
 
 The CPT dimension has a fixed size (71 codes), so joining it is always a
-broadcast hash join; the claims side is never shuffled for it. Per-claim
-regrouping after an explode is keyed by ``claim_id`` — uniformly spread, so
-no hot key — and claims with no codes are kept by left joins.
+broadcast hash join; the claims side is never shuffled for it. What is asked
+of one claim's codes is computed on its own list, without an explode.
 """
 
 from __future__ import annotations
@@ -30,32 +29,34 @@ def categorize(exploded: DataFrame) -> DataFrame:
             .withColumn("is_high_cost", F.coalesce(F.col("is_high_cost"), F.lit(False))))
 
 
+def _categories(claims: DataFrame) -> DataFrame:
+    """(claim_id, __cats): the category of every code of the claim."""
+    lookup = F.create_map(*[F.lit(x) for pair in codes.CPT_TO_CATEGORY.items() for x in pair])
+    cats = F.transform(proc_array(F.col("procedure_codes")), lambda c: F.coalesce(F.try_element_at(lookup, c), F.lit(OTHER)))
+    return claims.select("claim_id", cats.alias("__cats"))
+
+
 def procedure_complexity(claims: DataFrame) -> DataFrame:
-    """(claim, category) → number of codes in that category."""
-    cat = categorize(exploded_codes(claims))
-    return cat.groupBy("claim_id", "category").agg(F.count(F.lit(1)).alias("n_codes"))
+    """(claim, category) → number of codes in that category. Counted
+    inside the claim's row: nothing is shuffled."""
+    per = F.transform(F.array_distinct("__cats"), lambda c: F.struct(
+        c.alias("category"), F.size(F.filter("__cats", lambda x: x == c)).cast("long").alias("n_codes")))
+    return _categories(claims).select("claim_id", F.inline(per))
 
 
 def category_flags(claims: DataFrame) -> DataFrame:
     """Per claim, 0/1 flags for the four modelled categories (claims
     without codes get zeros)."""
-    cat = categorize(exploded_codes(claims))
     wanted = {"has_surgery": "surgery", "has_radiology": "radiology",
               "has_pathology": "pathology", "has_eval_mgmt": "evaluation_management"}
-    flags = cat.groupBy("claim_id").agg(
-        *[F.max((F.col("category") == c).cast("int")).alias(n) for n, c in wanted.items()])
-    base = claims.select("claim_id")
-    out = base.join(flags, on="claim_id", how="left")
-    return out.na.fill(0, subset=list(wanted))
+    return _categories(claims).select("claim_id", *[F.array_contains("__cats", c).cast("int").alias(n) for n, c in wanted.items()])
 
 
 def high_cost_claims(claims: DataFrame) -> DataFrame:
-    """Claims having at least one high-cost code (left semi join against
-    the broadcast high-cost set)."""
-    hc = F.broadcast(codes.dim_high_cost(claims.sparkSession))
-    ex = exploded_codes(claims, keep=("claim_id",))
-    hits = ex.join(hc, on="cpt_code", how="left_semi").select("claim_id")
-    return claims.join(hits.distinct(), on="claim_id", how="left_semi")
+    """Claims having at least one high-cost code: membership of the fixed
+    set, tested on the claim's own list."""
+    wanted = F.array(*[F.lit(c) for c in codes.HIGH_COST_PROCEDURES])
+    return claims.where(F.arrays_overlap(proc_array(F.col("procedure_codes")), wanted))
 
 
 def pos_labels(claims: DataFrame) -> DataFrame:

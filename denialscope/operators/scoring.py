@@ -42,6 +42,15 @@ class ModelScorer:
         return out.drop("features", "rawPrediction", "probability", "prediction")
 
 
+def promoted_scorer(spark, models_dir: str | None) -> ModelScorer | None:
+    """The model that the weekly job has promoted under ``models_dir``."""
+    from pyspark.ml import PipelineModel
+
+    from .training import promoted_path
+    path = promoted_path(spark, models_dir) if models_dir else None
+    return ModelScorer(PipelineModel.load(path), name=path) if path else None
+
+
 def predict_batch(features: DataFrame, scorer=None,
                   threshold: float = PREDICTION_THRESHOLD) -> DataFrame:
     """claim_id, probability (4 dp half-even), decision, band, reimbursement."""

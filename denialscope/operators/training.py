@@ -5,12 +5,17 @@ the driver only loops over the four candidate configurations and five
 folds. Folds are a column computed once (stratified, seeded hash order via
 two-level prefix sums — no single-partition window), and the training frame
 is checkpointed to the shared folder before the loop so every fit re-reads
-the same materialised rows.
+the same materialised rows, in partitions of about ``ROWS_PER_PARTITION``:
+tree learners run one small job a level, so the number of tasks should follow
+the rows and not the cores. Rows without a label take no part.
 """
 
 from __future__ import annotations
 
+import math
 import time
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -19,6 +24,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from ..sources import files
 from ..sources.schema import FEATURE_COLUMNS
 from . import metrics as M
 from .prefix import hash_order_key, running_sums
@@ -27,17 +34,19 @@ LABEL = "label"
 WEIGHT = "weight"
 SEED = 42
 N_FOLDS = 5
+ROWS_PER_PARTITION = 100_000
+METRICS = ("auc", "precision", "recall", "f1", "accuracy")
 
 # FIXED VALUES — candidate model configurations (reference hyper-parameters).
 MODEL_CONFIGS = {
     "LogisticRegression": {"kind": "lr", "maxIter": 1000, "C": 1.0, "weights": "balanced"},
     "RandomForest": {"kind": "rf", "numTrees": 200, "maxDepth": 12, "minInstancesPerNode": 10,
                      "weights": "balanced"},
-    "XGBoost": {"kind": "gbt", "maxIter": 300, "maxDepth": 8, "stepSize": 0.05, "subsamplingRate": 0.8,
+    "BoostedTrees": {"kind": "gbt", "maxIter": 300, "maxDepth": 8, "stepSize": 0.05, "subsamplingRate": 0.8,
                 "featureSubsetStrategy": "0.8", "weights": "pos_weight"},
     # Leaf-wise boosting with its default 31-leaf cap maps to depth-5 trees
     # (≤ 32 leaves) and 255 histogram bins.
-    "LightGBM": {"kind": "gbt", "maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8,
+    "BoostedTreesFast": {"kind": "gbt", "maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8,
                  "featureSubsetStrategy": "0.8", "maxBins": 255, "weights": "pos_weight"},
 }
 
@@ -60,10 +69,16 @@ def class_weight_table(df: DataFrame, label: str = "is_denied") -> DataFrame:
                          F.when(F.col(label) == 1, neg / pos).otherwise(F.lit(1.0)).alias("pos_weight"))
 
 
-def with_weights(df: DataFrame, mode: str, label: str = "is_denied") -> DataFrame:
-    """Attach ``weight``: ``balanced`` (n/(2·n_c)) or ``pos_weight`` (neg/pos on
-    positives, 1 on negatives). Two scalars from one bounded aggregate."""
-    neg, pos = class_counts(df, label)
+def labelled(df: DataFrame, label: str = "is_denied") -> DataFrame:
+    return df.where(F.col(label).isNotNull())
+
+
+def with_weights(df: DataFrame, mode: str, label: str = "is_denied", counts: tuple[int, int] | None = None) -> DataFrame:
+    """Labelled rows with ``weight``: ``balanced`` (n/(2·n_c)) or ``pos_weight``
+    (neg/pos on positives, 1 on negatives). ``counts`` (negatives, positives)
+    saves the aggregate where they are known."""
+    df = labelled(df, label)
+    neg, pos = counts or class_counts(df, label)
     n = neg + pos
     y = F.col(label)
     if mode == "balanced":
@@ -75,6 +90,21 @@ def with_weights(df: DataFrame, mode: str, label: str = "is_denied") -> DataFram
     return df.withColumn(WEIGHT, w).withColumn(LABEL, y.cast("double"))
 
 
+def total_weight(mode: str, counts: tuple[int, int]) -> float:
+    """Sum of the weights that ``with_weights`` gives."""
+    neg, pos = counts
+    if mode == "pos_weight":
+        return float(2 * neg if pos else neg)
+    return float(neg + pos)
+
+
+def training_frame(df: DataFrame, label: str = "is_denied") -> DataFrame:
+    """Labelled rows, checkpointed once in partitions sized by rows."""
+    rows = labelled(df, label)
+    n = rows.count()
+    return cut_lineage(rows.repartition(max(1, math.ceil(n / ROWS_PER_PARTITION))))
+
+
 def stratified_folds(df: DataFrame, label: str = "is_denied", key: str = "claim_id",
                      k: int = N_FOLDS, seed: int = SEED) -> DataFrame:
     """fold = (rank within class in md5(key‖seed) order) mod k, so fold
@@ -87,17 +117,28 @@ def stratified_folds(df: DataFrame, label: str = "is_denied", key: str = "claim_
 
 
 def ordered_folds(df: DataFrame, order_col: str = "service_date", key: str = "claim_id",
-                  k: int = N_FOLDS) -> DataFrame:
-    """Unshuffled k-fold — contiguous blocks in (date, id) order."""
-    n = df.count()
-    keyed = df.withColumn("__dk", F.unix_date(F.col(order_col)).cast("double")).withColumn("__one", F.lit(1))
-    ranked = running_sums(keyed.na.fill({"__dk": -1e18}), "__dk", ["__one"],
-                          order_cols=[F.col(order_col).asc_nulls_first(), F.col(key).asc()])
-    fold = F.floor((F.col("cum___one") - 1) * k / F.lit(max(n, 1))).cast("int")
+                  k: int = N_FOLDS, label: str = "is_denied") -> DataFrame:
+    """Unshuffled stratified k-fold — per class, contiguous blocks in
+    (date, hash of the id) order, nulls first. The hash spreads a busy day
+    over many ranges."""
+    sizes = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    hashed, order = hash_order_key(key, "ordered")
+    day = F.coalesce(F.unix_date(F.col(order_col)).cast("double"), F.lit(-1e6))
+    keyed = df.withColumn("__dk", day + hashed / float(16 ** 13)).withColumn("__one", F.lit(1))
+    ranked = running_sums(keyed, "__dk", ["__one"], order_cols=[F.col(order_col).asc_nulls_first(), *order], group_cols=(label,))
+    n = F.lit(None).cast("long")
+    for value, count in sizes.items():
+        n = F.when(F.col(label).eqNullSafe(F.lit(value)), F.lit(count)).otherwise(n)
+    fold = F.floor((F.col("cum___one") - 1) * k / n).cast("int")
     return ranked.withColumn("fold", fold).drop("__dk", "__one", "cum___one")
 
 
-def build_estimator(config: dict, pos_weight: float | None = None, n_weight: float | None = None):
+#: Node ids are kept with the rows, so the trees grown so far need not go out
+#: with every task; more nodes of a level fit into one pass.
+TREES = {"cacheNodeIds": True, "maxMemoryInMB": 1024, "checkpointInterval": 10}
+
+
+def build_estimator(config: dict, n_weight: float | None = None):
     kind = config["kind"]
     common = {"featuresCol": "features", "labelCol": LABEL, "weightCol": WEIGHT}
     if kind == "lr":
@@ -106,11 +147,11 @@ def build_estimator(config: dict, pos_weight: float | None = None, n_weight: flo
                                   standardization=False, **common)
     if kind == "rf":
         return RandomForestClassifier(numTrees=config["numTrees"], maxDepth=config["maxDepth"],
-                                      minInstancesPerNode=config["minInstancesPerNode"], seed=SEED, **common)
+                                      minInstancesPerNode=config["minInstancesPerNode"], seed=SEED, **TREES, **common)
     extra = {"maxBins": config["maxBins"]} if "maxBins" in config else {}
     return GBTClassifier(maxIter=config["maxIter"], maxDepth=config["maxDepth"], stepSize=config["stepSize"],
                          subsamplingRate=config["subsamplingRate"],
-                         featureSubsetStrategy=config["featureSubsetStrategy"], seed=SEED, **extra, **common)
+                         featureSubsetStrategy=config["featureSubsetStrategy"], seed=SEED, **extra, **TREES, **common)
 
 
 def pipeline(config: dict, n_weight: float | None = None) -> Pipeline:
@@ -118,15 +159,11 @@ def pipeline(config: dict, n_weight: float | None = None) -> Pipeline:
     return Pipeline(stages=[assembler, build_estimator(config, n_weight=n_weight)])
 
 
-def _prepare(mi: DataFrame, config: dict, label: str) -> DataFrame:
-    return with_weights(mi.na.fill(0, subset=FEATURE_COLUMNS), config["weights"], label)
-
-
-def fit(mi: DataFrame, config: dict, label: str = "is_denied") -> PipelineModel:
+def fit(mi: DataFrame, config: dict, label: str = "is_denied", counts: tuple[int, int] | None = None) -> PipelineModel:
     """Fit one configuration on a model-input frame with a label."""
-    data = _prepare(mi, config, label)
-    n_weight = data.agg(F.sum(WEIGHT)).first()[0] if config["kind"] == "lr" else None
-    return pipeline(config, n_weight).fit(data)
+    counts = counts or class_counts(mi, label)
+    data = with_weights(mi.na.fill(0, subset=FEATURE_COLUMNS), config["weights"], label, counts)
+    return pipeline(config, total_weight(config["weights"], counts)).fit(data)
 
 
 def score(model: PipelineModel, mi: DataFrame) -> DataFrame:
@@ -137,33 +174,52 @@ def score(model: PipelineModel, mi: DataFrame) -> DataFrame:
 
 
 def fold_metrics(scored: DataFrame, label: str = "is_denied") -> dict:
+    """The five metrics of a scored fold; the model runs over it once."""
+    scored = cut_lineage(scored.select(label, "predicted", "p_denial"))
     cm = M.classification_metrics(M.confusion_matrix(scored, label, "predicted")).first().asDict()
     cm["auc"] = M.auc(scored, label, "p_denial").first()[0]
     return cm
 
 
+def fold_counts(mi: DataFrame, label: str = "is_denied", fold_col: str = "fold") -> dict:
+    """fold → (negatives, positives), in one aggregate."""
+    rows = mi.groupBy(fold_col).agg(F.sum((F.col(label) == 0).cast("long")).alias("neg"), F.sum((F.col(label) == 1).cast("long")).alias("pos")).collect()
+    return {r[0]: (int(r["neg"] or 0), int(r["pos"] or 0)) for r in rows}
+
+
+def without(counts: dict, fold: int) -> tuple[int, int]:
+    return tuple(sum(c[i] for f, c in counts.items() if f != fold) for i in (0, 1))
+
+
 def cross_validate(mi: DataFrame, config: dict, name: str, label: str = "is_denied",
-                   fold_col: str = "fold", k: int = N_FOLDS, parallelism: int = N_FOLDS) -> list[tuple]:
+                   fold_col: str = "fold", k: int = N_FOLDS, parallelism: int = N_FOLDS, rival=None) -> list[tuple]:
     """Per fold, fit on the other folds and score the held-out fold.
 
     Folds are fitted concurrently from driver threads (like CrossValidator's
     ``parallelism``): each fit is a series of small distributed jobs, so
-    running them side by side keeps the cluster busy between job barriers."""
-    from concurrent.futures import ThreadPoolExecutor
+    running them side by side keeps the cluster busy between job barriers.
+    A fitted ``rival`` is scored on the same held-out folds (``rival_auc``)."""
+    counts = fold_counts(mi, label, fold_col)
 
     def one(f):
-        train = mi.where(F.col(fold_col) != f)
         test = mi.where(F.col(fold_col) == f)
-        model = fit(train, config, label)
+        model = fit(mi.where(F.col(fold_col) != f), config, label, without(counts, f))
         m = fold_metrics(score(model, test), label)
-        return [(name, f, metric, float(m[metric]) if m[metric] is not None else None)
-                for metric in ("auc", "precision", "recall", "f1", "accuracy")]
+        rows = [(name, f, metric, float(m[metric]) if m[metric] is not None else None) for metric in METRICS]
+        if rival is not None:
+            rows.append((name, f, "rival_auc", M.auc(score(rival, test), label, "p_denial").first()[0]))
+        return rows
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(one, range(k)))
     return [r for rows in results for r in rows]
 
 
+def mean_metric(rows: list[tuple], name: str, metric: str) -> float | None:
+    values = [v for n, _, m, v in rows if n == name and m == metric and v is not None]
+    return sum(values) / len(values) if values else None
+
+
 def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
     """Tree importances, or |coefficients| for a linear model."""
     est = model.stages[-1]
@@ -183,33 +239,57 @@ def deploy_decision(candidate_auc: float, production_auc: float | None, min_gain
             "deploy": gain > min_gain}
 
 
+def promote(spark, models_dir: str, model: PipelineModel, run_date: str) -> str:
+    """Save the model under a path of its own and name it as the promoted one.
+    Earlier versions stay, so the one before is the backup whatever is run
+    again; the row that names a version is appended once it is complete."""
+    path = files.join_path(models_dir, "versions", f"{run_date}-{uuid.uuid4().hex}")
+    model.write().save(path)
+    row = spark.createDataFrame([(time.time(), run_date, path)], PROMOTIONS)
+    row.coalesce(1).write.mode("append").json(files.join_path(models_dir, "promotions"))
+    return path
+
+
+PROMOTIONS = "at DOUBLE, run_date STRING, path STRING"
+
+
+def promotions(spark, models_dir: str) -> list[str]:
+    """Paths of the promoted versions, the latest first (one a promotion)."""
+    where = files.join_path(models_dir, "promotions")
+    if not files.exists(spark, where):
+        return []
+    return [r.path for r in spark.read.schema(PROMOTIONS).json(where).orderBy(F.desc("at")).collect()]
+
+
+def promoted_path(spark, models_dir: str) -> str | None:
+    return next(iter(promotions(spark, models_dir)), None)
+
+
 def train_all_models(mi: DataFrame, label: str = "is_denied", configs: dict = MODEL_CONFIGS,
                      save_path: str | None = None, parallelism: int = 8) -> dict:
     """CV every configuration, refit on all rows, pick the best mean CV
     AUC (first wins ties), optionally save the winner (S15)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from ..session import cut_lineage
     # Reliable checkpoint into the shared folder: 24 fits re-read these rows,
     # and a lost executor must not send them back to the raw claims.
-    data = cut_lineage(stratified_folds(mi, label))
+    data = training_frame(stratified_folds(labelled(mi, label), label), label)
+    counts = fold_counts(data, label)
 
     def run(task):
         name, f = task
         config = configs[name]
         t0 = time.time()
         if f is None:  # final refit on every row
-            model = fit(data, config, label)
-            return name, f, model, time.time() - t0
-        model = fit(data.where(F.col("fold") != f), config, label)
+            return name, f, fit(data, config, label, without(counts, -1)), time.time() - t0
+        model = fit(data.where(F.col("fold") != f), config, label, without(counts, f))
         m = fold_metrics(score(model, data.where(F.col("fold") == f)), label)
-        rows = [(name, f, k, float(m[k]) if m[k] is not None else None)
-                for k in ("auc", "precision", "recall", "f1", "accuracy")]
+        rows = [(name, f, k, float(m[k]) if m[k] is not None else None) for k in METRICS]
         return name, f, rows, time.time() - t0
 
     # Every (candidate, fold) fit and every refit is independent: run them
-    # side by side so many small MLlib jobs overlap on the cluster.
-    tasks = [(n, f) for n in configs for f in range(N_FOLDS)] + [(n, None) for n in configs]
+    # side by side so many small MLlib jobs overlap on the cluster, the
+    # longest (boosting) first.
+    order = sorted(configs, key=lambda n: configs[n]["kind"] != "gbt")
+    tasks = [(n, f) for n in order for f in (None, *range(N_FOLDS))]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         results = list(pool.map(run, tasks))
     metrics, summary, models, importances = [], [], {}, {}
@@ -223,9 +303,9 @@ def train_all_models(mi: DataFrame, label: str = "is_denied", configs: dict = MO
             cv_time[name] += secs
     best_name, best_auc = None, float("-inf")
     for name in configs:  # dictionary order: the earlier candidate wins ties
-        mean_auc = sum(v for n, _, m, v in metrics if n == name and m == "auc") / N_FOLDS
+        mean_auc = mean_metric(metrics, name, "auc")
         summary.append((name, mean_auc, cv_time[name]))
-        if mean_auc > best_auc:
+        if mean_auc is not None and mean_auc > best_auc:
             best_name, best_auc = name, mean_auc
     if save_path:
         models[best_name].write().overwrite().save(save_path)

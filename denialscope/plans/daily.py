@@ -1,10 +1,10 @@
 """Q1 — daily scoring job: ingest → features → score → store → monitor.
 
-One Spark application. The sampled batch and its features are written to
-shared storage (lineage cuts: a lost executor recomputes from those files,
-not from the raw claims); the history store is partitioned by
-``scored_date`` and overwritten per partition, so a re-run of the same day
-is idempotent.
+One Spark application. Every claim submitted since the run before is scored.
+The batch and its features are written to shared storage (lineage cuts: a lost
+executor recomputes from those files, not from the raw claims); the history
+store is partitioned by ``scored_date`` and overwritten per partition, so a
+re-run of the same day is idempotent.
 """
 
 from __future__ import annotations
@@ -14,43 +14,48 @@ from pyspark.sql import functions as F
 
 from ..operators import drift as DR
 from ..operators.features import features_wide, model_input
-from ..operators.scoring import RuleScorer, predict_batch
+from ..operators.history import RollingHistory
+from ..operators.scoring import RuleScorer, predict_batch, promoted_scorer
 from ..sources import files
-from ..sources.sampling import DAILY_BATCH_SIZE, daily_batch
+from ..sources.sampling import ingest_since
 
 
 def score_batch(batch: DataFrame, history: DataFrame, scorer=None) -> tuple[DataFrame, DataFrame]:
-    """Features for an (unlabelled) batch with provider rates from the
-    labelled history (J8), then batch predictions. Returns (features, predictions)."""
-    feats = features_wide(batch, provider_history=history)
+    """Features for an (unlabelled) batch with point-in-time provider rates
+    from the labelled history, then batch predictions. Returns (features,
+    predictions)."""
+    feats = features_wide(batch, provider_history=RollingHistory(history))
     return feats, predict_batch(feats, scorer or RuleScorer())
 
 
-def daily_scoring(claims: DataFrame, run_date: str, out_dir: str, history: DataFrame | None = None,
-                  scorer=None, n: int = DAILY_BATCH_SIZE, training: DataFrame | None = None) -> dict:
+def daily_scoring(claims: DataFrame, run_date: str, since: str, out_dir: str, history: DataFrame | None = None,
+                  scorer=None, training: DataFrame | None = None, models_dir: str | None = None) -> dict:
     """Run the five daily steps; returns frames read back from storage.
 
-    ``claims`` is the claims source, ``history`` the labelled table for
-    provider rates (default: the source itself), ``training`` the labelled
-    table the model was trained on (default: the source), for drift.
+    ``claims`` is the claims source, of which all rows submitted after
+    ``since`` are scored; ``history`` the labelled table for provider rates
+    (default: the source itself), ``training`` the labelled table the model
+    was trained on (default: the source), for drift. Both sides of the drift
+    report have the same definition of the provider rate. The scorer is the
+    given one, else the model promoted under ``models_dir``, else the rules.
     """
     history = history if history is not None else claims
     training = training if training is not None else claims
-    seed = int(run_date[-2:])
+    scorer = scorer or promoted_scorer(claims.sparkSession, models_dir) or RuleScorer()
     p = lambda *parts: files.join_path(out_dir, *parts)
 
     spark = claims.sparkSession
-    batch = files.materialize(daily_batch(claims, seed, n), p("daily_batch", f"run_date={run_date}"))
+    batch = files.materialize(ingest_since(claims, since), p("daily_batch", f"run_date={run_date}"))
     # Wide features are written once; predictions and the model input both
     # read the written copy (no second pass through the history join).
-    feats = files.materialize(features_wide(batch, provider_history=history),
+    feats = files.materialize(features_wide(batch, provider_history=RollingHistory(history)),
                               p("daily_features", f"run_date={run_date}"))
     mi = model_input(feats)
-    preds = predict_batch(feats, scorer or RuleScorer()).withColumn("scored_date", F.lit(run_date))
+    preds = predict_batch(feats, scorer).withColumn("scored_date", F.lit(run_date))
     files.append_partition(preds, p("prediction_history"), "scored_date")
     stored = files.read_predictions(spark, p("prediction_history")).where(F.col("scored_date") == run_date)
 
-    train_mi = model_input(features_wide(training))
+    train_mi = model_input(features_wide(training, provider_history=RollingHistory(training)))
     details = DR.drift_features(train_mi, mi)
     report_path = p("drift_reports", f"run_date={run_date}")
     report = DR.drift_report(details, run_ts=f"{run_date}T02:00:00")

@@ -113,18 +113,7 @@ def q_win_loo(spark, d):
     return H.with_loo_rate_window(claims(spark, d)).select("claim_id", H.RATE)
 
 
-_ROLL_SQL = ("WITH " + S.claims_cte() + """,
-daily AS (
-  SELECT provider_npi, CAST(service_date - DATE '1970-01-01' AS BIGINT) AS day,
-         CAST(SUM(is_denied) AS BIGINT) AS denied, COUNT(is_denied) AS n
-  FROM claims WHERE provider_npi IS NOT NULL AND service_date IS NOT NULL
-  GROUP BY ALL
-), roll AS (
-  SELECT provider_npi, day,
-    CAST(SUM(denied) OVER w AS DOUBLE) / NULLIF(CAST(SUM(n) OVER w AS DOUBLE), 0) AS r
-  FROM daily
-  WINDOW w AS (PARTITION BY provider_npi ORDER BY day RANGE BETWEEN 90 PRECEDING AND 1 PRECEDING)
-)
+_ROLL_SQL = ("WITH " + S.claims_cte() + ",\n" + S.ROLL_CTE + """
 SELECT c.claim_id, coalesce(r.r, 0.25) AS provider_historical_denial_rate
 FROM claims c LEFT JOIN roll r
   ON c.provider_npi = r.provider_npi AND CAST(c.service_date - DATE '1970-01-01' AS BIGINT) = r.day""")
@@ -319,7 +308,7 @@ def q_complexity(spark, d):
 @register("agg_category_flags", S.with_() +
           "SELECT claim_id, has_surgery, has_radiology, has_pathology, has_eval_mgmt FROM feat")
 def q_flags(spark, d):
-    """One-hot category flags via explode + join + group (join form)."""
+    """Category flags from each claim's own codes."""
     return PR.category_flags(claims(spark, d))
 
 
@@ -328,7 +317,7 @@ SELECT claim_id FROM claims
 WHERE list_has_any(CASE WHEN procedure_codes IS NULL OR regexp_matches(procedure_codes, {S.BLANK})
       THEN []::VARCHAR[] ELSE string_split(procedure_codes, '|') END, {S.sql_list(codes.HIGH_COST_PROCEDURES)})""")
 def q_semi_hc(spark, d):
-    """Claims with a high-cost code, as a left semi join."""
+    """Claims with a high-cost code."""
     return PR.high_cost_claims(claims(spark, d)).select("claim_id")
 
 
@@ -442,6 +431,13 @@ def q_predict_batch_endpoint(spark, d):
     return summary
 
 
+@register("predict_batch_records", _PREDICT_SERVE_SQL.replace("SELECT coalesce(claim_id", "SELECT strftime(service_date, '%Y-%m') AS batch_id, coalesce(claim_id", 1))
+def q_predict_batch_records(spark, d):
+    """The endpoint's records, each with its monthly batch."""
+    f = wide(spark, d, "default", "serve").withColumn("batch_id", _batch_id())
+    return SC.predict_batch_endpoint(f, "batch_id")[0]
+
+
 @register("batch_summary", S.with_(scored=True) + """SELECT COUNT(*) AS total_claims,
   CAST(coalesce(SUM(CASE WHEN p_denial >= 0.5 THEN 1 ELSE 0 END), 0) AS BIGINT) AS total_predicted_denied,
   coalesce(CAST(SUM(CASE WHEN p_denial >= 0.5 THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(COUNT(*), 0), 0.0)

@@ -1,5 +1,5 @@
 """Registered queries: dashboard tables (Q3), claim detail (Q4), monitoring
-run (K5), drift report sink (S14), synthetic generator (S3)."""
+run (K5), drift report sink (S14)."""
 
 from __future__ import annotations
 
@@ -8,18 +8,15 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import drift as DR
-from ..operators import features as FE
-from ..operators import scoring as SC
 from ..session import scratch_path
 from ..sources import files
-from ..sources.fixtures import claims, load_table
-from ..sources.generate import gen_claims
+from ..sources.fixtures import claims
 from ..sources.schema import FEATURE_COLUMNS
 from . import sqlparts as S
 from .dashboard import claim_detail, overview_tables
 from .daily import daily_scoring
 from .q_eval import _LV, _PSI_CTES, _REPORT_SQL, RUN_TS
-from .q_io import RUN_DATE, SEED
+from .q_io import RUN_DATE, SINCE
 from .registry import ORACLE, register
 
 # --------------------------------------------------------------------- Q3
@@ -62,7 +59,7 @@ def overview_long(tables: dict):
 
 @register("overview_tables", _overview_sql())
 def q_overview_tables(spark, d):
-    """Q3: every overview table from one cached scan, in long form."""
+    """Q3: every overview table from one written copy, in long form."""
     return overview_long(overview_tables(claims(spark, d)))
 
 
@@ -81,15 +78,15 @@ def q_claim_detail(spark, d):
     """Q4: serve-form record of one looked-up claim (id found in the data)."""
     c = claims(spark, d)
     target = c.where("claim_type = 'dental'").agg(F.min("claim_id")).first()[0]
-    return claim_detail(c, target)["prediction"]
+    return claim_detail(c, target, parts=("prediction",))["prediction"]
 
 
 # --------------------------------------------------------------------- K5
-_BT = f"bt AS (SELECT * FROM claims ORDER BY md5(claim_id || '|{SEED}'), claim_id LIMIT 2000)"
+_BT = f"bt AS (SELECT * FROM claims WHERE submission_date > DATE '{SINCE}')"
 
 
 def _second_features():
-    arr2 = S.arr_cte("bt", "hist").replace("arr AS (", "arr2 AS (", 1)
+    arr2 = S.arr_cte("bt", "roll").replace("arr AS (", "arr2 AS (", 1)
     feat2 = S.feat_cte("feat2", "batch").replace("FROM arr\n)", "FROM arr2\n)")
     return [arr2, feat2]
 
@@ -98,7 +95,7 @@ _K5_MI2 = ("mi2 AS (SELECT 'train' AS dataset, " + ", ".join(
     f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" for c in FEATURE_COLUMNS) + " FROM feat UNION ALL SELECT 'score', "
     + ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" for c in FEATURE_COLUMNS) + " FROM feat2)")
 _K5_SQL = _REPORT_SQL.replace(f"'{RUN_TS}' AS timestamp", f"'{RUN_DATE}T02:00:00' AS timestamp")
-_K5_SQL = _K5_SQL.replace(S.base_ctes(), S.base_ctes(pre=(_BT,)) + ",\n" + ",\n".join(_second_features()), 1)
+_K5_SQL = _K5_SQL.replace(S.base_ctes(), S.base_ctes(pre=(_BT,), rate="roll") + ",\n" + ",\n".join(_second_features()), 1)
 _K5_SQL = _K5_SQL.replace(_PSI_CTES[0], _K5_MI2, 1)
 assert _LV in _K5_SQL
 
@@ -106,7 +103,7 @@ assert _LV in _K5_SQL
 @register("monitoring_run", _K5_SQL)
 def q_monitoring(spark, d):
     """K5: drift report of the daily batch against the training claims."""
-    out = daily_scoring(claims(spark, d), RUN_DATE, scratch_path(spark, f"monitoring/{uuid.uuid4().hex}"))
+    out = daily_scoring(claims(spark, d), RUN_DATE, SINCE, scratch_path(spark, f"monitoring/{uuid.uuid4().hex}"))
     return out["drift_report"]
 
 
@@ -122,12 +119,3 @@ def q_sink_report(spark, d):
     return back
 
 
-# --------------------------------------------------------------------- S3
-@register("gen_claims")
-def q_gen_claims(spark, d):
-    """As many synthetic claims as the given lineitem table has rows."""
-    n = load_table(spark, d, "lineitem").count()
-    return gen_claims(spark, n)
-
-
-_ = (FE, SC)

@@ -3,13 +3,13 @@ monitoring (K1–K5, A16, A17)."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators import drift as DR
 from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import scoring as SC
+from ..session import cut_lineage
 from ..sources.fixtures import claims
 from ..sources.schema import FEATURE_COLUMNS
 from . import sqlparts as S
@@ -143,11 +143,7 @@ def q_cls_report(spark, d):
   (SELECT {_AP} FROM cum) AS average_precision FROM cm""")
 def q_evaluate(spark, d):
     """M9: full evaluation record."""
-    s = scored(spark, d).cache()
-    try:
-        return M.evaluate(s)  # a local 1-row frame: the cache can go
-    finally:
-        s.unpersist()
+    return M.evaluate(scored(spark, d))
 
 
 # ------------------------------------------------------------------- drift
@@ -162,30 +158,20 @@ def _split_mi(spark, d):
 
 
 def _drift_stack(spark, d):
-    """One feature pass tagged train/score by date, persisted for the drift
-    passes (the drift operators return bounded local results, so the cache
-    is released right after)."""
+    """One feature pass tagged train/score by date, written for the drift
+    passes."""
     mi = FE.model_input(FE.features_wide(claims(spark, d)), keep=("claim_id", "service_date"))
     date = F.col("service_date")
     tag = F.when(date < F.lit("2000-01-01").cast("date"), "train").otherwise("score")
-    stack = (mi.where(date.isNotNull())
-             .select(tag.alias("dataset"), *[F.col(c).cast("double").alias(c) for c in FEATURE_COLUMNS])
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    return mi, stack
+    return mi, cut_lineage(mi.where(date.isNotNull()).select(
+        tag.alias("dataset"), *[F.col(c).cast("double").alias(c) for c in FEATURE_COLUMNS]))
 
 
 def _drift(spark, d, what):
     tr, stack = _drift_stack(spark, d)
-    try:
-        if what == "psi":
-            return DR.psi(tr, tr, FEATURE_COLUMNS, stack=stack)
-        det = DR.drift_features(tr, tr, FEATURE_COLUMNS, stack=stack)
-        if what == "details":
-            return det
-        rows = det.collect()
-        return spark.createDataFrame(rows, det.schema)
-    finally:
-        stack.unpersist()
+    if what == "psi":
+        return DR.psi(tr, tr, FEATURE_COLUMNS, stack=stack)
+    return DR.drift_features(tr, tr, FEATURE_COLUMNS, stack=stack)
 
 
 _MI2 = ("mi2 AS (SELECT CASE WHEN service_date < " + _SPLIT + " THEN 'train' ELSE 'score' END AS dataset, "
@@ -261,12 +247,7 @@ def q_drift_report(spark, d):
 def q_feature_profile(spark, d):
     """Per-feature mean / sample std for train and score."""
     _, stack = _drift_stack(spark, d)
-    try:
-        prof = DR.stacked_profile(stack, FEATURE_COLUMNS)
-        return spark.createDataFrame(prof.collect(), prof.schema).select(
-            "feature", "training_mean", "training_std", "scoring_mean", "scoring_std")
-    finally:
-        stack.unpersist()
+    return DR.stacked_profile(stack, FEATURE_COLUMNS)
 
 
 @register("prediction_profile", S.with_(scored=True) +

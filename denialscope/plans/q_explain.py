@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import explain as X
 from ..operators import features as FE
 from ..sources.fixtures import claims
@@ -20,10 +22,10 @@ LINEAR_COEFFS = {"provider_historical_denial_rate": 0.3, "has_chronic_condition"
 LINEAR_INTERCEPT = 0.1
 
 
-def _rules_expl(spark, d, policy="batch"):
+def _rules_expl(spark, d, policy="batch", values=False):
     hist = "loo" if policy == "batch" else "default"
     f = FE.features_wide(claims(spark, d), provider_history=hist, policy=policy)
-    return X.explain_rules(f)
+    return X.explain_rules(f, values=values)
 
 
 # -------------------------------------------------------------- oracle CTEs
@@ -81,17 +83,42 @@ def q_explain_rules(spark, d):
 @register("explain_batch", _EX_SQL + f"""SELECT claim_id, {_rnd('base_value')} AS base_value,
   {S.np_round_sql('prediction', 4)} AS prediction, {_factors_sql()} FROM ex""")
 def q_explain_batch(spark, d):
-    """Explanation records (map column omitted from the SQL check)."""
+    """Explanation records (their maps: explain_batch_map)."""
     return X.explanation_records(_rules_expl(spark, d)).drop("feature_contributions")
 
 
 @register("explain_claims", _EX_SERVE_SQL + f"""SELECT claim_id, {_rnd('base_value')} AS base_value,
   {S.np_round_sql('prediction', 4)} AS prediction, {_factors_sql()} FROM ex""")
 def q_explain_claims(spark, d):
-    """E5: serve-form explanation records (feature values map omitted)."""
+    """E5: serve-form explanation records (their maps: explain_claims_map)."""
     return X.explanation_records(_rules_expl(spark, d, "serve")).drop("feature_contributions")
 
 
+def _long(names, values, value):
+    return f"unnest({S.sql_list(names)}) AS feature, unnest([{', '.join(values)}]) AS {value}"
+
+
+@register("explain_batch_map", _EX_SQL + f"SELECT claim_id, {_long(FEATURE_COLUMNS, [_rnd('c_' + f) + ' + 0.0' for f in FEATURE_COLUMNS], 'contribution')} FROM ex")
+def q_explain_batch_map(spark, d):
+    """The contribution map of every record, one row a feature."""
+    r = X.explanation_records(_rules_expl(spark, d))
+    return r.select("claim_id", F.explode("feature_contributions").alias("feature", "contribution")).withColumn("contribution", F.col("contribution") + 0.0)
+
+
+_VALUES = [f"CAST({f} AS DOUBLE)" for f in FEATURE_COLUMNS]
+
+
+@register("explain_claims_map", S.with_(*_ex_ctes(), policy="serve") + f"""SELECT f.claim_id, f.feature, f.value, e.contribution FROM
+  (SELECT claim_id, {_long(FEATURE_COLUMNS, _VALUES, 'value')} FROM feat) f JOIN
+  (SELECT claim_id, {_long(FEATURE_COLUMNS, [_rnd('c_' + f) + ' + 0.0' for f in FEATURE_COLUMNS], 'contribution')} FROM ex) e
+  ON f.claim_id = e.claim_id AND f.feature = e.feature""")
+def q_explain_claims_map(spark, d):
+    """E5: feature values and contributions of every record, one row a feature."""
+    r = X.explanation_records(_rules_expl(spark, d, "serve", values=True))
+    return r.select("claim_id", F.explode("feature_values").alias("feature", "value"), "feature_contributions").select(
+        "claim_id", "feature", "value", (F.try_element_at("feature_contributions", F.col("feature")) + 0.0).alias("contribution"))
+
+
 @register("top_factors", _EX_SQL + f"SELECT claim_id, {_factors_sql()} FROM ex")
 def q_top_factors(spark, d):
     """Top risk / protective factor lists."""

@@ -5,8 +5,6 @@ from __future__ import annotations
 
 import uuid
 
-
-
 from ..session import scratch_path
 from ..sources.fixtures import claims
 from ..sources.schema import CLAIM_COLUMNS
@@ -16,15 +14,20 @@ from .q_core import _V_ALL, _dx_sql, _px_sql
 from .q_io import _CLAIMS_SQL, _claims_out
 from .registry import register
 
-N_FILES = 8
+#: Service dates at which the staged claims are cut into arrivals.
+BOUNDS = ["1996-01-01", "1998-01-01", "2000-01-01"]
 
 
-def _staged(spark, d):
+def _stream(spark, d, run):
+    """Stage the claims by date range, let one range after the other arrive,
+    and run the stream after each: one micro-batch a range. ``run(claims,
+    base, source)`` returns the result so far; the last is the whole."""
     base = scratch_path(spark, f"streams/{uuid.uuid4().hex}")
-    src = f"{base}/source"
     c = claims(spark, d)
-    J.stage_claim_files(c, src, N_FILES)
-    return c, base, src
+    for k in J.stage_ranges(c, f"{base}/staged", BOUNDS):
+        J.arrive(spark, f"{base}/staged", k, f"{base}/source")
+        out = run(c, base, f"{base}/source")
+    return out, base
 
 
 _KEEP = [c for c in CLAIM_COLUMNS if c not in ("claim_type", "place_of_service")]
@@ -39,20 +42,31 @@ _X1_SQL = S.with_(policy="serve", scored=True, src="vc", rate="hist", pre=(_VA,
   {_REIMB_SERVE} AS estimated_reimbursement, {S.CONF_SERVE} AS confidence, '1.2.0' AS model_version FROM sc"""
 
 
+def _score(spark, d):
+    return _stream(spark, d, lambda c, base, src: J.stream_score(spark, src, f"{base}/out", history=c, checkpoint=f"{base}/ckpt"))
+
+
 @register("stream_score", _X1_SQL)
 def q_stream_score(spark, d):
     """Validate → serve features (history rates) → score, as a stream."""
-    c, base, src = _staged(spark, d)
-    out = J.stream_score(spark, src, f"{base}/out", history=c, checkpoint=f"{base}/ckpt")
-    return out.drop("batch_id")
+    return _score(spark, d)[0].drop("batch_id")
+
 
+_RANGE = "CASE " + " ".join(f"WHEN service_date < DATE '{x}' THEN {k}" for k, x in enumerate(BOUNDS)) + f" WHEN service_date IS NOT NULL THEN {len(BOUNDS)} ELSE {len(BOUNDS) + 1} END"
+_X2_SQL = S.with_(policy="serve", scored=True, src="vc", rate="hist", pre=(_VA, _VC)) + f""",
+tb AS (SELECT CAST(dense_rank() OVER (ORDER BY r) - 1 AS BIGINT) AS batch_id, r FROM (SELECT DISTINCT {_RANGE} AS r FROM claims)),
+sb AS (SELECT {_RANGE} AS r, CAST(p_denial >= 0.5 AS INT) AS y FROM sc)
+SELECT tb.batch_id, COUNT(sb.r) AS total_claims, CAST(coalesce(SUM(sb.y), 0) AS BIGINT) AS total_predicted_denied,
+  coalesce(CAST(SUM(sb.y) AS DOUBLE) / NULLIF(COUNT(sb.r), 0), 0.0) AS batch_denial_rate
+FROM tb LEFT JOIN sb ON tb.r = sb.r GROUP BY tb.batch_id"""
 
-@register("stream_batch_summary")
+
+@register("stream_batch_summary", _X2_SQL)
 def q_stream_summary(spark, d):
     """Per micro-batch totals, predicted denials and rate."""
-    c, base, src = _staged(spark, d)
-    J.stream_score(spark, src, f"{base}/out", history=c, checkpoint=f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/out/batch_summary")
+    _, base = _score(spark, d)
+    summary = spark.read.parquet(f"{base}/out/batch_summary")
+    return summary.select("total_claims", "total_predicted_denied", "batch_denial_rate", summary.batch_id.cast("long").alias("batch_id"))
 
 
 _MEAN = (f"CAST(SUM(CAST(round_even(p_denial * {S.D(1e9)}, 0) AS DECIMAL(38,0))) AS DOUBLE) "
@@ -70,15 +84,10 @@ FROM sc WHERE service_date <= (SELECT max(service_date) FROM claims) - 2 GROUP B
 @register("stream_denial_rate", _X3_SQL)
 def q_stream_rate(spark, d):
     """Closed daily windows of predicted denial rate with K4 status."""
-    _, base, src = _staged(spark, d)
-    return J.stream_denial_rate(spark, src, f"{base}/out", f"{base}/ckpt")
+    return _stream(spark, d, lambda c, base, src: J.stream_denial_rate(spark, src, f"{base}/out", f"{base}/ckpt"))[0]
 
 
 @register("stream_ingest", _CLAIMS_SQL)
 def q_stream_ingest(spark, d):
     """De-duplicating incremental ingest of the claim files."""
-    _, base, src = _staged(spark, d)
-    return _claims_out(J.stream_ingest(spark, src, f"{base}/out", f"{base}/ckpt"))
-
-
-
+    return _claims_out(_stream(spark, d, lambda c, base, src: J.stream_ingest(spark, src, f"{base}/out", f"{base}/ckpt"))[0])

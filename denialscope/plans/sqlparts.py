@@ -48,10 +48,27 @@ HIST_EXPR = ("least(greatest(coalesce(CAST(p.total_denied AS DOUBLE) / "
              "NULLIF(CAST(p.total_claims AS DOUBLE), 0), 0.25), 0.0), 1.0)")
 
 
+# Point-in-time rate: claims of the provider in the 90 days before the day.
+ROLL_CTE = """daily AS (
+  SELECT provider_npi, CAST(service_date - DATE '1970-01-01' AS BIGINT) AS day,
+         CAST(SUM(is_denied) AS BIGINT) AS denied, COUNT(is_denied) AS n
+  FROM claims WHERE provider_npi IS NOT NULL AND service_date IS NOT NULL
+  GROUP BY ALL
+), roll AS (
+  SELECT provider_npi, day,
+    CAST(SUM(denied) OVER w AS DOUBLE) / NULLIF(CAST(SUM(n) OVER w AS DOUBLE), 0) AS r
+  FROM daily
+  WINDOW w AS (PARTITION BY provider_npi ORDER BY day RANGE BETWEEN 90 PRECEDING AND 1 PRECEDING)
+)"""
+
+
 def arr_cte(src: str = "claims", rate: str = "loo") -> str:
     """Code arrays, clipped lag and provider rate: ``loo`` (leave-one-out over
-    ``claims``), ``hist`` (full-history rate from ``claims``), ``default`` (0.25)."""
-    rate_sql = {"loo": LOO_EXPR, "hist": HIST_EXPR, "default": "CAST(0.25 AS DOUBLE)"}[rate]
+    ``claims``), ``hist`` (full-history rate from ``claims``), ``roll`` (90 days
+    before the claim), ``default`` (0.25)."""
+    rate_sql = {"loo": LOO_EXPR, "hist": HIST_EXPR, "roll": "coalesce(rl.r, 0.25)", "default": "CAST(0.25 AS DOUBLE)"}[rate]
+    roll = (" LEFT JOIN roll rl ON c.provider_npi = rl.provider_npi "
+            "AND CAST(c.service_date - DATE '1970-01-01' AS BIGINT) = rl.day" if rate == "roll" else "")
     return f"""arr AS (
   SELECT c.*, {rate_sql} AS prate,
     CASE WHEN c.diagnosis_codes IS NULL OR c.diagnosis_codes = '' THEN []::VARCHAR[]
@@ -60,7 +77,7 @@ def arr_cte(src: str = "claims", rate: str = "loo") -> str:
          ELSE string_split(c.procedure_codes, '|') END AS px,
     CASE WHEN c.submission_date IS NULL OR c.service_date IS NULL THEN NULL
          ELSE greatest(CAST(c.submission_date - c.service_date AS INT), 0) END AS lag
-  FROM {src} c LEFT JOIN prov p ON c.provider_npi = p.provider_npi
+  FROM {src} c LEFT JOIN prov p ON c.provider_npi = p.provider_npi{roll}
 )"""
 
 
@@ -172,7 +189,7 @@ def base_ctes(policy: str = "batch", scored: bool = False, mi: bool = False,
     """claims → [pre CTEs] → provider stats → arrays/rate (from ``src``) →
     features [→ model input] [→ rule score]."""
     rate = rate or ("loo" if policy == "batch" else "default")
-    parts = [claims_cte(), *pre, PROV_CTE, arr_cte(src, rate), feat_cte("feat", policy)]
+    parts = [claims_cte(), *pre, PROV_CTE, *([ROLL_CTE] if rate == "roll" else []), arr_cte(src, rate), feat_cte("feat", policy)]
     if mi:
         parts.append(mi_cte())
     if scored:

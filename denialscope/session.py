@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -19,9 +20,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Local mode only: the driver JVM is the executor (ignored once a JVM runs).
-    "spark.driver.memory": "16g",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
+#: Local mode only: the driver JVM is the executor.
+LOCAL_CONF = {"spark.driver.memory": "16g"}
 
 
 def get_spark(master: str | None = None, app: str = "denialscope",
@@ -29,14 +31,19 @@ def get_spark(master: str | None = None, app: str = "denialscope",
               extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE, skew-join splitting and UTC."""
     builder = SparkSession.builder.appName(app)
-    if master:
+    running = SparkContext._active_spark_context
+    given = running.getConf() if running else SparkConf()
+    if master and not given.contains("spark.master"):
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if (given.get("spark.master", master) or "").startswith("local["):
+        conf.update(LOCAL_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
-        builder = builder.config(k, v)
+        if not given.contains(k):  # what the launcher has set stays
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -46,11 +53,13 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the launcher (HDFS/S3/ABFS path). Only
-    when it is unset (local tests) do we create a scratch folder and register
+    in local mode do we create a scratch folder when it is unset and register
     it, so lineage cuts still go through ``checkpoint()``.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="denialscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schema import CLAIM_COLUMNS, CLAIMS_CSV_SCHEMA, CLAIMS_SCHEMA
+from .schema import CLAIM_COLUMNS, CLAIMS_CSV_SCHEMA, CLAIMS_SCHEMA, REQUEST_SCHEMA
 
 NULL_TOKEN = "\\N"
 
@@ -39,7 +40,8 @@ def read_claims_csv(spark: SparkSession, path: str, null_token: str | None = NUL
     """
     reader = (spark.read.schema(CLAIMS_CSV_SCHEMA).option("header", True)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+              .option("columnPruning", False))  # a line that breaks off is seen whatever columns are asked for
     if null_token is not None:
         reader = reader.option("nullValue", null_token)
     raw = reader.csv(path)
@@ -47,8 +49,18 @@ def read_claims_csv(spark: SparkSession, path: str, null_token: str | None = NUL
     parsed_svc = F.try_to_date(svc, "yyyy-MM-dd")
     parsed_sub = F.try_to_date(sub, "yyyy-MM-dd")
     bad_date = ((svc.isNotNull() & parsed_svc.isNull()) | (sub.isNotNull() & parsed_sub.isNull()))
-    out = raw.withColumn("service_date", parsed_svc).withColumn("submission_date", parsed_sub)
-    return out.select(*CLAIM_COLUMNS, "_corrupt_record", bad_date.alias("date_error"))
+    # the flag looks at the text, so it comes before the dates replace it
+    out = raw.withColumn("date_error", bad_date).withColumn("service_date", parsed_svc).withColumn("submission_date", parsed_sub)
+    return out.select(*CLAIM_COLUMNS, "_corrupt_record", "date_error")
+
+
+def read_requests_json(spark: SparkSession, path: str) -> DataFrame:
+    """Request-form claims (code arrays, no label) as JSON lines; an absent
+    code list is empty."""
+    raw = spark.read.schema(REQUEST_SCHEMA).json(path)
+    for c in ("diagnosis_codes", "procedure_codes"):
+        raw = raw.withColumn(c, F.coalesce(F.col(c), F.array().cast("array<string>")))
+    return raw
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -88,25 +100,24 @@ PREDICTION_SCHEMA = T.StructType([
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """Prediction history scan; an empty typed frame if nothing exists yet."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], PREDICTION_SCHEMA)
     return spark.read.parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, asked through Spark's own
+    file listing, so that any store and Spark Connect are served."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").isEmpty()
+        return True
+    except AnalysisException:
+        return False
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """JSON artifact (one file per partition; a 1-row report is one file)."""
-    df.coalesce(1).write.mode("overwrite").json(path)
-
-
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """JSON artifact, one file per partition."""
+    df.write.mode("overwrite").json(path)
 
 
 def union_history(history: DataFrame, new: DataFrame) -> DataFrame:

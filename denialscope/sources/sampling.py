@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DAILY_BATCH_SIZE = 2000
-
 
 def sample_key(seed) -> F.Column:
     return F.md5(F.concat(F.col("claim_id").cast("string"), F.lit(f"|{seed}")))
 
 
-def daily_batch(claims: DataFrame, seed: int, n: int = DAILY_BATCH_SIZE) -> DataFrame:
+def daily_batch(claims: DataFrame, seed: int, n: int) -> DataFrame:
     """min(n, |claims|) claims without replacement, chosen by a seeded
     hash order (seed = day of month). ``orderBy + limit`` plans as a
     TakeOrderedAndProject: each task keeps its n best rows, so only

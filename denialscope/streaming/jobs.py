@@ -25,34 +25,31 @@ from ..sources.schema import CLAIMS_SCHEMA
 EVENT_TS = "event_ts"
 
 
-def stage_claim_files(claims: DataFrame, path: str, n_files: int = 8, date_col: str = "service_date") -> list:
-    """Write claims as ``n_files`` date-ordered Parquet files, one append per
-    range so modification times follow event time (the order a file stream
-    reads them in). Range bounds come from bounded approximate quantiles."""
-    day = F.unix_date(F.col(date_col))
-    keyed = claims.withColumn("__day", day)
-    probs = [i / n_files for i in range(1, n_files)]
-    bounds = sorted(set(keyed.approxQuantile("__day", probs, 0.0001)))
-    edges = [None] + bounds + [None]
-    written = []
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("__day") >= lo)
-        if hi is not None:
-            cond = cond & (F.col("__day") < hi)
-        part = keyed.where(cond).drop("__day").sortWithinPartitions(date_col)
-        part.coalesce(1).write.mode("append").parquet(path)
-        written.append((lo, hi))
-    nulls = claims.where(F.col(date_col).isNull())
-    if nulls.limit(1).count():
-        nulls.coalesce(1).write.mode("append").parquet(path)
-    return written
-
-
-def claim_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
-    return (spark.readStream.schema(CLAIMS_SCHEMA).option("maxFilesPerTrigger", max_files)
-            .parquet(path))
+RANGE = "stage_range"
+
+
+def stage_ranges(claims: DataFrame, path: str, bounds: list[str], date_col: str = "service_date") -> list[int]:
+    """Write claims once, in one folder a date range: before the first bound,
+    between bounds, from the last one, and without a date. Returns the ranges
+    that have rows, in the order of time."""
+    d = F.col(date_col)
+    at = F.lit(len(bounds) + 1)
+    for k, bound in reversed(list(enumerate([*bounds, None]))):
+        at = F.when(d < F.lit(bound).cast("date"), k).otherwise(at) if bound else F.when(d.isNotNull(), k).otherwise(at)
+    claims.withColumn(RANGE, at).write.partitionBy(RANGE).parquet(path)
+    return sorted(r[0] for r in claims.sparkSession.read.parquet(path).select(RANGE).distinct().collect())
+
+
+def arrive(spark: SparkSession, staged: str, k: int, source: str) -> None:
+    """Let the files of one staged range arrive at the stream's source."""
+    spark.read.parquet(staged).where(F.col(RANGE) == k).drop(RANGE).write.mode("append").parquet(source)
+
+
+def claim_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """File stream of claims; a micro-batch takes all files that are there, or
+    at most ``max_files``."""
+    reader = spark.readStream.schema(CLAIMS_SCHEMA)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
 
 
 def _with_event_time(df: DataFrame, date_col: str = "service_date") -> DataFrame:
@@ -95,7 +92,7 @@ def score_microbatch(batch: DataFrame, batch_id: int, rates: DataFrame, out: str
 
 
 def stream_score(spark: SparkSession, source: str, out: str, history: DataFrame,
-                 checkpoint: str, max_files: int = 1):
+                 checkpoint: str, max_files: int | None = None):
     """Score a claim stream until the available files are consumed."""
     rates = H.history_rates(history).cache()  # static side, reused by every micro-batch
     try:
@@ -110,10 +107,11 @@ def stream_score(spark: SparkSession, source: str, out: str, history: DataFrame,
 
 # --------------------------------------------------------------------- X3
 def stream_denial_rate(spark: SparkSession, source: str, out: str, checkpoint: str,
-                       delay: str = "1 day", max_files: int = 1, output_mode: str = "append"):
+                       delay: str = "1 day", max_files: int | None = None, output_mode: str = "append"):
     """Daily tumbling windows of predicted denial rate and mean p with
-    the K4 status; late rows beyond the watermark are dropped; append mode
-    emits a window once the watermark passes its end."""
+    the K4 status; rows without a date belong to no window, and late rows
+    beyond the watermark are dropped; append mode emits a window once the
+    watermark passes its end."""
     s = _with_event_time(claim_stream(spark, source, max_files))
     exprs = feature_exprs("serve")
     feats = s.select(*[c for c in s.columns if c not in exprs], *[e.alias(n) for n, e in exprs.items()])
@@ -134,7 +132,7 @@ def stream_denial_rate(spark: SparkSession, source: str, out: str, checkpoint: s
 
 # --------------------------------------------------------------------- X4
 def stream_ingest(spark: SparkSession, source: str, out: str, checkpoint: str,
-                  delay: str = "30 days", max_files: int = 1):
+                  delay: str = "30 days", max_files: int | None = None):
     """Incremental ingest with de-duplication by claim_id within the
     watermark; the checkpoint remembers which files were already read."""
     s = _with_event_time(claim_stream(spark, source, max_files))

@@ -61,7 +61,7 @@ def test_category_flags(claims_of):
 
 
 def test_log_billed(claims_of):
-    assert abs(feats(claims_of)["log_billed_amount"] - math.log1p(285)) < 1e-3
+    assert abs(feats(claims_of)["log_billed_amount"] - math.log1p(360)) < 1e-3
 
 
 @pytest.mark.parametrize("pos,em,inp", [("23", 1, 0), ("21", 0, 1), ("31", 0, 1), ("11", 0, 0)])
@@ -88,7 +88,7 @@ def test_code_counts_edge_cases(claims_of):
     assert r[0]["n_diagnosis_codes"] == 3
     assert r[1]["n_procedure_codes"] == 0
     assert (r[2]["n_diagnosis_codes"], r[2]["n_procedure_codes"]) == (0, 0)
-    assert r[2]["cost_per_procedure"] == 285.0
+    assert r[2]["cost_per_procedure"] == 360.0
 
 
 def test_ratio_boundaries(claims_of):
@@ -102,7 +102,7 @@ def test_ratio_boundaries(claims_of):
 def test_serve_policy(claims_of):
     f = features_serve_policy(claims_of({"place_of_service": "23"})).first()
     assert (f["is_emergency"], f["has_chronic_condition"], f["submission_lag_days"], f["member_age"],
-            f["is_male"]) == (1, 1, 9, 55, 1)
+            f["is_male"]) == (1, 1, 12, 47, 1)
     bare = features_serve_policy(claims_of({"place_of_service": None, "member_age": None, "member_gender": None,
                                             "allowed_amount": None})).first()
     assert all(bare[c] is not None for c in FEATURE_COLUMNS)
@@ -112,8 +112,8 @@ def test_serve_policy(claims_of):
 
 
 def test_weekend_and_month(claims_of):
-    r = feats(claims_of)  # 2024-06-01 is a Saturday
-    assert (r["is_weekend_service"], r["service_month"]) == (1, 6)
+    r = feats(claims_of)  # 2024-03-09 is a Saturday
+    assert (r["is_weekend_service"], r["service_month"]) == (1, 3)
     r = feats(claims_of, service_date=D(2024, 6, 3))
     assert r["is_weekend_service"] == 0
 

@@ -11,7 +11,6 @@ from denialscope.operators.features import features_wide, model_input
 from denialscope.plans.daily import daily_scoring
 from denialscope.sources import files
 from denialscope.sources.fixtures import TABLES, claims
-from denialscope.sources.generate import gen_claims, gen_providers
 from denialscope.streaming import jobs as J
 
 SF001 = "/root/testdata/sf0.001"
@@ -59,14 +58,91 @@ def test_oracle_sf0001(spark, name):
 
 def test_daily_pipeline_idempotent(spark, small_claims):
     out_dir = tempfile.mkdtemp(prefix="daily-")
-    r1 = daily_scoring(small_claims, "2024-01-15", out_dir, n=500)
-    assert r1["predictions"].count() == 500
-    r2 = daily_scoring(small_claims, "2024-01-15", out_dir, n=500)
+    r1 = daily_scoring(small_claims, "2024-01-15", "2000-01-01", out_dir)
+    due = small_claims.where("submission_date > '2000-01-01'").count()
+    assert r1["predictions"].count() == due > 1000  # every claim since the last run
+    r2 = daily_scoring(small_claims, "2024-01-15", "2000-01-01", out_dir)
     hist = files.read_predictions(spark, os.path.join(out_dir, "prediction_history"))
-    assert hist.count() == 500  # re-run replaced the partition
+    assert hist.count() == due  # re-run replaced the partition
     assert r2["drift_report"].first()["n_features_monitored"] == 23
 
 
+def test_daily_drift_of_the_same_claims_is_zero(spark, small_claims):
+    """Both sides of the report define the provider rate alike."""
+    out = daily_scoring(small_claims.where("submission_date is not null"), "2024-01-15", "1900-01-01",
+                        tempfile.mkdtemp(prefix="daily-"), history=small_claims.where("submission_date is not null"))
+    assert {r["psi"] for r in out["drift_details"].collect()} == {0.0}
+
+
+def test_training_features_do_not_hold_the_label(spark, small_claims):
+    """Point-in-time rates stay when a row's own label flips; leave-one-out
+    rates of its neighbours would not."""
+    some = small_claims.dropDuplicates(["claim_id"])
+    flipped = some.withColumn("is_denied", F.when(F.col("claim_id") == some.agg(F.max("claim_id")).first()[0], 1 - F.col("is_denied")).otherwise(F.col("is_denied")))
+    target = some.agg(F.max("claim_id")).first()[0]
+    rate = lambda df: features_wide(df, provider_history="rolling_90d").where(F.col("claim_id") == target).first()["provider_historical_denial_rate"]
+    assert rate(some) == rate(flipped)
+
+
+def test_null_npi_and_rolling_history(spark, small_claims):
+    from denialscope.operators.history import RollingHistory
+    a = features_wide(small_claims, provider_history="rolling_90d").select("claim_id", "provider_historical_denial_rate")
+    b = features_wide(small_claims.withColumn("is_denied", F.lit(None).cast("int")), provider_history=RollingHistory(small_claims)).select("claim_id", "provider_historical_denial_rate")
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count() == small_claims.count()
+    nulls = features_wide(small_claims.withColumn("provider_npi", F.lit(None).cast("string")))
+    assert {r[0] for r in nulls.select("provider_historical_denial_rate").distinct().collect()} == {0.25}
+
+
+SMALL_FOREST = {"kind": "rf", "numTrees": 4, "maxDepth": 3, "minInstancesPerNode": 10, "weights": "balanced"}
+
+
+def test_weekly_gate_and_versions(spark, small_claims):
+    """First run deploys; a second of the same date is held back or keeps the
+    first version as the backup. The daily job scores with what is promoted."""
+    from denialscope.operators.scoring import ModelScorer, promoted_scorer
+    from denialscope.plans.weekly import weekly_retrain
+    base = tempfile.mkdtemp(prefix="weekly-")
+    assert promoted_scorer(spark, f"{base}/models") is None
+    one = weekly_retrain(small_claims, base, config_name="small", config=SMALL_FOREST)
+    assert one["deployed_path"] and one["backup_path"] is None
+    two = weekly_retrain(small_claims, base, config_name="small", config=SMALL_FOREST)
+    row = two["summary"].first()
+    assert row["deployed"] is False and row["production_holdout_auc"] is not None and row["production_whole_auc"] is not None
+    forced = weekly_retrain(small_claims, base, config_name="small", config=SMALL_FOREST, min_gain=-1.0)
+    assert forced["backup_path"] == one["deployed_path"] and os.path.isdir(one["deployed_path"])
+    assert TR.promotions(spark, f"{base}/models") == [forced["deployed_path"], one["deployed_path"]]
+    out = daily_scoring(small_claims, "2024-01-15", "2001-01-01", tempfile.mkdtemp(prefix="daily-"), models_dir=f"{base}/models")
+    model = promoted_scorer(spark, f"{base}/models")
+    assert isinstance(model, ModelScorer)
+    want = TR.score(model.model, out["features"]).select(F.round("p_denial", 3).alias("p")).groupBy("p").count()
+    got = out["predictions"].select(F.round("denial_probability", 3).alias("p")).groupBy("p").count()
+    assert abs(want.agg(F.sum(F.col("p") * F.col("count"))).first()[0] - got.agg(F.sum(F.col("p") * F.col("count"))).first()[0]) < 1.0
+
+
+def test_unlabelled_rows_take_no_part_in_training(spark, small_claims):
+    mi = model_input(features_wide(small_claims), keep=("claim_id", "is_denied"))
+    some = mi.withColumn("is_denied", F.when(F.hash("claim_id") % 5 != 0, F.col("is_denied")))
+    assert 0 < TR.labelled(some).count() < some.count()
+    model = TR.fit(some, SMALL_FOREST)
+    assert abs(sum(v for _, v in TR.feature_importance(model)) - 1) < 1e-9
+
+
+def test_logistic_fit_is_stationary(spark, small_claims):
+    """The gradient of the penalised weighted loss vanishes at the fit."""
+    import numpy as np
+    from denialscope.sources.schema import FEATURE_COLUMNS
+    mi = model_input(features_wide(small_claims, provider_history="rolling_90d"), keep=("claim_id", "is_denied"))
+    lr = TR.fit(mi, TR.MODEL_CONFIGS["LogisticRegression"]).stages[-1]
+    pdf = mi.select(*FEATURE_COLUMNS, "is_denied").toPandas().astype(float)
+    x, y = pdf[FEATURE_COLUMNS].to_numpy(), pdf["is_denied"].to_numpy()
+    w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+    beta = lr.coefficients.toArray()
+    p = 1 / (1 + np.exp(-(x @ beta + lr.intercept)))
+    scale = np.maximum(np.abs(x).max(axis=0), 1)
+    grad = (x.T @ (w * (p - y)) + beta) / w.sum() / scale
+    assert np.abs(grad).max() < 0.02 and abs((w * (p - y)).sum() / w.sum()) < 0.02
+
+
 def test_csv_roundtrip_exact(spark, small_claims):
     path = tempfile.mkdtemp(prefix="csv-")
     files.write_claims_csv(small_claims, path)
@@ -76,8 +152,9 @@ def test_csv_roundtrip_exact(spark, small_claims):
 
 def test_stream_ingest_equals_batch(spark, small_claims):
     base = tempfile.mkdtemp(prefix="stream-")
-    J.stage_claim_files(small_claims, f"{base}/src", 4)
-    out = J.stream_ingest(spark, f"{base}/src", f"{base}/out", f"{base}/ckpt")
+    for k in J.stage_ranges(small_claims, f"{base}/staged", ["1997-01-01", "1999-01-01"]):
+        J.arrive(spark, f"{base}/staged", k, f"{base}/src")
+        out = J.stream_ingest(spark, f"{base}/src", f"{base}/out", f"{base}/ckpt")
     # one claim id repeats at sf0.001: dedup keeps one of the two rows
     assert out.count() == small_claims.select("claim_id").distinct().count()
 
@@ -86,7 +163,7 @@ def test_stream_score_equals_batch(spark, small_claims):
     from denialscope.operators import scoring as SC
     from denialscope.operators import validate as VA
     base = tempfile.mkdtemp(prefix="xscore-")
-    J.stage_claim_files(small_claims, f"{base}/src", 3)
+    files.write_parquet(small_claims, f"{base}/src")
     out = J.stream_score(spark, f"{base}/src", f"{base}/out", history=small_claims, checkpoint=f"{base}/ck")
     valid, quarantine = VA.split_claims(small_claims)
     batch = SC.predict_claims(features_wide(valid, provider_history=small_claims, policy="serve"))
@@ -97,18 +174,6 @@ def test_stream_score_equals_batch(spark, small_claims):
     assert q.count() == quarantine.count() > 0
 
 
-def test_generator_moments(spark):
-    g = gen_claims(spark, 20000).cache()
-    r = g.agg(F.avg("is_denied").alias("rate"), F.avg((F.col("claim_type") == "medical").cast("double")).alias("med"),
-              F.avg((F.col("claim_type") == "pharmacy").cast("double")).alias("ph"),
-              F.countDistinct("claim_id").alias("ids")).first()
-    assert 0.15 < r["rate"] < 0.40
-    assert abs(r["med"] - 0.6) < 0.02 and abs(r["ph"] - 0.3) < 0.02
-    assert r["ids"] == 20000
-    t = gen_providers(spark).agg(F.avg("provider_denial_tendency")).first()[0]
-    assert abs(t - 0.25) < 0.03
-
-
 def test_folds_balanced_and_gate(spark, small_claims):
     mi = model_input(features_wide(small_claims), keep=("claim_id", "is_denied"))
     f = TR.stratified_folds(mi).groupBy("is_denied", "fold").count().collect()

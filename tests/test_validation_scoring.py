@@ -11,8 +11,8 @@ from denialscope.operators import validate as VA
 from denialscope.operators.features import features_serve_policy, features_wide
 from denialscope.sources.schema import REQUEST_SCHEMA
 
-VALID = ("CLM-2025-00001", "MBR-100234", "1234567890", "medical", "11", ["E11.9", "I10"], ["99214"], 285.0,
-         195.0, dt.date(2025, 1, 10), dt.date(2025, 1, 12), None, None, None, None, None)
+VALID = ("R-9", "M-31", "5550009998", "medical", "22", ["J44.1", "K21.0"], ["71046"], 410.0,
+         305.0, dt.date(2025, 2, 3), dt.date(2025, 2, 20), None, None, None, None, None)
 FIELDS = [f.name for f in REQUEST_SCHEMA.fields]
 
 
@@ -97,14 +97,14 @@ def test_rule_billed_boundaries(spark, billed, term):
 
 
 def test_reimbursement(claims_of):
-    f = features_wide(claims_of({"allowed_amount": 195.0}, {"allowed_amount": 0.0}, {"allowed_amount": None},
+    f = features_wide(claims_of({"allowed_amount": 240.0}, {"allowed_amount": 0.0}, {"allowed_amount": None},
                                 {"billed_amount": 20000.0, "submission_date": dt.date(2024, 12, 1)}))
     rows = {r["claim_id"]: r for r in SC.predict_batch(f).collect()}
-    assert rows["CLM-TEST-000"]["estimated_reimbursement"] == 195.0
-    assert rows["CLM-TEST-001"]["estimated_reimbursement"] == pytest.approx(285 * 0.65)
-    assert rows["CLM-TEST-002"]["estimated_reimbursement"] == pytest.approx(285 * 0.65)
-    assert rows["CLM-TEST-003"]["predicted_denied"] is True
-    assert rows["CLM-TEST-003"]["estimated_reimbursement"] == 0.0
+    assert rows["T-0"]["estimated_reimbursement"] == 240.0
+    assert rows["T-1"]["estimated_reimbursement"] == pytest.approx(360 * 0.65)
+    assert rows["T-2"]["estimated_reimbursement"] == pytest.approx(360 * 0.65)
+    assert rows["T-3"]["predicted_denied"] is True
+    assert rows["T-3"]["estimated_reimbursement"] == 0.0
 
 
 def test_reasons_order_and_fallback(claims_of):
@@ -120,7 +120,7 @@ def test_loo_single_claim_and_null_provider(claims_of):
     df = claims_of({"provider_npi": "1111111111", "is_denied": 1}, {"provider_npi": None, "is_denied": 1},
                    {"provider_npi": "2222222222", "is_denied": 1}, {"provider_npi": "2222222222", "is_denied": 0})
     got = {r["claim_id"]: r[H.RATE] for r in H.with_loo_rate(df).collect()}
-    assert got["CLM-TEST-000"] == 0.25 and got["CLM-TEST-001"] == 0.25
-    assert got["CLM-TEST-002"] == 0.0 and got["CLM-TEST-003"] == 1.0
+    assert got["T-0"] == 0.25 and got["T-1"] == 0.25
+    assert got["T-2"] == 0.0 and got["T-3"] == 1.0
     win = {r["claim_id"]: r[H.RATE] for r in H.with_loo_rate_window(df).collect()}
     assert win == got
