@@ -64,7 +64,7 @@ def _run(query, timeout: float | None = None):
 
 
 # ----------------------------------------------------------------- X1 + X2
-def score_microbatch(batch: DataFrame, batch_id: int, rates: DataFrame, out: str) -> None:
+def score_microbatch(batch: DataFrame, batch_id: int, rates: DataFrame, out: str, scorer=None) -> None:
     """Validate → serve-policy features (provider rate from the static
     history rates) → score → write; invalid rows → quarantine; A15 summary."""
     batch = batch.persist()
@@ -77,7 +77,7 @@ def score_microbatch(batch: DataFrame, batch_id: int, rates: DataFrame, out: str
         exprs = feature_exprs("serve", provider_rate=rate)
         raw = [c for c in joined.columns if c not in exprs and c != "history_rate"]
         feats = joined.select(*raw, *[e.alias(n) for n, e in exprs.items()])
-        preds = SC.predict_claims(feats)
+        preds = SC.predict_claims(feats, scorer)
         tag = F.lit(batch_id).cast("long")
         (preds.withColumn("batch_id", tag).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(os.path.join(out, "predictions")))
@@ -92,12 +92,15 @@ def score_microbatch(batch: DataFrame, batch_id: int, rates: DataFrame, out: str
 
 
 def stream_score(spark: SparkSession, source: str, out: str, history: DataFrame,
-                 checkpoint: str, max_files: int | None = None):
-    """Score a claim stream until the available files are consumed."""
+                 checkpoint: str, max_files: int | None = None, scorer=None, models_dir: str | None = None):
+    """Score a claim stream until the available files are consumed,
+    with the given scorer, else the model promoted under ``models_dir``, else
+    the rules."""
+    scorer = scorer or SC.promoted_scorer(spark, models_dir)
     rates = H.history_rates(history).cache()  # static side, reused by every micro-batch
     try:
         q = (claim_stream(spark, source, max_files).writeStream
-             .foreachBatch(lambda df, bid: score_microbatch(df, bid, rates, out))
+             .foreachBatch(lambda df, bid: score_microbatch(df, bid, rates, out, scorer))
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         _run(q)
     finally:
