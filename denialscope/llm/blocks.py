@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import released, ship, written
 
 BLOCK_ROWS = 1 << 14
 CHUNK_ROWS, CHUNK_BYTES = 512, 4 << 20
@@ -63,10 +63,10 @@ def document_chunks(rows: DataFrame) -> DataFrame:
                     part = pa.RecordBatch.from_arrays([b.column(1).slice(start, k + 1 - start), text.slice(start, k + 1 - start)], ["id", "text"])
                     yield pa.RecordBatch.from_arrays([pa.array([int(block[k])]), pa.array([1], pa.int8()), pa.array([packed(part)], pa.binary())], schema=_FIELDS)
                     start, held = k + 1, 0
-    return rows.select("block", "id", "text").mapInArrow(run, SCHEMA)
+    return rows.select("block", "id", "text").mapInArrow(released(run), SCHEMA)
 
 
-def word_chunks(words: DataFrame, values: Callable[[pa.RecordBatch], list[pa.Array]], names: list[str], flush: int = 400_000) -> DataFrame:
+def word_chunks(words: DataFrame, values: Callable[[pa.RecordBatch], list[pa.Array]], names: list[str], flush: int = 100_000) -> DataFrame:
     """(block, kind 0, data): for each block, chunks of (word, values) of
     ``words(word, blocks, ...)``. ``values`` adds columns to a batch."""
     def run(batches):
@@ -96,7 +96,7 @@ def word_chunks(words: DataFrame, values: Callable[[pa.RecordBatch], list[pa.Arr
                 yield from out()
                 held, n = {}, 0
         yield from out()
-    return words.mapInArrow(run, SCHEMA)
+    return words.mapInArrow(released(run), SCHEMA)
 
 
 def meet(documents: DataFrame, words: DataFrame, load: Callable[[Iterable[pa.RecordBatch]], object],
@@ -122,4 +122,4 @@ def meet(documents: DataFrame, words: DataFrame, load: Callable[[Iterable[pa.Rec
                     yield apply(state, chunk)
 
     both = documents.unionByName(words)
-    return both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(run, schema)
+    return both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(released(run), schema)

@@ -34,6 +34,28 @@ def ship(spark: SparkSession) -> None:
     sc._denialscope_shipped = True
 
 
+def release() -> None:
+    """Give what a finished task has freed back to the machine: a Python
+    worker waits for its next task with the memory of its largest one."""
+    import ctypes
+    import gc
+
+    import pyarrow
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def released(run):
+    """``run`` (a function of batches, for mapInArrow), then ``release``."""
+    def wrapped(batches):
+        yield from run(batches)
+        release()
+    return wrapped
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet under the shared folder and read back:
     cuts the lineage, survives lost executors, and lets later steps prune

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import released, ship
 
 GRAM, STRIDE, MIN_WORDS = 3, 3, 5
 MATCH, MISMATCH, GAP = 2, -1, 1
@@ -163,7 +163,7 @@ def seeded(docs: DataFrame, rows: list, text_col: str) -> Items:
 
     counts = np.zeros(len(items.grams), np.int64)
     if len(items.grams):
-        for r in docs.select(text_col).mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).collect():
+        for r in docs.select(text_col).mapInArrow(released(count), "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).collect():
             counts[r.g] = r.n  # at most one row an n-gram of the block
     items.choose_seeds(counts)
     return items
@@ -189,7 +189,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(cols[0], pa.int64())), *[pa.array(c) if len(c) else pa.array([], k) for c, k in zip(cols[1:], (pa.int64(), pa.float64(), pa.int64(), pa.int64()))]],
                                                  [id_col, item_col, "score", "first_word", "last_word"])
 
-        part = docs.select(id_col, text_col).mapInArrow(search, schema)
+        part = docs.select(id_col, text_col).mapInArrow(released(search), schema)
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], schema) if out is None else out
 
@@ -205,5 +205,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             for b in batches:
                 yield b.filter(pa.array([not items.found(t) for t in b.column(at).to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = docs.mapInArrow(released(clean), docs.schema)
     return docs

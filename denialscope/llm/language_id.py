@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import released, ship
 from .sampling import bounded_sample
 
 ORDER, SLOTS = 4, 1 << 16
-SAMPLE, LANDMARKS = 2400, 192
+SAMPLE, LANDMARKS = 1600, 192
 RIDGE = 1e-3
 BATCH = 256
 UNKNOWN = "und"
@@ -54,6 +54,8 @@ class Model:
     def scores(self, marks: np.ndarray) -> np.ndarray:
         """(texts, languages) margins of a batch of presence rows."""
         size = np.maximum(marks.sum(axis=1), 1).astype(np.float32)
+        if self.landmarks.dtype != np.float32:  # they travel as bytes
+            self.landmarks = self.landmarks.astype(np.float32)
         k = marks[:, self.slots].astype(np.float32) @ self.landmarks
         return (k / np.sqrt(size)[:, None] / np.sqrt(self.sizes)) @ self.weights
 
@@ -68,7 +70,7 @@ def fit(marks: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge:
     at = np.concatenate([np.flatnonzero(y == k)[:each] for k in range(len(languages))])
     chosen = marks[at]
     slots = np.flatnonzero(chosen.any(axis=0))
-    lm = chosen[:, slots].T.astype(np.float32)
+    lm = np.ascontiguousarray(chosen[:, slots].T)
     sizes = np.maximum(chosen.sum(axis=1), 1).astype(np.float32)
     model = Model(languages, slots, lm, sizes, np.eye(len(at), dtype=np.float32))
     k_ll = model.scores(chosen).astype(np.float64)
@@ -81,6 +83,7 @@ def fit(marks: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge:
     # every language weighs the same
     w = (1.0 / np.bincount(y))[y][:, None] * len(y) / len(languages)
     beta = np.linalg.solve(phi.T @ (w * phi) + ridge * len(y) * np.eye(phi.shape[1]), phi.T @ (w * target))
+    model.landmarks = lm
     model.weights = (root @ beta[:-1]).astype(np.float32)
     model.bias = beta[-1].astype(np.float32)
     return model
@@ -140,7 +143,7 @@ def predict_language(docs: DataFrame, model: Model | None, text_col: str = "text
                                              names=[*b.schema.names, lang_out, score_out])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{lang_out}` string, `{score_out}` double"
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def accepted(lang: Column, score: Column, least: float) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import blocked, document_chunks, meet, word_chunks
-from .common import ship, written
+from .common import released, ship, written
 from .subword import Lattice, vocabulary
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -63,7 +63,7 @@ def block_words(rows: DataFrame) -> DataFrame:
                             held[x] = 0
         if held:
             yield out()
-    return rows.select("block", "train", "text").mapInArrow(run, "word string, block long, n long")
+    return rows.select("block", "train", "text").mapInArrow(released(run), "word string, block long, n long")
 
 
 def estimate(words: DataFrame, tokenizer: str, rounds: int) -> np.ndarray:
@@ -83,7 +83,7 @@ def estimate(words: DataFrame, tokenizer: str, rounds: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(use[at])], ["piece", "uses"])
 
         use = np.zeros(len(p))
-        for r in words.mapInArrow(expect, "piece long, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
+        for r in words.mapInArrow(released(expect), "piece long, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
             use[r.piece] = r.uses  # at most one row a piece of the vocabulary
         p = (use + PRIOR_USES * vocab.prior) / (use.sum() + PRIOR_USES)
     return p

@@ -1,6 +1,6 @@
 """Piece encoding and decoding with a relational lattice.
 
-The text, with ``▁`` for spaces and one ``▁`` in front, is cut into words
+The text, with a space (``▁`` in the pieces) in front, is cut into words
 wherever no piece has the two neighbouring characters side by side, so no
 piece can cross a cut and the best segmentation is that of the words. Then, in
 DataFrame operations over the distinct words of the corpus:
@@ -20,22 +20,22 @@ Null and empty texts have no pieces. Repeated rows are encoded each.
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .blocks import blocked, document_chunks, meet, word_chunks
-from .common import ship
+from .common import released, ship
 
 TOKENIZER = "piece_bpe_32k.model"
 SPACE = "▁"
 MAX_WORD = 256
 UNKNOWN_PENALTY = 10.0
-FLUSH_WORDS = 1 << 20
+FLUSH_WORDS = 1 << 19  # distinct words that a worker holds
 
 
 class Pieces:
@@ -63,44 +63,52 @@ class Pieces:
         pieces = [p for p, _, _ in self.rows]
         self.longest = max(map(len, pieces))
         self.unknown = min(s for _, _, s in self.rows) - UNKNOWN_PENALTY
-        self.neighbours = {a + b for p in pieces for a, b in zip(p, p[1:])}
-        if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in pieces):
-            raise ValueError("pieces go on after a space or across lines")
+        # which characters stand side by side in some piece; 0: in no piece
+        chars = sorted(set("".join(pieces)))
+        self._kinds = len(chars) + 1
+        self._char = np.zeros(0x110000, np.int32)
+        self._char[[ord(c) for c in chars]] = np.arange(1, self._kinds)
+        self._char[ord(" ")] = self._char[ord(SPACE)]
+        near = np.zeros((self._kinds, self._kinds), bool)
+        for x, y in {x + y for piece in pieces for x, y in zip(piece, piece[1:])}:
+            near[self._char[ord(x)], self._char[ord(y)]] = True
+        self._apart = ~near.ravel()
+        first = self._char[:256]  # the same for texts whose characters fit in a byte
+        self._apart_byte = self._apart[(first[:, None] * self._kinds + first[None, :]).ravel()]
         self.width = np.dtype("<u2") if n <= 1 << 16 else np.dtype("<u4")
-        self._units = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        ends = np.cumsum([0, *map(len, self.text)])
+        self._bytes, self._start, self._size = np.frombuffer(b"".join(self.text), np.uint8), ends[:-1], np.diff(ends)
 
-    def units(self, text: str | None) -> list[str]:
-        """The escaped text in stretches that end at spaces and lines."""
+    def words(self, text: str | None) -> list[str]:
+        """The text, with a space in front, cut wherever no piece has both
+        neighbours; a space stands for ``▁``."""
         if not text:
             return []
-        out = []
-        for k, line in enumerate((SPACE + text.replace(" ", SPACE)).split("\n")):
-            if k:
-                out.append("\n")
-            if not line:
-                continue
-            if SPACE + SPACE in line or line[-1] == SPACE:
-                out += self._units.findall(line)
-            else:
-                first, *rest = line.split(SPACE)
-                if first:
-                    out.append(first)
-                out += [SPACE + w for w in rest]
-        return out
-
-    def words(self, unit: str) -> list[str]:
-        """A stretch cut wherever no piece has both neighbours."""
-        out, start, near = [], 0, self.neighbours
-        for k in range(1, len(unit)):
-            if unit[k - 1:k + 1] not in near or k - start == MAX_WORD:
-                out.append(unit[start:k])
-                start = k
-        out.append(unit[start:])
-        return out
+        text = " " + text.replace(SPACE, " ")
+        try:
+            k = np.frombuffer(text.encode("latin-1"), np.uint8).astype(np.uint16)
+            cut = self._apart_byte[k[:-1] * np.uint16(256) + k[1:]]
+        except UnicodeEncodeError:
+            k = self._char[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+            cut = self._apart[k[:-1] * self._kinds + k[1:]]
+        stop = np.append(np.flatnonzero(cut) + 1, len(k))
+        size = np.diff(stop, prepend=0)
+        if size.max() > MAX_WORD:
+            for i in np.flatnonzero(size > MAX_WORD)[::-1]:
+                stop = np.insert(stop, i, np.arange(stop[i] - size[i] + MAX_WORD, stop[i], MAX_WORD))
+        at = stop.tolist()
+        return [text[x:y] for x, y in zip([0, *at], at)]
+
+    def spelt(self, ids: np.ndarray) -> bytes:
+        """The bytes of the pieces, one after the other."""
+        size = self._size[ids]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        return self._bytes[np.repeat(self._start[ids] - (ends - size), size) + np.arange(total)].tobytes()
 
     def decode(self, ids) -> str:
         """The text that the ids spell, without the space in front."""
-        return b"".join(map(self.text.__getitem__, ids))[1:].decode("utf-8", "replace")
+        return self.spelt(np.asarray(ids, np.int64))[1:].decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -116,28 +124,30 @@ def block_words(rows: DataFrame, tokenizer: str) -> DataFrame:
     """(word, block): a block's distinct words."""
     def run(batches):
         p = pieces(tokenizer)
-        held, units, block = set(), set(), None
+        words, block = set(), None
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([block] * len(held), pa.int64())], ["word", "block"])
+            batch = pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array([block] * len(words), pa.int64())], ["word", "block"])
+            words.clear()
+            return batch
 
         for b in batches:
             for at, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if block != at or len(units) > FLUSH_WORDS:
-                    if held:
+                if block != at or len(words) > FLUSH_WORDS:
+                    if words:
                         yield out()
-                    held, units, block = set(), set(), at
-                new = set(p.units(text)) - units
-                units |= new
-                for u in new:
-                    held.update(p.words(u))
-        if held:
+                    block = at
+                words.update(p.words(text))
+        if words:
             yield out()
-    return rows.select("block", "text").mapInArrow(run, "word string, block long")
+    return rows.select("block", "text").mapInArrow(released(run), "word string, block long")
 
 
 def piece_table(spark: SparkSession, tokenizer: str) -> DataFrame:
-    return spark.createDataFrame(pieces(tokenizer).rows, "piece string, id int, score double")
+    rows = [(p.replace(SPACE, " "), i, score) for p, i, score in pieces(tokenizer).rows]
+    if len({xxhash.xxh64_intdigest(p, 42) for p, _, _ in rows}) < len(rows):
+        raise ValueError("two pieces share a hash")
+    return spark.createDataFrame(rows, "own string, id int, score double").withColumn("hash", F.xxhash64("own"))
 
 
 def best_paths(words: DataFrame, table: DataFrame, p: Pieces) -> DataFrame:
@@ -145,34 +155,43 @@ def best_paths(words: DataFrame, table: DataFrame, p: Pieces) -> DataFrame:
     more than once for a word."""
     # the first of a word's rows is exploded, the others only carry a block
     turn = F.row_number().over(Window.partitionBy("word").orderBy("block"))
-    size = F.length("word")
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), size - 1), lambda s: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(p.longest), size - s)),
-        lambda n: F.struct((s + n).alias("end"), s.alias("start"), F.col("word").substr(s + 1, n).alias("piece")))))
-    none = F.array(F.lit(None).cast("struct<end:int,start:int,piece:string>"))
-    rows = words.withColumn("turn", turn).select("word", "block", F.explode(F.when(F.col("turn") == 1, spans).otherwise(none)).alias("span"))
-    rows = rows.select("word", "block", F.col("span.end").alias("end"), F.col("span.start").alias("start"), F.col("span.piece").alias("piece"))
-    # the piece table has one row a piece of a given vocabulary
-    edges = rows.join(F.broadcast(table), "piece", "left")
-    single = F.col("end") - F.col("start") == 1
-    edges = edges.where(F.col("id").isNotNull() | single | F.col("end").isNull())
-    spelt = F.transform(F.sequence(F.lit(1), F.octet_length("piece")), lambda k: (
-        F.conv(F.substring(F.hex(F.encode("piece", "UTF-8")), 2 * k - 1, F.lit(2)), 16, 10).cast("int") + p.first_byte))
-    edge = F.struct("end", "start", F.coalesce("score", F.lit(p.unknown)).alias("score"),
-                    F.when(F.col("id").isNull(), spelt).otherwise(F.array("id")).alias("ids"))
-    grouped = edges.groupBy("word").agg(
-        F.sort_array(F.collect_list(F.when(F.col("end").isNotNull(), edge))).alias("edges"),
-        F.collect_list(F.when(F.col("end").isNull() | (F.col("end") == 1), F.col("block"))).alias("blocks"))
+    end, n = F.col("end"), F.col("n")
+    rows = words.withColumn("turn", turn).select("word", "block", F.explode(
+        F.when(F.col("turn") == 1, F.sequence(F.lit(1), F.length("word"))).otherwise(F.array(F.lit(0)))).alias("end"))
+    longest = F.least(F.lit(p.longest), end)
+    rows = rows.select("word", "block", "end", F.explode(
+        F.when(end > 0, F.sequence(longest, F.lit(1), F.lit(-1))).otherwise(F.array(F.lit(0)))).alias("n"))
+    rows = rows.select("word", "block", "end", "n", F.when(end > 0, F.col("word").substr(end - n + 1, n)).alias("piece"))
+    # the piece table has one row a piece of a given vocabulary; equal pieces
+    # have equal hashes, and a number is the faster key
+    edges = rows.withColumn("hash", F.xxhash64("piece")).join(F.broadcast(table), "hash", "left")
+    known = F.col("own") == F.col("piece")
+    edges = edges.where(known | (n <= 1))
+    # a character that is no piece has id -1; edges come in the order of
+    # (end, start), so that sorting has little to do
+    edge = F.when(end > 0, F.struct("end", (end - n).alias("start"), F.when(known, F.col("id")).otherwise(-1).alias("id"),
+                                    F.when(known, F.col("score")).otherwise(p.unknown).alias("score")))
+    block = F.when(end <= 1, F.col("block"))
+    grouped = edges.select("word", edge.alias("edge"), block.alias("block")).groupBy("word").agg(
+        F.sort_array(F.collect_list("edge")).alias("edges"), F.collect_list("block").alias("blocks"))
 
     def fold(best, e):
         came = F.get(best, e["start"])
         score = came["score"] + e["score"]
-        step = F.array(F.struct(score.alias("score"), F.concat(came["ids"], e["ids"]).alias("ids")))
+        # a character that is no piece is noted by its place
+        step = F.array(F.struct(score.alias("score"), F.concat(came["path"], F.array(F.when(e["id"] >= 0, e["id"]).otherwise(-e["end"]))).alias("path")))
         return (F.when(F.size(best) == e["end"], F.concat(best, step))
-                .when(score > F.get(best, e["end"])["score"], F.concat(F.slice(best, F.lit(1), e["end"]), step)).otherwise(best))
+                .when(score > F.element_at(best, -1)["score"], F.concat(F.slice(best, F.lit(1), e["end"]), step)).otherwise(best))
 
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
-    return grouped.select("word", "blocks", F.aggregate("edges", start, fold, lambda b: F.element_at(b, -1)["ids"]).alias("ids"))
+    first = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("path")))
+    paths = grouped.select("word", "blocks", F.aggregate("edges", first, fold, lambda b: F.element_at(b, -1)["path"]).alias("path"))
+
+    def spelt(place):
+        code = F.hex(F.encode(F.col("word").substr(-place, F.lit(1)), "UTF-8"))
+        return F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda k: F.conv(F.substring(code, k, F.lit(2)), 16, 10).cast("int") + p.first_byte)
+
+    ids = F.flatten(F.transform("path", lambda x: F.when(x >= 0, F.array(x)).otherwise(spelt(x))))
+    return paths.select("word", "blocks", F.when(F.exists("path", lambda x: x < 0), ids).otherwise(F.col("path")).alias("ids"))
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
@@ -194,22 +213,16 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             ends = (np.cumsum(pa.compute.list_value_length(ids).to_numpy()) * width.itemsize).tolist()
             known.update(zip(part.column(0).to_pylist(), (data[a:b] for a, b in zip([0, *ends], ends))))
 
-        class Units(dict):
-            def __missing__(self, unit):
-                got = b"".join([known[w] for w in own.words(unit)])
-                if len(self) < FLUSH_WORDS:
-                    self[unit] = got
-                return got
-
-        return Units()
+        return known
 
-    def apply(state, chunk):
+    def apply(known, chunk):
         own = pieces(tokenizer)
         texts = chunk.column(1).to_pylist()
-        got = [np.frombuffer(b"".join(map(state.__getitem__, own.units(t))), own.width) for t in texts]
+        got = [np.frombuffer(b"".join(map(known.__getitem__, own.words(t))), own.width) for t in texts]
         ends = np.cumsum([0, *map(len, got)])
-        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(got).astype(np.int32)))
-        same = [own.decode(g.tolist()) == (t or "").replace(SPACE, " ") for g, t in zip(got, texts)]
+        flat = np.concatenate(got).astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        same = [own.spelt(g)[1:] == (t or "").replace(SPACE, " ").encode() for g, t in zip(got, texts)]
         return pa.RecordBatch.from_arrays([chunk.column(0), ids, pa.array(np.diff(ends), pa.int64()), pa.array(same)], ["id", "ids", "n_pieces", "round_trip"])
 
     kind = rows.schema["id"].dataType.simpleString()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import released, ship, written
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 BLOCK_LIMIT = 32_768     # members that one task compares directly
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(rows, f"id {picked.schema['id'].dataType.simpleString()}, fp long")
+    return picked.mapInArrow(released(rows), f"id {picked.schema['id'].dataType.simpleString()}, fp long")
 
 
 # --- bit-sliced comparison --------------------------------------------------
