@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from ..sources import files
 from ..sources.schema import FEATURE_COLUMNS
 from . import metrics as M
@@ -98,11 +98,13 @@ def total_weight(mode: str, counts: tuple[int, int]) -> float:
     return float(neg + pos)
 
 
-def training_frame(df: DataFrame, label: str = "is_denied") -> DataFrame:
-    """Labelled rows, checkpointed once in partitions sized by rows."""
+def training_frame(df: DataFrame, label: str = "is_denied", side_by_side: int = 1) -> DataFrame:
+    """Labelled rows, checkpointed once in partitions sized by rows, or, where
+    those are few, by the cores that each of ``side_by_side`` fits can have."""
     rows = labelled(df, label)
-    n = rows.count()
-    return cut_lineage(rows.repartition(max(1, math.ceil(n / ROWS_PER_PARTITION))))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    n = max(math.ceil(rows.count() / ROWS_PER_PARTITION), cores // side_by_side, 1)
+    return cut_lineage(rows.repartition(n))
 
 
 def stratified_folds(df: DataFrame, label: str = "is_denied", key: str = "claim_id",
@@ -133,9 +135,10 @@ def ordered_folds(df: DataFrame, order_col: str = "service_date", key: str = "cl
     return ranked.withColumn("fold", fold).drop("__dk", "__one", "cum___one")
 
 
-#: Node ids are kept with the rows, so the trees grown so far need not go out
-#: with every task; more nodes of a level fit into one pass.
-TREES = {"cacheNodeIds": True, "maxMemoryInMB": 1024, "checkpointInterval": 10}
+#: More nodes of a level fit into one pass. A forest keeps node ids with the
+#: rows, so the trees grown so far need not go out with every task; boosting
+#: grows one tree at a time, for which that costs more than it saves.
+TREES = {"maxMemoryInMB": 1024, "checkpointInterval": 10}
 
 
 def build_estimator(config: dict, n_weight: float | None = None):
@@ -147,7 +150,7 @@ def build_estimator(config: dict, n_weight: float | None = None):
                                   standardization=False, **common)
     if kind == "rf":
         return RandomForestClassifier(numTrees=config["numTrees"], maxDepth=config["maxDepth"],
-                                      minInstancesPerNode=config["minInstancesPerNode"], seed=SEED, **TREES, **common)
+                                      minInstancesPerNode=config["minInstancesPerNode"], seed=SEED, cacheNodeIds=True, **TREES, **common)
     extra = {"maxBins": config["maxBins"]} if "maxBins" in config else {}
     return GBTClassifier(maxIter=config["maxIter"], maxDepth=config["maxDepth"], stepSize=config["stepSize"],
                          subsamplingRate=config["subsamplingRate"],
@@ -265,55 +268,74 @@ def promoted_path(spark, models_dir: str) -> str | None:
     return next(iter(promotions(spark, models_dir)), None)
 
 
+RESULTS = "model STRING, fold INT, metric STRING, value DOUBLE, seconds DOUBLE, path STRING"
+REFIT = -1  # in place of a fold: the fit on all rows
+
+
 def train_all_models(mi: DataFrame, label: str = "is_denied", configs: dict = MODEL_CONFIGS,
-                     save_path: str | None = None, parallelism: int = 8) -> dict:
+                     save_path: str | None = None, parallelism: int = 8, store: str | None = None) -> dict:
     """CV every configuration, refit on all rows, pick the best mean CV
-    AUC (first wins ties), optionally save the winner (S15)."""
-    # Reliable checkpoint into the shared folder: 24 fits re-read these rows,
-    # and a lost executor must not send them back to the raw claims.
-    data = training_frame(stratified_folds(labelled(mi, label), label), label)
-    counts = fold_counts(data, label)
+    AUC (first wins ties), optionally save the winner (S15).
+
+    Every finished fit is appended to ``store``; a run that finds results of
+    the same ``store`` there goes on from them, so a lost driver costs only
+    the fits under way."""
+    spark = mi.sparkSession
+    store = store or scratch_path(spark, f"training/{uuid.uuid4().hex}")
+    results = files.join_path(store, "results")
+
+    def stored() -> DataFrame:
+        if not files.exists(spark, results):
+            return spark.createDataFrame([], RESULTS)
+        return spark.read.schema(RESULTS).json(f"{results}/*")
+
+    done = {(r[0], r[1]) for r in stored().select("model", "fold").distinct().collect()}
+    # The longest (boosting) first, so that no core waits for one at the end.
+    order = sorted(configs, key=lambda n: (configs[n]["kind"] != "gbt", -configs[n].get("maxDepth", 0)))
+    tasks = [(n, f) for n in order for f in (REFIT, *range(N_FOLDS)) if (n, f) not in done]
+    if tasks:
+        # Reliable checkpoint into the shared folder: 24 fits re-read these
+        # rows, and a lost executor must not send them back to the raw claims.
+        data = training_frame(stratified_folds(labelled(mi, label), label), label, min(parallelism, len(tasks)))
+        counts = fold_counts(data, label)
 
     def run(task):
         name, f = task
-        config = configs[name]
         t0 = time.time()
-        if f is None:  # final refit on every row
-            return name, f, fit(data, config, label, without(counts, -1)), time.time() - t0
-        model = fit(data.where(F.col("fold") != f), config, label, without(counts, f))
-        m = fold_metrics(score(model, data.where(F.col("fold") == f)), label)
-        rows = [(name, f, k, float(m[k]) if m[k] is not None else None) for k in METRICS]
-        return name, f, rows, time.time() - t0
+        model = fit(data.where(F.col("fold") != f), configs[name], label, without(counts, f))
+        path = None
+        if f == REFIT:
+            path = files.join_path(store, "models", f"{name}-{uuid.uuid4().hex}")
+            model.write().save(path)
+            values = feature_importance(model)
+        else:
+            m = fold_metrics(score(model, data.where(F.col("fold") == f)), label)
+            values = [(k, float(m[k]) if m[k] is not None else None) for k in METRICS]
+        rows = [(name, f, k, v, time.time() - t0, path) for k, v in values]
+        # a folder of its own: writers of one folder would meet in its temporary files
+        spark.createDataFrame(rows, RESULTS).coalesce(1).write.json(f"{results}/{name}-{f}-{uuid.uuid4().hex}")
 
     # Every (candidate, fold) fit and every refit is independent: run them
-    # side by side so many small MLlib jobs overlap on the cluster, the
-    # longest (boosting) first.
-    order = sorted(configs, key=lambda n: configs[n]["kind"] != "gbt")
-    tasks = [(n, f) for n in order for f in (None, *range(N_FOLDS))]
+    # side by side so many small MLlib jobs overlap on the cluster.
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(run, tasks))
-    metrics, summary, models, importances = [], [], {}, {}
-    cv_time = {n: 0.0 for n in configs}
-    for name, f, payload, secs in results:
-        if f is None:
-            models[name] = payload
-            importances[name] = feature_importance(payload)
-        else:
-            metrics.extend(payload)
-            cv_time[name] += secs
-    best_name, best_auc = None, float("-inf")
+        list(pool.map(run, tasks))
+    rows = [r for r in stored().dropDuplicates(["model", "fold", "metric"]).collect() if r.model in configs]
+    metrics = [(r.model, r.fold, r.metric, r.value) for r in rows if r.fold != REFIT]
+    seconds = {(r.model, r.fold): r.seconds for r in rows if r.fold != REFIT}
+    paths = {r.model: r.path for r in rows if r.fold == REFIT}
+    best_name, best_auc, summary = None, float("-inf"), []
     for name in configs:  # dictionary order: the earlier candidate wins ties
         mean_auc = mean_metric(metrics, name, "auc")
-        summary.append((name, mean_auc, cv_time[name]))
+        summary.append((name, mean_auc, sum(x for (n, _), x in seconds.items() if n == name)))
         if mean_auc is not None and mean_auc > best_auc:
             best_name, best_auc = name, mean_auc
+    models = {n: PipelineModel.load(p) for n, p in paths.items()} if save_path else {}
     if save_path:
         models[best_name].write().overwrite().save(save_path)
-    spark = mi.sparkSession
-    metrics_df = spark.createDataFrame(metrics, "model STRING, fold INT, metric STRING, value DOUBLE")
-    imp_rows = [(m, f, v) for m, lst in importances.items() for f, v in lst]
-    return {"metrics": metrics_df, "best_model": best_name, "best_auc": best_auc, "models": models,
-            "importance": spark.createDataFrame(imp_rows, "model STRING, feature STRING, importance DOUBLE"),
+    return {"metrics": spark.createDataFrame(metrics, "model STRING, fold INT, metric STRING, value DOUBLE"),
+            "best_model": best_name, "best_auc": best_auc, "paths": paths,
+            "importance": spark.createDataFrame([(r.model, r.metric, r.value) for r in rows if r.fold == REFIT],
+                                                "model STRING, feature STRING, importance DOUBLE"),
             "timing": spark.createDataFrame(summary, "model STRING, mean_auc DOUBLE, training_time DOUBLE")}
 
 

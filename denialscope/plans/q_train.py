@@ -14,7 +14,7 @@ from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import scoring as SC
 from ..operators import training as TR
-from ..session import cut_lineage, scratch_path
+from ..session import cut_lineage, durable_path, scratch_path
 from ..sources import files
 from ..sources.fixtures import claims
 from . import sqlparts as S
@@ -112,24 +112,14 @@ def q_cv_summary(spark, d):
 
 
 def _all(spark, d):
-    """Results of one training run of all candidates, kept on shared storage
-    under a name made of the rows and the configurations, so that the queries
-    that only read them need not train again."""
+    """Results of one training run of all candidates, kept under a name made
+    of the rows and the configurations: a query that finds some or all of the
+    fits there only makes the rest."""
     feats = FE.features_wide(claims(spark, d), provider_history="rolling_90d")
-    mi = TR.training_frame(FE.model_input(feats, keep=("claim_id", "is_denied", "service_date")))
+    mi = cut_lineage(TR.labelled(FE.model_input(feats, keep=("claim_id", "is_denied", "service_date"))))
     n, digest = mi.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*mi.columns).cast("decimal(38,0)"))).first()
     name = hashlib.sha256(f"{n}|{digest}|{sorted(TR.MODEL_CONFIGS.items())}".encode()).hexdigest()
-    base = scratch_path(spark, f"training/{name}")
-    done = f"{base}/done"
-    if not files.exists(spark, done):
-        run = f"{base}/{uuid.uuid4().hex}"
-        out = TR.train_all_models(mi, save_path=f"{run}/best")
-        for part in ("metrics", "timing", "importance"):
-            files.write_parquet(out[part].coalesce(1), f"{run}/{part}")
-        # the name of the complete run comes last
-        spark.createDataFrame([(run,)], "run STRING").coalesce(1).write.mode("append").json(done)
-    run = spark.read.schema("run STRING").json(done).agg(F.max("run")).first()[0]
-    return {part: spark.read.parquet(f"{run}/{part}") for part in ("metrics", "timing", "importance")} | {"best": f"{run}/best"}
+    return TR.train_all_models(mi, store=durable_path(spark, f"training/{name}"))
 
 
 @register("train_all_models")

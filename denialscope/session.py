@@ -62,6 +62,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="denialscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
+        spark.conf.set("spark.denialscope.ownCheckpointDir", "true")
     spark.sparkContext.setCheckpointDir(path)
     return path
 
@@ -72,6 +73,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def durable_path(spark: SparkSession, name: str) -> str:
+    """A sub-path for results that a later application may take up again: in
+    the shared folder, or in local mode without one in a fixed place."""
+    base = shared_dir(spark)
+    if spark.conf.get("spark.denialscope.ownCheckpointDir", None):
+        base = os.path.join(tempfile.gettempdir(), f"denialscope-results-{os.getuid()}")
+    return os.path.join(base, name)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared folder for written intermediate tables."""
     return os.path.join(shared_dir(spark), name)

@@ -192,7 +192,14 @@ def test_train_all_models_loop(spark, small_claims):
     configs = {"LogisticRegression": TR.MODEL_CONFIGS["LogisticRegression"],
                "SmallForest": {"kind": "rf", "numTrees": 5, "maxDepth": 3, "minInstancesPerNode": 10,
                                "weights": "balanced"}}
-    out = TR.train_all_models(mi, configs=configs, save_path=tempfile.mkdtemp(prefix="best-") + "/m")
+    store = tempfile.mkdtemp(prefix="store-") + "/s"
+    out = TR.train_all_models(mi, configs=configs, save_path=tempfile.mkdtemp(prefix="best-") + "/m", store=store)
+    assert out["importance"].count() == 2 * 23
+    # a second run finds every fit in the store and makes none
+    before = spark.read.schema(TR.RESULTS).json(store + "/results/*").count()
+    again = TR.train_all_models(mi, configs=configs, store=store)
+    assert spark.read.schema(TR.RESULTS).json(store + "/results/*").count() == before
+    assert again["best_model"] == out["best_model"]
     assert out["metrics"].count() == 2 * 5 * 5
     assert out["best_model"] in configs
     comp = TR.model_comparison(out["metrics"], out["timing"]).collect()
