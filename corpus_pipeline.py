@@ -23,6 +23,18 @@ from denialscope.llm.weak_quality import weak_quality
 LEAST_LANGUAGE_SCORE = 0.3
 
 
+#: Rows that go to a Python worker at a time. Spark's default of 10,000 whole
+#: documents takes memory that five stages in one application need.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Unless the launcher has chosen a batch size, use ``BATCH_ROWS``."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def columns(df: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in df.columns]
 
@@ -35,6 +47,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a recognised language; learned from the rows whose
     crc32(doc_id) mod 4 is not 2 and whose ``lang`` is known."""
+    small_batches(spark)
     model = train_language_id(docs.where(id_remainder(F.col("doc_id"), 4) != 2))
     if model is None:  # nothing to recognise a language by
         return docs
@@ -45,6 +58,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class: the smallest id, and of repeated
     rows the first."""
+    small_batches(spark)
     rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup-rows")
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
     classes = simhash_components(rows.select(key.alias("key"), "text"), "key", "text", SHINGLE, RADIUS)
@@ -54,11 +68,13 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
+    small_batches(spark)
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, piece ids, their number, and whether they decode to the text."""
+    small_batches(spark)
     return encode_documents(docs)
 
 
