@@ -44,7 +44,7 @@ def op3_simhash_components(spark, sf_dir):
 @query
 def op10_weak_quality(spark, sf_dir):
     """Quality rules over all documents, combined by weak supervision."""
-    got = weak_quality(documents(spark, sf_dir).select("doc_id", "text"))
+    got = weak_quality(documents(spark, sf_dir), columns=["doc_id"])
     q = F.col("_quality")
     return got.select("doc_id", *[q[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")])
 
