@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from denialscope.llm.common import documents, id_remainder, written
+from denialscope.llm.common import documents, id_remainder, small_batches, written
 from denialscope.llm.decontaminate import decontaminate
 from denialscope.llm.language_id import accepted, predict_language, train_language_id
 from denialscope.llm.piece_lattice import encode_documents
@@ -23,18 +23,6 @@ from denialscope.llm.weak_quality import weak_quality
 LEAST_LANGUAGE_SCORE = 0.3
 
 
-#: Rows that go to a Python worker at a time. Spark's default of 10,000 whole
-#: documents takes memory that five stages in one application need.
-BATCH_ROWS = 1_000
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Unless the launcher has chosen a batch size, use ``BATCH_ROWS``."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, BATCH_ROWS)
-
-
 def columns(df: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in df.columns]
 

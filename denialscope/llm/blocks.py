@@ -37,6 +37,20 @@ def unpacked(data: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(data).read_next_batch()
 
 
+def gathered(batches: Iterable[pa.RecordBatch], rows: int = 10_000) -> Iterable[pa.RecordBatch]:
+    """Batches of at least ``rows`` narrow rows, whatever Spark's batch size."""
+    held, n = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            n += b.num_rows
+        if n >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def blocked(rows: DataFrame) -> DataFrame:
     """``rows`` and their ``block``. Rows that are not read straight from
     Parquet are written to the shared folder first."""
@@ -79,9 +93,7 @@ def word_chunks(words: DataFrame, values: Callable[[pa.RecordBatch], list[pa.Arr
                 for part in t:
                     yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([0], pa.int8()), pa.array([packed(part)], pa.binary())], schema=_FIELDS)
 
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in gathered(batches):
             row = pa.RecordBatch.from_arrays([b.column("word"), *values(b)], ["word", *names])
             blocks = b.column("blocks")
             at = pa.compute.list_parent_indices(blocks)

@@ -34,6 +34,18 @@ def ship(spark: SparkSession) -> None:
     sc._denialscope_shipped = True
 
 
+#: Rows that go to a Python worker at a time, for whole documents; Spark's
+#: default of 10,000 takes several times the memory.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Unless the launcher has chosen a batch size, use ``BATCH_ROWS``."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def release() -> None:
     """Give what a finished task has freed back to the machine: a Python
     worker waits for its next task with the memory of its largest one."""

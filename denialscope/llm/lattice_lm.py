@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import blocked, document_chunks, meet, word_chunks
+from .blocks import blocked, document_chunks, gathered, meet, word_chunks
 from .common import released, ship, written
 from .subword import Lattice, vocabulary
 
@@ -77,7 +77,7 @@ def estimate(words: DataFrame, tokenizer: str, rounds: int) -> np.ndarray:
         def expect(batches, log_p=log_p):
             lattice = Lattice(vocabulary(tokenizer), log_p)
             use = np.zeros(len(log_p))
-            for b in batches:
+            for b in gathered(batches):
                 use += lattice.expected(b.column(0).to_pylist(), np.ones(b.num_rows))
             at = np.flatnonzero(use)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(use[at])], ["piece", "uses"])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .blocks import blocked, document_chunks, meet, word_chunks
-from .common import released, ship
+from .common import released, ship, small_batches
 
 TOKENIZER = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -200,6 +200,7 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     text comes back as a space)."""
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     p = pieces(tokenizer)
     rows = blocked(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     words = best_paths(block_words(rows, tokenizer), piece_table(spark, tokenizer), p)
