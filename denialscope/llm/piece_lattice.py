@@ -153,8 +153,9 @@ def piece_table(spark: SparkSession, tokenizer: str) -> DataFrame:
 def best_paths(words: DataFrame, table: DataFrame, p: Pieces) -> DataFrame:
     """(word, blocks, ids) of ``words(word, block)``; a block may be listed
     more than once for a word."""
-    # the first of a word's rows is exploded, the others only carry a block
-    turn = F.row_number().over(Window.partitionBy("word").orderBy("block"))
+    # one of a word's rows is exploded, whichever comes first; the others only
+    # carry a block
+    turn = F.row_number().over(Window.partitionBy("word").orderBy("word"))
     end, n = F.col("end"), F.col("n")
     rows = words.withColumn("turn", turn).select("word", "block", F.explode(
         F.when(F.col("turn") == 1, F.sequence(F.lit(1), F.length("word"))).otherwise(F.array(F.lit(0)))).alias("end"))
