@@ -7,6 +7,12 @@ Nystroem features against landmark texts feed a one-versus-rest ridge
 regression. Both are fitted on the driver from a bounded sample (``SAMPLE``
 rows, 8 KB of bits each); a batch of texts is then scored by two matrix
 products in the tasks.
+
+The margins only compare the learned languages with each other. Whether a text
+is in one of them at all is its likeness: the mean kernel to a language's
+landmarks over what the sample's texts of that language and size have (medians
+of bins by size, a landmark not compared with itself), the largest over the
+languages. More languages do not lower it.
 """
 
 from __future__ import annotations
@@ -23,6 +29,8 @@ ORDER, SLOTS = 4, 1 << 16
 SAMPLE, LANDMARKS = 1600, 192
 RIDGE = 1e-3
 BATCH = 256
+#: Rows in a bin of the likeness curve, and the most bins of one.
+BIN_ROWS, BINS = 8, 12
 UNKNOWN = "und"
 CHUNK = 1 << 18
 
@@ -51,13 +59,45 @@ class Model:
         self.languages, self.slots, self.landmarks, self.sizes, self.weights = languages, slots, landmarks, sizes, weights
         self.bias = np.zeros(weights.shape[1], np.float32)
 
-    def scores(self, marks: np.ndarray) -> np.ndarray:
-        """(texts, languages) margins of a batch of presence rows."""
+    def kernels(self, marks: np.ndarray) -> np.ndarray:
+        """(texts, landmarks) kernels of a batch of presence rows."""
         size = np.maximum(marks.sum(axis=1), 1).astype(np.float32)
         if self.landmarks.dtype != np.float32:  # they travel as bytes
             self.landmarks = self.landmarks.astype(np.float32)
         k = marks[:, self.slots].astype(np.float32) @ self.landmarks
-        return (k / np.sqrt(size)[:, None] / np.sqrt(self.sizes)) @ self.weights
+        return k / np.sqrt(size)[:, None] / np.sqrt(self.sizes)
+
+    def scores(self, marks: np.ndarray) -> np.ndarray:
+        """(texts, languages) margins of a batch of presence rows."""
+        return self.kernels(marks) @ self.weights
+
+    def learn_likeness(self, of: np.ndarray, at: np.ndarray, y: np.ndarray, kernels: np.ndarray, sizes: np.ndarray) -> None:
+        """``of``: languages of the landmarks, ``at``: their rows in the
+        sample, whose languages, kernels and sizes are the rest."""
+        self.of, self.curves = of, []
+        for k in range(len(self.languages)):
+            rows, own = np.flatnonzero(y == k), np.flatnonzero(of == k)
+            itself = np.isin(rows, at)
+            others = len(own) - itself
+            mass = kernels[np.ix_(rows, own)].sum(axis=1) - np.where(itself, 1, 0)
+            some = (others > 0) & (mass > 0)
+            x, m = np.log(np.maximum(sizes[rows][some], 1)), np.log(mass[some] / others[some])
+            order = np.argsort(x, kind="stable")
+            bins = np.array_split(order, min(BINS, max(1, len(order) // BIN_ROWS))) if len(order) else []
+            self.curves.append((np.array([np.median(x[b]) for b in bins]), np.array([np.median(m[b]) for b in bins])))
+
+    def likeness(self, kernels: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The largest over the languages of the kernel to a language's
+        landmarks over what its texts of that size have; 1 if every language
+        has too few texts to tell. Outside the sizes of the sample the kernel
+        can at most fall like the root of the size."""
+        out = np.zeros(len(sizes)) if any(len(x) for x, _ in self.curves) else np.ones(len(sizes))
+        size = np.log(np.maximum(sizes, 1))
+        for k, (x, m) in enumerate(self.curves):
+            if len(x):
+                want = np.interp(size, x, m) - np.maximum(x[0] - size, 0) / 2 - np.maximum(size - x[-1], 0) / 2
+                np.maximum(out, kernels[:, self.of == k].mean(axis=1) / np.exp(want), out=out)
+        return out
 
 
 def fit(marks: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
@@ -77,7 +117,8 @@ def fit(marks: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge:
     value, vector = np.linalg.eigh((k_ll + k_ll.T) / 2)
     good = value > 1e-8 * value.max()
     root = vector[:, good] / np.sqrt(value[good])
-    phi = np.concatenate([model.scores(marks[k:k + BATCH]) for k in range(0, len(marks), BATCH)]).astype(np.float64) @ root
+    kernels = np.concatenate([model.kernels(marks[k:k + BATCH]) for k in range(0, len(marks), BATCH)])
+    phi = kernels.astype(np.float64) @ root
     phi = np.hstack([phi, np.ones((len(phi), 1))])
     target = np.where(y[:, None] == np.arange(len(languages)), 1.0, -1.0)
     # every language weighs the same
@@ -86,6 +127,7 @@ def fit(marks: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge:
     model.landmarks = lm
     model.weights = (root @ beta[:-1]).astype(np.float32)
     model.bias = beta[-1].astype(np.float32)
+    model.learn_likeness(y[at], at, y, kernels, marks.sum(axis=1))
     return model
 
 
@@ -114,16 +156,17 @@ def train_language_id(rows: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def predict_language(docs: DataFrame, model: Model | None, text_col: str = "text",
-                     lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
+                     lang_out: str = "lang_pred", score_out: str = "score", like_out: str | None = None) -> DataFrame:
     """The rows and columns of ``docs`` plus the language and its score, 0 to
-    1. Null texts and texts without a letter are ``und`` with score 0."""
+    1, and if named its likeness. Null texts and texts without a letter are
+    ``und`` with score and likeness 0."""
     ship(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches):
         for b in batches:
             texts = b.column(at)
-            lang, score = [], []
+            lang, score, like = [], [], []
             for k in range(0, b.num_rows, BATCH):
                 part = texts.slice(k, BATCH).to_pylist()
                 known = [has_letter(t) and model is not None for t in part]
@@ -131,18 +174,23 @@ def predict_language(docs: DataFrame, model: Model | None, text_col: str = "text
                 for row, t in zip(marks, (t for t, ok in zip(part, known) if ok)):
                     presence(t, row)
                 if len(marks):
-                    f = model.scores(marks) + model.bias
+                    kernels = model.kernels(marks)
+                    f = kernels @ model.weights + model.bias
                     best = f.argmax(axis=1)
                     p = np.clip((f[np.arange(len(f)), best] + 1) / 2, 0, 1)
-                    found = iter(zip((model.languages[x] for x in best), p.astype(float)))
+                    near = model.likeness(kernels, marks.sum(axis=1)) if like_out else np.zeros(len(f))
+                    found = iter(zip((model.languages[x] for x in best), p.astype(float), near.astype(float)))
                 for ok in known:
-                    x, s = next(found) if ok else (UNKNOWN, 0.0)
+                    x, s, near = next(found) if ok else (UNKNOWN, 0.0, 0.0)
                     lang.append(x)
                     score.append(s)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                                             names=[*b.schema.names, lang_out, score_out])
+                    like.append(near)
+            extra = [pa.array(like, pa.float64())] if like_out else []
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), *extra],
+                                             names=[*b.schema.names, lang_out, score_out, *([like_out] if like_out else [])])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{lang_out}` string, `{score_out}` double"
+    schema += f", `{like_out}` double" if like_out else ""
     return docs.mapInArrow(released(run), schema)
 
 

@@ -83,3 +83,33 @@ def test_empty_and_repeated(spark, corpus, tmp_path):
         assert stage(spark, docs.limit(0), top).count() == 0
     again = docs.where("doc_id < 5").union(docs.where("doc_id < 5")).withColumn("doc_id", F.when(F.col("doc_id") > 2, F.col("doc_id")))
     assert C.simhash_dedup(spark, again, top).count() == 5
+
+
+FOREIGN = {
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства.",
+    "zh": "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+    "el": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση.",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+}
+MORE = {**SYLLABLES, "fr": ["eau", "tion", "que", "elle", "oi"], "es": ["ci", "ar", "mente", "os", "la"]}
+
+
+@pytest.mark.parametrize("learned", [["en", "de"], ["en", "de", "fr"], ["en", "de", "fr", "es"]])
+def test_unlearned_languages_and_gibberish_are_dropped(spark, monkeypatch, learned):
+    for k, v in MORE.items():
+        monkeypatch.setitem(SYLLABLES, k, v)
+    rng = random.Random(11)
+    rows = [(i, prose(rng, learned[i % len(learned)], rng.randint(20, 250)), learned[i % len(learned)]) for i in range(60 * len(learned))]
+    kept = len(rows)
+    for text in FOREIGN.values():
+        rows.append((len(rows), text, None))
+    for _ in range(5):
+        rows.append((len(rows), " ".join("%08x" % rng.getrandbits(32) for _ in range(60)), None))
+        rows.append((len(rows), " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(rng.randint(2, 9))) for _ in range(60)), None))
+        for other in MORE.keys() - set(learned):
+            rows.append((len(rows), prose(rng, other, 120), None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id for r in C.language_id(spark, docs, "").collect()}
+    assert {i for i in got if i >= kept} == set()
+    assert len(got) >= 0.99 * kept
