@@ -1,15 +1,20 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
-
-The corpus counts how often every word n-gram of the test items occurs. In
-every ``STRIDE`` neighbouring n-grams of an item the rarest becomes a seed, so
-each stretch of an item has a seed however common its words are, and common
-n-grams are seeds only where nothing rarer is near. Documents that contain a
-seed are aligned with its item around the place (word by word, local, linear
-gaps); the score over the score of a perfect copy decides.
+"""Benchmark decontamination: word pairs as seeds, then Smith-Waterman.
+
+A seed is a pair of words that stand next to each other or one place apart.
+In an alignment over the threshold, matched words that follow each other with
+at most one word inserted, left out or replaced between them are pairs in the
+item and in the document; every other step costs at least a matched word's
+score, so an item of m words has at least H pairs in the document, H from its
+least score. Of these the corpus counts may leave out the H // 2 commonest, and
+pairs that never occur; a stretch of the document that has fewer than the rest
+on neighbouring diagonals cannot reach the score. The others are aligned with
+the item (word by word, local, linear gaps) in a window as wide as the score
+allows gaps; the score over the score of a perfect copy decides. No copy over
+the threshold is lost to the seeds.
 
 Test items come in blocks of at most ``BLOCK_BYTES`` of text, each small enough
 to go with the tasks; every block meets all documents. Documents are never
-shuffled: only the n-gram counts of a block are.
+shuffled: only the pair counts of a block are.
 
 Words are lower-cased ASCII letters, digits and all non-ASCII characters;
 everything else separates. Items with fewer than ``MIN_WORDS`` words, and null
@@ -18,6 +23,7 @@ texts, match nothing.
 
 from __future__ import annotations
 
+import math
 from itertools import repeat
 
 import numpy as np
@@ -27,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import released, ship
 
-GRAM, STRIDE, MIN_WORDS = 3, 3, 5
+REACH, MIN_WORDS = 2, 5
 MATCH, MISMATCH, GAP = 2, -1, 1
 THRESHOLD = 0.4
 BLOCK_BYTES = 4 << 20
@@ -38,8 +44,13 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").translate(_FOLD).split()
 
 
+def least_score(m: int) -> float:
+    """Least score of an alignment that counts, for an item of ``m`` words."""
+    return THRESHOLD * MATCH * m
+
+
 class Items:
-    """A block of test items: words as numbers, n-grams as keys."""
+    """A block of test items: words as numbers, word pairs as keys."""
 
     def __init__(self, rows: list[tuple]):
         self.vocab: dict[bytes, int] = {}
@@ -49,20 +60,23 @@ class Items:
             if len(w) >= MIN_WORDS:
                 self.ids.append(item_id)
                 self.words.append(np.array([self.vocab.setdefault(x, len(self.vocab)) for x in w], np.int64))
-        grams = [self.keys(w) for w in self.words]
-        self.grams = np.unique(np.concatenate(grams)) if grams else np.empty(0, np.int64)
-
-    def keys(self, numbers: np.ndarray) -> np.ndarray:
-        """Key of the n-gram at each position; -1 where a word is unknown."""
-        n = len(numbers) - GRAM + 1
-        if n <= 0:
-            return np.empty(0, np.int64)
-        key, known = np.zeros(n, np.int64), np.ones(n, bool)
-        for k in range(GRAM):
-            part = numbers[k:k + n]
-            key = key * (len(self.vocab) + 1) + part
-            known &= part >= 0
-        return np.where(known, key, -1)
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        self.least = np.array([least_score(m) for m in self.size])
+        # gaps and mismatches that the least score leaves room for
+        self.slack = np.floor(MATCH * self.size - self.least).astype(np.int64)
+        pairs = [self.pairs(w)[0] for w in self.words]
+        self.grams = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
+
+    def pairs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the pairs of known words at most ``REACH`` places apart,
+        and the place of the first word."""
+        keys, at = [], []
+        for d in range(1, REACH + 1):
+            a, b = numbers[:-d], numbers[d:]
+            p = np.flatnonzero((a >= 0) & (b >= 0))
+            keys.append(a[p] * len(self.vocab) + b[p])
+            at.append(p)
+        return np.concatenate(keys), np.concatenate(at)
 
     def numbers(self, text: str | None) -> np.ndarray:
         w = words_of(text)
@@ -70,43 +84,66 @@ class Items:
 
     def choose_seeds(self, counts: np.ndarray) -> None:
         """counts: occurrences of ``self.grams`` in the corpus."""
-        places: dict[int, list] = {}
-        for item, w in enumerate(self.words):
-            key = self.keys(w)
-            seen = counts[np.searchsorted(self.grams, key)]
-            for p in {k + int(np.argmin(seen[k:k + STRIDE])) for k in range(max(1, len(key) - STRIDE + 1))}:
-                places.setdefault(int(key[p]), []).append((item, p))
-        self.seeds = np.array(sorted(places), np.int64)
-        self.places = [places[k] for k in sorted(places)]
+        key, item, place = [], [], []
+        self.need = np.ones(len(self.words), np.int64)
+        for i, w in enumerate(self.words):
+            k, p = self.pairs(w)
+            seen = counts[np.searchsorted(self.grams, k)]
+            hits = max(1, math.ceil((self.least[i] - MATCH) / MATCH))
+            left_out = hits // 2
+            self.need[i] = hits - left_out
+            order = np.argsort(seen, kind="stable")[:len(k) - left_out]
+            order = order[seen[order] > 0]
+            key.append(k[order])
+            place.append(p[order])
+            item.append(np.full(len(order), i, np.int64))
+        key, item, place = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (key, item, place))
+        order = np.argsort(key, kind="stable")
+        self.seeds, self.start, self.many = np.unique(key[order], return_index=True, return_counts=True)
+        self.item, self.place = item[order], place[order]
+
+    def stretches(self, doc: np.ndarray) -> dict[int, list]:
+        """item -> windows of the document that may hold it."""
+        key, at = self.pairs(doc)
+        if not len(key) or not len(self.seeds):
+            return {}
+        slot = np.minimum(np.searchsorted(self.seeds, key), len(self.seeds) - 1)
+        hit = self.seeds[slot] == key
+        at, slot = at[hit], slot[hit]
+        many = self.many[slot]
+        ends = np.cumsum(many)
+        own = np.repeat(self.start[slot] - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)
+        item = self.item[own]
+        longest = int(self.size.max())
+        width = len(doc) + 4 * longest + 4
+        spot = np.sort(item * width + np.repeat(at, many) - self.place[own] + longest)
+        item = spot // width
+        last = np.arange(len(spot)) + self.need[item] - 1
+        full = last < len(spot)
+        full[full] = spot[last[full]] - spot[full] <= self.slack[item[full]]
+        windows: dict[int, list] = {}
+        for i, diagonal in zip(item[full].tolist(), (spot[full] % width - longest).tolist()):
+            room = int(self.slack[i])
+            lo, hi = max(0, diagonal - room), min(len(doc), diagonal + int(self.size[i]) + room)
+            got = windows.setdefault(i, [])
+            if got and lo <= got[-1][1]:
+                got[-1] = (got[-1][0], max(hi, got[-1][1]))
+            else:
+                got.append((lo, hi))
+        return windows
 
     def found(self, text: str | None) -> dict:
         """item -> (score, first word, last word) of its best alignment in
         the whole text, where that reaches the threshold."""
         doc = self.numbers(text)
-        key = self.keys(doc)
-        at = np.flatnonzero(key >= 0)
-        if not len(at) or not len(self.seeds):
-            return {}
-        slot = np.minimum(np.searchsorted(self.seeds, key[at]), len(self.seeds) - 1)
-        hit = self.seeds[slot] == key[at]
-        windows: dict[int, list] = {}
-        for p, s in zip(at[hit].tolist(), slot[hit].tolist()):
-            for item, q in self.places[s]:
-                m = len(self.words[item])
-                lo, hi = max(0, p - q - m // 4 - 4), min(len(doc), p - q + m + m // 4 + 4)
-                own = windows.setdefault(item, [])
-                if own and lo <= own[-1][1]:
-                    own[-1] = (min(lo, own[-1][0]), max(hi, own[-1][1]))
-                else:
-                    own.append((lo, hi))
         out = {}
-        for item, spans in windows.items():
+        for item, spans in self.stretches(doc).items():
             w = self.words[item]
             best = None
             for lo, hi in spans:
                 score, end = align(w, doc[lo:hi])
                 share = score / (MATCH * len(w))
-                if share >= THRESHOLD and (best is None or share > best[0]):
+                if score >= self.least[item] and (best is None or share > best[0]):
                     back, start = align(w[::-1], doc[lo:lo + end + 1][::-1])
                     best = (share, lo + end - start, lo + end)
             if best:
@@ -154,8 +191,7 @@ def seeded(docs: DataFrame, rows: list, text_col: str) -> Items:
         total = np.zeros(len(items.grams), np.int64)
         for b in batches:
             for t in b.column(0).to_pylist():
-                key = items.keys(items.numbers(t))
-                key = key[key >= 0]
+                key, _ = items.pairs(items.numbers(t))
                 at = np.minimum(np.searchsorted(items.grams, key), len(items.grams) - 1)
                 np.add.at(total, at[items.grams[at] == key], 1)
         seen = np.flatnonzero(total)
@@ -164,7 +200,7 @@ def seeded(docs: DataFrame, rows: list, text_col: str) -> Items:
     counts = np.zeros(len(items.grams), np.int64)
     if len(items.grams):
         for r in docs.select(text_col).mapInArrow(released(count), "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).collect():
-            counts[r.g] = r.n  # at most one row an n-gram of the block
+            counts[r.g] = r.n  # at most one row a pair of the block
     items.choose_seeds(counts)
     return items
 

@@ -84,3 +84,48 @@ def test_empty_tables(spark):
     assert D.contaminated(df.limit(0), bench).count() == 0
     assert D.contaminated(df, bench.limit(0)).count() == 0
     assert D.decontaminate(df, bench.limit(0)).count() == 1
+
+
+def test_periodic_edits_are_found(spark):
+    """Copies whose intact runs are as short as the threshold allows."""
+    rng = random.Random(5)
+    rare = [f"w{k}" for k in range(400)]
+    items = [(i, " ".join(rng.choice(rare) for _ in range(rng.randint(15, 59)))) for i in range(40)]
+    docs = []
+    for i, t in items:
+        w = t.split()
+        for every in (3, 4, 5):
+            start = rng.randrange(every)
+            docs.append((i, " ".join(x if k % every != start else f"new{k}" for k, x in enumerate(w))))
+        docs.append((i, " ".join(x for k, v in enumerate(w) for x in ((v, "added") if k % 2 else (v,)))))
+        docs.append((i, " ".join(x for v in w for x in (v, "added"))))
+        docs.append((i, " ".join(x for k, x in enumerate(w) if k % 4)))
+    rows = [(n, "before " * rng.randint(0, 30) + t + " after" * rng.randint(0, 30)) for n, (_, t) in enumerate(docs)]
+    got = D.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(n, i) for n, (i, _) in enumerate(docs)} == {(r.doc_id, r.item_id) for r in got}
+
+
+def test_seeds_lose_nothing_over_the_threshold():
+    """Random edits of every kind against alignments of whole documents."""
+    rng = random.Random(6)
+    some = WORDS[:40]
+    items = D.Items([(i, " ".join(rng.choice(some) for _ in range(rng.randint(6, 40)))) for i in range(30)])
+    texts = []
+    for _ in range(300):
+        w = [list(items.vocab)[x].decode() for x in items.words[rng.randrange(30)]]
+        share = rng.choice([0.1, 0.25, 0.4, 0.55])
+        w = [x for v in w for x in rng.choice([["zz"], [], [v, "zz"], [v, "zz", "zz"]] if rng.random() < share else [[v]])]
+        texts.append(" ".join(["yy"] * rng.randint(0, 9) + w + [rng.choice(some) for _ in range(rng.randint(0, 9))]))
+    counts = np.zeros(len(items.grams), np.int64)
+    for t in texts:
+        key, _ = items.pairs(items.numbers(t))
+        np.add.at(counts, np.searchsorted(items.grams, key[np.isin(key, items.grams)]), 1)
+    items.choose_seeds(counts)
+    over = 0
+    for t in texts:
+        doc = items.numbers(t)
+        want = {i: s for i, w in enumerate(items.words) if (s := D.align(w, doc)[0]) >= items.least[i]}
+        got = items.found(t)
+        assert {i: round(x[0] * 2 * len(items.words[i])) for i, x in got.items()} == want
+        over += len(want)
+    assert over > 150
