@@ -16,14 +16,19 @@ Test items come in blocks of at most ``BLOCK_BYTES`` of text, each small enough
 to go with the tasks; every block meets all documents. Documents are never
 shuffled: only the pair counts of a block are.
 
-Words are lower-cased ASCII letters, digits and all non-ASCII characters;
-everything else separates. Items with fewer than ``MIN_WORDS`` words, and null
-texts, match nothing.
+Words are lower-cased ASCII letters, digits and non-ASCII characters but
+punctuation and spaces; everything else separates. In scripts that put no
+spaces between words (Chinese, Japanese, Thai, Lao, Khmer, Burmese and the
+like) every character is a word. Items with fewer than ``MIN_WORDS`` words
+must be in a document word for word, without gaps; items without a word, and
+null texts, match nothing.
 """
 
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 from itertools import repeat
 
 import numpy as np
@@ -40,13 +45,26 @@ BLOCK_BYTES = 4 << 20
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
+#: Non-ASCII punctuation, spaces, control characters and the zero-width space.
+_APART = re.compile("[%s]" % "".join(
+    re.escape(chr(c)) for c in range(0x80, 0x20000) if unicodedata.category(chr(c)) in ("Pc", "Pd", "Pe", "Pf", "Pi", "Po", "Ps", "Zs", "Zl", "Zp", "Cc") or c == 0x200B))
+#: Characters of scripts without spaces between words.
+_ALONE = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u1b00-\u1b7f\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u3035"
+    "\u3040-\u312f\u31a0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\ua980-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f"
+    "\U0001aff0-\U0001b16f\U00020000-\U0003ffff]")
+
+
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").translate(_FOLD).split()
+    text = text or ""
+    if not text.isascii():
+        text = _ALONE.sub(r" \g<0> ", _APART.sub(" ", text))
+    return text.encode("utf-8", "replace").translate(_FOLD).split()
 
 
 def least_score(m: int) -> float:
     """Least score of an alignment that counts, for an item of ``m`` words."""
-    return THRESHOLD * MATCH * m
+    return MATCH * m if m < MIN_WORDS else THRESHOLD * MATCH * m
 
 
 class Items:
@@ -57,25 +75,30 @@ class Items:
         self.ids, self.words = [], []
         for item_id, text in rows:
             w = words_of(text)
-            if len(w) >= MIN_WORDS:
+            if w:
                 self.ids.append(item_id)
                 self.words.append(np.array([self.vocab.setdefault(x, len(self.vocab)) for x in w], np.int64))
         self.size = np.array([len(w) for w in self.words], np.int64)
         self.least = np.array([least_score(m) for m in self.size])
         # gaps and mismatches that the least score leaves room for
         self.slack = np.floor(MATCH * self.size - self.least).astype(np.int64)
+        self.singles = np.unique([w[0] for w in self.words if len(w) == 1]).astype(np.int64)
         pairs = [self.pairs(w)[0] for w in self.words]
         self.grams = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
 
     def pairs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the pairs of known words at most ``REACH`` places apart,
-        and the place of the first word."""
+        """Keys of the pairs of known words at most ``REACH`` places apart
+        and of words that are an item, and the place of the first word."""
         keys, at = [], []
         for d in range(1, REACH + 1):
             a, b = numbers[:-d], numbers[d:]
             p = np.flatnonzero((a >= 0) & (b >= 0))
             keys.append(a[p] * len(self.vocab) + b[p])
             at.append(p)
+        if len(self.singles):
+            p = np.flatnonzero(np.isin(numbers, self.singles))
+            keys.append(len(self.vocab) ** 2 + numbers[p])
+            at.append(p)
         return np.concatenate(keys), np.concatenate(at)
 
     def numbers(self, text: str | None) -> np.ndarray:

@@ -129,3 +129,17 @@ def test_seeds_lose_nothing_over_the_threshold():
         assert {i: round(x[0] * 2 * len(items.words[i])) for i, x in got.items()} == want
         over += len(want)
     assert over > 150
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    rng = random.Random(9)
+    items = [(1, "Ohm's law?"), (2, "Ångström"), (3, "who wrote Faust"), (4, "中国的首都是哪个城市？请回答。"), (5, "ประเทศไทยมีเมืองหลวงชื่ออะไร"),
+             (6, "日本で一番高い山は、何ですか。"), (7, "«Où» — “est” la… bibliothèque"), (8, "!?"), (9, "首都")]
+    have = {1: "by ohm s LAW it", 2: "one Ångström is", 3: "Who wrote “Faust”?", 5: "ถาม ประเทศไทยมีเมืองหลวงชื่ออะไร ครับ",
+            6: "問題:日本で一番高い山は何ですか", 7: "où est la bibliothèque"}
+    docs = [(i, text(rng, 30) + " " + t + " " + text(rng, 30)) for i, t in have.items()]
+    docs += [(40, "他说：“中国的首都是哪一个城市？请回答”。"), (90, "ohm law s"), (91, "who never wrote Faust"), (92, "首 and 都 far"), (93, "今天天气很好，我们去公园玩。"), (94, "山が好きです")]
+    got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = {(i, i) for i in have} | {(40, 4), (40, 9)}
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    assert all(r.score == 1 for r in got if r.item_id in (1, 2, 3, 9))
