@@ -124,7 +124,8 @@ def test_seeds_lose_nothing_over_the_threshold():
     over = 0
     for t in texts:
         doc = items.numbers(t)
-        want = {i: s for i, w in enumerate(items.words) if (s := D.align(w, doc)[0]) >= items.least[i]}
+        best = [D.align(w, doc) for w in items.words]
+        want = {i: s for i, (s, _, n) in enumerate(best) if s >= items.least[i] and n >= min(items.size[i], D.LEAST_WORDS)}
         got = items.found(t)
         assert {i: round(x[0] * 2 * len(items.words[i])) for i, x in got.items()} == want
         over += len(want)
@@ -143,3 +144,17 @@ def test_short_items_and_scripts_without_spaces(spark):
     want = {(i, i) for i in have} | {(40, 4), (40, 9)}
     assert {(r.doc_id, r.item_id) for r in got} == want
     assert all(r.score == 1 for r in got if r.item_id in (1, 2, 3, 9))
+
+
+def test_short_items_do_not_condemn_common_phrases(spark):
+    items = [(1, "What is the capital of France"), (2, "How do you spell the word necessary"), (3, "Which of the following is the largest planet in the solar system"),
+             (4, "Who was the first president of the United States of America and when was he born in Virginia")]
+    clean = ["Lyon was the capital of Gaul, and Paris is the capital of France today.", "The capital of a firm is the capital of its owners.",
+             "Learn how do you spell, and look the word up.", "Jupiter is the largest planet in the group.", "One of the following is the best of the year.",
+             "He was the first president of the club.", "What is the matter? What is the capital needed for this?"]
+    copies = [(1, "Q: What is the capital of France? A: Paris"), (1, "what exactly is the capital of France"), (2, "How do you spell the word 'necessary'?"),
+              (3, "Which of these following is the largest planet of the solar system?"), (4, "Who was the first president of the United States and when was he born in Virginia")]
+    docs = [(k, "Once there was a text. " + t + " And so on and on.") for k, t in enumerate(clean)] + [(100 + k, "Some words. " + t + " More words.") for k, (_, t) in enumerate(copies)]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in D.contaminated(df, bench).collect()} == {(100 + k, i) for k, (i, _) in enumerate(copies)}
+    assert {r.doc_id for r in D.decontaminate(df, bench).collect()} == set(range(len(clean)))
