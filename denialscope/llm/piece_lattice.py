@@ -13,14 +13,17 @@ DataFrame operations over the distinct words of the corpus:
    equal sums the longer last piece wins.
 
 The ids of the words return to the documents block by block. A word of over
-``MAX_WORD`` characters is split every ``MAX_WORD``, which bounds a group.
+``MAX_WORD`` characters would make too large a group: the same fold runs over
+it where its document is, keeping the best scores of the last places only and
+one edge a place, so that its ids too are those of the best segmentation.
 
 Null and empty texts have no pieces. Repeated rows are encoded each.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from array import array
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -79,11 +82,18 @@ class Pieces:
         ends = np.cumsum([0, *map(len, self.text)])
         self._bytes, self._start, self._size = np.frombuffer(b"".join(self.text), np.uint8), ends[:-1], np.diff(ends)
 
+    @cached_property
+    def known(self) -> dict[str, tuple[int, float]]:
+        return {piece.replace(SPACE, " "): (i, score) for piece, i, score in self.rows}
+
     def words(self, text: str | None) -> list[str]:
+        return self.cut(text)[0]
+
+    def cut(self, text: str | None) -> tuple[list[str], int]:
         """The text, with a space in front, cut wherever no piece has both
-        neighbours; a space stands for ``▁``."""
+        neighbours; a space stands for ``▁``. And the longest word's length."""
         if not text:
-            return []
+            return [], 0
         text = " " + text.replace(SPACE, " ")
         try:
             k = np.frombuffer(text.encode("latin-1"), np.uint8).astype(np.uint16)
@@ -92,12 +102,40 @@ class Pieces:
             k = self._char[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
             cut = self._apart[k[:-1] * self._kinds + k[1:]]
         stop = np.append(np.flatnonzero(cut) + 1, len(k))
-        size = np.diff(stop, prepend=0)
-        if size.max() > MAX_WORD:
-            for i in np.flatnonzero(size > MAX_WORD)[::-1]:
-                stop = np.insert(stop, i, np.arange(stop[i] - size[i] + MAX_WORD, stop[i], MAX_WORD))
         at = stop.tolist()
-        return [text[x:y] for x, y in zip([0, *at], at)]
+        return [text[x:y] for x, y in zip([0, *at], at)], int(np.diff(stop, prepend=0).max())
+
+    def best_path(self, word: str) -> list[int]:
+        """The ids of a word, like ``best_paths``, in time that grows with its
+        length and with a back pointer a character."""
+        known, longest = self.known, self.longest
+        scores = [0.0]  # of the last places, at most ``longest``
+        back_id, back_size = array("i"), array("i")
+        for end in range(1, len(word) + 1):
+            best = None
+            for n in range(len(scores), 0, -1):
+                edge = known.get(word[end - n:end])
+                if edge is None:
+                    if n > 1:
+                        continue
+                    edge = (-1, self.unknown)
+                score = scores[-n] + edge[1]
+                if best is None or score > best:
+                    best, piece, size = score, edge[0], n
+            back_id.append(piece)
+            back_size.append(size)
+            scores.append(best)
+            if len(scores) > longest:
+                del scores[0]
+        out, end = [], len(word)
+        while end:
+            piece = back_id[end - 1]
+            if piece >= 0:
+                out.append(piece)
+            else:
+                out.extend(self.first_byte + v for v in reversed(word[end - 1].encode()))
+            end -= back_size[end - 1]
+        return out[::-1]
 
     def spelt(self, ids: np.ndarray) -> bytes:
         """The bytes of the pieces, one after the other."""
@@ -121,7 +159,8 @@ def pieces(tokenizer: str) -> Pieces:
 
 
 def block_words(rows: DataFrame, tokenizer: str) -> DataFrame:
-    """(word, block): a block's distinct words."""
+    """(word, block): a block's distinct words of at most ``MAX_WORD``
+    characters."""
     def run(batches):
         p = pieces(tokenizer)
         words, block = set(), None
@@ -137,7 +176,8 @@ def block_words(rows: DataFrame, tokenizer: str) -> DataFrame:
                     if words:
                         yield out()
                     block = at
-                words.update(p.words(text))
+                got, most = p.cut(text)
+                words.update(got if most <= MAX_WORD else [w for w in got if len(w) <= MAX_WORD])
         if words:
             yield out()
     return rows.select("block", "text").mapInArrow(released(run), "word string, block long")
@@ -220,7 +260,14 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def apply(known, chunk):
         own = pieces(tokenizer)
         texts = chunk.column(1).to_pylist()
-        got = [np.frombuffer(b"".join(map(known.__getitem__, own.words(t))), own.width) for t in texts]
+
+        def ids_of(t):
+            words, most = own.cut(t)
+            if most <= MAX_WORD:
+                return b"".join(map(known.__getitem__, words))
+            return b"".join(known[w] if len(w) <= MAX_WORD else np.array(own.best_path(w), own.width).tobytes() for w in words)
+
+        got = [np.frombuffer(ids_of(t), own.width) for t in texts]
         ends = np.cumsum([0, *map(len, got)])
         flat = np.concatenate(got).astype(np.int32)
         ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))

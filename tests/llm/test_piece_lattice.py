@@ -70,3 +70,23 @@ def test_long_words_are_split_without_loss(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert L.encode_documents(df).count() == 0
+
+
+def test_words_over_the_bound_equal_viterbi_over_whole_texts(spark):
+    rng = random.Random(12)
+    letters = "etaoinshrdlucmfw"
+    runs = ["".join(rng.choice(letters) for _ in range(n)) for n in (256, 257, 300, 511, 513, 2_000, 2_000, 2_000, 10_000)]
+    texts = runs + ["ab" * 5000, "information" * 200, "x" + "日本" * 400 + "é" * 300, "short words, then " + "internationalization" * 60 + " and the end"]
+    p = L.pieces(L.TOKENIZER)
+    assert any(len(w) > L.MAX_WORD for t in texts for w in p.words(t))
+    got = L.encode_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    for r in got.collect():
+        assert list(r.ids) == brute(p, texts[r.doc_id]) and r.round_trip, texts[r.doc_id][:40]
+
+
+def test_both_folds_agree():
+    """A word's path is the same whichever side of the bound it is on."""
+    p = L.pieces(L.TOKENIZER)
+    for text in sample():
+        got = [i for w in p.words(text) for i in p.best_path(w)]
+        assert got == brute(p, text), text
