@@ -26,6 +26,9 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 THRESHOLD = 0.5
+#: The least share of distinct words, and the length from which the bound on
+#: them grows like the root of the words only, as vocabularies do (Heaps).
+LEAST_DISTINCT, HEAPS_FROM = 0.25, 20_000
 RULES = ("symbols", "symbol_words", "shouting", "repeats", "variety", "lines", "endings", "word_length", "exclaims")
 #: Where estimation starts: the share of good documents; how often a vote on a
 #: good document is "good"; how often a vote on a bad one is "bad" (a bad
@@ -74,13 +77,14 @@ def rule_votes(f: Column) -> list[Column]:
     """One vote a rule, in the order of ``RULES``."""
     n, lines = f["n_words"], f["n_lines"]
     some = n >= 20
+    few = LEAST_DISTINCT * F.least(n.cast("double"), F.sqrt(n * float(HEAPS_FROM)))
     vote = lambda bad, good: F.when(bad, -1).when(good, 1).otherwise(0)
     return [
         vote((n > 0) & (f["n_symbols"] > 0.1 * n), (n > 0) & (f["n_symbols"] <= 0.01 * n)),
         vote((n > 0) & (f["n_symbol_words"] > 0.1 * n), (n > 0) & (f["n_symbol_words"] <= 0.01 * n)),
         vote(some & (f["n_upper"] > 0.2 * f["word_chars"]), some & (f["n_upper"] < 0.1 * f["word_chars"])),
         vote(some & (f["n_repeat_words"] > 0.1 * n), some & (f["n_repeat_words"] <= 0.02 * n)),
-        vote((n >= 50) & (f["n_distinct"] < 0.25 * n) & (n < 20_000), (n >= 50) & (f["n_distinct"] > 0.45 * n)),
+        vote((n >= 50) & (f["n_distinct"] < few), (n >= 50) & (f["n_distinct"] > 0.45 * n)),
         vote((lines >= 4) & (f["n_dup_lines"] > 0.3 * lines), (lines >= 4) & (f["n_dup_lines"] <= 0.1 * lines)),
         vote((lines >= 2) & (f["n_ended"] < 0.4 * lines), (lines >= 2) & (f["n_ended"] > 0.8 * lines)),
         vote(some & ((f["word_chars"] > 7.0 * n) | (f["word_chars"] < 2.5 * n)), some & f["word_chars"].between(3.5 * n, 6.5 * n)),

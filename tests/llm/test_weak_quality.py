@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from denialscope.llm.weak_quality import RULES, estimate, weak_quality
+from denialscope.llm.weak_quality import RULES, estimate, rule_votes, weak_quality
 
 WORD = "[^\x20\x09-\x0D]+"
 
@@ -64,3 +64,19 @@ def test_empty_and_repeated_rows(spark):
     assert weak_quality(df).count() == 3
     assert weak_quality(df.limit(0)).count() == 0
     assert len(estimate({})[1]) == len(RULES)
+
+
+def test_variety_of_very_long_texts(spark):
+    """The bound on distinct words has no step at any length."""
+    rng = random.Random(2)
+    def salad(n, vocabulary):
+        return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+    texts = [salad(19_000, 400), salad(21_000, 400), salad(60_000, 2_000), " ".join(f"v{k if k % 3 else k % 7}" for k in range(30_000))]
+    got = weak_quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    votes = {r.doc_id: r["_quality"].votes[RULES.index("variety")] for r in got}
+    assert votes == {0: -1, 1: -1, 2: -1, 3: 1}
+    n, d = [19_990, 20_000, 20_010, 80_000, 80_000], [4_997, 5_000, 5_001, 9_999, 10_000]
+    rows = spark.createDataFrame(list(zip(range(5), n, d)), "k int, n_words long, n_distinct long")
+    zero = [F.lit(0).cast("long").alias(c) for c in ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_symbol_words", "n_lines", "n_ended", "n_upper", "n_exclaims")]
+    f = rows.select("k", F.struct("n_words", "n_distinct", *zero).alias("f"))
+    assert [r.v for r in f.select("k", rule_votes(F.col("f"))[RULES.index("variety")].alias("v")).orderBy("k").collect()] == [-1, 0, -1, -1, 0]
