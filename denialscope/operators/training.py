@@ -12,7 +12,10 @@ the rows and not the cores. Rows without a label take no part.
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 import math
+import sys
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -28,6 +31,7 @@ from ..session import cut_lineage, scratch_path
 from ..sources import files
 from ..sources.schema import FEATURE_COLUMNS
 from . import metrics as M
+from . import prefix
 from .prefix import hash_order_key, running_sums
 
 LABEL = "label"
@@ -272,6 +276,13 @@ RESULTS = "model STRING, fold INT, metric STRING, value DOUBLE, seconds DOUBLE,
 REFIT = -1  # in place of a fold: the fit on all rows
 
 
+def run_name(rows: str, configs: dict) -> str:
+    """Name of a training run's store: the rows, the configurations, and all
+    that decides the fits, the training code itself among them."""
+    code = [inspect.getsource(m) for m in (sys.modules[__name__], M, prefix)]
+    return hashlib.sha256(repr((rows, sorted(configs.items()), SEED, N_FOLDS, sorted(TREES.items()), code)).encode()).hexdigest()
+
+
 def train_all_models(mi: DataFrame, label: str = "is_denied", configs: dict = MODEL_CONFIGS,
                      save_path: str | None = None, parallelism: int = 8, store: str | None = None) -> dict:
     """CV every configuration, refit on all rows, pick the best mean CV
@@ -279,7 +290,8 @@ def train_all_models(mi: DataFrame, label: str = "is_denied", configs: dict = MO
 
     Every finished fit is appended to ``store``; a run that finds results of
     the same ``store`` there goes on from them, so a lost driver costs only
-    the fits under way."""
+    the fits under way. ``timing`` tells how many of a candidate's fold fits
+    came from the store; their seconds are those of the run that made them."""
     spark = mi.sparkSession
     store = store or scratch_path(spark, f"training/{uuid.uuid4().hex}")
     results = files.join_path(store, "results")
@@ -326,17 +338,17 @@ def train_all_models(mi: DataFrame, label: str = "is_denied", configs: dict = MO
     best_name, best_auc, summary = None, float("-inf"), []
     for name in configs:  # dictionary order: the earlier candidate wins ties
         mean_auc = mean_metric(metrics, name, "auc")
-        summary.append((name, mean_auc, sum(x for (n, _), x in seconds.items() if n == name)))
+        kept = sum(n == name and f != REFIT for n, f in done)
+        summary.append((name, mean_auc, sum(x for (n, _), x in seconds.items() if n == name), kept))
         if mean_auc is not None and mean_auc > best_auc:
             best_name, best_auc = name, mean_auc
-    models = {n: PipelineModel.load(p) for n, p in paths.items()} if save_path else {}
-    if save_path:
-        models[best_name].write().overwrite().save(save_path)
+    if save_path and best_name is not None:
+        PipelineModel.load(paths[best_name]).write().overwrite().save(save_path)
     return {"metrics": spark.createDataFrame(metrics, "model STRING, fold INT, metric STRING, value DOUBLE"),
             "best_model": best_name, "best_auc": best_auc, "paths": paths,
             "importance": spark.createDataFrame([(r.model, r.metric, r.value) for r in rows if r.fold == REFIT],
                                                 "model STRING, feature STRING, importance DOUBLE"),
-            "timing": spark.createDataFrame(summary, "model STRING, mean_auc DOUBLE, training_time DOUBLE")}
+            "timing": spark.createDataFrame(summary, "model STRING, mean_auc DOUBLE, training_time DOUBLE, stored_fits INT")}
 
 
 def cv_summary(metrics: DataFrame) -> DataFrame:
@@ -345,10 +357,11 @@ def cv_summary(metrics: DataFrame) -> DataFrame:
 
 
 def model_comparison(metrics: DataFrame, timing: DataFrame | None = None) -> DataFrame:
-    """One row per model with mean CV metrics (and training time)."""
+    """One row per model with mean CV metrics (and training time, and how
+    many of its fits were taken from an earlier run)."""
     piv = (metrics.groupBy("model").pivot("metric", ["auc", "precision", "recall", "f1", "accuracy"])
            .agg(F.avg("value")))
-    return piv.join(timing.select("model", "training_time"), on="model", how="left") if timing is not None else piv
+    return piv.join(timing.select("model", "training_time", "stored_fits"), on="model", how="left") if timing is not None else piv
 
 
 def best_model(metrics: DataFrame, order: list[str]) -> DataFrame:

@@ -4,7 +4,6 @@ provider rates."""
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 from pyspark.ml import PipelineModel
@@ -113,13 +112,14 @@ def q_cv_summary(spark, d):
 
 def _all(spark, d):
     """Results of one training run of all candidates, kept under a name made
-    of the rows and the configurations: a query that finds some or all of the
-    fits there only makes the rest."""
+    of the rows, the configurations and the training code: a query that finds
+    some or all of the fits there only makes the rest. The winner is saved as
+    ``best`` beside them."""
     feats = FE.features_wide(claims(spark, d), provider_history="rolling_90d")
     mi = cut_lineage(TR.labelled(FE.model_input(feats, keep=("claim_id", "is_denied", "service_date"))))
     n, digest = mi.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*mi.columns).cast("decimal(38,0)"))).first()
-    name = hashlib.sha256(f"{n}|{digest}|{sorted(TR.MODEL_CONFIGS.items())}".encode()).hexdigest()
-    return TR.train_all_models(mi, store=durable_path(spark, f"training/{name}"))
+    store = durable_path(spark, f"training/{TR.run_name(f'{n}|{digest}', TR.MODEL_CONFIGS)}")
+    return TR.train_all_models(mi, store=store, save_path=files.join_path(store, "best"))
 
 
 @register("train_all_models")

@@ -217,3 +217,24 @@ def test_lr_fit_and_roundtrip(spark, small_claims):
     a = sorted(r[0] for r in TR.score(m, mi).select("p_denial").collect())
     b = sorted(r[0] for r in TR.score(PipelineModel.load(path), mi).select("p_denial").collect())
     assert len(a) == len(b) and max(abs(x - y) for x, y in zip(a, b)) < 1e-12
+
+
+def test_stored_fits_are_named_by_what_made_them(spark, small_claims, monkeypatch):
+    configs = {"TinyForest": {"kind": "rf", "numTrees": 2, "maxDepth": 2, "minInstancesPerNode": 10, "weights": "balanced"}}
+    names = {TR.run_name("rows", configs), TR.run_name("other rows", configs)}
+    for key, value in (("SEED", 43), ("N_FOLDS", 2), ("TREES", {**TR.TREES, "checkpointInterval": 5})):
+        with monkeypatch.context() as m:
+            m.setattr(TR, key, value)
+            names.add(TR.run_name("rows", configs))
+    with monkeypatch.context() as m:
+        m.setattr(TR.inspect, "getsource", lambda module: "changed")
+        names.add(TR.run_name("rows", configs))
+    assert len(names) == 6 and TR.run_name("rows", configs) in names
+    monkeypatch.setattr(TR, "N_FOLDS", 2)
+    mi = model_input(features_wide(small_claims), keep=("claim_id", "is_denied"))
+    store = tempfile.mkdtemp(prefix="store-") + "/s"
+    for kept in (0, 2):
+        out = TR.train_all_models(mi, configs=configs, store=store, save_path=store + "/best")
+        assert TR.model_comparison(out["metrics"], out["timing"]).first()["stored_fits"] == kept
+    from pyspark.ml import PipelineModel
+    assert PipelineModel.load(store + "/best").stages
