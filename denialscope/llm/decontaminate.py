@@ -43,7 +43,7 @@ REACH, MIN_WORDS = 2, 5
 MATCH, MISMATCH, GAP = 2, -1, 1
 THRESHOLD = 0.4
 #: Matched words that an alignment needs besides its share, and the least score
-#: for each of them. At sf0.1 the least found has 13 matched words.
+#: for each of them. At sf0.1 they change nothing: the same 246 documents.
 LEAST_WORDS, LEAST_PER_WORD = 8, 1.5
 #: Scores carry the number of matched words in their lower bits.
 UNIT = 1 << 32
