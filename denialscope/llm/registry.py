@@ -10,6 +10,7 @@ from .decontaminate import contaminated
 from .language_id import predict_language, train_language_id
 from .lattice_lm import lattice_scores
 from .line_crf import line_quality, train_line_crf
+from .merkle import as_text, merkle_manifest, proof_digest, proofs, record_digest, verified
 from .packing import pack_documents
 from .piece_lattice import encode_documents
 from .sharding import assign_shards
@@ -107,6 +108,19 @@ def op9_piece_lattice(spark, sf_dir):
     return encode_documents(documents(spark, sf_dir))
 
 
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    """Merkle manifest of all documents by source, every row's proof, and
+    whether it still holds once the line feeds of half the rows are gone."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    bare = F.when(id_remainder(F.col("doc_id"), 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    claimed = record_digest([bare if c == "text" else F.col(c) for c in fields]).alias("claimed")
+    m = merkle_manifest(documents(spark, sf_dir), fields, "source", "doc_id", keep=["doc_id", claimed])
+    got = verified(proofs(m), m.root, F.col("row.claimed"))
+    return got.select("row.doc_id", as_text(F.col("h")).alias("leaf"), as_text(F.col("subroot")).alias("subroot"), F.lit(m.root).alias("root"),
+                      as_text(proof_digest(F.col("path"))).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
