@@ -11,10 +11,12 @@ from .language_id import predict_language, train_language_id
 from .lattice_lm import lattice_scores
 from .line_crf import line_quality, train_line_crf
 from .merkle import as_text, merkle_manifest, proof_digest, proofs, record_digest, verified
+from .nearest import nearest_neighbours
 from .packing import pack_documents
 from .piece_lattice import encode_documents
 from .sharding import assign_shards
 from .simhash import hex_fingerprint, simhash_components
+from .token_alignment import token_alignment
 from .token_counts import token_counts
 from .weak_quality import weak_quality
 
@@ -121,6 +123,18 @@ def op12_merkle_manifest(spark, sf_dir):
                       as_text(proof_digest(F.col("path"))).alias("proof_sha256"), "folded_root", "verified")
 
 
+@query
+def op13_graph_neighbours(spark, sf_dir):
+    """The 20 nearest vectors of every row whose id is divisible by 20."""
+    return nearest_neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op11_token_alignment(spark, sf_dir):
+    """Tokens of two tokenizers aligned in every document."""
+    return token_alignment(documents(spark, sf_dir))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
