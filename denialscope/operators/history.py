@@ -39,9 +39,10 @@ class RollingHistory:
 
 def _spread_null(claims: DataFrame) -> DataFrame:
     """Join key ``__npi``: the NPI, or for null a value per claim that no
-    provider has."""
-    own = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(f"`{c}`") for c in claims.columns]).cast("string"))
-    return claims.withColumn("__npi", F.coalesce(F.col(NPI), own))
+    provider has. It reads the claim id and nothing else; of frames without one
+    it numbers the rows."""
+    own = F.col("claim_id") if "claim_id" in claims.columns else F.monotonically_increasing_id().cast("string")
+    return claims.withColumn("__npi", F.coalesce(F.col(NPI), F.concat(F.lit("\u0000"), own)))
 
 
 def _look_up(claims: DataFrame, table: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -26,29 +26,23 @@ class RuleScorer:
 
 
 class ModelScorer:
-    """Wraps a fitted ``PipelineModel`` whose first stage assembles
-    ``FEATURE_COLUMNS`` (see ``operators.training``). Features are filled
-    with 0 before assembly, like the reference's model input."""
+    """Wraps a fitted model of ``operators.training``. Features are filled
+    with 0, like the reference's model input."""
 
     def __init__(self, model, name: str = "model"):
         self.model = model
         self.name = name
 
     def score(self, features: DataFrame) -> DataFrame:
-        from pyspark.ml.functions import vector_to_array
-        filled = features.na.fill(0, subset=FEATURE_COLUMNS)
-        out = self.model.transform(filled)
-        out = out.withColumn(P, vector_to_array(F.col("probability"))[1])
-        return out.drop("features", "rawPrediction", "probability", "prediction")
+        from .training import score
+        return score(self.model, features).withColumnRenamed("p_denial", P).drop("predicted")
 
 
 def promoted_scorer(spark, models_dir: str | None) -> ModelScorer | None:
     """The model that the weekly job has promoted under ``models_dir``."""
-    from pyspark.ml import PipelineModel
-
-    from .training import promoted_path
+    from .training import load_model, promoted_path
     path = promoted_path(spark, models_dir) if models_dir else None
-    return ModelScorer(PipelineModel.load(path), name=path) if path else None
+    return ModelScorer(load_model(spark, path), name=path) if path else None
 
 
 def predict_batch(features: DataFrame, scorer=None,

@@ -1,8 +1,9 @@
-"""Model training, cross-validation, selection and the deploy gate (Spark ML).
+"""Model training, cross-validation, selection and the deploy gate.
 
-Fitting is MLlib (distributed tree aggregation / L-BFGS over partitions);
-the driver only loops over the four candidate configurations and five
-folds. Folds are a column computed once (stratified, seeded hash order via
+The linear model and the forest are MLlib's (distributed tree aggregation /
+L-BFGS over partitions), fitted side by side; the boosted candidates are
+``boosting``'s, all folds and both candidates of them in one run whose passes
+serve every fit. Folds are a column computed once (stratified, seeded hash order via
 two-level prefix sums — no single-partition window), and the training frame
 is checkpointed to the shared folder before the loop so every fit re-reads
 the same materialised rows, in partitions of about ``ROWS_PER_PARTITION``:
@@ -21,7 +22,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, scratch_path
 from ..sources import files
 from ..sources.schema import FEATURE_COLUMNS
+from . import boosting as B
 from . import metrics as M
 from . import prefix
 from .prefix import hash_order_key, running_sums
@@ -46,12 +48,10 @@ MODEL_CONFIGS = {
     "LogisticRegression": {"kind": "lr", "maxIter": 1000, "C": 1.0, "weights": "balanced"},
     "RandomForest": {"kind": "rf", "numTrees": 200, "maxDepth": 12, "minInstancesPerNode": 10,
                      "weights": "balanced"},
-    "BoostedTrees": {"kind": "gbt", "maxIter": 300, "maxDepth": 8, "stepSize": 0.05, "subsamplingRate": 0.8,
-                "featureSubsetStrategy": "0.8", "weights": "pos_weight"},
-    # Leaf-wise boosting with its default 31-leaf cap maps to depth-5 trees
-    # (≤ 32 leaves) and 255 histogram bins.
-    "BoostedTreesFast": {"kind": "gbt", "maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8,
-                 "featureSubsetStrategy": "0.8", "maxBins": 255, "weights": "pos_weight"},
+    "BoostedTrees": {"kind": "boost", "rounds": 300, "depth": 8, "rate": 0.05, "rows": 0.8, "columns": 0.8,
+                     "reg_lambda": 1.0, "min_child_weight": 1.0, "bins": 64, "weights": "pos_weight"},
+    "BoostedTreesFast": {"kind": "boost", "rounds": 300, "depth": 8, "leaves": 31, "rate": 0.05, "rows": 0.8, "columns": 0.8,
+                         "reg_lambda": 0.0, "min_child_weight": 1e-3, "min_child_rows": 20, "bins": 255, "weights": "pos_weight"},
 }
 
 
@@ -139,9 +139,8 @@ def ordered_folds(df: DataFrame, order_col: str = "service_date", key: str = "cl
     return ranked.withColumn("fold", fold).drop("__dk", "__one", "cum___one")
 
 
-#: More nodes of a level fit into one pass. A forest keeps node ids with the
-#: rows, so the trees grown so far need not go out with every task; boosting
-#: grows one tree at a time, for which that costs more than it saves.
+#: More nodes of a level fit into one pass of a forest, which keeps node ids
+#: with the rows, so the trees grown so far need not go out with every task.
 TREES = {"maxMemoryInMB": 1024, "checkpointInterval": 10}
 
 
@@ -152,13 +151,8 @@ def build_estimator(config: dict, n_weight: float | None = None):
         reg = 1.0 / (config.get("C", 1.0) * n_weight) if n_weight else 0.0
         return LogisticRegression(maxIter=config["maxIter"], regParam=reg, elasticNetParam=0.0,
                                   standardization=False, **common)
-    if kind == "rf":
-        return RandomForestClassifier(numTrees=config["numTrees"], maxDepth=config["maxDepth"],
-                                      minInstancesPerNode=config["minInstancesPerNode"], seed=SEED, cacheNodeIds=True, **TREES, **common)
-    extra = {"maxBins": config["maxBins"]} if "maxBins" in config else {}
-    return GBTClassifier(maxIter=config["maxIter"], maxDepth=config["maxDepth"], stepSize=config["stepSize"],
-                         subsamplingRate=config["subsamplingRate"],
-                         featureSubsetStrategy=config["featureSubsetStrategy"], seed=SEED, **extra, **TREES, **common)
+    return RandomForestClassifier(numTrees=config["numTrees"], maxDepth=config["maxDepth"],
+                                  minInstancesPerNode=config["minInstancesPerNode"], seed=SEED, cacheNodeIds=True, **TREES, **common)
 
 
 def pipeline(config: dict, n_weight: float | None = None) -> Pipeline:
@@ -166,20 +160,63 @@ def pipeline(config: dict, n_weight: float | None = None) -> Pipeline:
     return Pipeline(stages=[assembler, build_estimator(config, n_weight=n_weight)])
 
 
-def fit(mi: DataFrame, config: dict, label: str = "is_denied", counts: tuple[int, int] | None = None) -> PipelineModel:
+def boosted(config: dict) -> bool:
+    return config["kind"] == "boost"
+
+
+def boosted_fits(mi: DataFrame, configs: dict, folds: list[int], counts: dict | None = None, label: str = "is_denied",
+                 fold_col: str = "fold") -> dict:
+    """(name, fold) → model, all of them trained in one run. ``folds`` are the
+    folds to leave out (``REFIT``: none); ``counts`` are ``fold_counts``."""
+    if counts is None:
+        counts = {REFIT - 1: class_counts(mi, label)}
+    fits, names = [], []
+    for name, config in configs.items():
+        params = B.Params(seed=SEED, **{k: v for k, v in config.items() if k not in ("kind", "weights")})
+        for f in folds:
+            neg, pos = without(counts, f)
+            weight = neg / pos if pos and config["weights"] == "pos_weight" else 1.0
+            fits.append(B.Fit(params, B.ALL_ROWS if f == REFIT else f, weight))
+            names.append((name, f))
+    models = B.boost(mi, FEATURE_COLUMNS, fits, label, fold_col if fold_col in mi.columns else None)
+    return dict(zip(names, models))
+
+
+def fit(mi: DataFrame, config: dict, label: str = "is_denied", counts: tuple[int, int] | None = None):
     """Fit one configuration on a model-input frame with a label."""
+    if boosted(config):
+        rows = cut_lineage(labelled(mi, label)) if not mi.isEmpty() else mi
+        return boosted_fits(rows, {"model": config}, [REFIT], None if counts is None else {REFIT - 1: counts}, label)["model", REFIT]
     counts = counts or class_counts(mi, label)
     data = with_weights(mi.na.fill(0, subset=FEATURE_COLUMNS), config["weights"], label, counts)
     return pipeline(config, total_weight(config["weights"], counts)).fit(data)
 
 
-def score(model: PipelineModel, mi: DataFrame) -> DataFrame:
-    out = model.transform(mi.na.fill(0, subset=FEATURE_COLUMNS))
+def score(model, mi: DataFrame) -> DataFrame:
+    rows = mi.na.fill(0, subset=FEATURE_COLUMNS)
+    if isinstance(model, B.BoostedModel):
+        return model.transform(rows, "p_denial").withColumn("predicted", (F.col("p_denial") > 0.5).cast("int"))
+    out = model.transform(rows)
     return (out.withColumn("p_denial", vector_to_array("probability")[1])
             .withColumn("predicted", F.col("prediction").cast("int"))
             .drop("features", "rawPrediction", "probability", "prediction"))
 
 
+def save_model(spark, model, path: str) -> None:
+    """Write a fitted model, replacing what is at ``path``."""
+    if isinstance(model, B.BoostedModel):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_model(spark, path: str):
+    """A model that ``save_model`` wrote."""
+    if files.exists(spark, files.join_path(path, "boosted")):
+        return B.BoostedModel.load(spark, path)
+    return PipelineModel.load(path)
+
+
 def fold_metrics(scored: DataFrame, label: str = "is_denied") -> dict:
     """The five metrics of a scored fold; the model runs over it once."""
     scored = cut_lineage(scored.select(label, "predicted", "p_denial"))
@@ -199,18 +236,21 @@ def without(counts: dict, fold: int) -> tuple[int, int]:
 
 
 def cross_validate(mi: DataFrame, config: dict, name: str, label: str = "is_denied",
-                   fold_col: str = "fold", k: int = N_FOLDS, parallelism: int = N_FOLDS, rival=None) -> list[tuple]:
+                   fold_col: str = "fold", k: int = N_FOLDS, parallelism: int = N_FOLDS, rival=None, models: dict | None = None) -> list[tuple]:
     """Per fold, fit on the other folds and score the held-out fold.
 
     Folds are fitted concurrently from driver threads (like CrossValidator's
     ``parallelism``): each fit is a series of small distributed jobs, so
     running them side by side keeps the cluster busy between job barriers.
+    Boosted folds are trained in one run, which ``models`` may bring.
     A fitted ``rival`` is scored on the same held-out folds (``rival_auc``)."""
     counts = fold_counts(mi, label, fold_col)
+    if models is None and boosted(config):
+        models = {f: m for (_, f), m in boosted_fits(mi, {name: config}, list(range(k)), counts, label, fold_col).items()}
 
     def one(f):
         test = mi.where(F.col(fold_col) == f)
-        model = fit(mi.where(F.col(fold_col) != f), config, label, without(counts, f))
+        model = models[f] if models else fit(mi.where(F.col(fold_col) != f), config, label, without(counts, f))
         m = fold_metrics(score(model, test), label)
         rows = [(name, f, metric, float(m[metric]) if m[metric] is not None else None) for metric in METRICS]
         if rival is not None:
@@ -227,8 +267,10 @@ def mean_metric(rows: list[tuple], name: str, metric: str) -> float | None:
     return sum(values) / len(values) if values else None
 
 
-def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
+def feature_importance(model) -> list[tuple[str, float]]:
     """Tree importances, or |coefficients| for a linear model."""
+    if isinstance(model, B.BoostedModel):
+        return model.importances()
     est = model.stages[-1]
     if hasattr(est, "featureImportances"):
         vals = est.featureImportances.toArray()
@@ -246,12 +288,12 @@ def deploy_decision(candidate_auc: float, production_auc: float | None, min_gain
             "deploy": gain > min_gain}
 
 
-def promote(spark, models_dir: str, model: PipelineModel, run_date: str) -> str:
+def promote(spark, models_dir: str, model, run_date: str) -> str:
     """Save the model under a path of its own and name it as the promoted one.
     Earlier versions stay, so the one before is the backup whatever is run
     again; the row that names a version is appended once it is complete."""
     path = files.join_path(models_dir, "versions", f"{run_date}-{uuid.uuid4().hex}")
-    model.write().save(path)
+    save_model(spark, model, path)
     row = spark.createDataFrame([(time.time(), run_date, path)], PROMOTIONS)
     row.coalesce(1).write.mode("append").json(files.join_path(models_dir, "promotions"))
     return path
@@ -279,7 +321,7 @@ REFIT = -1  # in place of a fold: the fit on all rows
 def run_name(rows: str, configs: dict) -> str:
     """Name of a training run's store: the rows, the configurations, and all
     that decides the fits, the training code itself among them."""
-    code = [inspect.getsource(m) for m in (sys.modules[__name__], M, prefix)]
+    code = [inspect.getsource(m) for m in (sys.modules[__name__], B, M, prefix)]
     return hashlib.sha256(repr((rows, sorted(configs.items()), SEED, N_FOLDS, sorted(TREES.items()), code)).encode()).hexdigest()
 
 
@@ -302,8 +344,8 @@ def train_all_models(mi: DataFrame, label: str = "is_denied", configs: dict = MO
         return spark.read.schema(RESULTS).json(f"{results}/*")
 
     done = {(r[0], r[1]) for r in stored().select("model", "fold").distinct().collect()}
-    # The longest (boosting) first, so that no core waits for one at the end.
-    order = sorted(configs, key=lambda n: (configs[n]["kind"] != "gbt", -configs[n].get("maxDepth", 0)))
+    # The longest first, so that no core waits for one at the end.
+    order = sorted(configs, key=lambda n: configs[n]["kind"] != "rf")
     tasks = [(n, f) for n in order for f in (REFIT, *range(N_FOLDS)) if (n, f) not in done]
     if tasks:
         # Reliable checkpoint into the shared folder: 24 fits re-read these
@@ -311,14 +353,26 @@ def train_all_models(mi: DataFrame, label: str = "is_denied", configs: dict = MO
         data = training_frame(stratified_folds(labelled(mi, label), label), label, min(parallelism, len(tasks)))
         counts = fold_counts(data, label)
 
+    ready = {}
+    shared = [t for t in tasks if boosted(configs[t[0]])]
+    if shared:
+        t0 = time.time()
+        by_folds: dict = {}
+        for n in order:
+            by_folds.setdefault(tuple(f for m, f in shared if m == n), []).append(n)
+        for folds, names in by_folds.items():
+            if folds:
+                ready |= boosted_fits(data, {n: configs[n] for n in names}, list(folds), counts, label)
+        each = (time.time() - t0) / len(shared)  # the passes serve all of them
+
     def run(task):
         name, f = task
-        t0 = time.time()
-        model = fit(data.where(F.col("fold") != f), configs[name], label, without(counts, f))
+        t0 = time.time() - (each if task in ready else 0)
+        model = ready.get(task) or fit(data.where(F.col("fold") != f), configs[name], label, without(counts, f))
         path = None
         if f == REFIT:
             path = files.join_path(store, "models", f"{name}-{uuid.uuid4().hex}")
-            model.write().save(path)
+            save_model(spark, model, path)
             values = feature_importance(model)
         else:
             m = fold_metrics(score(model, data.where(F.col("fold") == f)), label)
@@ -327,8 +381,8 @@ def train_all_models(mi: DataFrame, label: str = "is_denied", configs: dict = MO
         # a folder of its own: writers of one folder would meet in its temporary files
         spark.createDataFrame(rows, RESULTS).coalesce(1).write.json(f"{results}/{name}-{f}-{uuid.uuid4().hex}")
 
-    # Every (candidate, fold) fit and every refit is independent: run them
-    # side by side so many small MLlib jobs overlap on the cluster.
+    # Every other fit is independent: run them side by side so that many small
+    # MLlib jobs overlap on the cluster.
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         list(pool.map(run, tasks))
     rows = [r for r in stored().dropDuplicates(["model", "fold", "metric"]).collect() if r.model in configs]
@@ -343,7 +397,7 @@ def train_all_models(mi: DataFrame, label: str = "is_denied", configs: dict = MO
         if mean_auc is not None and mean_auc > best_auc:
             best_name, best_auc = name, mean_auc
     if save_path and best_name is not None:
-        PipelineModel.load(paths[best_name]).write().overwrite().save(save_path)
+        save_model(spark, load_model(spark, paths[best_name]), save_path)
     return {"metrics": spark.createDataFrame(metrics, "model STRING, fold INT, metric STRING, value DOUBLE"),
             "best_model": best_name, "best_auc": best_auc, "paths": paths,
             "importance": spark.createDataFrame([(r.model, r.metric, r.value) for r in rows if r.fold == REFIT],

@@ -9,13 +9,15 @@ import uuid
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from ..operators import boosting as B
 from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import scoring as SC
 from ..operators import training as TR
-from ..session import cut_lineage, durable_path, scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import files
 from ..sources.fixtures import claims
+from ..sources.schema import FEATURE_COLUMNS
 from . import sqlparts as S
 from .registry import ORACLE, register
 from .weekly import weekly_retrain
@@ -68,16 +70,39 @@ def q_train_rf(spark, d):
 
 @register("train_gbt")
 def q_train_gbt(spark, d):
-    """L4: gradient boosting 300 × depth 8, lr .05, .8 row/column sampling."""
+    """L4: second-order boosting 300 × depth 8, lr .05, .8 row/column sampling;
+    each feature's share of the gain."""
     return _fit_table(spark, d, "BoostedTrees")
 
 
 @register("train_gbt_fast")
 def q_train_gbt_fast(spark, d):
-    """Second boosting configuration (31-leaf-equivalent depth, 255 bins)."""
+    """Leaf-wise boosting, 300 trees of 31 leaves, 255 bins."""
     return _fit_table(spark, d, "BoostedTreesFast")
 
 
+_BIN = "CAST(least(greatest(floor({} * 4), 0), 31) AS INT)"
+
+
+@register("boost_split_gains", S.with_(f"""fd AS (SELECT *, CAST((row_number() OVER (PARTITION BY is_denied
+  ORDER BY md5(claim_id || '|42'), claim_id) - 1) % 5 AS INT) AS fold FROM feat WHERE is_denied IS NOT NULL)""", f"""r AS (SELECT fit, CASE WHEN submission_lag_days > 30 THEN 1 ELSE 0 END AS node,
+  CASE WHEN is_denied = 1 THEN {S.D(-1.5)} ELSE {S.D(0.5)} END AS g, CASE WHEN is_denied = 1 THEN {S.D(0.75)} ELSE {S.D(0.25)} END AS h, fd.*
+  FROM fd, (VALUES (0), (1), (2), (3), (4)) AS t(fit) WHERE fold <> fit)""", "c AS (" + " UNION ALL ".join(
+    f"SELECT fit, node, '{f}' AS feature, {_BIN.format('coalesce(CAST(' + f + ' AS DOUBLE), 0)')} AS bin, SUM(g) AS g, SUM(h) AS h FROM r GROUP BY ALL" for f in FEATURE_COLUMNS) + ")",
+    """n AS (SELECT *, SUM(g) OVER l AS gl, SUM(h) OVER l AS hl, SUM(g) OVER w AS ga, SUM(h) OVER w AS ha, MAX(bin) OVER w AS last FROM c
+  WINDOW w AS (PARTITION BY fit, node, feature), l AS (PARTITION BY fit, node, feature ORDER BY bin ROWS UNBOUNDED PRECEDING))""") + """
+SELECT fit, node, feature, bin, (gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1)) / 2 AS gain FROM n WHERE bin < last""")
+def q_split_gains(spark, d):
+    """The gain of every split of two nodes in all five folds' fits, at
+    the first round's gradients (positives weigh 3)."""
+    mi = FE.model_input(FE.features_wide(claims(spark, d)), keep=("claim_id", "is_denied"))
+    rows = TR.stratified_folds(TR.labelled(mi)).withColumn("fit", F.explode(F.sequence(F.lit(0), F.lit(4)))).where("fold <> fit")
+    rows = rows.withColumn("node", (F.coalesce(F.col("submission_lag_days"), F.lit(0)) > 30).cast("int"))
+    bins = {f: F.expr(_BIN.format(f"coalesce(CAST({f} AS DOUBLE), 0)")) for f in FEATURE_COLUMNS}
+    one = lambda a, b: F.when(F.col("is_denied") == 1, F.lit(a)).otherwise(F.lit(b))
+    return B.split_gains(rows, bins, one(-1.5, 0.5), one(0.75, 0.25), keys=["fit", "node"])
+
+
 @register("feature_importance")
 def q_importance(spark, d):
     """Importance table of the logistic model (|coef|)."""
@@ -111,14 +136,14 @@ def q_cv_summary(spark, d):
 
 
 def _all(spark, d):
-    """Results of one training run of all candidates, kept under a name made
-    of the rows, the configurations and the training code: a query that finds
-    some or all of the fits there only makes the rest. The winner is saved as
-    ``best`` beside them."""
+    """Results of one training run of all candidates, which the queries of one
+    application share: it is kept under the application's id and a name made of
+    the rows, the configurations and the training code. Nothing of another
+    application is used. The winner is saved as ``best`` beside the fits."""
     feats = FE.features_wide(claims(spark, d), provider_history="rolling_90d")
     mi = cut_lineage(TR.labelled(FE.model_input(feats, keep=("claim_id", "is_denied", "service_date"))))
     n, digest = mi.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*mi.columns).cast("decimal(38,0)"))).first()
-    store = durable_path(spark, f"training/{TR.run_name(f'{n}|{digest}', TR.MODEL_CONFIGS)}")
+    store = scratch_path(spark, f"training/{spark.sparkContext.applicationId}/{TR.run_name(f'{n}|{digest}', TR.MODEL_CONFIGS)}")
     return TR.train_all_models(mi, store=store, save_path=files.join_path(store, "best"))
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -62,8 +63,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="denialscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-        spark.conf.set("spark.denialscope.ownCheckpointDir", "true")
-    spark.sparkContext.setCheckpointDir(path)
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
@@ -73,15 +73,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def durable_path(spark: SparkSession, name: str) -> str:
-    """A sub-path for results that a later application may take up again: in
-    the shared folder, or in local mode without one in a fixed place."""
-    base = shared_dir(spark)
-    if spark.conf.get("spark.denialscope.ownCheckpointDir", None):
-        base = os.path.join(tempfile.gettempdir(), f"denialscope-results-{os.getuid()}")
-    return os.path.join(base, name)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared folder for written intermediate tables."""
     return os.path.join(shared_dir(spark), name)
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (once a context).
+
+    The archive is code, handed out by Spark itself; no data takes this way.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_denialscope_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="denialscope-code-"), "denialscope_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for top, _, names in os.walk(package):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(top, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    sc._denialscope_shipped = True

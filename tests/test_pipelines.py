@@ -238,3 +238,16 @@ def test_stored_fits_are_named_by_what_made_them(spark, small_claims, monkeypatc
         assert TR.model_comparison(out["metrics"], out["timing"]).first()["stored_fits"] == kept
     from pyspark.ml import PipelineModel
     assert PipelineModel.load(store + "/best").stages
+
+
+def test_weekly_job_promotes_a_boosted_model(spark, small_claims):
+    """Folds and candidate of one run; the daily job scores with it."""
+    from denialscope.operators.boosting import BoostedModel
+    from denialscope.operators.scoring import promoted_scorer
+    from denialscope.plans.weekly import weekly_retrain
+    base = tempfile.mkdtemp(prefix="weekly-")
+    config = TR.MODEL_CONFIGS["BoostedTrees"] | {"rounds": 4, "depth": 3}
+    done = weekly_retrain(small_claims, base, config_name="small", config=config)
+    assert done["deployed_path"] and isinstance(promoted_scorer(spark, f"{base}/models").model, BoostedModel)
+    out = daily_scoring(small_claims, "2024-01-15", "2001-01-01", tempfile.mkdtemp(prefix="daily-"), models_dir=f"{base}/models")
+    assert out["predictions"].where("denial_probability between 0 and 1").count() == out["batch"].count()
