@@ -45,6 +45,7 @@ CHECKPOINT = 30
 ROWS_A_BLOCK = 100_000
 CHUNK = 1 << 16      # rows summed at a time
 NODES_A_KEY = 16     # nodes of a fit that are added up together
+NODES_A_REDUCER = 128
 ALL_ROWS = -1        # in place of a fold: nothing is left out
 
 
@@ -140,7 +141,12 @@ def routed(arrays, bins: np.ndarray, depth: int) -> np.ndarray:
     return at
 
 
-def best_splits(sums: np.ndarray, starts: np.ndarray, usable: np.ndarray, p: Params):
+def layout(starts: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Where the cells of each of ``columns`` begin when only they are summed."""
+    return np.concatenate([[0], np.cumsum(np.diff(starts)[columns])])
+
+
+def best_splits(sums: np.ndarray, starts: np.ndarray, p: Params):
     """For each node of ``sums`` (nodes, 2 or 3, cells) the best (gain, cell,
     GL, HL, G, H); cell -1 where no split has a positive gain."""
     nodes, _, cells = sums.shape
@@ -152,7 +158,7 @@ def best_splits(sums: np.ndarray, starts: np.ndarray, usable: np.ndarray, p: Par
     right = total - left
     part = lambda s: s[:, 0] ** 2 / np.maximum(s[:, 1] + p.reg_lambda, 1e-12)
     gain = (part(left) + part(right) - part(total)) / 2
-    ok = np.repeat(usable, np.diff(starts))[None, :] & (left[:, 1] >= p.min_child_weight) & (right[:, 1] >= p.min_child_weight)
+    ok = (left[:, 1] >= p.min_child_weight) & (right[:, 1] >= p.min_child_weight)
     if sums.shape[1] > 2:
         ok &= (left[:, 2] >= p.min_child_rows) & (right[:, 2] >= p.min_child_rows)
     ok[:, starts[1:] - 1] = False
@@ -195,15 +201,17 @@ def drawn(fit: Fit, index: int, round_: int, part: int, n: int) -> np.ndarray:
     return np.random.default_rng((fit.params.seed, index, round_, part)).random(n) < fit.params.rows
 
 
-def level_sums(part: int, block: dict, fits: list[Fit], starts: dict, round_: int, trees: list, nodes: list):
+def level_sums(part: int, block: dict, fits: list[Fit], starts: dict, round_: int, trees: list, nodes: list, usable: list):
     """((fit, group of nodes), sums) of one block. ``trees``: arrays of every
-    fit's tree so far; ``nodes``: the nodes of the level to be summed."""
+    fit's tree so far; ``nodes``: the nodes of the level to be summed;
+    ``usable``: the features of every fit's tree."""
     grads = margins_of(fits, block)
     for k, fit in enumerate(fits):
         if not nodes[k]:
             continue
         p = fit.params
-        cells, width = starts[p.bins], int(starts[p.bins][-1])
+        cells = layout(starts[p.bins], usable[k])
+        width = int(cells[-1])
         rows = np.flatnonzero((block["fold"] != fit.fold) & drawn(fit, k, round_, part, len(block["y"])))
         slot_of = np.full(len(trees[k][0]), -1, np.int64)
         slot_of[nodes[k]] = np.arange(len(nodes[k]))
@@ -214,7 +222,7 @@ def level_sums(part: int, block: dict, fits: list[Fit], starts: dict, round_: in
             bins = block[p.bins][some]
             slot = slot_of[routed(trees[k], bins, p.depth)]
             some, bins, slot = some[slot >= 0], bins[slot >= 0], slot[slot >= 0]
-            at = (bins + (cells[:-1] + (slot * width)[:, None])).ravel()
+            at = (bins[:, usable[k]] + (cells[:-1] + (slot * width)[:, None])).ravel()
             for j, weights in enumerate((grads["g"][k, some], grads["h"][k, some], None)[:len(sums)]):
                 sums[j] += np.bincount(at, weights=None if weights is None else np.repeat(weights, len(cells) - 1), minlength=n)
         # half the bytes of a shuffle that is all sums; they are added up as doubles
@@ -308,7 +316,7 @@ def _blocks(df: DataFrame, features: list[str], label: str, fold: str | None, ta
         got = list(got)
         whole = lambda c, kind: np.frombuffer(b"".join(r[c] for r in got), kind)
         y = whole("y", np.float32)
-        yield part, {"y": y, "fold": whole("fold", np.int8), "margin": np.zeros((n_fits, len(y)))} | {
+        yield part, {"y": y, "fold": whole("fold", np.int8), "margin": np.zeros((n_fits, len(y)), np.float32)} | {
             n: whole(f"b{n}", np.uint8).reshape(-1, len(features)) for n in tables}
     return rows.mapPartitionsWithIndex(one, preservesPartitioning=True)
 
@@ -324,7 +332,6 @@ def boost(df: DataFrame, features: list[str], fits: list[Fit], label: str = "is_
     tables = {n: binning(df, features, n) for n in sorted({f.params.bins for f in fits})}
     starts = {n: t.starts for n, t in tables.items()}
     blocks = _blocks(df, features, label, fold, tables, len(fits)).persist(StorageLevel.MEMORY_AND_DISK)
-    reducers = max(1, min(blocks.getNumPartitions(), sc.defaultParallelism))
     models = [BoostedModel(features, [], f.params) for f in fits]
     older = None
     for round_ in range(max((f.params.rounds for f in fits), default=0)):
@@ -333,17 +340,15 @@ def boost(df: DataFrame, features: list[str], fits: list[Fit], label: str = "is_
         usable = []
         for k, f in enumerate(fits):
             rng = np.random.default_rng((f.params.seed, k, round_))
-            mask = np.zeros(len(features), bool)
-            mask[rng.permutation(len(features))[:max(1, round(f.params.columns * len(features)))]] = True
-            usable.append(mask)
+            usable.append(np.sort(rng.permutation(len(features))[:max(1, round(f.params.columns * len(features)))]))
         nodes = [[0] if on else [] for on in live]
         while any(nodes):
             arrays = [t.arrays() for t in trees]
-            found = _level(blocks, fits, starts, round_, arrays, nodes, usable, reducers)
+            found = _level(blocks, fits, starts, round_, arrays, nodes, usable)
             if older is not None:  # this pass has stored the moved margins
                 older.unpersist()
                 older = None
-            nodes = [_grow(t, f.params, tables[f.params.bins], nodes[k], found.get(k, {})) for k, (t, f) in enumerate(zip(trees, fits))]
+            nodes = [_grow(t, f.params, layout(starts[f.params.bins], usable[k]), usable[k], nodes[k], found.get(k, {})) for k, (t, f) in enumerate(zip(trees, fits))]
         for k, f in enumerate(fits):
             if live[k] and f.params.leaves:
                 trees[k] = trees[k].best_first(f.params.leaves)
@@ -359,15 +364,17 @@ def boost(df: DataFrame, features: list[str], fits: list[Fit], label: str = "is_
     return models
 
 
-def _level(blocks, fits, starts, round_, arrays, nodes, usable, reducers) -> dict:
+def _level(blocks, fits, starts, round_, arrays, nodes, usable) -> dict:
     """fit -> node -> its best split."""
+    reducers = -(-sum(map(len, nodes)) // NODES_A_REDUCER)
+
     def sums(pair):
-        return level_sums(pair[0], pair[1], fits, starts, round_, arrays, nodes)
+        return level_sums(pair[0], pair[1], fits, starts, round_, arrays, nodes, usable)
 
     def best(pair):
         (k, first), added = pair
         p = fits[k].params
-        return k, first, [v.tolist() for v in best_splits(added, starts[p.bins], usable[k], p)]
+        return k, first, [v.tolist() for v in best_splits(added, layout(starts[p.bins], usable[k]), p)]
     out: dict = {}
     for k, first, columns in blocks.flatMap(sums).combineByKey(_double, _add, _add, reducers).map(best).collect():
         for j, row in enumerate(zip(*columns)):
@@ -387,7 +394,7 @@ def _moved(blocks, fits, arrays):
     return blocks.mapValues(lambda b: with_trees(b, fits, arrays))
 
 
-def _grow(tree: Tree, p: Params, table: Binning, nodes: list[int], found: dict) -> list[int]:
+def _grow(tree: Tree, p: Params, cells: np.ndarray, columns: np.ndarray, nodes: list[int], found: dict) -> list[int]:
     """Split what has a split; the children to be summed next."""
     nxt = []
     for node in nodes:
@@ -398,9 +405,9 @@ def _grow(tree: Tree, p: Params, table: Binning, nodes: list[int], found: dict)
             tree.value[0] = -p.rate * g / max(h + p.reg_lambda, 1e-12)
         if cell < 0:
             continue
-        feature = int(np.searchsorted(table.starts, cell, side="right")) - 1
+        place = int(np.searchsorted(cells, cell, side="right")) - 1
         value = lambda a, b: -p.rate * a / max(b + p.reg_lambda, 1e-12)
-        tree.split(node, feature, int(cell - table.starts[feature]), gain, value(gl, hl), value(g - gl, h - hl))
+        tree.split(node, int(columns[place]), int(cell - cells[place]), gain, value(gl, hl), value(g - gl, h - hl))
         if tree.depth[node] + 1 < p.depth:
             nxt.append(node)
     reach = tree.within_reach(p.leaves) if p.leaves else nxt

@@ -159,8 +159,8 @@ def test_gains_as_a_query_and_as_a_pass(spark):
     want = B.split_gains(df, bins, g, h).orderBy(F.desc("gain")).first()
     block = {"y": y.astype(np.float32), "fold": np.zeros(300, np.int8), "margin": np.zeros((1, 300)), 64: edges.bins(x)}
     fit = B.Fit(B.Params(rows=1.0, columns=1.0))
-    (_, sums), = B.level_sums(0, block, [fit], {64: edges.starts}, 0, [B.Tree().arrays()], [[0]])
-    gain, cell, *_ = B.best_splits(sums.astype(float), edges.starts, np.ones(3, bool), fit.params)
+    (_, sums), = B.level_sums(0, block, [fit], {64: edges.starts}, 0, [B.Tree().arrays()], [[0]], [np.arange(3)])
+    gain, cell, *_ = B.best_splits(sums.astype(float), edges.starts, fit.params)
     assert gain[0] == pytest.approx(want.gain) and NAMES[cell[0] // 31] == want.feature and cell[0] % 31 == want.bin
 
 
