@@ -10,9 +10,9 @@
    until none is: also a key that holds a third of all rows is split, since
    the id and the row number follow the key in the order.
 4. Whole ranges go to shards, the largest first to the emptiest shard.
-5. Positions: rows are numbered within (range, part) and offset by the counts
-   before; a part has about ``PART_ROWS`` rows, so no range is numbered in one
-   task whatever its size.
+5. Positions: rows are range-partitioned by (range, key, id, row number),
+   numbered in that order, and offset by the counts of the partitions before; a
+   range spreads over as many partitions as its rows fill, and keeps its order.
 
 To the driver come the total size, the sampled keys and one row a range, all
 in proportion to the number of pieces and not to the input.
@@ -21,7 +21,6 @@ in proportion to the number of pieces and not to the input.
 from __future__ import annotations
 
 import heapq
-import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +30,7 @@ from .common import written
 SHARDS = 40
 PIECES = 16           # ranges a shard
 OVERSAMPLE = 8        # sampled keys a range
-PART_ROWS = 200_000
+FILE_ROWS = 200_000
 MAX_ROUNDS = 30
 
 
@@ -65,18 +64,26 @@ def _draw(records: DataFrame, weight, wanted: float, total: float, seed: int) ->
     return sorted((r.sh__k, r.sh__i, r.sh__u) for r in got)
 
 
+def _order_of(df: DataFrame, column: str):
+    """A long to order rows by: an integer itself, a hash of anything else."""
+    c = F.col(f"`{column}`")
+    whole = df.select(c).schema[0].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    return F.coalesce(c.cast("long") if whole else F.xxhash64(c), F.lit(0))
+
+
 def assign_shards(records: DataFrame, key: str, id_col: str, size: str, shards: int = SHARDS, pieces: int = PIECES) -> DataFrame:
     """The rows and columns of ``records`` plus ``shard`` (int) and ``slot``
     (long, gapless from 0 in each shard). Shards have nearly equal sums of
-    ``size``; rows of one ``key`` (a long) are neighbours wherever they fit.
+    ``size``; rows of one ``key`` are neighbours wherever they fit.
 
-    Null keys, ids and sizes count as 0. Repeated rows are placed one by one.
+    Keys and ids may be of any type: integers give the order themselves, others
+    by their hash. Null keys, ids and sizes count as 0. Repeated rows are placed one by one.
     An empty table gives an empty result. Input columns named ``shard`` or
     ``slot`` are replaced.
     """
     held = [F.col(f"`{c}`") for c in records.columns if c.lower() not in ("shard", "slot")]
-    base = written(records.select(*held, F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("sh__k"),
-                                  F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("sh__i"), F.monotonically_increasing_id().alias("sh__u"),
+    base = written(records.select(*held, _order_of(records, key).alias("sh__k"),
+                                  _order_of(records, id_col).alias("sh__i"), F.monotonically_increasing_id().alias("sh__u"),
                                   F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)).alias("sh__s")), "shard-input")
     total, rows = base.agg(F.sum("sh__s"), F.count("sh__s")).first()
     if not rows:
@@ -122,15 +129,15 @@ def assign_shards(records: DataFrame, key: str, id_col: str, size: str, shards:
     table = spark.createDataFrame(out, "kind int, a long, b long, c long, shard int, sh__first long")
     ranges = F.broadcast(table.where("kind = 0").select(F.col("a").cast("int").alias("sh__r"), "shard", "sh__first"))
     lone = F.broadcast(table.where("kind = 1").select(F.col("a").alias("sh__k"), F.col("b").alias("sh__i"), F.col("c").alias("sh__u"), "shard", "sh__first"))
-    parts = max(1, math.ceil(max((x.n for x in stats), default=1) / PART_ROWS))
-    spot = light.select(*held, "sh__k", "sh__i", "sh__u", _range_of(key_of, splitters).alias("sh__r"),
-                        F.pmod(F.xxhash64("sh__u", F.lit("part")), F.lit(parts)).cast("int").alias("sh__p"))
-    counts = spot.groupBy("sh__r", "sh__p").agg(F.count(F.lit(1)).alias("n"))
+    order = ["sh__r", "sh__k", "sh__i", "sh__u"]
+    spot = light.select(*held, "sh__k", "sh__i", "sh__u", _range_of(key_of, splitters).alias("sh__r"))
+    spot = spot.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("sh__at", F.monotonically_increasing_id())
+    spot = written(spot.drop("sh__k", "sh__i", "sh__u"), "shard-order").withColumn("sh__p", F.shiftright("sh__at", 33))
+    counts = spot.groupBy("sh__r", "sh__p").agg(F.count(F.lit(1)).alias("n"), F.min("sh__at").alias("first"))
     ahead = Window.partitionBy("sh__r").orderBy("sh__p").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("sh__r", "sh__p", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("sh__ahead"))
-    rank = F.row_number().over(Window.partitionBy("sh__r", "sh__p").orderBy("sh__k", "sh__i", "sh__u"))
-    many = (spot.withColumn("sh__at", rank).join(counts, ["sh__r", "sh__p"]).join(ranges, "sh__r")
-            .select(*held, "shard", (F.col("sh__first") + F.col("sh__ahead") + F.col("sh__at") - 1).alias("slot")))
+    counts = counts.select("sh__r", "sh__p", (F.coalesce(F.sum("n").over(ahead), F.lit(0)) - F.col("first")).alias("sh__ahead"))
+    many = (spot.join(counts, ["sh__r", "sh__p"]).join(ranges, "sh__r")
+            .select(*held, "shard", (F.col("sh__first") + F.col("sh__ahead") + F.col("sh__at")).alias("slot")))
     single = base.where(heavy).join(lone, ["sh__k", "sh__i", "sh__u"]).select(*held, "shard", F.col("sh__first").alias("slot"))
     return many.unionByName(single)
 
@@ -138,4 +145,4 @@ def assign_shards(records: DataFrame, key: str, id_col: str, size: str, shards:
 def write_shards(records: DataFrame, path: str, key: str, id_col: str, size: str, shards: int = SHARDS) -> None:
     """Write whole records to ``path/shard=N/``, in slot order within files."""
     done = assign_shards(records, key, id_col, size, shards)
-    done.repartition("shard", F.floor(F.col("slot") / PART_ROWS)).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    done.repartition("shard", F.floor(F.col("slot") / FILE_ROWS)).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -30,12 +30,41 @@ def test_even_bytes_with_hot_key(spark, seed):
     check(S.assign_shards(df, "key", "doc_id", "size", shards=10).collect(), 10, len(rows), 0.02)
 
 
-def test_parts_number_without_gaps(spark, monkeypatch):
-    monkeypatch.setattr(S, "PART_ROWS", 20)
+@pytest.fixture
+def many_parts(spark):
+    """Ranges that lie over several partitions."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    old = [spark.conf.get(n) for n in names]
+    for n, v in zip(names, ("23", "false")):
+        spark.conf.set(n, v)
+    yield
+    for n, v in zip(names, old):
+        spark.conf.set(n, v)
+
+
+def test_parts_number_without_gaps(spark, many_parts):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(5).alias("key"), F.lit(16).alias("size"), F.lit(3).alias("k"), F.lit("x").alias("shard"), F.lit(0).alias("n"))
     check(S.assign_shards(df, "key", "doc_id", "size", shards=4).collect(), 4, 3000, 0.02)
 
 
+@pytest.mark.parametrize("text_ids", [False, True])
+def test_rows_of_a_key_adjoin_over_many_parts(spark, many_parts, text_ids):
+    """As many runs of equal keys as keys, and one more for every range that a
+    key goes over; ids and keys of another type too."""
+    rng = random.Random(5)
+    rows = [(i, rng.randrange(400), rng.randint(16, 40)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, key long, size long")
+    if text_ids:
+        df = df.select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), F.concat(F.lit("k"), "key").alias("key"), "size")
+    got = S.assign_shards(df, "key", "doc_id", "size", shards=4, pieces=4).collect()
+    check(got, 4, 4000, 0.05)
+    by = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r.shard, r.slot)):
+        by[r.shard].append(r.key)
+    runs = sum(1 + sum(a != b for a, b in zip(ks, ks[1:])) for ks in by.values())
+    assert runs <= 400 + 4 * 4 * 3
+
+
 def test_groups_stay_together_where_they_fit(spark):
     rng = random.Random(3)
     rows = [(i, i // 4 * 1000003 % (1 << 40), rng.randint(16, 200)) for i in range(8000)]
