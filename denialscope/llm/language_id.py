@@ -158,9 +158,13 @@ def train_language_id(rows: DataFrame, id_col: str = "doc_id", text_col: str = "
 def predict_language(docs: DataFrame, model: Model | None, text_col: str = "text",
                      lang_out: str = "lang_pred", score_out: str = "score", like_out: str | None = None) -> DataFrame:
     """The rows and columns of ``docs`` plus the language and its score, 0 to
-    1, and if named its likeness. Null texts and texts without a letter are
-    ``und`` with score and likeness 0."""
+    1, and if named its likeness; columns that have those names are replaced.
+    Null texts and texts without a letter are ``und`` with score and likeness
+    0. Repeated rows are judged one by one; an empty table gives none."""
     ship(docs.sparkSession)
+    new = {c.lower() for c in (lang_out, score_out, like_out) if c}
+    if any(c.lower() in new for c in docs.columns):
+        docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in new])
     at = docs.columns.index(text_col)
 
     def run(batches):

@@ -124,13 +124,18 @@ def estimate(patterns: dict[tuple, int]) -> tuple[float, list[dict]]:
     return prior, odds()
 
 
-def weak_quality(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, columns: list[str] | None = None) -> DataFrame:
-    """The rows of ``docs`` with ``columns`` (all, unless given) plus a struct ``_quality``: the counts,
+def weak_quality(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, columns: list[str] | None = None,
+                 out: str = "_quality") -> DataFrame:
+    """The rows of ``docs`` with ``columns`` (all, unless given) plus a struct ``out``: the counts,
     ``votes``, ``posterior`` (probability that the document is good),
-    ``base_failed`` and ``kept``."""
+    ``base_failed`` and ``kept``. A column of the name ``out`` is replaced; the
+    others may have any name."""
     f = F.col("wq__f")
-    featured = word_features(docs, text_col)
-    keep = [F.col(f"`{c}`") for c in (docs.columns if columns is None else columns)]
+    names_out = [c for c in (docs.columns if columns is None else columns) if c.lower() != out.lower()]
+    # the caller's columns travel in one struct: none of their names can meet one of ours
+    row = F.struct(*[F.col(f"`{c}`") for c in names_out]).alias("wq__row") if names_out else F.lit(0).alias("wq__row")
+    featured = word_features(docs.select(row, F.col(f"`{text_col}`").alias("wq__text")), "wq__text")
+    keep = [F.col("wq__row")]
     table = written(featured.select(*keep, "wq__f", F.array(*[v.cast("tinyint") for v in rule_votes(f)]).alias("wq__v")), "weak-quality")
     n = f["n_words"]
     failed = (n < MIN_WORDS) | (100 * f["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
@@ -143,5 +148,6 @@ def weak_quality(docs: DataFrame, text_col: str = "text", threshold: float = THR
         score = score + F.when(v == -1, o[-1]).when(v == 1, o[1]).otherwise(o[0])
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     judged = table.select(*keep, "wq__f", "wq__v", (1 / (1 + F.exp(-score))).alias("wq__p"), failed.alias("wq__b"))
-    return judged.select(*keep, F.struct(*[f[x].alias(x) for x in names], F.col("wq__v").alias("votes"), F.col("wq__p").alias("posterior"),
-                                         F.col("wq__b").alias("base_failed"), (~F.col("wq__b") & (F.col("wq__p") >= threshold)).alias("kept")).alias("_quality"))
+    back = [F.col(f"wq__row.`{c}`").alias(c) for c in names_out]
+    return judged.select(*back, F.struct(*[f[x].alias(x) for x in names], F.col("wq__v").alias("votes"), F.col("wq__p").alias("posterior"),
+                                         F.col("wq__b").alias("base_failed"), (~F.col("wq__b") & (F.col("wq__p") >= threshold)).alias("kept")).alias(out))

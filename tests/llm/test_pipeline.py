@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline as C
 from denialscope.llm.piece_lattice import decode_documents
 
+#: Names that the stages and their operators use themselves.
+CLASHES = ["_quality", "wq__f", "wq__v", "wq__row", "wq__text", "__lang", "__score", "__like", "__row", "key", "id", "row", "fp", "component_id", "block",
+           "kind", "data", "word", "words", "item_id", "hits", "n_pieces", "label", "votes", "posterior"]
 SYLLABLES = {"en": ["th", "ing", "er", "on", "and"], "de": ["sch", "ung", "keit", "ver", "ein"]}
 
 
@@ -43,7 +46,8 @@ def corpus(spark, tmp_path_factory):
     add(None, None, "rules")
     add("", None, "rules")
     top = tmp_path_factory.mktemp("sf")
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string").coalesce(2).write.parquet(f"{top}/documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string") \
+        .withColumns({c: F.lit("clash") for c in CLASHES}).coalesce(2).write.parquet(f"{top}/documents.parquet")
     spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(f"{top}/benchmark.parquet")
     return str(top), rows, fate
 
