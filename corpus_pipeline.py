@@ -31,9 +31,18 @@ def columns(df: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in df.columns]
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or what no column of ``df`` is called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised rules keep."""
-    return weak_quality(docs).where(F.col("_quality.kept")).select(*columns(docs))
+    out = fresh(docs, "_quality")
+    return weak_quality(docs, out=out).where(F.col(f"{out}.kept")).select(*columns(docs))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +52,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train_language_id(docs.where(id_remainder(F.col("doc_id"), 4) != 2))
     if model is None:  # nothing to recognise a language by
         return docs
-    got = predict_language(docs, model, lang_out="__lang", score_out="__score", like_out="__like")
-    known = accepted(F.col("__lang"), F.col("__score"), LEAST_LANGUAGE_SCORE) & (F.col("__like") >= LEAST_LANGUAGE_LIKENESS)
+    lang, score, like = (fresh(docs, c) for c in ("__lang", "__score", "__like"))
+    got = predict_language(docs, model, lang_out=lang, score_out=score, like_out=like)
+    known = accepted(F.col(lang), F.col(score), LEAST_LANGUAGE_SCORE) & (F.col(like) >= LEAST_LANGUAGE_LIKENESS)
     return got.where(known).select(*columns(docs))
 
 
@@ -52,11 +62,12 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One document of each SimHash class: the smallest id, and of repeated
     rows the first."""
     small_batches(spark)
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup-rows")
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+    row = fresh(docs, "__row")
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "dedup-rows")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
     classes = simhash_components(rows.select(key.alias("key"), "text"), "key", "text", SHINGLE, RADIUS)
-    stay = classes.where(F.col("key") == F.col("component_id")).select(F.col("key.row").alias("__row"))
-    return rows.join(stay, "__row", "left_semi").select(*columns(docs))
+    stay = classes.where(F.col("key") == F.col("component_id")).select(F.col("key.row").alias(row))
+    return rows.join(stay, row, "left_semi").select(*columns(docs))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
