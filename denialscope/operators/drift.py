@@ -69,33 +69,35 @@ def psi(train: DataFrame, score: DataFrame, features: list[str] = FEATURE_COLUMN
     """
     feats = present(train, score, features)
     stack = stack if stack is not None else stacked(train, score, feats)
-    spark = stack.sparkSession
+    stats = stats or wide_stats(stack, feats)
+    return psi_of_counts(stack.sparkSession, feats, bin_counts(stack, feats, stats, n_bins), stats, n_bins)
 
-    def clean(c):
-        return F.nanvl(F.col(c), F.lit(None).cast("double"))
 
-    # Pass 1. Edges are i·step + lo, as linspace.
-    stats = stats or wide_stats(stack, feats)
-    lo = {c: stats[c]["lo"] for c in feats}
-    hi = {c: stats[c]["hi"] for c in feats}
-    edges = {c: ([] if lo[c] is None else [float(i) * ((hi[c] - lo[c]) / float(n_bins)) + lo[c]
-                                           for i in range(1, n_bins)]) for c in feats}
-
-    # Pass 2: bin = number of interior edges ≤ value (literal comparisons in
-    # codegen), then count per (feature, dataset, bin): ≤ #features × 2 × n_bins
-    # groups, combined map-side.
+def inner_edges(lo: float | None, hi: float | None, n_bins: int = N_BINS) -> list[float]:
+    """The edges between ``n_bins`` equal bins: i·step + lo, as linspace; none
+    of an empty range."""
+    if lo is None or lo == hi:
+        return []
+    return [float(i) * ((hi - lo) / float(n_bins)) + lo for i in range(1, n_bins)]
+
+
+def bin_counts(stack: DataFrame, feats: list[str], stats: dict, n_bins: int = N_BINS) -> dict[tuple[int, int], int]:
+    """(feature number, bin) → count; bins of the scoring side are ``n_bins``
+    on. A value's bin is the number of interior edges ≤ it; counts go by
+    (feature, dataset, bin): ≤ #features × 2 × n_bins groups, combined map-side."""
     def bin_of(c):
         # arithmetic guess, then exact correction against the literal edges
         # e(i) = i·step + lo (the guess is off by at most one near an edge)
-        v = clean(c)
-        if not edges[c] or hi[c] == lo[c]:
+        v = F.nanvl(F.col(c), F.lit(None).cast("double"))
+        lo, hi = stats[c]["lo"], stats[c]["hi"]
+        if not inner_edges(lo, hi, n_bins):
             return F.when(v.isNotNull(), F.lit(0))
-        step = (hi[c] - lo[c]) / float(n_bins)
-        guess = F.least(F.greatest(F.floor((v - F.lit(lo[c])) / F.lit(step)), F.lit(0)),
+        step = (hi - lo) / float(n_bins)
+        guess = F.least(F.greatest(F.floor((v - F.lit(lo)) / F.lit(step)), F.lit(0)),
                         F.lit(n_bins - 1)).cast("int")
 
         def edge(i):
-            return i.cast("double") * F.lit(step) + F.lit(lo[c])
+            return i.cast("double") * F.lit(step) + F.lit(lo)
         up = (guess < n_bins - 1) & (v >= edge(guess + 1))
         down = (guess > 0) & (v < edge(guess))
         return F.when(v.isNotNull(), guess + up.cast("int") - down.cast("int"))
@@ -105,7 +107,11 @@ def psi(train: DataFrame, score: DataFrame, features: list[str] = FEATURE_COLUMN
     codes = F.array(*[bin_of(c) + is_score * n_bins for c in feats])
     counts = (stack.select(F.posexplode(codes).alias("fi", "code")).where(F.col("code").isNotNull())
               .groupBy("fi", "code").agg(F.count(F.lit(1)).alias("n"))).collect()
-    cell = {(r["fi"], r["code"]): r["n"] for r in counts}
+    return {(r["fi"], r["code"]): r["n"] for r in counts}
+
+
+def psi_of_counts(spark, feats: list[str], cell: dict, stats: dict, n_bins: int = N_BINS) -> DataFrame:
+    """K1 from the counts of ``bin_counts``."""
     # Complete grid (every feature × bin, zero-filled) as a bounded local frame;
     # the PSI formula itself stays a Spark expression.
     grid = [(i, c, b, int(cell.get((i, b), 0)), int(cell.get((i, b + n_bins), 0)))
@@ -119,7 +125,7 @@ def psi(train: DataFrame, score: DataFrame, features: list[str] = FEATURE_COLUMN
     ap = (F.col("a") + EPS) / (na + n_bins * EPS)
     per = full.groupBy("fi", "feature").agg(F.sum((ap - ep) * F.log(ap / ep)).alias("psi_raw"))
     degenerate = [i for i, c in enumerate(feats)
-                  if tot[i][0] == 0 or tot[i][1] == 0 or lo[c] is None or lo[c] == hi[c]]
+                  if tot[i][0] == 0 or tot[i][1] == 0 or not inner_edges(stats[c]["lo"], stats[c]["hi"], n_bins)]
     value = F.when(F.col("fi").isin(*degenerate), F.lit(0.0)).otherwise(F.col("psi_raw")) if degenerate \
         else F.col("psi_raw")
     return per.select((F.col("fi") + 1).cast("int").alias("feature_index"), "feature", value.alias("psi"))
@@ -144,9 +150,11 @@ def drift_features(train: DataFrame, score: DataFrame, features: list[str] = FEA
     feats = present(train, score, features)
     stack = stack if stack is not None else stacked(train, score, feats)
     wide = wide_stats(stack, feats)
-    p = psi(train, score, feats, stack=stack, stats=wide)
-    # one row per feature
-    stats = stacked_profile(stack, feats, wide)
+    return with_status(psi(train, score, feats, stack=stack, stats=wide), stacked_profile(stack, feats, wide))
+
+
+def with_status(p: DataFrame, stats: DataFrame) -> DataFrame:
+    """K2 from K1 and the profile of both sides, one row per feature."""
     j = p.join(F.broadcast(stats), on="feature", how="left")
     return j.select("feature_index", "feature", np_round(F.col("psi"), 6).alias("psi"),
                     psi_status(F.col("psi")).alias("status"),

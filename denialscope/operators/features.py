@@ -17,8 +17,11 @@ def attach_provider_rate(claims: DataFrame, method="loo", label: str = "is_denie
     * ``"rolling_90d"`` — point-in-time 90-day window (production form);
     * ``"default"`` — constant 0.25 (single-claim serving default);
     * a labelled ``DataFrame`` — full-history rate from that table (J8);
-    * a ``RollingHistory`` — point-in-time rate from a labelled table.
+    * a ``RollingHistory`` — point-in-time rate from a labelled table;
+    * a ``StoredDays`` — the same from a maintained table of provider days.
     """
+    if isinstance(method, H.StoredDays):
+        return H.with_stored_days(claims, method)
     if isinstance(method, H.RollingHistory):
         return H.with_rolling_history(claims, method, label)
     if isinstance(method, DataFrame):

@@ -18,11 +18,13 @@ all claims of one provider into one task:
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import files
 from ..sources.schema import DEFAULT_PROVIDER_RATE
 
 NPI = "provider_npi"
@@ -37,6 +39,15 @@ class RollingHistory:
     days: int = 90
 
 
+@dataclass
+class StoredDays:
+    """Point-in-time provider rates from a maintained table of provider days
+    (``add_days``)."""
+
+    path: str
+    days: int = 90
+
+
 def _spread_null(claims: DataFrame) -> DataFrame:
     """Join key ``__npi``: the NPI, or for null a value per claim that no
     provider has. It reads the claim id and nothing else; of frames without one
@@ -132,16 +143,58 @@ def with_rolling_history(claims: DataFrame, source: RollingHistory, label: str =
                          date_col: str = "service_date") -> DataFrame:
     """Point-in-time rate of (possibly unlabelled) claims: the provider's
     claims in ``source.history`` in the days before the claim's date."""
+    return _rate_of_days(claims, provider_daily(source.history, label, date_col), source.days, date_col)
+
+
+def _rate_of_days(claims: DataFrame, daily: DataFrame, days: int, date_col: str) -> DataFrame:
     asked = (claims.where(F.col(NPI).isNotNull() & F.col(date_col).isNotNull())
              .select(NPI, day_number(F.col(date_col)).alias("day")).distinct()
              .select(NPI, "day", F.lit(0).cast("bigint").alias("denied"), F.lit(0).cast("bigint").alias("n")))
-    daily = provider_daily(source.history, label, date_col).unionByName(asked)
+    daily = daily.select(NPI, "day", "denied", "n").unionByName(asked)
     daily = daily.groupBy(NPI, "day").agg(F.sum("denied").alias("denied"), F.sum("n").alias("n"))
-    table = _rolling(daily, source.days).withColumnRenamed("day", "__day")
+    table = _rolling(daily, days).withColumnRenamed("day", "__day")
     joined = _look_up(claims.withColumn("__day", day_number(F.col(date_col))), table, ("__day",))
     return joined.withColumn(RATE, F.coalesce("rolling_rate", F.lit(DEFAULT_PROVIDER_RATE))).drop("rolling_rate", "__day")
 
 
+DAYS_SCHEMA = f"{NPI} STRING, day INT, denied BIGINT, n BIGINT, run STRING, month INT"
+
+
+def _month(day: Column) -> Column:
+    d = F.date_from_unix_date(day)
+    return F.year(d) * 100 + F.month(d)
+
+
+def add_days(claims: DataFrame, path: str, run: str, label: str = "is_denied", date_col: str = "service_date") -> None:
+    """Add labelled claims to the table of provider days at ``path``. Counts
+    add up, so each run writes its own under ``run``, by month; the same run
+    again replaces what it wrote."""
+    daily = provider_daily(claims.where(F.col(label).isNotNull()), label, date_col).withColumn("month", _month(F.col("day")))
+    # a month's providers spread over files by their number, not by a month
+    daily.write.mode("overwrite").partitionBy("month").parquet(files.join_path(path, f"run={run}"))
+
+
+def stored_days(spark, path: str, first: int, last: int) -> DataFrame:
+    """(provider, day, denied, n) for days ``first`` to ``last``: only their
+    months are read, and of those only the row groups with such days."""
+    table = spark.read.schema(DAYS_SCHEMA).option("basePath", path).parquet(path)
+    months = F.col("month").between(*[int((d := _EPOCH + dt.timedelta(days=x)).year * 100 + d.month) for x in (first, last)])
+    return table.where(months & F.col("day").between(first, last)).groupBy(NPI, "day").agg(F.sum("denied").alias("denied"), F.sum("n").alias("n"))
+
+
+_EPOCH = dt.date(1970, 1, 1)
+
+
+def with_stored_days(claims: DataFrame, source: StoredDays, date_col: str = "service_date") -> DataFrame:
+    """Point-in-time rate from the maintained table, which is read from
+    ``source.days`` before the first claim to the day before the last."""
+    first, last = claims.agg(F.min(day_number(F.col(date_col))), F.max(day_number(F.col(date_col)))).first()
+    if first is None:  # no dates, no history
+        return claims.withColumn(RATE, F.lit(DEFAULT_PROVIDER_RATE))
+    daily = stored_days(claims.sparkSession, source.path, first - source.days, last - 1)
+    return _rate_of_days(claims, daily, source.days, date_col)
+
+
 def history_rates(history: DataFrame, label: str = "is_denied") -> DataFrame:
     """Full-history provider rate S/n from a labelled history table."""
     return (provider_stats(history, label)

@@ -364,6 +364,7 @@ def train_all_models(mi: DataFrame, label: str = "is_denied", configs: dict = MO
             if folds:
                 ready |= boosted_fits(data, {n: configs[n] for n in names}, list(folds), counts, label)
         each = (time.time() - t0) / len(shared)  # the passes serve all of them
+        tasks.sort(key=lambda t: t not in ready)  # what is fitted is scored and stored before other fits start
 
     def run(task):
         name, f = task

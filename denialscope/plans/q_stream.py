@@ -91,3 +91,13 @@ def q_stream_rate(spark, d):
 def q_stream_ingest(spark, d):
     """De-duplicating incremental ingest of the claim files."""
     return _claims_out(_stream(spark, d, lambda c, base, src: J.stream_ingest(spark, src, f"{base}/out", f"{base}/ckpt"))[0])
+
+
+@register("stream_ingest_exact", _CLAIMS_SQL)
+def q_stream_ingest_exact(spark, d):
+    """Claims sent again after every other range has come, far beyond any
+    watermark, are taken once."""
+    run = lambda c, base, src: J.stream_ingest_exact(spark, src, f"{base}/out", f"{base}/ckpt")
+    _, base = _stream(spark, d, run)
+    J.arrive(spark, f"{base}/staged", 0, f"{base}/source")
+    return _claims_out(run(None, base, f"{base}/source"))

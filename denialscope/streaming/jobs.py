@@ -4,12 +4,14 @@
 Sources are file streams of claims (Parquet, explicit schema); sinks are
 Parquet with checkpoints, so a restarted query resumes exactly where it
 stopped. ``foreachBatch`` writers overwrite a ``batch_id`` partition, which
-makes a replayed micro-batch idempotent.
+makes a replayed micro-batch idempotent. State is kept on the executors' disks (RocksDB with
+changelog checkpoints) unless the launcher has chosen a state store.
 """
 
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,11 +47,39 @@ def arrive(spark: SparkSession, staged: str, k: int, source: str) -> None:
     spark.read.parquet(staged).where(F.col(RANGE) == k).drop(RANGE).write.mode("append").parquet(source)
 
 
+#: Files that a micro-batch takes at most, unless the caller says otherwise.
+MAX_FILES = 1_000
+
+
 def claim_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """File stream of claims; a micro-batch takes all files that are there, or
-    at most ``max_files``."""
-    reader = spark.readStream.schema(CLAIMS_SCHEMA)
-    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
+    """File stream of claims; a micro-batch takes at most ``max_files``."""
+    return spark.readStream.schema(CLAIMS_SCHEMA).option("maxFilesPerTrigger", max_files or MAX_FILES).parquet(path)
+
+
+DISK_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def disk_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, whose size is that
+    of the disk and not of the heap; a launcher's own choice of store stays."""
+    provider = next(iter(DISK_STATE))
+    chosen = spark.sparkContext.getConf().contains(provider)
+    old = {k: spark.conf.get(k, None) for k in DISK_STATE}
+    if not chosen:
+        for k, v in DISK_STATE.items():
+            spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def _with_event_time(df: DataFrame, date_col: str = "service_date") -> DataFrame:
@@ -127,9 +157,10 @@ def stream_denial_rate(spark: SparkSession, source: str, out: str, checkpoint: s
     res = agg.select(F.to_date(F.col("window.start")).alias("window_date"),
                      "n_claims", "predicted_denial_rate", "mean_probability",
                      F.when(z > 3, "critical").when(z > 2, "warning").otherwise("stable").alias("status"))
-    q = (res.writeStream.outputMode(output_mode).format("parquet").option("path", out)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    _run(q)
+    with disk_state(spark):
+        q = (res.writeStream.outputMode(output_mode).format("parquet").option("path", out)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        _run(q)
     return spark.read.parquet(out)
 
 
@@ -140,7 +171,46 @@ def stream_ingest(spark: SparkSession, source: str, out: str, checkpoint: str,
     watermark; the checkpoint remembers which files were already read."""
     s = _with_event_time(claim_stream(spark, source, max_files))
     dedup = s.withWatermark(EVENT_TS, delay).dropDuplicatesWithinWatermark(["claim_id"])
-    q = (dedup.drop(EVENT_TS).writeStream.outputMode("append").format("parquet").option("path", out)
+    with disk_state(spark):
+        q = (dedup.drop(EVENT_TS).writeStream.outputMode("append").format("parquet").option("path", out)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        _run(q)
+    return spark.read.schema(CLAIMS_SCHEMA).parquet(out)
+
+
+#: Buckets of the key table: a batch is compared bucket by bucket.
+KEY_BUCKETS = 64
+
+
+def _bucket(claim_id):
+    return F.pmod(F.xxhash64(claim_id), F.lit(KEY_BUCKETS)).cast("int").alias("bucket")
+
+
+def ingest_microbatch(batch: DataFrame, batch_id: int, out: str) -> None:
+    """Keep the claims of a batch whose id no batch before has brought. Ids go
+    to the key table (by batch and bucket, with Parquet bloom filters, so that
+    row groups without any of a few ids are passed over). A replayed batch sees
+    the keys of those before it only, and replaces what it wrote. Claims
+    without an id are all kept."""
+    spark = batch.sparkSession
+    keys, claims = os.path.join(out, "keys"), os.path.join(out, "claims")
+    known = spark.createDataFrame([], "claim_id STRING, bucket INT")
+    if batch_id > 0:
+        known = (spark.read.schema("claim_id STRING, batch_id BIGINT, bucket INT").option("basePath", keys).parquet(keys)
+                 .where(F.col("batch_id") < batch_id).select("claim_id", "bucket"))
+    named = batch.where("claim_id is not null").dropDuplicates(["claim_id"]).select("*", _bucket(F.col("claim_id")))
+    fresh = named.join(known, ["claim_id", "bucket"], "left_anti").drop("bucket").select(*batch.columns)
+    where = os.path.join(claims, f"batch_id={batch_id}")
+    fresh.unionByName(batch.where("claim_id is null")).write.mode("overwrite").parquet(where)
+    ids = spark.read.schema(CLAIMS_SCHEMA).parquet(where).where("claim_id is not null").select("claim_id", _bucket(F.col("claim_id")))
+    (ids.repartition("bucket").write.mode("overwrite").option("parquet.bloom.filter.enabled#claim_id", "true").partitionBy("bucket")
+     .parquet(os.path.join(keys, f"batch_id={batch_id}")))
+
+
+def stream_ingest_exact(spark: SparkSession, source: str, out: str, checkpoint: str, max_files: int | None = None):
+    """X4 without a horizon: a claim sent again is left out however late it
+    comes. What is known is a stored key table and no stream state."""
+    q = (claim_stream(spark, source, max_files).writeStream.foreachBatch(lambda df, bid: ingest_microbatch(df, bid, out))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _run(q)
-    return spark.read.schema(CLAIMS_SCHEMA).parquet(out)
+    return spark.read.schema(CLAIMS_SCHEMA).option("basePath", os.path.join(out, "claims")).parquet(os.path.join(out, "claims"))

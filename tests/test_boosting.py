@@ -172,3 +172,23 @@ def test_cross_validation_shares_one_run(spark):
     config = TR.MODEL_CONFIGS["BoostedTrees"] | {"rounds": 3, "depth": 3}
     got = TR.cross_validate(mi, config, "m")
     assert len(got) == 25 and all(0 <= v <= 1 for *_, v in got)
+
+
+def test_all_candidates_in_one_run_and_again(spark, tmp_path):
+    """Boosted candidates beside a linear one: every fit stored, the winner
+    loads, and a second run of the same store fits nothing."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(400):
+        x = rng.integers(0, 5, len(FEATURE_COLUMNS)).astype(float)
+        rows.append((f"c{i}", *x.tolist(), int(rng.random() < (0.8 if x[0] > 2 else 0.2))))
+    mi = spark.createDataFrame(rows, "claim_id string, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS) + ", is_denied int")
+    small = {"rounds": 4, "depth": 3}
+    configs = {"LogisticRegression": TR.MODEL_CONFIGS["LogisticRegression"], "BoostedTrees": TR.MODEL_CONFIGS["BoostedTrees"] | small,
+               "BoostedTreesFast": TR.MODEL_CONFIGS["BoostedTreesFast"] | small | {"leaves": 4}}
+    store = str(tmp_path / "store")
+    one = TR.train_all_models(mi, configs=configs, store=store, save_path=str(tmp_path / "best"))
+    assert one["metrics"].count() == 3 * 5 * 5 and one["importance"].count() == 3 * len(FEATURE_COLUMNS) and one["best_auc"] > 0.7
+    assert TR.score(TR.load_model(spark, str(tmp_path / "best")), mi).where("p_denial between 0 and 1").count() == 400
+    two = TR.train_all_models(mi, configs=configs, store=store)
+    assert {r.stored_fits for r in two["timing"].collect()} == {5} and two["best_model"] == one["best_model"]
