@@ -38,11 +38,13 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir, ship
+from ..session import cut_lineage, shared_dir, ship
 from ..sources import files
 
-CHECKPOINT = 30
-ROWS_A_BLOCK = 100_000
+CHECKPOINT = 10
+#: A block holds at most so many rows; few rows spread over the cores, but
+#: not thinner than the second number.
+ROWS_A_BLOCK, LEAST_ROWS = 100_000, 5_000
 CHUNK = 1 << 16      # rows summed at a time
 NODES_A_KEY = 16     # nodes of a fit that are added up together
 NODES_A_REDUCER = 128
@@ -323,12 +325,15 @@ def _blocks(df: DataFrame, features: list[str], label: str, fold: str | None, ta
 
 def boost(df: DataFrame, features: list[str], fits: list[Fit], label: str = "is_denied", fold: str | None = None) -> list[BoostedModel]:
     """Train all ``fits`` on the labelled rows of ``df``; ``fold`` names the
-    column of folds. The caller sees to it that ``df`` is written (it is read
-    twice and once more for each recomputed block)."""
+    column of folds. The rows are written once more, in blocks of an even size
+    that stay the same whenever one has to be made again."""
     spark = df.sparkSession
     ship(spark)
     sc = spark.sparkContext
     sc.setCheckpointDir(shared_dir(spark))
+    n = df.count()
+    parts = max(1, math.ceil(n / ROWS_A_BLOCK), min(sc.defaultParallelism, math.ceil(n / LEAST_ROWS)))
+    df = cut_lineage(df.select(label, *([fold] if fold else []), *features).repartition(parts))
     tables = {n: binning(df, features, n) for n in sorted({f.params.bins for f in fits})}
     starts = {n: t.starts for n, t in tables.items()}
     blocks = _blocks(df, features, label, fold, tables, len(fits)).persist(StorageLevel.MEMORY_AND_DISK)

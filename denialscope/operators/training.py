@@ -185,8 +185,7 @@ def boosted_fits(mi: DataFrame, configs: dict, folds: list[int], counts: dict |
 def fit(mi: DataFrame, config: dict, label: str = "is_denied", counts: tuple[int, int] | None = None):
     """Fit one configuration on a model-input frame with a label."""
     if boosted(config):
-        rows = cut_lineage(labelled(mi, label)) if not mi.isEmpty() else mi
-        return boosted_fits(rows, {"model": config}, [REFIT], None if counts is None else {REFIT - 1: counts}, label)["model", REFIT]
+        return boosted_fits(labelled(mi, label), {"model": config}, [REFIT], None if counts is None else {REFIT - 1: counts}, label)["model", REFIT]
     counts = counts or class_counts(mi, label)
     data = with_weights(mi.na.fill(0, subset=FEATURE_COLUMNS), config["weights"], label, counts)
     return pipeline(config, total_weight(config["weights"], counts)).fit(data)
