@@ -10,5 +10,6 @@ from . import q_io  # noqa: F401
 from . import q_stream  # noqa: F401
 from . import q_dash  # noqa: F401
 from . import q_dims  # noqa: F401
+from . import q_layout  # noqa: F401
 from . import q_train  # noqa: F401
 from .registry import ORACLE, QUERIES, oracle_sql  # noqa: F401

@@ -6,8 +6,8 @@ executor recomputes from those files, not from the raw claims). Provider rates
 come from a maintained table of provider days, and drift is measured against
 the model's stored baseline: neither the history nor the training table is read
 again once these exist. The history
-store is partitioned by ``scored_date`` and overwritten per partition, so a
-re-run of the same day is idempotent.
+store is a published table (``sources/published.py``): a day appears in one
+commit, and a re-run of it replaces it.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from ..operators.features import features_wide, model_input
 from ..operators.history import RollingHistory, StoredDays, add_days
 from ..operators.scoring import RuleScorer, predict_batch, promoted_scorer
 from ..sources import files
+from ..sources.published import publish, read_published
 from ..sources.sampling import ingest_since
 
 
@@ -68,8 +69,8 @@ def daily_scoring(claims: DataFrame, run_date: str, since: str, out_dir: str, hi
                               p("daily_features", f"run_date={run_date}"))
     mi = model_input(feats)
     preds = predict_batch(feats, scorer).withColumn("scored_date", F.lit(run_date))
-    files.append_partition(preds, p("prediction_history"), "scored_date")
-    stored = files.read_predictions(spark, p("prediction_history")).where(F.col("scored_date") == run_date)
+    publish(preds, p("prediction_history"), "scored_date", [run_date])
+    stored = read_published(spark, p("prediction_history"), "scored_date", [run_date])
 
     name = os.path.basename(str(getattr(scorer, "name", "model")))
     base = load_baseline(spark, p("baselines", name))

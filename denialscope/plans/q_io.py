@@ -14,6 +14,7 @@ from ..operators import scoring as SC
 from ..operators import validate as VA
 from ..session import scratch_path
 from ..sources import files, sampling
+from ..sources import published as PB
 from ..sources.fixtures import claims
 from ..sources.schema import CLAIM_COLUMNS, FEATURE_COLUMNS
 from . import sqlparts as S
@@ -152,6 +153,30 @@ def q_union(spark, d):
     return files.union_history(old, new)
 
 
+@register("published_history", _PRED_SQL)
+def q_published(spark, d):
+    """A day published twice; the first run's rows had another threshold."""
+    path = _scratch(spark, "published")
+    p = _preds(spark, d)
+    PB.publish(p.withColumn("predicted_denied", F.lit(True)), path, "scored_date", [RUN_DATE])
+    PB.publish(p, path, "scored_date", [RUN_DATE])
+    return PB.read_published(spark, path, "scored_date")
+
+
+@register("evolved_history", S.with_(scored=True) + f"""SELECT claim_id, CAST({S.np_round_sql("p_denial", 4)} AS DOUBLE) AS denial_probability,
+  CAST(length(claim_id) AS BIGINT) AS id_length, NULL::VARCHAR AS model_version, '2024-01-14' AS scored_date FROM sc
+UNION ALL SELECT claim_id, CAST({S.np_round_sql("p_denial", 4)} AS DOUBLE), CAST(length(claim_id) AS BIGINT), '1.2.0', '2024-01-15' FROM sc""")
+def q_evolved(spark, d):
+    """A later day brings a new column and a wider number; both days
+    are read together."""
+    path = _scratch(spark, "evolved")
+    p = SC.predict_batch(FE.features_wide(claims(spark, d))).select("claim_id", "denial_probability", F.length("claim_id").alias("id_length"))
+    PB.publish(p.withColumn("scored_date", F.lit("2024-01-14")), path, "scored_date")
+    later = p.withColumn("id_length", F.col("id_length").cast("long")).withColumn("model_version", F.lit("1.2.0"))
+    PB.publish(later.withColumn("scored_date", F.lit("2024-01-15")), path, "scored_date")
+    return PB.read_published(spark, path, "scored_date")
+
+
 _BT = f"bt AS (SELECT * FROM claims WHERE submission_date > DATE '{SINCE}')"
 _DAILY_SQL = S.with_(scored=True, src="bt", rate="roll", pre=(_BT,)) + f"""SELECT claim_id,
   {S.np_round_sql("p_denial", 4)} AS denial_probability, p_denial >= 0.5 AS predicted_denied,

@@ -65,7 +65,7 @@ FROM tb LEFT JOIN sb ON tb.r = sb.r GROUP BY tb.batch_id"""
 def q_stream_summary(spark, d):
     """Per micro-batch totals, predicted denials and rate."""
     _, base = _score(spark, d)
-    summary = spark.read.parquet(f"{base}/out/batch_summary")
+    summary = J.read_batches(spark, f"{base}/out", "batch_summary")
     return summary.select("total_claims", "total_predicted_denied", "batch_denial_rate", summary.batch_id.cast("long").alias("batch_id"))
 
 

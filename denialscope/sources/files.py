@@ -99,10 +99,11 @@ PREDICTION_SCHEMA = T.StructType([
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Prediction history scan; an empty typed frame if nothing exists yet."""
+    """Prediction history scan; an empty typed frame if nothing exists yet.
+    Columns that only some partitions have are null in the others."""
     if not exists(spark, path):
         return spark.createDataFrame([], PREDICTION_SCHEMA)
-    return spark.read.parquet(path)
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -22,6 +22,7 @@ from ..operators import drift as DR
 from ..operators import history as H
 from ..operators import scoring as SC
 from ..operators import validate as VA
+from ..sources.published import publish, read_published
 from ..sources.schema import CLAIMS_SCHEMA
 
 EVENT_TS = "event_ts"
@@ -109,18 +110,19 @@ def score_microbatch(batch: DataFrame, batch_id: int, rates: DataFrame, out: str
         feats = joined.select(*raw, *[e.alias(n) for n, e in exprs.items()])
         preds = SC.predict_claims(feats, scorer)
         tag = F.lit(batch_id).cast("long")
-        (preds.withColumn("batch_id", tag).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(os.path.join(out, "predictions")))
-        (quarantine.withColumn("batch_id", tag).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .parquet(os.path.join(out, "quarantine")))
-        summary = SC.batch_summary(preds).withColumn("batch_id", tag)
-        (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .parquet(os.path.join(out, "batch_summary")))
+        for name, rows in (("predictions", preds), ("quarantine", quarantine), ("batch_summary", SC.batch_summary(preds))):
+            publish(rows.withColumn("batch_id", tag), os.path.join(out, name), "batch_id", [batch_id])
     finally:
         batch.unpersist()
 
 
+def read_batches(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """``predictions``, ``quarantine`` or ``batch_summary`` of the batches
+    published so far; a batch is there whole or not at all."""
+    rows = read_published(spark, os.path.join(out, name), "batch_id")
+    return rows.withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
 def stream_score(spark: SparkSession, source: str, out: str, history: DataFrame,
                  checkpoint: str, max_files: int | None = None, scorer=None, models_dir: str | None = None):
     """Score a claim stream until the available files are consumed,
@@ -135,7 +137,7 @@ def stream_score(spark: SparkSession, source: str, out: str, history: DataFrame,
         _run(q)
     finally:
         rates.unpersist()
-    return spark.read.parquet(os.path.join(out, "predictions"))
+    return read_batches(spark, out, "predictions")
 
 
 # --------------------------------------------------------------------- X3

@@ -10,6 +10,7 @@ from denialscope.operators import training as TR
 from denialscope.operators.features import features_wide, model_input
 from denialscope.plans.daily import daily_scoring
 from denialscope.sources import files
+from denialscope.sources.published import read_published
 from denialscope.sources.fixtures import TABLES, claims
 from denialscope.streaming import jobs as J
 
@@ -62,7 +63,7 @@ def test_daily_pipeline_idempotent(spark, small_claims):
     due = small_claims.where("submission_date > '2000-01-01'").count()
     assert r1["predictions"].count() == due > 1000  # every claim since the last run
     r2 = daily_scoring(small_claims, "2024-01-15", "2000-01-01", out_dir)
-    hist = files.read_predictions(spark, os.path.join(out_dir, "prediction_history"))
+    hist = read_published(spark, os.path.join(out_dir, "prediction_history"), "scored_date")
     assert hist.count() == due  # re-run replaced the partition
     assert r2["drift_report"].first()["n_features_monitored"] == 23
 
@@ -170,7 +171,7 @@ def test_stream_score_equals_batch(spark, small_claims):
     cols = ["claim_id", "denial_probability", "predicted_denied", "estimated_reimbursement", "confidence"]
     assert out.select(*cols).exceptAll(batch.select(*cols)).count() == 0
     assert out.count() == batch.count()
-    q = spark.read.parquet(f"{base}/out/quarantine")
+    q = J.read_batches(spark, f"{base}/out", "quarantine")
     assert q.count() == quarantine.count() > 0
 
 
