@@ -6,6 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,12 +71,34 @@ def released(run):
     return wrapped
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``written`` makes inside, unless told to keep them, are
+    deleted at the end: for steps whose result is written by then. A failed
+    step leaves none behind either."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written once as Parquet under the shared folder and read back:
     cuts the lineage, survives lost executors, and lets later steps prune
-    columns."""
+    columns. Inside ``scratch`` the table goes at its end, but with ``keep``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    paths = _scratch.get()
+    if paths is not None and not keep:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,7 +7,9 @@ tasks; to the driver comes one number a piece). A training word is also an arc
 of its own over the whole lattice, with its count less a discount; what the
 discounts free goes to the spelt arcs. The log-space forward recursion gives
 the marginal probability of each word, and a document's is the product over
-its words and one end.
+its words and one end (``score``). ``lattice_score`` is the same without whole-
+word arcs: each word's marginal over the segmentations alone, times the share
+of words among the training tokens.
 
 Also counted: tokens, known tokens, and the add-one unigram baseline over all
 training tokens. Null texts are empty: their only token is the end. Repeated
@@ -92,7 +94,7 @@ def estimate(words: DataFrame, tokenizer: str, rounds: int) -> np.ndarray:
 def lattice_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
                    tokenizer: str = TOKENIZER, rounds: int = ROUNDS) -> DataFrame:
     """One row per input row: id, ``n_tokens``, ``n_known``, ``train_tokens``,
-    ``base_score`` and ``score`` (log10). ``train`` marks the documents to
+    ``base_score``, ``score`` and ``lattice_score`` (log10). ``train`` marks the documents to
     learn from; with none, words are only spelt, by the vocabulary's own
     scores."""
     spark = docs.sparkSession
@@ -108,39 +110,44 @@ def lattice_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_
     log_p = np.log(np.where(p > 0, p, 1e-300))
     spelt = math.log(discount * kinds / n) if kinds else 0.0
     end_score = math.log10(max(ends - discount, 0.5) / max(n, 1))
+    # an event never seen in training has half a token
+    lattice_word, lattice_end = (math.log10(max(x, 0.5) / max(n, 1)) for x in (total, ends))
     floor = math.log10(n + (v + 1))
     end_base = math.log10(ends + 1) - floor
 
     def values(b):
         lattice = Lattice(vocabulary(tokenizer), log_p)
         c = b.column("n").to_numpy().astype(float)
-        score = spelt + lattice.log_probability(b.column("word").to_pylist())
+        marginal = lattice.log_probability(b.column("word").to_pylist())
+        score = spelt + marginal
         own = c > discount
         whole = np.log(np.where(own, c - discount, 1.0)) - math.log(max(n, 1))
         score = np.where(own, np.logaddexp(score, whole), score)
-        return [pa.array(b.column("n")), pa.array(score / math.log(10))]
+        return [pa.array(b.column("n")), pa.array(score / math.log(10)), pa.array(marginal / math.log(10))]
 
     def load(parts):
-        index, count, score = {}, [], []
+        index, count, score, marginal = {}, [], [], []
         for part in parts:
             for w in part.column(0).to_pylist():
                 index.setdefault(w.encode(), len(index))
             count.append(part.column(1).to_numpy())
             score.append(part.column(2).to_numpy())
+            marginal.append(part.column(3).to_numpy())
         count = np.concatenate(count) if count else np.empty(0, np.int64)
-        return index, np.log10(count + 1.0), count > 0, np.concatenate(score) if score else np.empty(0)
+        return index, np.log10(count + 1.0), count > 0, *(np.concatenate(x) if x else np.empty(0) for x in (score, marginal))
 
     def apply(state, chunk):
-        index, log_count, known, score = state
+        index, log_count, known, score, marginal = state
         out = []
         for t in chunk.column(1).to_pylist():
             w = tokens(t)
             at = np.fromiter(map(index.__getitem__, w), np.int64, len(w))
-            out.append((len(w) + 1, int(known[at].sum()) + (ends > 0), float(log_count[at].sum()) - len(w) * floor + end_base, float(score[at].sum()) + end_score))
-        cols = [pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-        return pa.RecordBatch.from_arrays([chunk.column(0), *cols], ["id", "n_tokens", "n_known", "base_score", "score"])
+            out.append((len(w) + 1, int(known[at].sum()) + (ends > 0), float(log_count[at].sum()) - len(w) * floor + end_base, float(score[at].sum()) + end_score,
+                        float(marginal[at].sum()) + len(w) * lattice_word + lattice_end))
+        cols = [pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))]
+        return pa.RecordBatch.from_arrays([chunk.column(0), *cols], ["id", "n_tokens", "n_known", "base_score", "score", "lattice_score"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    got = meet(document_chunks(rows), word_chunks(words, values, ["n", "score"]), load, apply,
-               f"id {kind}, n_tokens long, n_known long, base_score double, score double")
-    return got.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    got = meet(document_chunks(rows), word_chunks(words, values, ["n", "score", "marginal"]), load, apply,
+               f"id {kind}, n_tokens long, n_known long, base_score double, score double, lattice_score double")
+    return got.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score", "lattice_score")

@@ -7,8 +7,9 @@ recursion gives each line's probability of being good, and their mean,
 weighted by line length, is the document's score.
 
 Fitting uses a bounded sample: ``SAMPLE`` documents, and of those at most
-``SAMPLE_LINES`` lines in all (whole documents, smallest hash first). Scoring
-covers every line of every text.
+``SAMPLE_LINES`` lines in all (whole documents, smallest hash first; one that
+has more lines than are left is passed over, and the next ones are tried).
+Scoring covers every line of every text.
 """
 
 from __future__ import annotations
@@ -166,10 +167,16 @@ def train_line_crf(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                 pa.array([f.tobytes() for f, _ in got], pa.binary())], ["label", "spread", "lines", "features"])
 
     found = part.select("text", "label", "spread").mapInArrow(rows_of, "label int, spread double, lines int, features binary")
-    # whole documents up to the bound on lines: the share of them that fits
-    lines = found.agg(F.sum("lines")).first()[0] or 0
-    if lines > sample_lines:
-        found = found.where(F.col("spread") < rate * sample_lines / lines)
+    # whole documents up to the bound on lines, by a running count over two
+    # numbers a sampled document
+    sizes = sorted((r.spread, r.lines) for r in found.select("spread", "lines").collect())
+    room, fits = sample_lines, []
+    for at, lines in sizes:
+        if lines <= room:
+            room -= lines
+            fits.append((at,))
+    if len(fits) < len(sizes):
+        found = found.join(F.broadcast(docs.sparkSession.createDataFrame(fits, "spread double")), "spread", "left_semi")
     got = sorted((r.spread, r.label, r.lines, bytes(r.features)) for r in found.collect())
     if not got:
         return None
@@ -195,7 +202,8 @@ def scores(texts: list, model: dict | None) -> list[float]:
 
 def line_quality(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text", batch: int = 200) -> DataFrame:
     """One row per input row: id and ``score``. Null and empty texts are
-    scored as one empty line; without a model every score is 0.5."""
+    scored as one empty line, repeated rows each; without a model every score is
+    0.5. An empty table gives an empty result."""
     ship(docs.sparkSession)
 
     def run(batches):

@@ -69,7 +69,7 @@ def test_scores_equal_brute_force(spark, monkeypatch, block_rows):
     df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, word int")
     held = lambda i: zlib.crc32(str(i).encode() if i is not None else b"") % 7 == 2
     train = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(7)) != 2
-    got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in lattice_scores(df, train, rounds=0).collect()), key=str)
+    got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score, r.lattice_score) for r in lattice_scores(df, train, rounds=0).collect()), key=str)
     c, ends = Counter(), 0
     for i, t in rows:
         if not held(i):
@@ -89,7 +89,8 @@ def test_scores_equal_brute_force(spark, monkeypatch, block_rows):
     for i, t in rows:
         w = tokens(t)
         base = sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w) + math.log10((ends + 1) / (n + v + 1))
-        want.append((i, len(w) + 1, sum(c[x] > 0 for x in w) + 1, n, base, sum(map(word_score, w)) + math.log10((ends - d) / n)))
+        want.append((i, len(w) + 1, sum(c[x] > 0 for x in w) + 1, n, base, sum(map(word_score, w)) + math.log10((ends - d) / n),
+                     lattice.log_probability([x.decode() for x in w]).sum() / math.log(10) + len(w) * math.log10((n - ends) / n) + math.log10(ends / n)))
     want.sort(key=str)
     assert len(got) == len(want)
     for g, w in zip(sorted(got, key=lambda x: (str(x[0]), x[1])), sorted(want, key=lambda x: (str(x[0]), x[1]))):
@@ -107,5 +108,5 @@ def test_no_training_and_no_rows(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = {r.doc_id: r for r in lattice_scores(df, F.lit(False)).collect()}
     assert got[1].n_tokens == 3 and got[1].n_known == 0 and got[1].train_tokens == 0
-    assert got[1].base_score == 0 and got[1].score < got[2].score < 0
+    assert got[1].base_score == 0 and got[1].score < got[2].score < 0 and got[1].lattice_score < got[2].lattice_score < 0
     assert lattice_scores(df.limit(0), F.lit(True)).count() == 0

@@ -65,3 +65,31 @@ def test_edge_rows(spark):
     assert C.line_quality(odd.limit(0), model).count() == 0
     none = C.train_line_crf(df, df.where("quality = 7").select("doc_id", "quality"))
     assert none is None and {r.score for r in C.line_quality(odd, none).collect()} == {0.5}
+
+
+def test_one_very_long_document_leaves_the_sample_to_the_others(spark):
+    rng = random.Random(3)
+    rows = [(i, good(rng) if i % 2 else junk(rng), i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows + [(100, "x ###\n" * 30_000, 0)], "doc_id long, text string, quality int")
+    labels = df.select("doc_id", "quality")
+    most = sum(t.count("\n") + 1 for _, t, _ in rows)
+    with_long, without = (C.train_line_crf(df, known, sample_lines=most) for known in (labels, labels.where("doc_id < 100")))
+    assert all(np.array_equal(with_long[k], without[k]) for k in with_long)
+    assert C.train_line_crf(df, labels.where("doc_id = 100"), sample_lines=most) is None
+    # the documents that fit, by a count of one's own
+    for bound in (1, 5, most // 3):
+        part = C.train_line_crf(df, labels.where("doc_id < 100"), sample_lines=bound)
+        assert part is None or part["weights"].shape == (C.WIDTH,)
+
+
+def test_whole_scores_equal_a_sum_over_labellings(spark):
+    rng = random.Random(5)
+    texts = [good(rng) if i % 2 else junk(rng) for i in range(30)] + [None, "", "\n\n", "one line", "a b\na b\na b"]
+    df = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate(texts)], "doc_id long, text string, quality int")
+    model = C.train_line_crf(df, df.select("doc_id", "quality"))
+    got = {r.doc_id: r.score for r in C.line_quality(df, model).collect()}
+    for i, t in enumerate(texts):
+        x, size = C.line_features(t)
+        p, _, _ = brute(((x - model["mean"]) / model["dev"]) @ model["weights"], model["trans"], len(size))
+        weight = np.maximum(size, 1)
+        assert np.isclose(got[i], (p * weight).sum() / weight.sum(), atol=1e-9), t

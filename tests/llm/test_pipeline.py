@@ -117,3 +117,24 @@ def test_unlearned_languages_and_gibberish_are_dropped(spark, monkeypatch, learn
     got = {r.doc_id for r in C.language_id(spark, docs, "").collect()}
     assert {i for i in got if i >= kept} == set()
     assert len(got) >= 0.99 * kept
+
+
+def test_run_leaves_only_the_stages_tables(spark, corpus):
+    """A stage's own tables go with it; a failed step's go too."""
+    import os
+
+    from denialscope.llm.common import scratch, written
+    from denialscope.session import shared_dir
+    top, _, _ = corpus
+    folder = shared_dir(spark)
+    before = set(os.listdir(folder))
+    assert C.run(spark, top).count() > 0
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before if "-" in x and os.listdir(f"{folder}/{x}")}
+    assert {x for x in left if x.startswith("pipeline-")} == {f"pipeline-{name}" for name, _ in C.STAGES}
+    assert not left & {"weak-quality", "dedup-rows", "blocks", "lm-words"}
+    before = set(os.listdir(folder))
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        kept = written(spark.range(3), "kept", keep=True)
+        assert written(spark.range(4), "gone").count() == 4
+        raise ZeroDivisionError
+    assert [x.split("-")[0] for x in set(os.listdir(folder)) - before] == ["kept"] and kept.count() == 3

@@ -2,6 +2,7 @@ import collections
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from denialscope.llm.weak_quality import RULES, estimate, rule_votes, weak_quality
@@ -80,3 +81,54 @@ def test_variety_of_very_long_texts(spark):
     zero = [F.lit(0).cast("long").alias(c) for c in ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_symbol_words", "n_lines", "n_ended", "n_upper", "n_exclaims")]
     f = rows.select("k", F.struct("n_words", "n_distinct", *zero).alias("f"))
     assert [r.v for r in f.select("k", rule_votes(F.col("f"))[RULES.index("variety")].alias("v")).orderBy("k").collect()] == [-1, 0, -1, -1, 0]
+
+
+def plain_votes(t):
+    """The nine rules once more, for ASCII texts."""
+    w = re.findall(WORD, t)
+    n, chars, symbols, dup, repeats = brute(t)
+    lines = [x for x in t.split("\n") if re.search(WORD, x)]
+    k = len(lines)
+    upper, ended = len(re.findall("[A-Z]", t)), sum(bool(re.search(r"[.!?:;\")\]]\s*$", x)) for x in lines)
+    marked, kinds = sum(bool(re.search(r"[#*$%&|<>]", x)) for x in w), len(set(w))
+    few = 0.25 * min(n, (n * 20_000.0) ** 0.5)
+
+    def vote(asked, bad, fine):
+        return -1 if asked and bad else 1 if asked and fine else 0
+    return (vote(n > 0, symbols > 0.1 * n, symbols <= 0.01 * n), vote(n > 0, marked > 0.1 * n, marked <= 0.01 * n),
+            vote(n >= 20, upper > 0.2 * chars, upper < 0.1 * chars), vote(n >= 20, repeats > 0.1 * n, repeats <= 0.02 * n),
+            vote(n >= 50, kinds < few, kinds > 0.45 * n), vote(k >= 4, dup > 0.3 * k, dup <= 0.1 * k),
+            vote(k >= 2, ended < 0.4 * k, ended > 0.8 * k),
+            vote(n >= 20, chars > 7 * n or chars < 2.5 * n, 3.5 * n <= chars <= 6.5 * n),
+            vote(n >= 20, t.count("!") > 0.2 * n, t.count("!") < 0.05 * n))
+
+
+def test_posterior_equals_estimation_over_single_documents(spark):
+    rng = random.Random(9)
+    texts = [prose(rng, rng.randint(5, 200)) for _ in range(120)]
+    texts += ["\n".join(x + rng.choice([" ###", " !!!", " | |", ""]) for x in prose(rng, rng.randint(20, 120)).split("\n")) for _ in range(40)]
+    texts += [prose(rng, 60).upper() for _ in range(10)] + ["\n".join([prose(rng, 9)] * 5) for _ in range(10)] + ["", "a b c"] + [texts[0]] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r["_quality"] for r in weak_quality(df).collect()}
+    votes = np.array([plain_votes(t) for t in texts])
+    assert [tuple(got[i].votes) for i in range(len(texts))] == [tuple(v) for v in votes]
+    failed = np.array([got[i].base_failed for i in range(len(texts))])
+
+    def posterior(v):
+        fine = np.where(v == 1, right_good, np.where(v == -1, 1 - right_good, 1)).prod(axis=1) * share
+        poor = np.where(v == -1, right_bad, np.where(v == 1, 1 - right_bad, 1)).prod(axis=1) * (1 - share)
+        return fine / (fine + poor)
+
+    share, right_good, right_bad = 0.8, np.full(len(RULES), 0.95), np.full(len(RULES), 0.4)
+    learn = votes[~failed]
+    for _ in range(200):
+        p, before = posterior(learn), share
+        share = (p.sum() + 0.8) / (len(learn) + 1)
+        right_good = (p @ (learn == 1) + 0.95) / (p @ (learn != 0) + 1)
+        right_bad = ((1 - p) @ (learn == -1) + 0.4) / ((1 - p) @ (learn != 0) + 1)
+        if abs(share - before) < 1e-9:
+            break
+    want = posterior(votes)
+    assert np.allclose([got[i].posterior for i in range(len(texts))], want, atol=1e-6)
+    assert [got[i].kept for i in range(len(texts))] == [bool(not f and x >= 0.5) for f, x in zip(failed, want)]
+    assert 0 < sum(got[i].kept for i in range(len(texts))) < len(texts) - failed.sum()
