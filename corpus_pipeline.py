@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from denialscope.llm.common import documents, id_remainder, small_batches, written
+from denialscope.llm.common import documents, id_remainder, scratch, small_batches, written
 from denialscope.llm.decontaminate import decontaminate
 from denialscope.llm.language_id import accepted, predict_language, train_language_id
 from denialscope.llm.piece_lattice import encode_documents
@@ -97,5 +97,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):  # what the stage writes for itself goes with it
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return docs
