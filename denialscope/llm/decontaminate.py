@@ -48,6 +48,8 @@ LEAST_WORDS, LEAST_PER_WORD = 8, 1.5
 #: Scores carry the number of matched words in their lower bits.
 UNIT = 1 << 32
 BLOCK_BYTES = 4 << 20
+#: Words of a document whose seed hits are held at a time (more for long items).
+PART_WORDS = 4096
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
@@ -143,9 +145,26 @@ class Items:
 
     def stretches(self, doc: np.ndarray) -> dict[int, list]:
         """item -> windows of the document that may hold it."""
-        key, at = self.pairs(doc)
-        if not len(key) or not len(self.seeds):
+        if not len(self.seeds):
             return {}
+        # no alignment covers more words than an item and its gaps, so each
+        # lies within one of the overlapping parts
+        cover = int((self.size + self.slack).max()) + REACH
+        part = max(PART_WORDS, 4 * cover)
+        found: dict[int, list] = {}
+        for start in range(0, max(1, len(doc) - cover), part - cover):
+            self.part_windows(doc, start, min(len(doc), start + part), found)
+        if len(doc) > part:
+            for i, spans in found.items():
+                found[i] = merged(sorted(spans))
+        return found
+
+    def part_windows(self, doc: np.ndarray, start: int, stop: int, windows: dict[int, list]) -> None:
+        """Add the windows that the seeds of ``doc[start:stop]`` give."""
+        key, at = self.pairs(doc[start:stop])
+        at = at + start
+        if not len(key):
+            return
         slot = np.minimum(np.searchsorted(self.seeds, key), len(self.seeds) - 1)
         hit = self.seeds[slot] == key
         at, slot = at[hit], slot[hit]
@@ -160,16 +179,14 @@ class Items:
         last = np.arange(len(spot)) + self.need[item] - 1
         full = last < len(spot)
         full[full] = spot[last[full]] - spot[full] <= self.slack[item[full]]
-        windows: dict[int, list] = {}
         for i, diagonal in zip(item[full].tolist(), (spot[full] % width - longest).tolist()):
             room = int(self.slack[i])
             lo, hi = max(0, diagonal - room), min(len(doc), diagonal + int(self.size[i]) + room)
             got = windows.setdefault(i, [])
-            if got and lo <= got[-1][1]:
+            if got and got[-1][0] <= lo <= got[-1][1]:
                 got[-1] = (got[-1][0], max(hi, got[-1][1]))
             else:
                 got.append((lo, hi))
-        return windows
 
     def found(self, text: str | None) -> dict:
         """item -> (score, first word, last word) of its best alignment in
@@ -190,6 +207,17 @@ class Items:
         return out
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans, those that meet as one."""
+    out = spans[:1]
+    for lo, hi in spans[1:]:
+        if lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
 def align(item: np.ndarray, doc: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment score, where it ends in ``doc``, and its matched
     words (of equal scores, the most). A row of the table at a time; gaps
@@ -250,7 +278,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row for each document row and test item that it contains: ids,
     ``score`` (share of a perfect copy's score), and the first and last word
-    of the best alignment in the document."""
+    of the best alignment in the document. Repeated rows are searched each;
+    without documents or items there are no rows."""
     spark = docs.sparkSession
     ship(spark)
     kinds = docs.select(id_col).schema[0].dataType.simpleString(), benchmark.select(item_col).schema[0].dataType.simpleString()
@@ -272,11 +301,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that contain no test item."""
+    """The rows of ``docs``, all columns, that contain no test item; all rows
+    where there are no items. Repeated rows are judged each."""
     ship(docs.sparkSession)
     at = docs.columns.index(text_col)
+    every = docs  # pairs are counted over the input, not behind the filters of the blocks before
     for rows in item_blocks(benchmark, item_col, item_text):
-        items = seeded(docs, rows, text_col)
+        items = seeded(every, rows, text_col)
 
         def clean(batches, items=items):
             for b in batches:

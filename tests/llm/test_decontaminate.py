@@ -132,6 +132,37 @@ def test_seeds_lose_nothing_over_the_threshold():
     assert over > 150
 
 
+def test_parts_of_long_documents_lose_nothing(monkeypatch):
+    """Seed hits are held part by part; what lies over a cut is found."""
+    rng = random.Random(11)
+    some = WORDS[:50]
+    items = D.Items([(i, " ".join(rng.choice(some) for _ in range(rng.randint(2, 45)))) for i in range(25)])
+    names = list(items.vocab)
+    docs = []
+    for _ in range(25):
+        out = []
+        while len(out) < 1_500:
+            w = [names[x].decode() for x in items.words[rng.randrange(25)]]
+            out += [x for v in w for x in rng.choice([[v, "zz"], []] if rng.random() < 0.15 else [[v]])]
+            out += [rng.choice(some + ["yy"] * 50) for _ in range(rng.randint(0, 400))]
+        docs.append(" ".join(out))
+    items.choose_seeds(np.ones(len(items.grams), np.int64))
+    over = 0
+    for t in docs:
+        doc = items.numbers(t)
+        monkeypatch.setattr(D, "PART_WORDS", 1)
+        parts = items.found(t)
+        monkeypatch.setattr(D, "PART_WORDS", 1 << 40)
+        whole = items.found(t)
+        best = [D.align(w, doc) for w in items.words]
+        want = {i: s for i, (s, _, n) in enumerate(best) if s >= items.least[i] and n >= min(items.size[i], D.LEAST_WORDS)}
+        assert {i: round(x[0] * 2 * len(items.words[i])) for i, x in parts.items()} == want
+        assert {i: x[0] for i, x in parts.items()} == {i: x[0] for i, x in whole.items()}
+        over += len(want)
+    assert over > 60
+    assert items.found(" ".join(["yy"] * 3_000)) == {} and items.found(None) == {}
+
+
 def test_short_items_and_scripts_without_spaces(spark):
     rng = random.Random(9)
     items = [(1, "Ohm's law?"), (2, "Ångström"), (3, "who wrote Faust"), (4, "中国的首都是哪个城市？请回答。"), (5, "ประเทศไทยมีเมืองหลวงชื่ออะไร"),
