@@ -42,7 +42,9 @@ def tokens(text: str | None) -> list[bytes]:
 
 def block_words(rows: DataFrame) -> DataFrame:
     """(word, block, n) of ``rows(block, train, text)``: a block's distinct
-    words and how often its training documents have each."""
+    words and how often its training documents have each. A block that is read
+    in several pieces (its file is split at a row group, or it has very many
+    words) has a row for each."""
     def run(batches):
         held, block = Counter(), None
 
@@ -100,7 +102,7 @@ def lattice_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_
     spark = docs.sparkSession
     ship(spark)
     rows = blocked(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train")))
-    words = written(block_words(rows).groupBy("word").agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks")), "lm-words")
+    words = written(block_words(rows).groupBy("word").agg(F.sum("n").alias("n"), F.collect_set("block").alias("blocks")), "lm-words")
     ends = rows.where("train").count()
     seen = F.col("n") > 0
     total, kinds, once, twice = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(seen, 1)), F.count(F.when(F.col("n") == 1, 1)), F.count(F.when(F.col("n") == 2, 1))).first()

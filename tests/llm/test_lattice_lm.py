@@ -97,6 +97,36 @@ def test_scores_equal_brute_force(spark, monkeypatch, block_rows):
         assert g[:4] == w[:4] and np.allclose(g[4:], w[4:], rtol=1e-8), (g, w)
 
 
+def split_file(spark, rows, path):
+    """``rows`` (doc_id, text) from a Parquet file of small row groups, of which
+    every task reads one or two."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    ids, texts = zip(*rows)
+    pq.write_table(pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string())}), path, row_group_size=20)
+    return spark.read.parquet(path)
+
+
+def test_blocks_read_by_several_tasks_score_alike(spark, tmp_path, monkeypatch):
+    rows = corpus(150, 8)
+    train = F.coalesce(F.col("doc_id") % 4 != 0, F.lit(True))
+    want = lattice_scores(spark.createDataFrame(rows, "doc_id long, text string"), train).collect()
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        df = split_file(spark, rows, str(tmp_path / "split.parquet"))
+        assert df.rdd.getNumPartitions() > 2
+        got = lattice_scores(df, train).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    key = lambda r: (str(r.doc_id), r.n_tokens)
+    assert len(got) == len(want)
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert g[:4] == w[:4] and np.allclose(g[4:], w[4:], rtol=1e-9), (g, w)
+
+
 def test_rounds_raise_held_out_probability_of_spelt_words(spark):
     df = spark.createDataFrame(corpus(200, 5), "doc_id long, text string")
     train = F.col("doc_id") % 2 == 0
