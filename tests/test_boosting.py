@@ -94,6 +94,22 @@ def test_against_a_model_grown_by_hand(spark, p):
     assert np.allclose(left_out.margins(x[other]), part, atol=1e-4)
 
 
+def test_one_stage_passes_equal_shuffled_ones(spark, monkeypatch):
+    x, y = data()
+    df = frame(spark, x, y)
+    p = B.Params(rounds=3, depth=3, bins=32)
+    q = B.Params(rounds=3, depth=4, leaves=5, bins=32, min_child_rows=5)
+    fits = [B.Fit(p, pos_weight=2.0), B.Fit(q, fold=1)]
+    direct = B.boost(df, NAMES, fits, fold="fold")
+    monkeypatch.setattr(B, "DIRECT_BYTES", B.DIRECT_BYTES * 0)
+    for a, b in zip(direct, B.boost(df, NAMES, fits, fold="fold")):
+        assert np.allclose(a.margins(x), b.margins(x), atol=1e-9)
+
+
+def test_fewer_fits_side_by_side_of_large_tables():
+    assert [TR.side_by_side(n, 12) for n in (0, 600_000, 6_000_000, 36_000_000)] == [5, 5, 2, 1]
+
+
 def test_reach_of_leaf_wise_growth():
     """Growing only what is within reach gives the leaves of the whole tree."""
     rng = np.random.default_rng(0)
