@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import explain as X
 from ..operators import features as FE
+from ..session import scratch_path
+from ..sources import files
 from ..sources.fixtures import claims
 from ..sources.schema import FEATURE_COLUMNS
 from . import sqlparts as S
@@ -22,9 +26,15 @@ LINEAR_COEFFS = {"provider_historical_denial_rate": 0.3, "has_chronic_condition"
 LINEAR_INTERCEPT = 0.1
 
 
+#: Raw columns that the rules read beside the features.
+_RAW = ("billed_amount", "claim_type", "place_of_service")
+
+
 def _rules_expl(spark, d, policy="batch", values=False):
     hist = "loo" if policy == "batch" else "default"
     f = FE.features_wide(claims(spark, d), provider_history=hist, policy=policy)
+    # the means and the rows both read the features: they are made once
+    f = files.materialize(f.select("claim_id", *_RAW, *FEATURE_COLUMNS), scratch_path(spark, f"explained/{uuid.uuid4().hex}"))
     return X.explain_rules(f, values=values)
 
 
@@ -115,8 +125,10 @@ _VALUES = [f"CAST({f} AS DOUBLE)" for f in FEATURE_COLUMNS]
 def q_explain_claims_map(spark, d):
     """E5: feature values and contributions of every record, one row a feature."""
     r = X.explanation_records(_rules_expl(spark, d, "serve", values=True))
-    return r.select("claim_id", F.explode("feature_values").alias("feature", "value"), "feature_contributions").select(
-        "claim_id", "feature", "value", (F.try_element_at("feature_contributions", F.col("feature")) + 0.0).alias("contribution"))
+    # both maps hold the features in one order, so they are zipped, not searched
+    rows = F.zip_with(F.map_entries("feature_values"), F.map_values("feature_contributions"), lambda e, c: F.struct(
+        e["key"].alias("feature"), e["value"].alias("value"), (c + 0.0).alias("contribution")))
+    return r.select("claim_id", F.inline(rows))
 
 
 @register("top_factors", _EX_SQL + f"SELECT claim_id, {_factors_sql()} FROM ex")
