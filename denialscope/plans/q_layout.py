@@ -53,8 +53,9 @@ def q_join_provider_colocated(spark, d):
 
 @register("join_predictions_colocated", ORACLE["join_predictions_claims"])
 def q_join_predictions_colocated(spark, d):
-    """J7 over claims and predictions bucketed by claim id."""
-    c = claims(spark, d)
+    """J7 over claims and predictions bucketed by claim id. The claims are
+    derived once: both tables' buckets, hot keys and rates read the copy."""
+    c = files.materialize(claims(spark, d), _scratch(spark, "claims"))
     left = _bucketed(spark, c.select("claim_id", "claim_type", "is_denied"), "claims", "claim_id")
     preds = SC.predict_batch(FE.features_wide(c)).select("claim_id", "denial_probability", "predicted_denied")
     right = _bucketed(spark, preds, "predictions", "claim_id", left)
