@@ -76,7 +76,7 @@ def q_scan_requests(spark, d):
     path = _scratch(spark, "requests_json")
     c = claims(spark, d).drop("is_denied")
     c = c.withColumn("diagnosis_codes", dx_array(F.col("diagnosis_codes"))).withColumn("procedure_codes", proc_array(F.col("procedure_codes")))
-    files.write_json(c, path)
+    files.write_json(c, path, "gzip")
     a = VA.annotate(files.read_requests_json(spark, path), F.col("diagnosis_codes"), F.col("procedure_codes"))
     return a.select("claim_id", F.size("diagnosis_codes").alias("n_diagnosis"), F.size("procedure_codes").alias("n_procedure"), "is_valid")
 
@@ -126,7 +126,7 @@ def _preds(spark, d, date=RUN_DATE):
 def q_history(spark, d):
     """History partition written twice (a re-run) holds one copy."""
     path = _scratch(spark, "history")
-    p = _preds(spark, d)
+    p = files.materialize(_preds(spark, d), _scratch(spark, "predictions"))  # scored once, written twice
     files.append_partition(p, path, "scored_date")
     files.append_partition(p, path, "scored_date")
     return files.read_predictions(spark, path)
@@ -157,7 +157,7 @@ def q_union(spark, d):
 def q_published(spark, d):
     """A day published twice; the first run's rows had another threshold."""
     path = _scratch(spark, "published")
-    p = _preds(spark, d)
+    p = files.materialize(_preds(spark, d), _scratch(spark, "predictions"))
     PB.publish(p.withColumn("predicted_denied", F.lit(True)), path, "scored_date", [RUN_DATE])
     PB.publish(p, path, "scored_date", [RUN_DATE])
     return PB.read_published(spark, path, "scored_date")
@@ -171,6 +171,7 @@ def q_evolved(spark, d):
     are read together."""
     path = _scratch(spark, "evolved")
     p = SC.predict_batch(FE.features_wide(claims(spark, d))).select("claim_id", "denial_probability", F.length("claim_id").alias("id_length"))
+    p = files.materialize(p, _scratch(spark, "predictions"))
     PB.publish(p.withColumn("scored_date", F.lit("2024-01-14")), path, "scored_date")
     later = p.withColumn("id_length", F.col("id_length").cast("long")).withColumn("model_version", F.lit("1.2.0"))
     PB.publish(later.withColumn("scored_date", F.lit("2024-01-15")), path, "scored_date")

@@ -116,9 +116,10 @@ def exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """JSON artifact, one file per partition."""
-    df.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """JSON artifact, one file per partition; ``compression`` for
+    large tables (a compressed file is read by one task)."""
+    df.write.mode("overwrite").json(path, compression=compression)
 
 
 def union_history(history: DataFrame, new: DataFrame) -> DataFrame:
