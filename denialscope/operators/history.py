@@ -6,9 +6,9 @@ all claims of one provider into one task:
 
 * ``provider_stats`` is a hash aggregate (partial aggregation on the map side
   collapses a hot provider to one row per input partition before the shuffle).
-* ``loo_rate`` joins those stats back with a plain equi-join; AQE broadcasts
-  the stats when they are small at runtime and otherwise splits skewed
-  partitions of the sort-merge join.
+* ``loo_rate`` writes those stats and joins them back with a plain equi-join:
+  broadcast when the written table is small, else a sort-merge join of which
+  AQE splits skewed partitions.
 * claims without an NPI have no history; in the joins they carry a key of their
   own (``_spread_null``), or they would all meet in one task.
 * ``rolling_rate_90d`` first collapses claims to one row per (provider, day),
@@ -19,11 +19,13 @@ all claims of one provider into one task:
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..sources import files
 from ..sources.schema import DEFAULT_PROVIDER_RATE
 
@@ -80,9 +82,12 @@ def loo_expr(total_denied: Column, total_claims: Column, label: Column) -> Colum
 def with_loo_rate(claims: DataFrame, label: str = "is_denied") -> DataFrame:
     """J1 + A2: leave-one-out provider rate as ``provider_historical_denial_rate``.
 
-    Null NPIs never match the join, so they get the 0.25 default.
+    Null NPIs never match the join, so they get the 0.25 default. The stats are
+    written first: by their size the planner either broadcasts them, and the
+    claims need no shuffle, or shuffles both sides.
     """
-    stats = provider_stats(claims, label)
+    spark = claims.sparkSession
+    stats = files.materialize(provider_stats(claims, label), scratch_path(spark, f"provider_stats/{uuid.uuid4().hex}"))
     joined = _look_up(claims, stats)
     return (joined.withColumn(RATE, loo_expr(F.col("total_denied"), F.col("total_claims"), F.col(label)))
             .drop("total_denied", "total_claims"))

@@ -50,6 +50,21 @@ def get_spark(master: str | None = None, app: str = "denialscope",
     return spark
 
 
+#: The longest method, in bytes of bytecode, that HotSpot compiles. A stage with a
+#: longer one stays interpreted, at several times the CPU time a row.
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+LONGEST_COMPILED = 8000
+
+
+def compiled_methods(spark: SparkSession) -> SparkSession:
+    """Let Spark run a stage operator by operator, in short methods, where its
+    one generated method would be too long for HotSpot to compile. A limit that
+    the launcher has chosen stays."""
+    if not spark.sparkContext.getConf().contains(METHOD_LIMIT):
+        spark.conf.set(METHOD_LIMIT, str(LONGEST_COMPILED))
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
