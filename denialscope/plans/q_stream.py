@@ -43,7 +43,9 @@ _X1_SQL = S.with_(policy="serve", scored=True, src="vc", rate="hist", pre=(_VA,
 
 
 def _score(spark, d):
-    return _stream(spark, d, lambda c, base, src: J.stream_score(spark, src, f"{base}/out", history=c, checkpoint=f"{base}/ckpt"))
+    # the labelled history is every claim, read from the staged copy
+    return _stream(spark, d, lambda c, base, src: J.stream_score(
+        spark, src, f"{base}/out", history=spark.read.parquet(f"{base}/staged"), checkpoint=f"{base}/ckpt"))
 
 
 @register("stream_score", _X1_SQL)

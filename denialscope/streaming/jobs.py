@@ -97,29 +97,28 @@ def _run(query, timeout: float | None = None):
 # ----------------------------------------------------------------- X1 + X2
 def score_microbatch(batch: DataFrame, batch_id: int, rates: DataFrame, out: str, scorer=None) -> None:
     """Validate → serve-policy features (provider rate from the static
-    history rates) → score → write; invalid rows → quarantine; A15 summary."""
-    batch = batch.persist()
-    try:
-        valid, quarantine = VA.split_claims(batch)
-        # Provider rates grow with the provider count: no broadcast hint, AQE
-        # broadcasts them at runtime only when they are actually small.
-        joined = valid.join(rates, on=H.NPI, how="left")
-        rate = F.least(F.greatest(F.coalesce(F.col("history_rate"), F.lit(0.25)), F.lit(0.0)), F.lit(1.0))
-        exprs = feature_exprs("serve", provider_rate=rate)
-        raw = [c for c in joined.columns if c not in exprs and c != "history_rate"]
-        feats = joined.select(*raw, *[e.alias(n) for n, e in exprs.items()])
-        preds = SC.predict_claims(feats, scorer)
-        tag = F.lit(batch_id).cast("long")
-        for name, rows in (("predictions", preds), ("quarantine", quarantine), ("batch_summary", SC.batch_summary(preds))):
-            publish(rows.withColumn("batch_id", tag), os.path.join(out, name), "batch_id", [batch_id])
-    finally:
-        batch.unpersist()
-
-
-def read_batches(spark: SparkSession, out: str, name: str) -> DataFrame:
+    history rates) → score → write; invalid rows → quarantine; A15 summary,
+    counted from the predictions as published."""
+    valid, quarantine = VA.split_claims(batch)
+    # Provider rates grow with the provider count: no broadcast hint, the
+    # planner broadcasts them only when they are actually small.
+    joined = valid.join(rates, on=H.NPI, how="left")
+    rate = F.least(F.greatest(F.coalesce(F.col("history_rate"), F.lit(0.25)), F.lit(0.0)), F.lit(1.0))
+    exprs = feature_exprs("serve", provider_rate=rate)
+    raw = [c for c in joined.columns if c not in exprs and c != "history_rate"]
+    feats = joined.select(*raw, *[e.alias(n) for n, e in exprs.items()])
+
+    def put(name: str, rows: DataFrame) -> None:
+        publish(rows.withColumn("batch_id", F.lit(batch_id).cast("long")), os.path.join(out, name), "batch_id", [batch_id])
+    put("predictions", SC.predict_claims(feats, scorer))
+    put("quarantine", quarantine)
+    put("batch_summary", SC.batch_summary(read_batches(batch.sparkSession, out, "predictions", [batch_id])))
+
+
+def read_batches(spark: SparkSession, out: str, name: str, batches: list[int] | None = None) -> DataFrame:
     """``predictions``, ``quarantine`` or ``batch_summary`` of the batches
-    published so far; a batch is there whole or not at all."""
-    rows = read_published(spark, os.path.join(out, name), "batch_id")
+    published so far (or of ``batches`` only); a batch is there whole or not at all."""
+    rows = read_published(spark, os.path.join(out, name), "batch_id", batches)
     return rows.withColumn("batch_id", F.col("batch_id").cast("long"))
 
 
@@ -131,6 +130,7 @@ def stream_score(spark: SparkSession, source: str, out: str, history: DataFrame,
     scorer = scorer or SC.promoted_scorer(spark, models_dir)
     rates = H.history_rates(history).cache()  # static side, reused by every micro-batch
     try:
+        rates.count()  # from here on the planner knows its size
         q = (claim_stream(spark, source, max_files).writeStream
              .foreachBatch(lambda df, bid: score_microbatch(df, bid, rates, out, scorer))
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -39,3 +39,35 @@ def test_loo_rates_need_no_shuffle_of_the_claims_when_stats_are_small(spark):
     out = H.with_loo_rate(rows)
     assert "hashpartitioning" not in _plan(out)
     assert {r.claim_id: r[H.RATE] for r in out.collect()} == {"T-0": 0.0, "T-1": 1.0, "T-2": 0.25, "T-3": 0.25}
+
+
+class CountingScorer(SC.RuleScorer):
+    def __init__(self, seen):
+        self.seen = seen
+
+    def score(self, features):
+        seen = self.seen
+
+        def count(p):
+            seen.add(1)
+            return p
+        return super().score(features).withColumn(SC.P, F.udf(count, "double")(SC.P))
+
+
+def test_a_microbatch_is_scored_once_and_its_summary_counts_what_is_stored(spark):
+    base = scratch_path(spark, f"t/{uuid.uuid4().hex}")
+    batch = claim_rows(spark, {}, {"submission_date": None, "billed_amount": 60000.0}, {"provider_npi": "bad"})
+    rates = H.history_rates(claim_rows(spark, {"is_denied": 1}, {}))
+    seen = spark.sparkContext.accumulator(0)
+    J.score_microbatch(batch, 3, rates, base, CountingScorer(seen))
+    preds = J.read_batches(spark, base, "predictions")
+    assert preds.count() == 2 and seen.value == 2
+    s = J.read_batches(spark, base, "batch_summary").collect()
+    assert [(r.batch_id, r.total_claims, r.total_predicted_denied) for r in s] == [(3, 2, preds.where("predicted_denied").count())]
+
+
+def test_a_microbatch_without_valid_claims_has_an_empty_summary(spark):
+    base = scratch_path(spark, f"t/{uuid.uuid4().hex}")
+    J.score_microbatch(claim_rows(spark, {"provider_npi": "bad"}), 0, H.history_rates(claim_rows(spark, {})), base)
+    s = J.read_batches(spark, base, "batch_summary").first()
+    assert (s.total_claims, s.total_predicted_denied, s.batch_denial_rate) == (0, 0, 0.0)
