@@ -188,6 +188,16 @@ def _bucket(claim_id):
     return F.pmod(F.xxhash64(claim_id), F.lit(KEY_BUCKETS)).cast("int").alias("bucket")
 
 
+def fresh_claims(batch: DataFrame, known: DataFrame | None) -> DataFrame:
+    """One claim of each id that ``known`` has not. Known ids go first and by the
+    id alone, so that their join and what is left of repeats share one shuffle
+    and one sort of the claims."""
+    named = batch.where("claim_id is not null")
+    if known is not None:
+        named = named.join(known, "claim_id", "left_anti")
+    return named.dropDuplicates(["claim_id"]).select(*batch.columns)
+
+
 def ingest_microbatch(batch: DataFrame, batch_id: int, out: str) -> None:
     """Keep the claims of a batch whose id no batch before has brought. Ids go
     to the key table (by batch and bucket, with Parquet bloom filters, so that
@@ -196,14 +206,12 @@ def ingest_microbatch(batch: DataFrame, batch_id: int, out: str) -> None:
     without an id are all kept."""
     spark = batch.sparkSession
     keys, claims = os.path.join(out, "keys"), os.path.join(out, "claims")
-    known = spark.createDataFrame([], "claim_id STRING, bucket INT")
+    known = None
     if batch_id > 0:
         known = (spark.read.schema("claim_id STRING, batch_id BIGINT, bucket INT").option("basePath", keys).parquet(keys)
-                 .where(F.col("batch_id") < batch_id).select("claim_id", "bucket"))
-    named = batch.where("claim_id is not null").dropDuplicates(["claim_id"]).select("*", _bucket(F.col("claim_id")))
-    fresh = named.join(known, ["claim_id", "bucket"], "left_anti").drop("bucket").select(*batch.columns)
+                 .where(F.col("batch_id") < batch_id).select("claim_id"))
     where = os.path.join(claims, f"batch_id={batch_id}")
-    fresh.unionByName(batch.where("claim_id is null")).write.mode("overwrite").parquet(where)
+    fresh_claims(batch, known).unionByName(batch.where("claim_id is null")).write.mode("overwrite").parquet(where)
     ids = spark.read.schema(CLAIMS_SCHEMA).parquet(where).where("claim_id is not null").select("claim_id", _bucket(F.col("claim_id")))
     (ids.repartition("bucket").write.mode("overwrite").option("parquet.bloom.filter.enabled#claim_id", "true").partitionBy("bucket")
      .parquet(os.path.join(keys, f"batch_id={batch_id}")))

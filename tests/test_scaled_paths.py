@@ -71,3 +71,12 @@ def test_a_microbatch_without_valid_claims_has_an_empty_summary(spark):
     J.score_microbatch(claim_rows(spark, {"provider_npi": "bad"}), 0, H.history_rates(claim_rows(spark, {})), base)
     s = J.read_batches(spark, base, "batch_summary").first()
     assert (s.total_claims, s.total_predicted_denied, s.batch_denial_rate) == (0, 0, 0.0)
+
+
+def test_repeats_and_known_ids_leave_by_one_shuffle_of_the_claims(spark, no_broadcast):
+    batch = claim_rows(spark, {}, {"claim_id": "T-0"}, {"claim_id": "old"}, {"claim_id": None}, {"claim_id": "new"})
+    known = spark.createDataFrame([("old",), ("gone",)], "claim_id STRING")
+    out = J.fresh_claims(batch, known)
+    assert sorted(r.claim_id for r in out.collect()) == ["T-0", "new"]
+    assert out.columns == batch.columns
+    assert _plan(J.fresh_claims(batch, known)).count("hashpartitioning") == 2  # claims and known ids
