@@ -75,7 +75,8 @@ def daily_scoring(claims: DataFrame, run_date: str, since: str, out_dir: str, hi
     name = os.path.basename(str(getattr(scorer, "name", "model")))
     base = load_baseline(spark, p("baselines", name))
     if base is None:
-        train_mi = model_input(features_wide(training, provider_history=RollingHistory(training)), keep=())
+        # its own history: every provider day that is asked for is in the table itself
+        train_mi = model_input(features_wide(training, provider_history="rolling_90d"), keep=())
         base = save_baseline(files.materialize(train_mi, p("baseline_input", name)), p("baselines", name))
     details = drift_against(base, mi)
     report_path = p("drift_reports", f"run_date={run_date}")

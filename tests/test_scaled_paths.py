@@ -80,3 +80,17 @@ def test_repeats_and_known_ids_leave_by_one_shuffle_of_the_claims(spark, no_broa
     assert sorted(r.claim_id for r in out.collect()) == ["T-0", "new"]
     assert out.columns == batch.columns
     assert _plan(J.fresh_claims(batch, known)).count("hashpartitioning") == 2  # claims and known ids
+
+
+def test_the_baseline_reads_its_training_claims_as_their_own_history(spark, monkeypatch):
+    asked = []
+    whole = H._rate_of_days
+    monkeypatch.setattr(H, "_rate_of_days", lambda *a: asked.append(1) or whole(*a))
+    rows = claim_rows(spark, {"is_denied": 1}, {}, {"provider_npi": None}, {"service_date": None})
+    daily_scoring(rows, "2024-03-30", "2024-03-01", scratch_path(spark, f"t/{uuid.uuid4().hex}"))
+    assert len(asked) == 1  # the batch's rates; the training side is a plain window
+    names = ["claim_id", H.RATE]
+    mixed = claim_rows(spark, {"is_denied": 1}, {"is_denied": None}, {"service_date": None}, {"provider_npi": None}, {"provider_npi": "1000000009", "is_denied": None})
+    mixed = mixed.unionByName(mixed.withColumn("service_date", F.date_add("service_date", 30)))
+    a, b = H.with_rolling_rate(mixed).select(names), H.with_rolling_history(mixed, H.RollingHistory(mixed)).select(names)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
