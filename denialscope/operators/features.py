@@ -14,6 +14,8 @@ def attach_provider_rate(claims: DataFrame, method="loo", label: str = "is_denie
     """Add ``provider_historical_denial_rate`` by one of:
 
     * ``"loo"`` — leave-one-out over the same labelled claims (faithful form);
+    * ``"loo_by_provider"`` — the same, with the rows dealt out by provider, for
+      callers whose ties follow the order of rows;
     * ``"rolling_90d"`` — point-in-time 90-day window (production form);
     * ``"default"`` — constant 0.25 (single-claim serving default);
     * a labelled ``DataFrame`` — full-history rate from that table (J8);
@@ -26,8 +28,8 @@ def attach_provider_rate(claims: DataFrame, method="loo", label: str = "is_denie
         return H.with_rolling_history(claims, method, label)
     if isinstance(method, DataFrame):
         return H.with_history_rate(claims, method, label)
-    if method == "loo":
-        return H.with_loo_rate(claims, label)
+    if method in ("loo", "loo_by_provider"):
+        return H.with_loo_rate(claims, label, written=method == "loo")
     if method == "rolling_90d":
         return H.with_rolling_rate(claims, 90, label)
     if method == "default":

@@ -79,15 +79,17 @@ def loo_expr(total_denied: Column, total_claims: Column, label: Column) -> Colum
     return F.least(F.greatest(rate, F.lit(0.0)), F.lit(1.0))
 
 
-def with_loo_rate(claims: DataFrame, label: str = "is_denied") -> DataFrame:
+def with_loo_rate(claims: DataFrame, label: str = "is_denied", written: bool = True) -> DataFrame:
     """J1 + A2: leave-one-out provider rate as ``provider_historical_denial_rate``.
 
     Null NPIs never match the join, so they get the 0.25 default. The stats are
     written first: by their size the planner either broadcasts them, and the
-    claims need no shuffle, or shuffles both sides.
+    claims need no shuffle, or shuffles both sides. Not ``written``, the claims
+    are always dealt out by provider.
     """
-    spark = claims.sparkSession
-    stats = files.materialize(provider_stats(claims, label), scratch_path(spark, f"provider_stats/{uuid.uuid4().hex}"))
+    stats = provider_stats(claims, label)
+    if written:
+        stats = files.materialize(stats, scratch_path(claims.sparkSession, f"provider_stats/{uuid.uuid4().hex}"))
     joined = _look_up(claims, stats)
     return (joined.withColumn(RATE, loo_expr(F.col("total_denied"), F.col("total_claims"), F.col(label)))
             .drop("total_denied", "total_claims"))

@@ -109,7 +109,9 @@ SELECT fit, node, feature, bin, (gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (h
 def q_split_gains(spark, d):
     """The gain of every split of two nodes in all five folds' fits, at
     the first round's gradients (positives weigh 3)."""
-    mi = TR.labelled(FE.model_input(FE.features_wide(claims(spark, d)), keep=("claim_id", "is_denied")))
+    # null ids tie in the folds' order, where the order of rows decides
+    wide = FE.features_wide(claims(spark, d), provider_history="loo_by_provider")
+    mi = TR.labelled(FE.model_input(wide, keep=("claim_id", "is_denied")))
     node = (F.coalesce(F.col("submission_lag_days"), F.lit(0)) > 30).cast("int").alias("node")
     bins = [F.expr(_BIN.format(f"coalesce(CAST({f} AS DOUBLE), 0)")).cast("byte") for f in FEATURE_COLUMNS]
     # only bins take part from here on: the rows that the folds' checkpoint and
