@@ -31,6 +31,7 @@ import hashlib
 import json
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -124,19 +125,29 @@ class PieceModel:
             return piece.replace("▁", " ").encode()
         self.bytes = {i: one(i) for i in range(self.own.get_piece_size())}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.own.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return self.own.encode_as_numpy(texts, num_threads=1)
+
+
+def _joined(table: pa.Array, places: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Entries of a table of strings one after the other, and where each begins
+    (at last, where the last one ends)."""
+    if not len(places):
+        return b"", np.zeros(1, np.int64)
+    _, at, data = table.take(pa.array(places, pa.int64())).buffers()
+    return data.to_pybytes() if data else b"", np.frombuffer(at, np.int64)[:len(places) + 1]
 
 
 class Vocabulary:
-    """An encoder with its tokens' bytes, their lengths, and ids as text."""
+    """An encoder with its tokens' bytes, their lengths, and ids as text: first
+    each with a comma, then each with the mark that ends a group's tokens."""
 
-    def __init__(self, encoder):
+    def __init__(self, encoder, mark: str):
         self.encode = encoder.encode
-        n = max(encoder.bytes) + 1
-        self.bytes = [encoder.bytes.get(i, b"") for i in range(n)]
-        self.length = np.array([len(b) for b in self.bytes], np.int64)
-        self.comma = np.array([f"{i}," for i in range(n)], object)
+        self.size = max(encoder.bytes) + 1
+        self.bytes = pa.array([encoder.bytes.get(i, b"") for i in range(self.size)], pa.large_binary())
+        self.length = np.array([len(encoder.bytes.get(i, b"")) for i in range(self.size)], np.int64)
+        self.written = pa.array([f"{i}{end}".encode() for end in (",", mark) for i in range(self.size)], pa.large_binary())
 
 
 @lru_cache(maxsize=2)
@@ -144,7 +155,7 @@ def vocabularies(byte_bpe: str, pieces: str) -> tuple[Vocabulary, Vocabulary]:
     """One pair per worker process; names in the tokenizer package or paths."""
     import os
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Vocabulary(ByteBPE(_path(byte_bpe))), Vocabulary(PieceModel(_path(pieces)))
+    return Vocabulary(ByteBPE(_path(byte_bpe)), "|"), Vocabulary(PieceModel(_path(pieces)), ";")
 
 
 def lockstep(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray, lane: int = LANE):
@@ -176,7 +187,7 @@ def lockstep(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, first_
     return whole(links_a), whole(links_b), whole(cuts_a), whole(cuts_b)
 
 
-def group_texts(va: Vocabulary, vb: Vocabulary, ids_a, ids_b, first_a, first_b, cuts_a, cuts_b) -> list[str]:
+def group_texts(va: Vocabulary, vb: Vocabulary, ids_a, ids_b, first_a, first_b, cuts_a, cuts_b) -> list[bytes]:
     """For each document ``a1,a2|b1;a3|b2,b3``: the ids of each group."""
     cut_a, cut_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
     cut_a[cuts_a] = 1
@@ -186,36 +197,39 @@ def group_texts(va: Vocabulary, vb: Vocabulary, ids_a, ids_b, first_a, first_b,
     n = len(cuts_a)
     count_a, count_b = np.bincount(group_a, minlength=n), np.bincount(group_b, minlength=n)
     before_b, upto_a = np.cumsum(count_b) - count_b, np.cumsum(count_a)
-    out = np.empty(len(ids_a) + len(ids_b), object)
-    place_a = np.arange(len(ids_a)) + before_b[group_a] if len(ids_a) else np.empty(0, np.int64)
-    place_b = np.arange(len(ids_b)) + upto_a[group_b] if len(ids_b) else np.empty(0, np.int64)
-    out[place_a] = va.comma[ids_a]
-    out[place_b] = vb.comma[ids_b]
-    for places, ids, at, mark in ((place_a, ids_a, cuts_a, "|"), (place_b, ids_b, cuts_b, ";")):
-        out[places[at]] = [f"{i}{mark}" for i in ids[at].tolist()]
-    start = first_a + first_b
-    return ["".join(out[s:e].tolist())[:-1] for s, e in zip(start[:-1], start[1:])]
+    out = np.empty(len(ids_a) + len(ids_b), np.int64)
+    if len(ids_a):
+        out[np.arange(len(ids_a)) + before_b[group_a]] = ids_a + cut_a * va.size
+    if len(ids_b):
+        out[np.arange(len(ids_b)) + upto_a[group_b]] = ids_b + cut_b * vb.size + 2 * va.size
+    text, at = _joined(pa.concat_arrays([va.written, vb.written]), out)
+    ends = at[first_a + first_b].tolist()
+    return [text[s:e - 1] if e > s else b"" for s, e in zip(ends[:-1], ends[1:])]
 
 
 def encode_pair(va: Vocabulary, vb: Vocabulary, texts: list[str | None]):
     """Ids of both sides, document by document, as (all ids, first places)."""
-    ids_a, ids_b, n_a, n_b = [], [], [], []
+    first = lambda n: np.concatenate([[0], np.cumsum(np.array(n, np.int64))])
+    got: tuple = ([], [], [], [])
     for k in range(0, len(texts), ENCODE_ROWS):
         part = [t or "" for t in texts[k:k + ENCODE_ROWS]]
-        for t, a, b in zip(part, va.encode([" " + t for t in part]), vb.encode(part)):
-            if t:
-                whole = (" " + t).encode()
-                if b"".join([va.bytes[i] for i in a]) != whole or b"".join([vb.bytes[i] for i in b]) != whole:
-                    a, b = [], []
-            else:
-                a, b = [], []
-            ids_a.append(np.array(a, np.int64))
-            ids_b.append(np.array(b, np.int64))
-            n_a.append(len(a))
-            n_b.append(len(b))
-    first = lambda n: np.concatenate([[0], np.cumsum(np.array(n, np.int64))])
+        whole = [(" " + t).encode() for t in part]
+        right = np.array([t != "" for t in part])
+        sides = []
+        for v, own in ((va, [" " + t for t in part]), (vb, part)):
+            lists = v.encode(own)
+            n = np.array([len(x) for x in lists], np.int64)
+            ids = np.concatenate(lists).astype(np.int64) if isinstance(lists[0], np.ndarray) else np.fromiter(chain.from_iterable(lists), np.int64, n.sum())
+            data, at = _joined(v.bytes, ids)
+            ends = at[first(n)].tolist()
+            right &= [data[s:e] == w for s, e, w in zip(ends[:-1], ends[1:], whole)]
+            sides.append((ids, n))
+        for side, (ids, n) in enumerate(sides):
+            got[side].append(ids[np.repeat(right, n)])
+            got[2 + side].append(n * right)
     none = [np.empty(0, np.int64)]
-    return np.concatenate(ids_a or none), np.concatenate(ids_b or none), first(n_a), first(n_b)
+    ids_a, ids_b, n_a, n_b = (np.concatenate(x or none) for x in got)
+    return ids_a, ids_b, first(n_a), first(n_b)
 
 
 def align(va: Vocabulary, vb: Vocabulary, ids_a, ids_b, first_a, first_b) -> dict:
@@ -227,13 +241,14 @@ def align(va: Vocabulary, vb: Vocabulary, ids_a, ids_b, first_a, first_b) -> dic
     link_a, link_b, cuts_a, cuts_b = lockstep(np.cumsum(va.length[ids_a]), np.cumsum(vb.length[ids_b]), first_a, first_b)
     cuts_a, cuts_b = np.sort(cuts_a), np.sort(cuts_b)
     texts = group_texts(va, vb, ids_a, ids_b, first_a, first_b, cuts_a, cuts_b)
-    doc = np.searchsorted(first_a, link_a, side="right") - 1
-    pairs, place = np.unique(ids_a[link_a] * WIDTH + ids_b[link_b], return_inverse=True)
-    own, times = np.unique(doc * max(1, len(pairs)) + place, return_counts=True)
-    own_doc, at = own // max(1, len(pairs)), own % max(1, len(pairs))
+    filled = np.flatnonzero(np.diff(first_a))  # at most BLOCK_TOKENS of them: their places and a pair are one number
+    doc = np.searchsorted(first_a[filled], link_a, side="right") - 1
+    own, times = np.unique(doc * WIDTH**2 + (ids_a[link_a] * WIDTH + ids_b[link_b]), return_counts=True)
+    pairs, at = np.unique(own % WIDTH**2, return_inverse=True)
+    doc, own_doc = filled[doc], filled[own // WIDTH**2]
     return {"n_a": np.diff(first_a), "n_b": np.diff(first_b), "n_links": np.bincount(doc, minlength=n),
             "n_groups": np.diff(np.searchsorted(cuts_a, first_a)),
-            "groups_sha256": [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts], "groups": texts,
+            "groups_sha256": [hashlib.sha256(t).hexdigest() if t else "" for t in texts], "groups": texts,
             "pairs": pairs, "docs": np.bincount(at, minlength=len(pairs)),
             "at": at, "times": times, "first": np.searchsorted(own_doc, np.arange(n + 1))}
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -121,3 +122,44 @@ def test_ranks_equal_the_library():
     texts = [f" a{c}b {c}{c} 1{c}2 .{c}. {c}  {c}\n{c} \n a  {c}'s" for c in map(chr, [*range(0x3000), *range(0xA000, 0xD800, 97), *range(0xE000, 0x20000, 31)])]
     own = [e.ids for e in enc.own.encode_batch(texts, add_special_tokens=False)]
     assert enc.encode(texts) == own
+
+
+def test_no_python_step_per_token():
+    """Ten times the tokens take no more lines of Python, but for the encoders."""
+    va, vb = T.vocabularies(T.BYTE_BPE, T.PIECES)
+
+    def lines(text):
+        count = 0
+
+        def trace(frame, event, arg):
+            nonlocal count
+            if frame.f_code.co_filename != T.__file__:
+                return None
+            count += event == "line"
+            return trace
+
+        before = sys.gettrace()
+        sys.settrace(trace)
+        try:
+            got = T.align(va, vb, *T.encode_pair(va, vb, [text]))
+        finally:
+            sys.settrace(before)
+        return count, int(got["n_a"][0])
+
+    (few, short), (more, long) = (lines("tokenizers align straße 中文 1234 fn(x) " * n) for n in (300, 3000))
+    assert long > short + 10_000
+    assert more - few < 1_000
+
+
+def test_texts_that_do_not_come_back():
+    """A text whose bytes one side changes has no tokens, its neighbours keep theirs."""
+    va, vb = T.vocabularies(T.BYTE_BPE, T.PIECES)
+    texts = ["plain words", "", None, "\u2581", "ab \u2581cd", "plain words", "  x  "]
+    ids_a, ids_b, first_a, first_b = T.encode_pair(va, vb, texts)
+    a_lib, b_lib = libraries()
+    for k, t in enumerate(texts):
+        a, b = ids_a[first_a[k]:first_a[k + 1]].tolist(), ids_b[first_b[k]:first_b[k + 1]].tolist()
+        if t and "\u2581" not in t:
+            assert a == a_lib.encode(" " + t, add_special_tokens=False).ids and b == b_lib.encode(t)
+        else:
+            assert a == b == []
