@@ -106,6 +106,37 @@ def test_one_stage_passes_equal_shuffled_ones(spark, monkeypatch):
         assert np.allclose(a.margins(x), b.margins(x), atol=1e-9)
 
 
+def test_features_of_few_bins_share_a_column():
+    """Common columns are counted once; each feature's sums and the routes are
+    those of its own bins."""
+    rng = np.random.default_rng(6)
+    sizes = [3, 60, 2, 3, 256, 5, 3, 2]
+    bins = np.column_stack([rng.integers(0, s, 4000) for s in sizes]).astype(np.uint8)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    columns = B.packed(bins, starts)
+    assert len(columns) == 3 and sorted(f for c in B.packing(starts) for f, _, _ in c) == list(range(8))
+    tree = B.Tree()
+    for node, f, cut in ((0, 1, 30), (1, 5, 2), (2, 0, 0), (4, 4, 200)):
+        tree.split(node, f, cut, 1.0, 0.0, 0.0)
+    at = np.zeros(4000, int)
+    for k in range(4000):
+        while tree.feature[at[k]] >= 0:
+            at[k] = tree.child[at[k]] + (bins[k, tree.feature[at[k]]] > tree.cut[at[k]])
+    assert np.array_equal(B.routed(B.steps(tree.arrays(), starts), columns, np.arange(4000)), at)
+    y = rng.integers(0, 2, 4000).astype(np.float32)
+    block = {"y": y, "fold": np.zeros(4000, np.int8), "margin": rng.normal(size=(1, 4000)).astype(np.float32), "columns64": columns}
+    fit = B.Fit(B.Params(rows=1.0, min_child_rows=2), pos_weight=3.0)
+    nodes, usable = sorted(set(at.tolist())), np.array([0, 1, 3, 4, 5, 7])
+    (_, sums), = B.level_sums(0, block, [fit], {64: starts}, 0, [tree.arrays()], [nodes], [usable])
+    g, h = B.gradients(fit, y, block["margin"][0])
+    cells = B.layout(starts, usable)
+    for j, node in enumerate(nodes):
+        for i, f in enumerate(usable):
+            for k, w in enumerate((g, h, np.ones(4000))):
+                want = np.bincount(bins[at == node, f], weights=w[at == node], minlength=sizes[f])
+                assert np.allclose(sums[j, k, cells[i]:cells[i + 1]], want, rtol=1e-5, atol=1e-4)
+
+
 def test_fewer_fits_side_by_side_of_large_tables():
     assert [TR.side_by_side(n, 12) for n in (0, 600_000, 6_000_000, 36_000_000)] == [5, 5, 2, 1]
 
