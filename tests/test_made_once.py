@@ -1,12 +1,17 @@
 """What several steps of a query read is made once and stored."""
 
+import datetime as dt
+
 import pytest
 
+from denialscope import session
 from denialscope.operators import explain as X
+from denialscope.operators import features as FE
 from denialscope.operators import training as TR
 from denialscope.plans import catalog, q_explain, q_io, q_layout, q_train
 from denialscope.sources import colocated as CO
 from denialscope.sources import files
+from denialscope.sources.schema import FEATURE_COLUMNS
 
 ROWS = [{"is_denied": k % 3 == 0 and 1 or 0, "billed_amount": 50.0 * k, "provider_npi": str(5550001110 + k % 2)} for k in range(30)]
 
@@ -77,3 +82,42 @@ def test_requests_are_written_compressed(spark, claims_of, monkeypatch, tmp_path
     monkeypatch.setattr(q_io, "_scratch", lambda s, name: str(tmp_path / name))
     got = catalog.QUERIES["scan_requests_json"](spark, "")
     assert got.count() == 30 and all(f.endswith(".json.gz") for f in spark.read.text(str(tmp_path / "requests_json")).inputFiles())
+
+
+def test_training_input_is_the_model_input(spark, claims_of):
+    """Features before or after the rates' join: the same rows, also of claims
+    without a provider, a date or an id."""
+    odd = [{"provider_npi": None}, {"service_date": None}, {"claim_id": None}, {"billed_amount": None}, {"is_denied": None}]
+    claims = claims_of(*ROWS, *ROWS[:3], *odd, *[{"service_date": dt.date(2024, 3, d), "is_denied": d % 2} for d in range(1, 9)])
+    keep = ("claim_id", "is_denied", "allowed_amount", "billed_amount")
+    want = FE.model_input(FE.features_wide(claims, "rolling_90d"), keep)
+    got = FE.training_input(claims, keep)
+    assert got.dtypes == want.dtypes and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert FE.training_input(claims, ("is_denied",)).columns == ["is_denied", *FEATURE_COLUMNS]
+
+
+def test_folds_deal_the_rows_out_once(spark, claims_of, tmp_path):
+    stored = files.materialize(FE.training_input(claims_of(*ROWS)), str(tmp_path / "mi"))
+    plan = TR.stratified_folds(stored, written=True).select("is_denied", "member_age", "fold")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("md5") < plan.index("Exchange hashpartitioning")  # what they are ordered by is made behind it
+
+
+def test_written_tables_leave_no_shuffle_files(spark, claims_of, tmp_path):
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    frame = claims_of(*ROWS).repartition(3)
+    was = spark.conf.get(session.SHUFFLE_CLEANUP)
+    before = tracker.shuffleStatuses().size()
+    got = files.materialize_alone(frame, str(tmp_path / "t"))
+    assert tracker.shuffleStatuses().size() <= before and spark.conf.get(session.SHUFFLE_CLEANUP) == was
+    assert got.count() == 30 and frame.count() == 30
+
+
+@pytest.mark.parametrize("query, kept", [("train_lr", ["is_denied"]), ("score_model_batch", ["claim_id", "is_denied", "allowed_amount", "billed_amount"])])
+def test_linear_fits_store_their_columns_once(spark, claims_of, monkeypatch, query, kept):
+    monkeypatch.setattr(q_train, "claims", lambda s, d: claims_of(*ROWS))
+    seen_by, fn = [], TR.fit
+    monkeypatch.setattr(TR, "fit", lambda mi, *a, **more: seen_by.append((bool(mi.inputFiles()), mi.columns)) or fn(mi, *a, **more))
+    monkeypatch.setattr(TR, "training_frame", None)  # no second copy
+    assert catalog.QUERIES[query](spark, "").count() == (30 if query == "score_model_batch" else 23)
+    assert seen_by == [(True, [*kept, *FEATURE_COLUMNS])]
